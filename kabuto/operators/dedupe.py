@@ -1,4 +1,4 @@
-"""Keep-latest-per-key (``ROW_NUMBER() ... = 1``)."""
+"""Keep-latest-per-key (the ``ROW_NUMBER() OVER (... ORDER BY x DESC) = 1`` pattern)."""
 
 from __future__ import annotations
 
@@ -8,11 +8,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per ``keys``: the first under ``order`` (give a total order; ties are otherwise arbitrary).
+def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str]) -> DataFrame:
+    """One row per ``keys``: the row with the largest ``order_desc`` values, compared left to
+    right, each descending with NULLs last. Remaining columns break exact ties, so the pick is
+    deterministic.
 
-    Planned as a rank-1 window, which Catalyst turns into a partial WindowGroupLimit before the
-    shuffle, so a key with many repeats is cut down map-side.
+    Planned as ``max(struct(order..., rest...))`` per key: a hash aggregate with a partial
+    (map-side) step, so a key repeated millions of times is reduced before the shuffle.
     """
+    keys = list(keys)
+    rest = [c for c in df.columns if c not in keys and c not in order_desc]
+    best = F.max(F.struct(*[F.col(c) for c in order_desc], *[F.col(c) for c in rest])).alias("_best")
+    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in [*order_desc, *rest]]).select(*df.columns)
+
+
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """One row per ``keys``: the first under an arbitrary ``order`` (rank-1 window; Catalyst
+    adds a partial WindowGroupLimit before the shuffle)."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # Largest dimension we hint as broadcast. Seeds hold tens of rows; anything past this bound is
 # joined by shuffle (and AQE may still broadcast it if its real size turns out small).
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -18,14 +18,18 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     The check reads at most ``max_rows + 1`` rows (a LIMIT job). Beyond the bound the frame is
     returned unhinted so the planner picks a shuffle join.
     """
+    done = getattr(df, "_kabuto_bounded", None)
+    if done is not None and done[0] == max_rows:
+        return done[1]
     n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    out = F.broadcast(df) if n <= max_rows else df
+    df._kabuto_bounded = (max_rows, out)  # the decision is made once per DataFrame object
+    return out
 
 
 def enrich(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], columns: Sequence[str], small: bool = True) -> DataFrame:
     """Left join ``columns`` of ``dim`` onto ``fact`` by ``key``; unmatched rows get NULLs."""
     keys = [key] if isinstance(key, str) else list(key)
-    right = dim.select(*keys, *columns)
     if small:
-        right = bounded_broadcast(right)
-    return fact.join(right, keys, "left")
+        dim = bounded_broadcast(dim)
+    return fact.join(dim.select(*keys, *columns), keys, "left")

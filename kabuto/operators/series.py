@@ -29,7 +29,7 @@ def calendar_grid(
     days = F.explode(F.sequence(as_date(start), as_date(end), F.expr("INTERVAL 1 DAY")))
     flag = F.col(weekend_flag)
     grid = keys.filter(flag.isNotNull()).withColumn(date_col, days)
-    return grid.filter((flag == F.lit(True)) | ((flag == F.lit(False)) & ~is_weekend(date_col)))
+    return grid.filter(_on_calendar(F.col(date_col), flag))
 
 
 def bounded_fill(
@@ -48,6 +48,11 @@ def bounded_fill(
     return out
 
 
+def _on_calendar(d: Column, flag: Column) -> Column:
+    # TRUE: every day; FALSE: weekdays; NULL: never (NULL OR (NULL AND x) is not TRUE).
+    return (flag == F.lit(True)) | ((flag == F.lit(False)) & ~is_weekend(d))
+
+
 def gap_filled_series(
     values: DataFrame,
     flags: DataFrame,
@@ -64,11 +69,30 @@ def gap_filled_series(
 
     Keys are those present in ``values``; their calendar comes from ``flags`` (joined on
     ``flag_key``; an unknown key has no calendar). Value rows off the calendar are dropped.
+
+    Physical shape: ``values`` is hash-partitioned once by ``keys``. Within that partitioning,
+    the first row of each series also emits the series' calendar (``explode``), grid and value
+    rows are merged by an aggregate per (keys, date), and the fill window runs; none of these
+    steps shuffles again, and the source is read once.
     """
-    key_rows = values.select(*keys).distinct()
-    key_rows = key_rows.join(bounded_broadcast(flags.select(flag_key, weekend_flag)), flag_key, "left")
-    grid = calendar_grid(key_rows, start, end, weekend_flag, date_col).select(date_col, *keys)
-    dense = grid.join(values.select(date_col, *keys, *value_cols), [date_col, *keys], "left")
+    keys = list(keys)
+    if start > end:
+        return values.limit(0).select(date_col, *keys, *value_cols)
+    vals = values.select(date_col, *keys, *value_cols).repartition(*keys)
+    vals = vals.join(bounded_broadcast(flags).select(flag_key, weekend_flag), flag_key, "left")
+    flag = F.col(weekend_flag)
+    vals = vals.withColumn("_first", F.row_number().over(Window.partitionBy(*keys).orderBy(date_col)) == 1)
+    nulls = [F.lit(None).cast(values.schema[c].dataType).alias(c) for c in value_cols]
+    own = F.array(F.struct(F.col(date_col).alias("_d"), F.lit(False).alias("_g"), *[F.col(c) for c in value_cols]))
+    days = F.filter(F.sequence(as_date(start), as_date(end), F.expr("INTERVAL 1 DAY")), lambda d: _on_calendar(d, flag))
+    calendar = F.transform(days, lambda d: F.struct(d.alias("_d"), F.lit(True).alias("_g"), *nulls))
+    rows = vals.select(*keys, F.explode(F.when(F.col("_first"), F.concat(own, calendar)).otherwise(own)).alias("_r")).select(*keys, "_r.*")
+    dense = (
+        rows.groupBy(*keys, "_d")
+        .agg(F.max("_g").alias("_g"), F.max_by(F.struct(*value_cols), ~F.col("_g")).alias("_v"))
+        .filter(F.col("_g"))
+        .select(F.col("_d").alias(date_col), *keys, *[F.col(f"_v.{c}").alias(c) for c in value_cols])
+    )
     return bounded_fill(dense, keys, date_col, value_cols, max_rows)
 
 
@@ -90,29 +114,33 @@ def cross_rates(
     Each pair is one window partition (never a global single-task window).
     """
     spec = F.array(*[F.struct(F.lit(b).alias("b"), F.lit(q).alias("q"), F.lit(o).alias("o")) for b, q, o in pairs])
-    closes = filled.filter(F.col(ohlc) == close)
-    base = (
-        closes.filter(F.col(ticker).isin(sorted({b for b, _, _ in pairs})))
-        .withColumn("_pair", F.explode(F.filter(spec, lambda s: s["b"] == F.col(ticker))))
+    legs = sorted({b for b, _, _ in pairs} | {q for _, q, _ in pairs})
+    # Every leg row goes to each pair it feeds (as base and/or quote); one shuffle by output pair.
+    routed = (
+        filled.filter((F.col(ohlc) == close) & F.col(ticker).isin(legs))
+        .withColumn("_pair", F.explode(F.filter(spec, lambda s: (s["b"] == F.col(ticker)) | (s["q"] == F.col(ticker)))))
         .select(
             F.col("_pair.o").alias("_out"),
-            F.col("_pair.q").alias("_quote_ticker"),
             F.col(date_col),
-            F.col(price).alias("_base"),
-            F.col(fetch_time),
+            F.when(F.col("_pair.b") == F.col(ticker), F.struct(F.col(price).alias("p"), F.col(fetch_time).alias("t"))).alias("_b"),
+            F.when(F.col("_pair.q") == F.col(ticker), F.col(price)).alias("_quote"),
+            (F.col("_pair.b") == F.col(ticker)).alias("_is_base"),
         )
+        .repartition("_out")
     )
-    quote = closes.filter(F.col(ticker).isin(sorted({q for _, q, _ in pairs}))).select(
-        F.col(ticker).alias("_quote_ticker"), F.col(date_col), F.col(price).alias("_quote")
+    # Align legs by date (rows follow the base calendar; a missing quote row gives NULL).
+    aligned = (
+        routed.groupBy("_out", date_col)
+        .agg(F.max("_is_base").alias("_is_base"), F.max("_b").alias("_b"), F.max("_quote").alias("_quote"))
+        .filter(F.col("_is_base"))
     )
-    j = base.join(quote, ["_quote_ticker", date_col], "left")
     w = Window.partitionBy("_out").orderBy(date_col).rowsBetween(-max_rows, Window.currentRow)
-    return j.select(
+    return aligned.select(
         F.col(date_col),
         F.col("_out").alias(ticker),
         F.lit(close).alias(ohlc),
-        (F.col("_base") * F.last("_quote", ignorenulls=True).over(w)).alias(price),
-        F.col(fetch_time),
+        (F.col("_b.p") * F.last("_quote", ignorenulls=True).over(w)).alias(price),
+        F.col("_b.t").alias(fetch_time),
     )
 
 
@@ -131,5 +159,5 @@ def close_on_valuation_date(
     weekday-only). Only prices within ``lookback_days`` before ``as_of`` are considered."""
     d = as_date(as_of)
     recent = close.filter(F.col(date_col).between(F.date_sub(d, lookback_days), d)).select(ticker, date_col, "price")
-    recent = recent.join(bounded_broadcast(flags.select(ticker, weekend_flag)), ticker, "left")
+    recent = recent.join(bounded_broadcast(flags).select(ticker, weekend_flag), ticker, "left")
     return recent.filter(F.col(date_col) == valuation_date(d, weekend_flag)).select(ticker, F.col("price").alias(out))

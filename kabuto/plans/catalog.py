@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,10 @@ class Inputs:
     def prices(self) -> DataFrame:
         return staging.stg_price_data(self.raw("raw_price_data"))
 
+    @property
+    def price_rows(self) -> DataFrame:
+        return staging.price_rows(self.raw("raw_price_data"))
+
     @property
     def trades(self) -> DataFrame:
         return staging.stg_trade_history(self.raw("raw_trade_history"))
@@ -52,12 +57,13 @@ class Inputs:
     def entries(self) -> DataFrame:
         return staging.stg_entry_point(self.raw("raw_entry_point"))
 
-    @property
+    @cached_property
     def tickers(self) -> DataFrame:
+        # One object per query so its size check for broadcasting runs once.
         return self.raw("ref_ticker_info")
 
     def price_history(self, dates: RunDates = X.PRICE_BACKFILL) -> DataFrame:
-        return warehouse.price_history(self.prices, self.tickers, dates)
+        return warehouse.price_history(self.price_rows, self.tickers, dates)
 
     def close(self, dates: RunDates = X.PRICE_BACKFILL) -> DataFrame:
         return warehouse.close_price_history(self.price_history(dates))
@@ -84,7 +90,7 @@ def prev_weekday_dates(i: Inputs) -> DataFrame:
 
 def cross_rate_series(i: Inputs) -> DataFrame:
     dates = X.PRICE_DATES
-    filled = warehouse.filled_prices(i.prices, i.tickers, dates)
+    filled = warehouse.filled_prices(i.price_rows, i.tickers, dates)
     return cross_rates(filled, CROSS_RATE_PAIRS, FILL_MAX_ROWS)
 
 
@@ -154,7 +160,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "stg_entry_points": lambda i: i.entries,
     "prev_weekday_dates": prev_weekday_dates,
     "asset_master": lambda i: warehouse.asset_master(i.status, i.tickers),
-    "latest_prices": lambda i: warehouse.latest_prices(i.prices),
+    "latest_prices": lambda i: warehouse.latest_prices(i.price_rows),
     "price_history": lambda i: i.price_history(X.PRICE_DATES),
     "price_history_backfill": lambda i: i.price_history(X.PRICE_BACKFILL),
     "close_prices": lambda i: i.close(X.PRICE_DATES),

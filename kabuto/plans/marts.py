@@ -152,8 +152,8 @@ def daily_summary(ticker_list: DataFrame, ticker_info: DataFrame, prices: DataFr
     listed = listed.select("*", *[e.alias(n) for n, e in dates.items()])
 
     close = prices.filter(F.col("base_date").between(F.date_sub(d, SUMMARY_LOOKBACK), d) & (F.col("ohlc_type") == "close"))
-    flags = ticker_info.select("ticker", "is_active_weekend")
-    tagged = close.join(bounded_broadcast(flags), "ticker", "left").select(
+    flags = bounded_broadcast(ticker_info).select("ticker", "is_active_weekend")
+    tagged = close.join(flags, "ticker", "left").select(
         "ticker", "base_date", "price", *[e.alias(n) for n, e in dates.items()]
     )
     picked = tagged.groupBy("ticker").agg(
@@ -186,8 +186,8 @@ def period_high(price_list: DataFrame, ticker_info: DataFrame, close: DataFrame,
     listed = enrich(price_list, ticker_info, "ticker", ["asset_name", "is_active_weekend"]).withColumn(
         "recent_price_date", valuation_date(d, "is_active_weekend")
     )
-    flags = ticker_info.select("ticker", "is_active_weekend")
-    year = close.select("ticker", "base_date", "price").join(bounded_broadcast(flags), "ticker", "left")
+    flags = bounded_broadcast(ticker_info).select("ticker", "is_active_weekend")
+    year = close.select("ticker", "base_date", "price").join(flags, "ticker", "left")
     recent = F.max(F.when(F.col("base_date") == valuation_date(d, "is_active_weekend"), F.col("price")))
     highs = period_highs(year, as_of, HIGH_PERIODS, extra={"recent_price": recent})
     j = listed.join(highs, "ticker", "left")

@@ -27,20 +27,22 @@ def stg_trade_history(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_price_data(raw: DataFrame) -> DataFrame:
-    """Price feed without exact repeats (the feed is appended on a schedule)."""
-    return (
-        raw.filter(F.col("date").isNotNull())
-        .select(
-            F.col("date").alias("base_date"),
-            "ticker",
-            "ohlc_type",
-            "price",
-            parse_datetime("fetch_time_str", DASH_DATETIME).alias("fetch_time_jst"),
-        )
-        .distinct()
+def price_rows(raw: DataFrame) -> DataFrame:
+    """Cleaned price feed rows, exact repeats still in (the feed is appended on a schedule)."""
+    return raw.filter(F.col("date").isNotNull()).select(
+        F.col("date").alias("base_date"),
+        "ticker",
+        "ohlc_type",
+        "price",
+        parse_datetime("fetch_time_str", DASH_DATETIME).alias("fetch_time_jst"),
     )
 
 
+def stg_price_data(raw: DataFrame) -> DataFrame:
+    """Price feed without exact repeats. Consumers that keep one row per key anyway (latest
+    fetch) may read ``price_rows`` and skip this DISTINCT shuffle: the result is the same."""
+    return price_rows(raw).distinct()
+
+
 def stg_entry_point(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col("add_date").isNotNull()).select("add_date", "ticker", "entry_price", "memo")

@@ -17,13 +17,8 @@ from kabuto.operators.series import cross_rates, gap_filled_series
 from kabuto.sources.schemas import CLOSE, CROSS_RATE_PAIRS, FILL_MAX_ROWS, PRICE_HISTORY_COLUMNS, RunDates
 
 # Total orders replacing the arbitrary tie order of the warehouse's ROW_NUMBER calls.
-def status_order():
-    return [F.col("event_time_jst").desc(), F.col("is_monitor").desc(), F.col("is_watch").desc()]
-
-
-def fetch_order():
-    return [F.col("fetch_time_jst").desc(), F.col("price").desc_nulls_last()]
-
+STATUS_ORDER = ["event_time_jst", "is_monitor", "is_watch"]  # all descending, NULLs last
+FETCH_ORDER = ["fetch_time_jst", "price"]
 
 TRADE_TIE_BREAK = ("memo", "price", "order_count")
 
@@ -33,7 +28,7 @@ POSITION_KEYS = ["account", "ticker", "partition_date"]
 
 def asset_master(stg_status: DataFrame, ticker_info: DataFrame) -> DataFrame:
     """Latest monitoring status per ticker with its name and type (NULL if not in the dimension)."""
-    latest = latest_per_key(stg_status, ["ticker"], status_order())
+    latest = latest_per_key(stg_status, ["ticker"], STATUS_ORDER)
     return enrich(latest, ticker_info, "ticker", ["asset_name", "asset_type"]).select(
         "ticker",
         "asset_name",
@@ -49,11 +44,13 @@ def trade_history_with_cash(stg_trades: DataFrame) -> DataFrame:
 
 
 def latest_prices(stg_prices: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
-    """Newest fetch per (base_date, ticker, ohlc_type), optionally within [start, end]."""
+    """Newest fetch per (base_date, ticker, ohlc_type), optionally within [start, end]; among
+    equal fetch times the higher price wins (NULL last). Exact repeats in the feed do not
+    change the pick, so un-deduplicated staging rows may be passed."""
     rows = stg_prices
     if start is not None:
         rows = rows.filter(F.col("base_date").between(F.lit(start), F.lit(end)))
-    return latest_per_key(rows, ["base_date", "ticker", "ohlc_type"], fetch_order())
+    return latest_per_key(rows, ["base_date", "ticker", "ohlc_type"], FETCH_ORDER)
 
 
 def filled_prices(stg_prices: DataFrame, ticker_info: DataFrame, dates: RunDates, max_rows: int = FILL_MAX_ROWS) -> DataFrame:

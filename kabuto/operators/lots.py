@@ -10,8 +10,8 @@ is oversold) has no row.
 numbers (end - q, end] keeps ``clamp(end - sold, 0, q)`` units. ``end`` is a running sum, built
 as a two-level prefix sum so that one huge key is never held by a single task:
 
-  1. per (key, day): total units bought that day          (partial aggregation, map-side)
-  2. per key: units bought on earlier days               (window over the small day table)
+  1. per (key, day): units bought and sold that day      (partial aggregation, map-side)
+  2. per key: units bought on earlier days, units sold   (windows over the small day table)
   3. per (key, day): running sum inside the day          (window over one key-day)
 
 Days whose buys are already fully sold are discarded at step 2, before the trades are joined.
@@ -68,18 +68,26 @@ def open_lots(
         .select(*keys, date_col, *[F.col(c).alias(f"_tb{i}") for i, c in enumerate(tie_break)], F.col(price).alias("_px"), _units(qty).alias("_q"))
         .filter(F.col("_q") > 0)
     )
-    sold = t.filter(F.col(side) == sell).groupBy(*keys).agg(F.sum(_units(qty)).alias("_sold"))
 
-    # Steps 1-2: day totals, units bought before each day, and the key's sold units. Keys never
-    # match NULL here (a NULL account's buys stay open), as in an equality join of units.
-    days = buys.groupBy(*keys, date_col).agg(F.sum("_q").alias("_dq"))
-    before = Window.partitionBy(*keys).orderBy(date_col).rowsBetween(Window.unboundedPreceding, -1)
+    # Steps 1-2 from one scan: units bought and sold per key-day, then per key the units bought
+    # on earlier days and all units sold. Sells never match a NULL key (its buys stay open),
+    # as in an equality join of unit numbers.
+    flows = t.groupBy(*keys, date_col).agg(
+        F.sum(F.when(F.col(side) == buy, _units(qty))).alias("_dq"),
+        F.sum(F.when(F.col(side) == sell, _units(qty))).alias("_ds"),
+    )
+    per_key = Window.partitionBy(*keys)
+    before = per_key.orderBy(date_col).rowsBetween(Window.unboundedPreceding, -1)
+    keyed = F.lit(True)
+    for k in keys:
+        keyed = keyed & F.col(k).isNotNull()
     days = (
-        days.withColumn("_before", F.coalesce(F.sum("_dq").over(before), F.lit(0)))
-        .join(sold, keys, "left")
-        .withColumn("_sold", F.coalesce("_sold", F.lit(0)))
-        .filter(F.col("_before") + F.col("_dq") > F.col("_sold"))
-        .drop("_dq")
+        flows.withColumn("_dq", F.coalesce("_dq", F.lit(0)))
+        .withColumn("_sold", F.when(keyed, F.coalesce(F.sum("_ds").over(per_key), F.lit(0))).otherwise(F.lit(0)))
+        .withColumn("_before", F.coalesce(F.sum("_dq").over(before), F.lit(0)))
+        # keep days that still hold unsold units
+        .filter((F.col("_dq") > 0) & (F.col("_before") + F.col("_dq") > F.col("_sold")))
+        .select(*keys, date_col, "_before", "_sold")
     )
 
     # Step 3: running sum inside each surviving key-day (NULL-safe on the key columns).

@@ -69,7 +69,8 @@ def raw_trade_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_returnflag", "l_quantity", "l_extendedprice", "l_shipdate"
     )
     od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    trades = li.join(od, li.l_orderkey == od.o_orderkey).select(
+    # A fact-to-fact join: shuffled on the order key (never broadcast; orders grows with lineitem).
+    trades = li.join(od.hint("shuffle_hash"), li.l_orderkey == od.o_orderkey).select(
         F.date_format("l_shipdate", "yyyy/MM/dd HH:mm:ss").alias("timestamp_jst"),
         F.col("l_shipdate").cast("date").alias("trade_date"),
         ticker_of(F.col("l_partkey") % 20).alias("ticker"),

@@ -36,6 +36,10 @@ def _read_target(spark: SparkSession, path: str, schema) -> DataFrame | None:
         raise
 
 
+def table_missing(spark: SparkSession, path: str, schema) -> bool:
+    return _read_target(spark, path, schema) is None
+
+
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
     dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
     if dup:

@@ -58,16 +58,28 @@ def upsert_partitions(
     """Upsert ``new`` into the Parquet table at ``path``; returns the partitions written.
 
     ``replace_partition=True`` rewrites touched partitions with the batch only (drops rows the
-    batch no longer produces, e.g. a position closed by a late sell). The merged rows are
-    checkpointed to the session's shared checkpoint folder before the overwrite, so the write
-    never reads the files it replaces and a lost executor recomputes from the checkpoint.
+    batch no longer produces, e.g. a position closed by a late sell).
+
+    The batch is checkpointed once to the session's shared checkpoint folder, so its plan runs
+    a single time for the key check, the partition list and the merge. The merged partitions
+    are checkpointed again before the overwrite: the write never reads the files it replaces,
+    and a lost executor recomputes from the checkpoint, not from the target.
     """
     if partition_col not in keys:
         raise ValueError("the upsert key must contain the partition column")
-    if check_unique:
+    new = new.checkpoint(eager=True)
+    # One job: rows per key, then per touched partition the largest count (bounded by the
+    # number of partitions in the batch, i.e. by its date range).
+    per_part = (
+        new.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy(partition_col)
+        .agg(F.max("_n").alias("_n"))
+        .collect()
+    )
+    if check_unique and any(r["_n"] > 1 for r in per_part):
         assert_unique(new, keys)
-    # Distinct partition values of the batch: bounded by the run's date range.
-    touched = [r[0] for r in new.select(partition_col).distinct().collect()]
+    touched = [r[partition_col] for r in per_part]
     if not touched:
         return []
     old = _read_target(spark, path, new.schema)

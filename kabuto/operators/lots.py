@@ -90,12 +90,13 @@ def open_lots(
         .select(*keys, date_col, "_before", "_sold")
     )
 
-    # Step 3: running sum inside each surviving key-day (NULL-safe on the key columns).
-    b, d = buys.alias("b"), days.alias("d")
-    cond = [F.col(f"b.{k}").eqNullSafe(F.col(f"d.{k}")) for k in keys] + [F.col(f"b.{date_col}") == F.col(f"d.{date_col}")]
-    lots = b.join(d, cond, "inner").select("b.*", "d._before", "d._sold")
+    # Step 3: running sum inside each surviving key-day. The key columns travel as one struct
+    # (struct equality matches NULL fields), so the join and the window hash on the same
+    # columns and the buys are shuffled once.
+    k = F.struct(*[F.col(c) for c in keys]).alias("_k")
+    lots = buys.select("*", k).join(days.select(k, date_col, "_before", "_sold"), ["_k", date_col], "inner")
     within = (
-        Window.partitionBy(*keys, date_col)
+        Window.partitionBy("_k", date_col)
         .orderBy(*[f"_tb{i}" for i in range(len(tie_break))])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )

@@ -18,6 +18,7 @@ from kabuto.operators import checks as Q
 from kabuto.operators.ledger import net_units
 from kabuto.operators.upsert import read_table, table_missing, upsert_partitions
 from kabuto.plans import marts, staging, warehouse
+from kabuto.sources.descriptions import describe
 from kabuto.sources.schemas import ASSET_TYPES, RunDates
 
 # Published tables: upsert key and partition column.
@@ -40,6 +41,7 @@ def publish(spark: SparkSession, df: DataFrame, root: str, name: str, replace_pa
     """Upsert ``df`` into table ``name`` under ``root`` and return the published table."""
     keys, part = TABLES[name]
     path = f"{root.rstrip('/')}/{name}"
+    df = describe(df)
     replace = replace_partition or name in REPLACED
     written = upsert_partitions(spark, df, path, keys, part, replace_partition=replace, check_unique=not replace)
     if not written and table_missing(spark, path, df.schema):

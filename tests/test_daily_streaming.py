@@ -27,6 +27,7 @@ def test_two_daily_runs_publish_and_match_the_mart_query(spark):
     pv = out["dm_daily_position_value"].filter(F.col("partition_date") == D("2024-01-28"))
     q = E.queries()["position_value"](spark, SF)
     assert digest([tuple(r) for r in pv.collect()], pv.columns) == digest([tuple(r) for r in q.collect()], q.columns)
+    assert out["dwh_daily_position"].schema["avg_buy_price"].metadata.get("comment")
     checks = {(r["table_name"], r["check_name"], r["column_name"]): r["failures"] for r in out["checks"].collect()}
     assert checks[("dwh_daily_position", "expression_is_true", "position")] == 0
     assert ("dwh_daily_position", "matches_net", "position") in checks

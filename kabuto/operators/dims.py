@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 # joined by shuffle (and AQE may still broadcast it if its real size turns out small).
 BROADCAST_MAX_ROWS = 1_000_000
 
+_DECIDED: "weakref.WeakKeyDictionary[DataFrame, tuple[int, DataFrame]]" = weakref.WeakKeyDictionary()
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``F.broadcast(df)`` only after proving ``df`` has at most ``max_rows`` rows.
@@ -18,12 +21,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     The check reads at most ``max_rows + 1`` rows (a LIMIT job). Beyond the bound the frame is
     returned unhinted so the planner picks a shuffle join.
     """
-    done = getattr(df, "_kabuto_bounded", None)
+    done = _DECIDED.get(df)
     if done is not None and done[0] == max_rows:
         return done[1]
     n = df.limit(max_rows + 1).count()
     out = F.broadcast(df) if n <= max_rows else df
-    df._kabuto_bounded = (max_rows, out)  # the decision is made once per DataFrame object
+    _DECIDED[df] = (max_rows, out)  # decided once per DataFrame object
     return out
 
 

@@ -83,7 +83,12 @@ def gap_filled_series(
     flag = F.col(weekend_flag)
     vals = vals.withColumn("_first", F.row_number().over(Window.partitionBy(*keys).orderBy(date_col)) == 1)
     nulls = [F.lit(None).cast(values.schema[c].dataType).alias(c) for c in value_cols]
-    own = F.array(F.struct(F.col(date_col).alias("_d"), F.lit(False).alias("_g"), *[F.col(c) for c in value_cols]))
+    # An equality join never matches NULL keys: such a series keeps its calendar, values NULL.
+    keyed = F.lit(True)
+    for k in keys:
+        keyed = keyed & F.col(k).isNotNull()
+    own_vals = [F.when(keyed, F.col(c)).alias(c) for c in value_cols]
+    own = F.array(F.struct(F.col(date_col).alias("_d"), F.lit(False).alias("_g"), *own_vals))
     days = F.filter(F.sequence(as_date(start), as_date(end), F.expr("INTERVAL 1 DAY")), lambda d: _on_calendar(d, flag))
     calendar = F.transform(days, lambda d: F.struct(d.alias("_d"), F.lit(True).alias("_g"), *nulls))
     rows = vals.select(*keys, F.explode(F.when(F.col("_first"), F.concat(own, calendar)).otherwise(own)).alias("_r")).select(*keys, "_r.*")

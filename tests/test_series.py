@@ -109,3 +109,16 @@ def test_price_history_trims_after_filling(spark):
     out = warehouse.price_history(stg, _flags(spark, [("D", True)]), RunDates(D("2024-01-10"), D("2024-01-09"), D("2024-01-01")))
     got = rows(out, "base_date", "price")
     assert got == [(D("2024-01-09"), 2.0), (D("2024-01-10"), 2.0)]
+
+
+def test_null_series_key_keeps_calendar_without_values(spark):
+    vals = spark.createDataFrame(
+        [(D("2024-01-01"), "D", None, 3.0), (D("2024-01-01"), "D", "close", 4.0)], "base_date date, ticker string, ohlc_type string, price double"
+    )
+    out = gap_filled_series(vals, _flags(spark, [("D", True)]), ["ticker", "ohlc_type"], ["price"], D("2024-01-01"), D("2024-01-02"), 14)
+    assert rows(out, "ohlc_type", "base_date", "price") == [
+        (None, D("2024-01-01"), None),
+        (None, D("2024-01-02"), None),
+        ("close", D("2024-01-01"), 4.0),
+        ("close", D("2024-01-02"), 4.0),
+    ]

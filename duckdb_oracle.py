@@ -448,6 +448,7 @@ FROM stg_price_data""",
         "open_lots": _with(POS) + "\nSELECT * FROM positions_asof",
         "open_lots_cutoff": _with(POS_CUT) + "\nSELECT * FROM positions_cut",
         "open_lots_units": _with(POS) + "\nSELECT * FROM positions_asof",
+        "open_lots_range": _with(POS) + "\nSELECT * FROM positions_asof",
         "position_value": _with(PH_BF, POS, VALUED)
         + f"""
 SELECT account, ticker, asset_type, asset_name, position, avg_buy_price, close_price,

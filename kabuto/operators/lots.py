@@ -56,11 +56,21 @@ def open_lots(
     instrument: str = "ticker",
     exclude: Sequence[str] = ("cash",),
     partition_col: str = "partition_date",
+    split: str = "day",
+    range_partitions: int | None = None,
 ) -> DataFrame:
     """Open long position per key at ``as_of``: (keys..., position, avg_buy_price, partition_date).
 
     FIFO order within a key is ``date_col`` then ``tie_break`` (give a total order).
+
+    ``split="day"`` (default) spreads a key over its trading days: one shuffle of the buys, and
+    the largest unit of work is one (key, day). ``split="range"`` range-partitions the buys on
+    the FIFO order instead, so even a single (key, day) holding a third of all trades is cut
+    into equal pieces (a sampling pass, one more shuffle, and an eager checkpoint of the buys
+    that pins the range assignment).
     """
+    if split == "range":
+        return _open_lots_ranged(trades, as_of, list(keys), date_col, list(tie_break), qty, price, side, buy, sell, instrument, exclude, partition_col, range_partitions)
     keys = list(keys)
     t = _eligible(trades, as_of, date_col, instrument, exclude)
     buys = (
@@ -106,6 +116,38 @@ def open_lots(
     return _summarise(lots, keys, "_open", "_px", as_of, partition_col)
 
 
+def _open_lots_ranged(trades, as_of, keys, date_col, tie_break, qty, price, side, buy, sell, instrument, exclude, partition_col, parts):
+    """Three-level prefix sum over range partitions of the FIFO order (see ``open_lots``)."""
+    t = _eligible(trades, as_of, date_col, instrument, exclude)
+    tb = [f"_tb{i}" for i in range(len(tie_break))]
+    buys = (
+        t.filter(F.col(side) == buy)
+        .select(*keys, date_col, *[F.col(c).alias(n) for c, n in zip(tie_break, tb)], F.col(price).alias("_px"), _units(qty).alias("_q"))
+        .filter(F.col("_q") > 0)
+    )
+    parts = parts or int(trades.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Contiguous, balanced ranges of the global FIFO order; a key may span many partitions.
+    # The range id is pinned by a reliable checkpoint: the piece totals and the lots below must
+    # see the same assignment, and a recomputed range shuffle may sample other boundaries.
+    ranged = buys.repartitionByRange(parts, *keys, date_col, *tb).withColumn("_p", F.spark_partition_id()).checkpoint(eager=True)
+    sold = t.filter(F.col(side) == sell).groupBy(*keys).agg(F.sum(_units(qty)).alias("_sold"))
+    # Per (range partition, key): units in the piece and units in earlier pieces of the key.
+    pieces = ranged.groupBy("_p", *keys).agg(F.sum("_q").alias("_pq"))
+    prior = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = (
+        pieces.withColumn("_before", F.coalesce(F.sum("_pq").over(prior), F.lit(0)))
+        .join(sold, keys, "left")  # NULL keys never match: their buys stay open
+        .withColumn("_sold", F.coalesce("_sold", F.lit(0)))
+        .filter(F.col("_before") + F.col("_pq") > F.col("_sold"))
+    )
+    k = F.struct(*[F.col(c) for c in keys]).alias("_k")
+    lots = ranged.select("*", k).join(pieces.select(k, "_p", "_before", "_sold"), ["_k", "_p"], "inner")
+    within = Window.partitionBy("_k", "_p").orderBy(date_col, *tb).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lots = lots.withColumn("_end", F.col("_before") + F.sum("_q").over(within))
+    lots = lots.withColumn("_open", F.least(F.col("_q"), F.col("_end") - F.col("_sold"))).filter(F.col("_open") > 0)
+    return _summarise(lots, keys, "_open", "_px", as_of, partition_col)
+
+
 def _summarise(lots: DataFrame, keys: list[str], units: str, px: str, as_of, partition_col: str) -> DataFrame:
     priced = F.when(F.col(px).isNotNull(), F.col(units))
     return lots.groupBy(*keys).agg(

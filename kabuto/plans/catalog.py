@@ -168,6 +168,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "trades_with_cash": lambda i: warehouse.trade_history_with_cash(i.trades),
     "open_lots": lambda i: i.positions(X.POSITION_AS_OF),
     "open_lots_cutoff": lambda i: i.positions(X.POSITION_CUTOFF),
+    "open_lots_range": lambda i: warehouse.daily_position(i.trades, X.POSITION_AS_OF, split="range"),
     "open_lots_units": lambda i: warehouse.daily_position_units(i.trades, X.POSITION_AS_OF),
     "position_value": lambda i: marts.position_value(i.positions(), i.tickers, i.close(), X.POSITION_AS_OF),
     "aum": lambda i: marts.aum(warehouse.trade_history_with_cash(i.trades), i.positions(), i.tickers, i.close(), X.POSITION_AS_OF),

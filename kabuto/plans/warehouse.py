@@ -90,9 +90,9 @@ def close_price_history(prices: DataFrame) -> DataFrame:
     return prices.filter(F.col("ohlc_type") == CLOSE).select(*PRICE_HISTORY_COLUMNS)
 
 
-def daily_position(stg_trades: DataFrame, as_of: dt.date) -> DataFrame:
+def daily_position(stg_trades: DataFrame, as_of: dt.date, split: str = "day") -> DataFrame:
     """Open FIFO position and average buy price per (account, ticker) at ``as_of``."""
-    return open_lots(stg_trades, as_of, tie_break=TRADE_TIE_BREAK)
+    return open_lots(stg_trades, as_of, tie_break=TRADE_TIE_BREAK, split=split)
 
 
 def daily_position_units(stg_trades: DataFrame, as_of: dt.date) -> DataFrame:

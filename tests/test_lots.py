@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 
 from hypothesis import given, settings
@@ -18,7 +19,9 @@ def _trades(spark, data):
 def _both(spark, data, as_of=AS_OF):
     t = _trades(spark, data)
     fast = rows(open_lots(t, as_of, tie_break=TRADE_TIE_BREAK))
+    ranged = rows(open_lots(t, as_of, tie_break=TRADE_TIE_BREAK, split="range", range_partitions=3))
     slow = rows(open_lots_units(t, as_of, tie_break=TRADE_TIE_BREAK))
+    assert ranged == fast
     return fast, slow
 
 
@@ -87,9 +90,18 @@ trade = st.tuples(
 def test_cumulative_equals_unit_expansion(spark, trades):
     base = D("2024-01-01")
     data = [
-        (base + __import__("datetime").timedelta(days=d), tk, side, acct, q, px, f"m{i:03d}")
+        (base + dt.timedelta(days=d), tk, side, acct, q, px, f"m{i:03d}")
         for i, (d, tk, side, acct, q, px) in enumerate(trades)
     ]
     random.shuffle(data)
     fast, slow = _both(spark, data, D("2024-01-15"))
     assert fast == slow
+
+
+def test_range_split_on_one_hot_key_day(spark):
+    day = D("2024-01-02")
+    data = [(day, "X", "buy", "A", 1 + i % 3, float(10 + i), f"m{i:04d}") for i in range(300)]
+    data += [(day, "X", "sell", "A", 250, 0.0, "s")]
+    t = _trades(spark, data)
+    ranged = rows(open_lots(t, AS_OF, tie_break=TRADE_TIE_BREAK, split="range", range_partitions=16))
+    assert ranged == rows(open_lots_units(t, AS_OF, tie_break=TRADE_TIE_BREAK))

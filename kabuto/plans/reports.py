@@ -22,31 +22,36 @@ def price_check_history(stg_prices: DataFrame) -> DataFrame:
     the Friday before (price and fetch time each fall back separately); days with neither are
     left out.
 
-    Instead of densifying every key over the whole calendar and discarding empty days, the only
-    days that can carry a price are generated: each priced day, plus Saturday and Sunday after a
-    Friday. The result is the same set of rows.
+    Instead of densifying every key over the whole calendar, joining it twice and discarding
+    empty days, each latest row emits its own day and, for a Friday, a fallback entry for the
+    Saturday and Sunday after it; one aggregate per (ticker, ohlc_type, day) then picks own value
+    first. Same rows, no join.
     """
     lo, hi = CHECK_CALENDAR
     latest = latest_prices(stg_prices).select("base_date", "ticker", "ohlc_type", "price", "fetch_time_jst")
     d = F.col("base_date")
-    spans = F.when(F.dayofweek(d) == FRIDAY, F.array(d, F.date_add(d, 1), F.date_add(d, 2))).otherwise(F.array(d))
-    days = (
-        latest.select("ticker", "ohlc_type", F.explode(spans).alias("base_date"))
-        .filter(F.col("base_date").between(F.lit(lo), F.lit(hi)))
-        .distinct()
-        .withColumn("_fallback", prev_weekday("base_date"))
+    val = F.struct(F.col("price").alias("p"), F.col("fetch_time_jst").alias("t"))
+
+    def entry(day, own: bool):
+        return F.struct(day.alias("day"), F.lit(own).alias("own"), val.alias("v"))
+
+    entries = F.when(
+        F.dayofweek(d) == FRIDAY, F.array(entry(d, True), entry(F.date_add(d, 1), False), entry(F.date_add(d, 2), False))
+    ).otherwise(F.array(entry(d, True)))
+    rows = (
+        latest.select("ticker", "ohlc_type", F.explode(entries).alias("e"))
+        .select("ticker", "ohlc_type", "e.*")
+        .filter(F.col("day").between(F.lit(lo), F.lit(hi)))
     )
-    own = latest.alias("own")
-    fri = latest.select(
-        F.col("base_date").alias("_fallback"), "ticker", "ohlc_type", F.col("price").alias("_fp"), F.col("fetch_time_jst").alias("_ft")
+    picked = rows.groupBy("ticker", "ohlc_type", "day").agg(
+        F.max(F.when(F.col("own"), F.col("v"))).alias("_own"), F.max(F.when(~F.col("own"), F.col("v"))).alias("_fri")
     )
-    j = days.join(own, ["base_date", "ticker", "ohlc_type"], "left").join(fri, ["_fallback", "ticker", "ohlc_type"], "left")
-    return j.select(
-        "base_date",
+    return picked.select(
+        F.col("day").alias("base_date"),
         "ticker",
         "ohlc_type",
-        F.coalesce("price", "_fp").alias("price"),
-        F.coalesce("fetch_time_jst", "_ft").alias("fetch_time_jst"),
+        F.coalesce("_own.p", "_fri.p").alias("price"),
+        F.coalesce("_own.t", "_fri.t").alias("fetch_time_jst"),
     ).filter(F.col("price").isNotNull())
 
 

@@ -3,7 +3,7 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Each query is fully materialised with the ``noop`` sink (all columns computed, nothing kept),
-run ``BENCH_REPEAT`` times (default 2: a cold and a warm run); the best time is reported and
+run ``BENCH_REPEAT`` times (default 3: one cold, two warm); the best time is reported and
 the cold time is kept under ``cold``.
 """
 
@@ -33,7 +33,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     from kabuto.plans.catalog import queries
     from kabuto.session import local_session
 

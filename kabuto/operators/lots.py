@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kabuto.functions.columns import as_date, money
+from kabuto.session import ensure_checkpoint_dir
 
 
 def _units(qty: str) -> Column:
@@ -125,7 +126,9 @@ def _open_lots_ranged(trades, as_of, keys, date_col, tie_break, qty, price, side
         .select(*keys, date_col, *[F.col(c).alias(n) for c, n in zip(tie_break, tb)], F.col(price).alias("_px"), _units(qty).alias("_q"))
         .filter(F.col("_q") > 0)
     )
-    parts = parts or int(trades.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = trades.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(spark)
     # Contiguous, balanced ranges of the global FIFO order; a key may span many partitions.
     # The range id is pinned by a reliable checkpoint: the piece totals and the lots below must
     # see the same assignment, and a recomputed range shuffle may sample other boundaries.

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -43,15 +44,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory; create a scratch one only when none is set.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is. Only a local
-    session without the setting (tests) gets a fresh folder under the system temp directory.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is (a cluster
+    session without it is an error). Only a local session without the setting (tests) gets a
+    fresh folder under the system temp directory.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="kabuto-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (lineage cuts are written there)")
+        current = tempfile.mkdtemp(prefix="kabuto-ckpt-")  # local sessions (tests) only
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
@@ -61,6 +65,4 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder for tables a job writes and reads back."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    import uuid
-
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"

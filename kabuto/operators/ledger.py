@@ -88,3 +88,37 @@ def net_units(
     t = trades.filter((F.col(date_col) <= as_date(as_of)) & (F.col(instrument) != exclude))
     signed = F.when(F.col(side) == "buy", F.col(qty)).otherwise(F.lit(-1) * F.col(qty))
     return t.groupBy(*keys).agg(F.sum(signed).alias(out))
+
+
+def cash_balance(
+    trades: DataFrame,
+    as_of: dt.date,
+    keys: Sequence[str] = ("account",),
+    date_col: str = "trade_date",
+    side: str = "trade_type",
+    instrument: str = "ticker",
+    cash: str = "cash",
+    out: str = "balance",
+) -> DataFrame:
+    """Cash balance per account up to ``as_of`` of the ledger ``mirror_cash(trades)``, in one
+    pass over ``trades`` (no union of the trades with their cash legs).
+
+    A cash trade counts with its own sign (buy adds, anything else subtracts). Every other trade
+    contributes its cash leg: the opposite side (a buy becomes a sell, anything else a buy) for
+    price x quantity, i.e. a buy subtracts and anything else adds. Rows with a NULL ticker have
+    no cash leg (``ticker != cash`` is not true for them), as in the mirrored ledger.
+    """
+    t = trades.filter(F.col(date_col) <= as_date(as_of))
+    is_buy = F.col(side) == "buy"
+    amt = amount()
+    own = F.when(is_buy, amt).otherwise(F.lit(-1) * amt)
+    leg = F.when(is_buy, F.lit(-1) * amt).otherwise(amt)
+    delta = F.when(F.col(instrument) == cash, own).when(F.col(instrument) != cash, leg)
+    has_cash = (F.col(instrument) == cash) | (F.col(instrument) != cash)
+    return (
+        t.filter(has_cash)
+        .groupBy(*keys)
+        .agg(money_sum(delta).alias(out))
+        .withColumn(instrument, F.lit(cash))
+        .select(*keys, instrument, out)
+    )

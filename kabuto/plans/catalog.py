@@ -136,7 +136,7 @@ def quality_checks(i: Inputs) -> DataFrame:
             "dwh_daily_position",
         ),
         Q.run_checks(
-            marts.aum(warehouse.trade_history_with_cash(i.trades), pos, i.tickers, i.close(), X.POSITION_AS_OF),
+            marts.aum(i.trades, pos, i.tickers, i.close(), X.POSITION_AS_OF),
             [nn("asset_type"), Q.expression_is_true("position", ">= 0"), Q.expression_is_true("value_price", ">= 0"), Q.expression_is_true("current_value", ">= 0")],
             "dm_daily_aum",
         ),
@@ -171,7 +171,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "open_lots_range": lambda i: warehouse.daily_position(i.trades, X.POSITION_AS_OF, split="range"),
     "open_lots_units": lambda i: warehouse.daily_position_units(i.trades, X.POSITION_AS_OF),
     "position_value": lambda i: marts.position_value(i.positions(), i.tickers, i.close(), X.POSITION_AS_OF),
-    "aum": lambda i: marts.aum(warehouse.trade_history_with_cash(i.trades), i.positions(), i.tickers, i.close(), X.POSITION_AS_OF),
+    "aum": lambda i: marts.aum(i.trades, i.positions(), i.tickers, i.close(), X.POSITION_AS_OF),
     "all_term_pl": lambda i: marts.all_term_pl(i.trades, i.positions(), i.tickers, i.close(), X.POSITION_AS_OF),
     "daily_summary": lambda i: marts.daily_summary(i.raw("dim_summary_ticker_list"), i.tickers, i.price_history(), X.POSITION_AS_OF),
     "daily_summary_report": lambda i: reports.daily_summary_report(i.raw("dim_summary_ticker_list"), i.tickers, i.price_history(), X.POSITION_AS_OF),

@@ -71,8 +71,7 @@ def run_daily(
     positions = publish(spark, warehouse.daily_position(trades, as_of), root, "dwh_daily_position", replace_positions)
     out["dwh_price_history"], out["dwh_daily_position"] = prices, positions
 
-    with_cash = warehouse.trade_history_with_cash(trades)
-    out["dm_daily_aum"] = publish(spark, marts.aum(with_cash, positions, tickers, close, as_of), root, "dm_daily_aum")
+    out["dm_daily_aum"] = publish(spark, marts.aum(trades, positions, tickers, close, as_of), root, "dm_daily_aum")
     out["dm_daily_position_value"] = publish(spark, marts.position_value(positions, tickers, close, as_of), root, "dm_daily_position_value")
     out["dm_daily_all_term_pl"] = publish(spark, marts.all_term_pl(trades, positions, tickers, close, as_of), root, "dm_daily_all_term_pl")
     out["dm_daily_summary"] = publish(spark, marts.daily_summary(raw["dim_summary_ticker_list"], tickers, prices, as_of), root, "dm_daily_summary")

@@ -10,10 +10,9 @@ from pyspark.sql import types as T
 
 from kabuto.functions.columns import as_date, is_weekend, prev_weekday, safe_divide, valuation_date
 from kabuto.operators.dims import bounded_broadcast, enrich
-from kabuto.operators.ledger import signed_balance, trade_totals
+from kabuto.operators.ledger import cash_balance, trade_totals
 from kabuto.operators.period import period_highs
 from kabuto.operators.series import close_on_valuation_date
-from kabuto.sources.schemas import CASH_TICKER
 
 # Look-back of the close prices each mart reads (days before as-of).
 VALUATION_LOOKBACK = 6
@@ -58,10 +57,14 @@ def position_value(positions: DataFrame, ticker_info: DataFrame, close: DataFram
 AUM_COLUMNS = ["account", "ticker", "asset_type", "asset_name", "position", "value_price", "current_value", "partition_date"]
 
 
-def aum(trades_with_cash: DataFrame, positions: DataFrame, ticker_info: DataFrame, close: DataFrame, as_of: dt.date) -> DataFrame:
-    """Assets under management: cash balance rows plus each open position at its close."""
+def aum(trades: DataFrame, positions: DataFrame, ticker_info: DataFrame, close: DataFrame, as_of: dt.date) -> DataFrame:
+    """Assets under management: cash balance rows plus each open position at its close.
+
+    ``trades`` are the staged trades; the cash balance is that of the mirrored cash ledger
+    (``trade_history_with_cash``), computed in one pass without building the ledger.
+    """
     d = as_date(as_of)
-    cash = signed_balance(trades_with_cash, as_of, only=CASH_TICKER, out="current_value").select(
+    cash = cash_balance(trades, as_of, out="current_value").select(
         "account",
         "ticker",
         F.lit("cash").alias("asset_type"),

@@ -67,12 +67,22 @@ def test_aum_cash_and_positions(spark):
             (T, D("2024-01-02"), "cash", "buy", "A", 1, 1000.0, "1"),
             (T, D("2024-01-02"), "cash", "sell", "A", 1, 300.0, "2"),
             (T, D("2024-01-02"), "cash", None, "A", 1, 1.0, "3"),  # anything but buy subtracts
+            (T, D("2024-01-03"), "W", "buy", "A", 2, 50.0, "4"),  # cash leg: sell 100
+            (T, D("2024-01-04"), "W", "sell", "A", 1, 80.0, "5"),  # cash leg: buy 80
+            (T, D("2024-01-04"), "W", None, "A", 1, 5.0, "6"),  # NULL side mirrors to a buy
+            (T, D("2024-01-04"), None, "buy", "A", 1, 7.0, "7"),  # NULL ticker: no cash leg
+            (T, D("2024-02-04"), "cash", "buy", "A", 1, 9.0, "8"),  # after the as-of date
         ],
         TRADES,
-    ).selectExpr("event_time_jst", "trade_date", "ticker", "trade_type", "account", "cast(order_count as double) order_count", "price", "memo")
+    )
     pos = spark.createDataFrame([("A", "W", 3, 100.0, SUNDAY)], POS)
     got = rows(marts.aum(trades, pos, _dim(spark), _close(spark), SUNDAY), "ticker", "position", "value_price", "current_value")
-    assert got == [("W", 3.0, 110.0, 330.0), ("cash", 699.0, 1.0, 699.0)]
+    assert got == [("W", 3.0, 110.0, 330.0), ("cash", 684.0, 1.0, 684.0)]
+    # Same balance as the mirrored cash ledger summed the way the original does.
+    from kabuto.operators.ledger import mirror_cash, signed_balance
+
+    ledger = signed_balance(mirror_cash(trades), SUNDAY, only="cash", out="b").select("b").first()[0]
+    assert ledger == 684.0
 
 
 def test_summary_dates_null_flag_and_weekend_prev(spark):

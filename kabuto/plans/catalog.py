@@ -29,31 +29,36 @@ REPORT_FROM = dt.date(2024, 1, 21)  # "7 days ago" of the report runs
 
 
 class Inputs:
-    """Staged inputs for one test-data directory (lazy DataFrames, built once per query)."""
+    """Staged inputs for one test-data directory. Each frame is built once per query, so a query
+    that needs the trades twice plans the same subtree twice (Spark can reuse its exchanges) and
+    the Parquet footers are read once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return X.FIXTURES[name](self.spark, self.sf_dir)
+        if name not in self._raw:
+            self._raw[name] = X.FIXTURES[name](self.spark, self.sf_dir)
+        return self._raw[name]
 
-    @property
+    @cached_property
     def prices(self) -> DataFrame:
         return staging.stg_price_data(self.raw("raw_price_data"))
 
-    @property
+    @cached_property
     def price_rows(self) -> DataFrame:
         return staging.price_rows(self.raw("raw_price_data"))
 
-    @property
+    @cached_property
     def trades(self) -> DataFrame:
         return staging.stg_trade_history(self.raw("raw_trade_history"))
 
-    @property
+    @cached_property
     def status(self) -> DataFrame:
         return staging.stg_asset_status_history(self.raw("raw_asset_status_history"))
 
-    @property
+    @cached_property
     def entries(self) -> DataFrame:
         return staging.stg_entry_point(self.raw("raw_entry_point"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kabuto.functions.columns import as_date, money_sum
+from kabuto.functions.columns import MONEY, as_date, money, money_sum
 
 
 def mirror_cash(
@@ -122,3 +122,65 @@ def cash_balance(
         .withColumn(instrument, F.lit(cash))
         .select(*keys, instrument, out)
     )
+
+
+def trade_flows(
+    trades: DataFrame,
+    as_of: dt.date,
+    keys: Sequence[str] = ("account", "ticker"),
+    date_col: str = "trade_date",
+    side: str = "trade_type",
+    qty: str = "order_count",
+    instrument: str = "ticker",
+    cash: str = "cash",
+) -> DataFrame:
+    """Everything the daily marts need from the trade history, per (keys, day), in one scan:
+
+      _buy_units / _sell_units  unit runs bought / sold (FIFO day table of ``open_lots``)
+      _buy_amount / _sell_amount  price x quantity of buys / sells (exact DECIMAL)
+      _net_qty                  bought minus sold quantity (any non-buy side subtracts)
+      _cash_delta               effect on the mirrored cash ledger (exact DECIMAL)
+
+    Rows are one per key and trading day, so the table is small next to the trades; the key
+    level results below sum it again (DECIMAL sums stay exact, so the totals are identical).
+    """
+    t = trades.filter(F.col(date_col) <= as_date(as_of))
+    is_buy, is_sell = F.col(side) == "buy", F.col(side) == "sell"
+    units = F.greatest(F.coalesce(F.col(qty).cast("long"), F.lit(0)), F.lit(0))
+    amt = amount(qty)
+    own = F.when(is_buy, amt).otherwise(F.lit(-1) * amt)
+    leg = F.when(is_buy, F.lit(-1) * amt).otherwise(amt)
+    return t.groupBy(*keys, date_col).agg(
+        F.sum(F.when(is_buy, units)).alias("_buy_units"),
+        F.sum(F.when(is_sell, units)).alias("_sell_units"),
+        F.sum(money(F.when(is_buy, amt))).alias("_buy_amount"),
+        F.sum(money(F.when(is_sell, amt))).alias("_sell_amount"),
+        F.sum(F.when(is_buy, F.col(qty)).otherwise(F.lit(-1) * F.col(qty))).alias("_net_qty"),
+        F.sum(money(F.when(F.col(instrument) == cash, own).when(F.col(instrument) != cash, leg))).alias("_cash_delta"),
+    )
+
+
+def _money_total(c: str):
+    return F.sum(F.col(c)).cast(MONEY).cast(T.DoubleType())
+
+
+def totals_from_flows(flows: DataFrame, keys: Sequence[str] = ("account", "ticker"), instrument: str = "ticker", cash: str = "cash") -> DataFrame:
+    """``trade_totals`` from a ``trade_flows`` table."""
+    return flows.filter(F.col(instrument) != cash).groupBy(*keys).agg(
+        _money_total("_buy_amount").alias("total_buy_amount"), _money_total("_sell_amount").alias("sell_amount_already")
+    )
+
+
+def net_from_flows(flows: DataFrame, keys: Sequence[str] = ("account", "ticker"), instrument: str = "ticker", cash: str = "cash") -> DataFrame:
+    """``net_units`` from a ``trade_flows`` table."""
+    return flows.filter(F.col(instrument) != cash).groupBy(*keys).agg(F.sum("_net_qty").alias("net_position"))
+
+
+def cash_from_flows(flows: DataFrame, account: str = "account", instrument: str = "ticker", cash: str = "cash", out: str = "balance") -> DataFrame:
+    """``cash_balance`` from a ``trade_flows`` table (rows with a NULL ticker have no cash leg)."""
+    return (
+        flows.filter(F.col(instrument).isNotNull())
+        .groupBy(account)
+        .agg(_money_total("_cash_delta").alias(out))
+        .select(account, F.lit(cash).alias(instrument), out)
+    )

@@ -59,6 +59,7 @@ def open_lots(
     partition_col: str = "partition_date",
     split: str = "day",
     range_partitions: int | None = None,
+    flows: DataFrame | None = None,
 ) -> DataFrame:
     """Open long position per key at ``as_of``: (keys..., position, avg_buy_price, partition_date).
 
@@ -69,6 +70,9 @@ def open_lots(
     the FIFO order instead, so even a single (key, day) holding a third of all trades is cut
     into equal pieces (a sampling pass, one more shuffle, and an eager checkpoint of the buys
     that pins the range assignment).
+
+    ``flows`` may pass a precomputed ``ledger.trade_flows`` table for the same ``as_of``; its
+    unit columns then serve as the day table and the trades are scanned once more for the lots.
     """
     if split == "range":
         return _open_lots_ranged(trades, as_of, list(keys), date_col, list(tie_break), qty, price, side, buy, sell, instrument, exclude, partition_col, range_partitions)
@@ -83,10 +87,16 @@ def open_lots(
     # Steps 1-2 from one scan: units bought and sold per key-day, then per key the units bought
     # on earlier days and all units sold. Sells never match a NULL key (its buys stay open),
     # as in an equality join of unit numbers.
-    flows = t.groupBy(*keys, date_col).agg(
-        F.sum(F.when(F.col(side) == buy, _units(qty))).alias("_dq"),
-        F.sum(F.when(F.col(side) == sell, _units(qty))).alias("_ds"),
-    )
+    if flows is None:
+        flows = t.groupBy(*keys, date_col).agg(
+            F.sum(F.when(F.col(side) == buy, _units(qty))).alias("_dq"),
+            F.sum(F.when(F.col(side) == sell, _units(qty))).alias("_ds"),
+        )
+    else:
+        kept = F.lit(True)
+        for x in exclude:
+            kept = kept & (F.col(instrument) != F.lit(x))
+        flows = flows.filter(kept).select(*keys, date_col, F.col("_buy_units").alias("_dq"), F.col("_sell_units").alias("_ds"))
     per_key = Window.partitionBy(*keys)
     before = per_key.orderBy(date_col).rowsBetween(Window.unboundedPreceding, -1)
     keyed = F.lit(True)

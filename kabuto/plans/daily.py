@@ -1,7 +1,9 @@
 """The daily job: build every model for one run and publish the incremental tables.
 
 Order follows the model dependencies: staging views -> price history (published) -> positions
-(published) -> marts (published, reading the published warehouse tables) -> checks. Each
+(published) -> marts (published, reading the published warehouse tables) -> checks. The trade
+history, the largest input, is read twice per run (per-day flows shared by every aggregate,
+and the open lots). Each
 published table is a date-partitioned Parquet table under ``root`` updated with the keyed
 partition upsert, so a re-run of the same dates is idempotent and a backfill is the same call
 with wide run dates.
@@ -15,9 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kabuto.operators import checks as Q
-from kabuto.operators.ledger import net_units
+from kabuto.operators.ledger import cash_from_flows, net_from_flows, totals_from_flows, trade_flows
+from kabuto.operators.lots import open_lots
 from kabuto.operators.upsert import read_table, table_missing, upsert_partitions
 from kabuto.plans import marts, staging, warehouse
+from kabuto.session import ensure_checkpoint_dir
 from kabuto.sources.descriptions import describe
 from kabuto.sources.schemas import ASSET_TYPES, RunDates
 
@@ -68,23 +72,32 @@ def run_daily(
     out: dict[str, DataFrame] = {}
     prices = publish(spark, warehouse.price_history(staging.price_rows(raw["raw_price_data"]), tickers, dates), root, "dwh_price_history")
     close = warehouse.close_price_history(prices)
-    positions = publish(spark, warehouse.daily_position(trades, as_of), root, "dwh_daily_position", replace_positions)
+    # The trade history is scanned twice: once into per-(account, ticker, day) flows that every
+    # aggregate consumer shares (checkpointed, so computed once), once for the open lots.
+    ensure_checkpoint_dir(spark)
+    flows = trade_flows(trades, as_of).checkpoint(eager=True)
+    lots = open_lots(trades, as_of, tie_break=warehouse.TRADE_TIE_BREAK, flows=flows)
+    positions = publish(spark, lots, root, "dwh_daily_position", replace_positions)
     out["dwh_price_history"], out["dwh_daily_position"] = prices, positions
 
-    out["dm_daily_aum"] = publish(spark, marts.aum(trades, positions, tickers, close, as_of), root, "dm_daily_aum")
+    cash = cash_from_flows(flows, out="current_value")
+    out["dm_daily_aum"] = publish(spark, marts.aum(trades, positions, tickers, close, as_of, cash=cash), root, "dm_daily_aum")
     out["dm_daily_position_value"] = publish(spark, marts.position_value(positions, tickers, close, as_of), root, "dm_daily_position_value")
-    out["dm_daily_all_term_pl"] = publish(spark, marts.all_term_pl(trades, positions, tickers, close, as_of), root, "dm_daily_all_term_pl")
+    totals = totals_from_flows(flows)
+    out["dm_daily_all_term_pl"] = publish(
+        spark, marts.all_term_pl(trades, positions, tickers, close, as_of, totals=totals), root, "dm_daily_all_term_pl"
+    )
     out["dm_daily_summary"] = publish(spark, marts.daily_summary(raw["dim_summary_ticker_list"], tickers, prices, as_of), root, "dm_daily_summary")
     out["dm_max_price_monitor"] = publish(spark, marts.period_high(raw["dim_max_price"], tickers, close, as_of), root, "dm_max_price_monitor")
     out["dm_watch_entry_point"] = publish(spark, marts.entry_watch(entries, tickers, close, as_of), root, "dm_watch_entry_point")
     out["dwh_asset_master"] = warehouse.asset_master(status, tickers)
 
     if run_checks:
-        out["checks"] = daily_checks(raw, out, trades, dates)
+        out["checks"] = daily_checks(raw, out, net_from_flows(flows), dates)
     return out
 
 
-def daily_checks(raw: Mapping[str, DataFrame], t: Mapping[str, DataFrame], trades: DataFrame, dates: RunDates) -> DataFrame:
+def daily_checks(raw: Mapping[str, DataFrame], t: Mapping[str, DataFrame], net: DataFrame, dates: RunDates) -> DataFrame:
     """The declared column checks of the published tables plus the position reconciliation
     (as a check row counting mismatching keys)."""
     nn, ge0 = Q.not_null, lambda c: Q.expression_is_true(c, ">= 0")
@@ -98,7 +111,7 @@ def daily_checks(raw: Mapping[str, DataFrame], t: Mapping[str, DataFrame], trade
         Q.run_checks(t["dm_daily_position_value"], [nn("close_price"), ge0("position"), ge0("avg_buy_price"), ge0("close_price")], "dm_daily_position_value"),
         Q.run_checks(t["dm_daily_all_term_pl"], [nn("total_buy_amount"), ge0("total_buy_amount")], "dm_daily_all_term_pl"),
     ]
-    mismatches = Q.net_position_mismatches(t["dwh_daily_position"], net_units(trades, d), d)
+    mismatches = Q.net_position_mismatches(t["dwh_daily_position"], net, d)
     parts.append(
         mismatches.agg(F.count(F.lit(1)).cast("long").alias("failures")).select(
             F.lit("dwh_daily_position").alias("table_name"),

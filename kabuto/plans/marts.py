@@ -57,14 +57,19 @@ def position_value(positions: DataFrame, ticker_info: DataFrame, close: DataFram
 AUM_COLUMNS = ["account", "ticker", "asset_type", "asset_name", "position", "value_price", "current_value", "partition_date"]
 
 
-def aum(trades: DataFrame, positions: DataFrame, ticker_info: DataFrame, close: DataFrame, as_of: dt.date) -> DataFrame:
+def aum(
+    trades: DataFrame, positions: DataFrame, ticker_info: DataFrame, close: DataFrame, as_of: dt.date, cash: DataFrame | None = None
+) -> DataFrame:
     """Assets under management: cash balance rows plus each open position at its close.
 
     ``trades`` are the staged trades; the cash balance is that of the mirrored cash ledger
-    (``trade_history_with_cash``), computed in one pass without building the ledger.
+    (``trade_history_with_cash``), computed in one pass without building the ledger, or given
+    as ``cash`` (account, ticker, current_value), e.g. from ``ledger.cash_from_flows``.
     """
     d = as_date(as_of)
-    cash = cash_balance(trades, as_of, out="current_value").select(
+    if cash is None:
+        cash = cash_balance(trades, as_of, out="current_value")
+    cash = cash.select(
         "account",
         "ticker",
         F.lit("cash").alias("asset_type"),
@@ -87,11 +92,14 @@ def aum(trades: DataFrame, positions: DataFrame, ticker_info: DataFrame, close:
     return cash.unionByName(held)
 
 
-def all_term_pl(trades: DataFrame, positions: DataFrame, ticker_info: DataFrame, close: DataFrame, as_of: dt.date) -> DataFrame:
+def all_term_pl(
+    trades: DataFrame, positions: DataFrame, ticker_info: DataFrame, close: DataFrame, as_of: dt.date, totals: DataFrame | None = None
+) -> DataFrame:
     """All-term profit and loss per (account, ticker): realised sells plus the open position
     valued at its close, against everything bought. Attributes come from the open position, so
     closed-out keys carry NULL asset_type/asset_name."""
-    totals = trade_totals(trades, as_of)
+    if totals is None:
+        totals = trade_totals(trades, as_of)
     valued = _valued_positions(positions, ticker_info, close, as_of).select(
         "account", "ticker", "asset_type", "asset_name", (F.col("position") * F.col("close_price")).alias("_close_amount")
     )

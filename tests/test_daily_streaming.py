@@ -28,6 +28,10 @@ def test_two_daily_runs_publish_and_match_the_mart_query(spark):
     q = E.queries()["position_value"](spark, SF)
     assert digest([tuple(r) for r in pv.collect()], pv.columns) == digest([tuple(r) for r in q.collect()], q.columns)
     assert out["dwh_daily_position"].schema["avg_buy_price"].metadata.get("comment")
+    for table, query in [("dm_daily_aum", "aum"), ("dm_daily_all_term_pl", "all_term_pl")]:  # flows path == direct path
+        got = out[table].filter(F.col("partition_date") == D("2024-01-28"))
+        want = E.queries()[query](spark, SF)
+        assert digest([tuple(r) for r in got.collect()], got.columns) == digest([tuple(r) for r in want.collect()], want.columns)
     checks = {(r["table_name"], r["check_name"], r["column_name"]): r["failures"] for r in out["checks"].collect()}
     assert checks[("dwh_daily_position", "expression_is_true", "position")] == 0
     assert ("dwh_daily_position", "matches_net", "position") in checks

@@ -123,3 +123,23 @@ def test_entry_watch_one_row_per_entry(spark):
     )
     got = rows(marts.entry_watch(entries, _dim(spark), _close(spark), SUNDAY), "memo", "is_reached_entry_price", "recent_price")
     assert got == [("a", True, 110.0), ("b", False, 110.0), ("c", None, None)]
+
+
+def test_flow_table_gives_the_direct_totals(spark):
+    from kabuto.operators import ledger as L
+
+    trades = spark.createDataFrame(
+        [
+            (T, D("2024-01-02"), "W", "buy", "A", 2, 10.25, "1"),
+            (T, D("2024-01-02"), "W", "sell", "A", None, 3.0, "2"),  # NULL quantity
+            (T, D("2024-01-03"), "W", None, "A", 1, 4.0, "3"),  # NULL side subtracts from net
+            (T, D("2024-01-03"), "cash", "buy", "A", 1, 100.0, "4"),
+            (T, D("2024-01-03"), None, "buy", "B", 1, 1.0, "5"),  # NULL ticker
+            (T, D("2024-01-04"), "X", "sell", "B", 3, 2.5, "6"),  # sell-only key
+        ],
+        TRADES,
+    )
+    flows = L.trade_flows(trades, SUNDAY)
+    assert rows(L.totals_from_flows(flows)) == rows(L.trade_totals(trades, SUNDAY))
+    assert rows(L.net_from_flows(flows)) == rows(L.net_units(trades, SUNDAY))
+    assert rows(L.cash_from_flows(flows)) == rows(L.cash_balance(trades, SUNDAY))

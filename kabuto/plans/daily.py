@@ -11,7 +11,7 @@ with wide run dates.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +53,14 @@ def publish(spark: SparkSession, df: DataFrame, root: str, name: str, replace_pa
     return read_table(spark, path, df.schema).select(*df.columns)
 
 
+def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
+    path = f"{root.rstrip('/')}/{name}"
+    try:
+        return spark.read.parquet(path)
+    except Exception as e:  # not published yet
+        raise ValueError(f"table {name} is not published under {root}; select it in this run") from e
+
+
 def run_daily(
     spark: SparkSession,
     raw: Mapping[str, DataFrame],
@@ -60,67 +68,101 @@ def run_daily(
     root: str,
     run_checks: bool = True,
     replace_positions: bool = False,
+    select: Iterable[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Run every model for ``dates``; ``raw`` holds the raw feeds and dimensions by table name
-    (see ``kabuto.sources.raw.raw_sources``). Returns the published tables (and ``checks``)."""
+    """Run the models for ``dates``; ``raw`` holds the raw feeds and dimensions by table name
+    (see ``kabuto.sources.raw.raw_sources``). Returns the published tables (and ``checks``).
+
+    ``select`` limits the run to some published tables (default: all); the others a selected
+    mart depends on are read as already published, not rebuilt.
+    """
+    sel = set(select) if select is not None else set(TABLES)
+    if sel - set(TABLES):
+        raise ValueError(f"unknown tables: {sorted(sel - set(TABLES))}")
     as_of = dates.as_of
     tickers = raw["ref_ticker_info"]
     trades = staging.stg_trade_history(raw["raw_trade_history"])
-    status = staging.stg_asset_status_history(raw["raw_asset_status_history"])
-    entries = staging.stg_entry_point(raw["raw_entry_point"])
-
     out: dict[str, DataFrame] = {}
-    prices = publish(spark, warehouse.price_history(staging.price_rows(raw["raw_price_data"]), tickers, dates), root, "dwh_price_history")
-    close = warehouse.close_price_history(prices)
-    # The trade history is scanned twice: once into per-(account, ticker, day) flows that every
-    # aggregate consumer shares (checkpointed, so computed once), once for the open lots.
-    ensure_checkpoint_dir(spark)
-    flows = trade_flows(trades, as_of).checkpoint(eager=True)
-    lots = open_lots(trades, as_of, tie_break=warehouse.TRADE_TIE_BREAK, flows=flows)
-    positions = publish(spark, lots, root, "dwh_daily_position", replace_positions)
-    out["dwh_price_history"], out["dwh_daily_position"] = prices, positions
-
-    cash = cash_from_flows(flows, out="current_value")
-    out["dm_daily_aum"] = publish(spark, marts.aum(trades, positions, tickers, close, as_of, cash=cash), root, "dm_daily_aum")
-    out["dm_daily_position_value"] = publish(spark, marts.position_value(positions, tickers, close, as_of), root, "dm_daily_position_value")
-    totals = totals_from_flows(flows)
-    out["dm_daily_all_term_pl"] = publish(
-        spark, marts.all_term_pl(trades, positions, tickers, close, as_of, totals=totals), root, "dm_daily_all_term_pl"
-    )
-    out["dm_daily_summary"] = publish(spark, marts.daily_summary(raw["dim_summary_ticker_list"], tickers, prices, as_of), root, "dm_daily_summary")
-    out["dm_max_price_monitor"] = publish(spark, marts.period_high(raw["dim_max_price"], tickers, close, as_of), root, "dm_max_price_monitor")
-    out["dm_watch_entry_point"] = publish(spark, marts.entry_watch(entries, tickers, close, as_of), root, "dm_watch_entry_point")
-    out["dwh_asset_master"] = warehouse.asset_master(status, tickers)
+
+    def table(name: str, build, replace: bool = False) -> DataFrame:
+        if name not in out:
+            out[name] = publish(spark, build(), root, name, replace) if name in sel else read_published(spark, root, name)
+        return out[name]
+
+    flow_cache: list[DataFrame] = []
+
+    def flows() -> DataFrame:
+        # The trade history is scanned twice per run: once into per-(account, ticker, day) flows
+        # shared by every aggregate consumer (checkpointed, so computed once), once for the lots.
+        if not flow_cache:
+            ensure_checkpoint_dir(spark)
+            flow_cache.append(trade_flows(trades, as_of).checkpoint(eager=True))
+        return flow_cache[0]
+
+    def prices() -> DataFrame:
+        return table("dwh_price_history", lambda: warehouse.price_history(staging.price_rows(raw["raw_price_data"]), tickers, dates))
+
+    def close() -> DataFrame:
+        return warehouse.close_price_history(prices())
+
+    def positions() -> DataFrame:
+        return table(
+            "dwh_daily_position",
+            lambda: open_lots(trades, as_of, tie_break=warehouse.TRADE_TIE_BREAK, flows=flows()),
+            replace_positions,
+        )
+
+    marts_built = {
+        "dm_daily_aum": lambda: marts.aum(trades, positions(), tickers, close(), as_of, cash=cash_from_flows(flows(), out="current_value")),
+        "dm_daily_position_value": lambda: marts.position_value(positions(), tickers, close(), as_of),
+        "dm_daily_all_term_pl": lambda: marts.all_term_pl(trades, positions(), tickers, close(), as_of, totals=totals_from_flows(flows())),
+        "dm_daily_summary": lambda: marts.daily_summary(raw["dim_summary_ticker_list"], tickers, prices(), as_of),
+        "dm_max_price_monitor": lambda: marts.period_high(raw["dim_max_price"], tickers, close(), as_of),
+        "dm_watch_entry_point": lambda: marts.entry_watch(staging.stg_entry_point(raw["raw_entry_point"]), tickers, close(), as_of),
+    }
+    if "dwh_price_history" in sel:
+        prices()
+    if "dwh_daily_position" in sel:
+        positions()
+    for name, build in marts_built.items():
+        if name in sel:
+            table(name, build)
+    out["dwh_asset_master"] = warehouse.asset_master(staging.stg_asset_status_history(raw["raw_asset_status_history"]), tickers)
 
     if run_checks:
-        out["checks"] = daily_checks(raw, out, net_from_flows(flows), dates)
+        net = net_from_flows(flows()) if "dwh_daily_position" in sel else None
+        out["checks"] = daily_checks(raw, {k: v for k, v in out.items() if k in sel}, net, dates)
     return out
 
 
-def daily_checks(raw: Mapping[str, DataFrame], t: Mapping[str, DataFrame], net: DataFrame, dates: RunDates) -> DataFrame:
-    """The declared column checks of the published tables plus the position reconciliation
-    (as a check row counting mismatching keys)."""
+def daily_checks(raw: Mapping[str, DataFrame], t: Mapping[str, DataFrame], net: DataFrame | None, dates: RunDates) -> DataFrame:
+    """The declared column checks of the given published tables plus, with ``net``, the
+    position reconciliation (as a check row counting mismatching keys)."""
     nn, ge0 = Q.not_null, lambda c: Q.expression_is_true(c, ">= 0")
     d = dates.as_of
+    declared = {
+        "dwh_price_history": [nn(c) for c in ["base_date", "ticker", "ohlc_type", "price", "fetch_time_jst"]],
+        "dwh_daily_position": [nn("account"), nn("ticker"), nn("position"), ge0("position"), nn("avg_buy_price")],
+        "dm_daily_aum": [nn("asset_type"), ge0("position"), ge0("value_price"), ge0("current_value")],
+        "dm_daily_position_value": [nn("close_price"), ge0("position"), ge0("avg_buy_price"), ge0("close_price")],
+        "dm_daily_all_term_pl": [nn("total_buy_amount"), ge0("total_buy_amount")],
+    }
     parts = [
         Q.run_checks(raw["ref_ticker_info"], [nn("ticker"), Q.unique("ticker"), Q.accepted_values("asset_type", ASSET_TYPES), nn("is_active_weekend")], "ref_ticker_info"),
         Q.run_checks(raw["dim_summary_ticker_list"], [nn("ticker"), Q.unique("ticker")], "dim_summary_ticker_list"),
-        Q.run_checks(t["dwh_price_history"], [nn(c) for c in ["base_date", "ticker", "ohlc_type", "price", "fetch_time_jst"]], "dwh_price_history"),
-        Q.run_checks(t["dwh_daily_position"], [nn("account"), nn("ticker"), nn("position"), ge0("position"), nn("avg_buy_price")], "dwh_daily_position"),
-        Q.run_checks(t["dm_daily_aum"], [nn("asset_type"), ge0("position"), ge0("value_price"), ge0("current_value")], "dm_daily_aum"),
-        Q.run_checks(t["dm_daily_position_value"], [nn("close_price"), ge0("position"), ge0("avg_buy_price"), ge0("close_price")], "dm_daily_position_value"),
-        Q.run_checks(t["dm_daily_all_term_pl"], [nn("total_buy_amount"), ge0("total_buy_amount")], "dm_daily_all_term_pl"),
     ]
-    mismatches = Q.net_position_mismatches(t["dwh_daily_position"], net, d)
-    parts.append(
-        mismatches.agg(F.count(F.lit(1)).cast("long").alias("failures")).select(
-            F.lit("dwh_daily_position").alias("table_name"),
-            F.lit("matches_net").alias("check_name"),
-            F.lit("position").alias("column_name"),
-            F.lit("error").alias("severity"),
-            "failures",
+    parts += [Q.run_checks(t[name], checks, name) for name, checks in declared.items() if name in t]
+    if net is not None and "dwh_daily_position" in t:
+        mismatches = Q.net_position_mismatches(t["dwh_daily_position"], net, d)
+        parts.append(
+            mismatches.agg(F.count(F.lit(1)).cast("long").alias("failures")).select(
+                F.lit("dwh_daily_position").alias("table_name"),
+                F.lit("matches_net").alias("check_name"),
+                F.lit("position").alias("column_name"),
+                F.lit("error").alias("severity"),
+                "failures",
+            )
         )
-    )
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

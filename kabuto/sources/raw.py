@@ -31,8 +31,12 @@ def read_seed(spark: SparkSession, path: str, name: str) -> DataFrame:
     )
 
 
+# Declared feed without a consumer: its schema is kept, it is not read by a run.
+UNUSED_FEEDS = {"raw_asset_name_master"}
+
+
 def raw_sources(spark: SparkSession, base_path: str, seed_dir: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """All inputs of a daily run keyed by table name."""
-    out = {n: read_raw(spark, base_path, n, fmt) for n in RAW_TABLES}
+    out = {n: read_raw(spark, base_path, n, fmt) for n in RAW_TABLES if n not in UNUSED_FEEDS}
     out.update({n: read_seed(spark, f"{seed_dir.rstrip('/')}/{n}.csv", n) for n in SEED_TABLES})
     return out

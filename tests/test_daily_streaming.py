@@ -58,3 +58,24 @@ def test_streaming_runs_incremental_model_per_batch(spark):
 
     expect = warehouse.price_history(staging.price_rows(prices), tickers, RunDates(D("2024-01-30"), lo, lo - dt.timedelta(days=27)))
     assert rows(late, *expect.columns) == rows(expect)
+
+
+def test_command_line_run_reads_feeds_and_csv_seeds(spark):
+    from kabuto.__main__ import main
+    from kabuto.sources.schemas import RAW_TABLES, SEED_TABLES
+
+    base = scratch_path(spark, "cli")
+    fx = X.load(spark, SF)
+    for name in RAW_TABLES:
+        if name in fx:
+            fx[name].write.parquet(f"{base}/raw/{name}")
+    for name in SEED_TABLES:
+        fx[name].coalesce(1).write.option("header", True).csv(f"{base}/seeds/{name}.csv")
+    argv = ["--raw", f"{base}/raw", "--seeds", f"{base}/seeds", "--tables", f"{base}/tables", "--run-day", "2024-01-29"]
+    assert main(argv + ["--select", "dwh_price_history,dm_daily_summary", "--no-checks"]) == 0
+    summary = spark.read.parquet(f"{base}/tables/dm_daily_summary")
+    want = E.queries()["daily_summary"](spark, SF)
+    assert summary.count() == want.count()
+    # A later run of one mart reads the price history it does not rebuild.
+    assert main(argv + ["--select", "dm_max_price_monitor"]) == 0
+    assert spark.read.parquet(f"{base}/tables/dm_max_price_monitor").count() > 0

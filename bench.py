@@ -40,13 +40,18 @@ def main() -> None:
     spark = local_session(cpus, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus if cpus != "*" else "8")), app="kabuto-bench")
     qs = queries()
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
-    best, cold = {}, {}
+    best, cold, errors = {}, {}, {}
     for n in names:
         times = []
-        for _ in range(repeat):
-            t = time.perf_counter()
-            qs[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            times.append(time.perf_counter() - t)
+        try:
+            for _ in range(repeat):
+                t = time.perf_counter()
+                qs[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                times.append(time.perf_counter() - t)
+        except Exception as e:  # keep measuring the others; report the failure
+            errors[n] = f"{type(e).__name__}: {str(e)[:200]}"
+            best[n] = cold[n] = None
+            continue
         best[n] = round(min(times), 3)
         cold[n] = round(times[0], 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
@@ -54,12 +59,13 @@ def main() -> None:
         json.dumps(
             {
                 "metric": "headline_total_best_of_runs",
-                "value": round(sum(best.values()), 3),
+                "value": round(sum(v for v in best.values() if v is not None), 3),
                 "unit": "sec",
                 "queries": best,
                 "cold": cold,
                 "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
                 "cpus": cpus,
+                **({"errors": errors} if errors else {}),
             }
         )
     )

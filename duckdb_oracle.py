@@ -13,7 +13,8 @@ import datetime as dt
 from kabuto.sources import fixtures as X
 from kabuto.operators.checks import CANONICAL_DATETIME
 from kabuto.sources.schemas import ASSET_TYPES, RunDates
-from kabuto.plans.catalog import PRICE_DATES_PREVIOUS, REPORT_FROM
+from kabuto.plans.catalog import PRICE_DATES_PREVIOUS, REPORT_FROM, STREAM_SPLIT
+from kabuto.streaming.incremental import LOOKBACK_DAYS
 
 MONEY = "DECIMAL(38,6)"
 
@@ -120,9 +121,10 @@ trades_with_cash AS (
 )"""
 
 
-def price_history_ctes(s: str, r: RunDates) -> str:
-    """Dense, 14-row-filled price history with cross rates for run dates ``r`` (suffix ``s``)."""
-    h, u, a = D(r.history_from), D(r.update_from), D(r.as_of)
+def price_history_ctes(s: str, r: RunDates | tuple[str, str, str]) -> str:
+    """Dense, 14-row-filled price history with cross rates for run dates ``r`` (suffix ``s``);
+    ``r`` may also be SQL date expressions (history_from, update_from, as_of)."""
+    h, u, a = r if isinstance(r, tuple) else (D(r.history_from), D(r.update_from), D(r.as_of))
     cross = []
     for base, quote, out in [("BTC-USD", "JPY=X", "BTC-JPY"), ("ETH-USD", "JPY=X", "ETH-JPY")]:
         cross.append(
@@ -424,6 +426,18 @@ FROM ew t0 LEFT JOIN (SELECT * FROM close_bf WHERE base_date BETWEEN {a} - 7 AND
   ON t0.ticker = t1.ticker AND t0.price_date_for_close = t1.base_date"""
 
 
+def _stream_ctes() -> tuple[str, str]:
+    """Two incremental runs as the streaming driver performs them: each batch recomputes from
+    its earliest date to the latest date known, reading 27 days further back."""
+    split = D(STREAM_SPLIT)
+    lo1 = f"(SELECT min(date) FROM raw_price_data WHERE date <= {split})"
+    hi1 = f"(SELECT max(date) FROM raw_price_data WHERE date <= {split})"
+    lo2 = f"(SELECT min(date) FROM raw_price_data WHERE date > {split})"
+    hi2 = "(SELECT max(date) FROM raw_price_data)"
+    back = LOOKBACK_DAYS
+    return price_history_ctes("s1", (f"({lo1} - {back})", lo1, hi1)), price_history_ctes("s2", (f"({lo2} - {back})", lo2, hi2))
+
+
 def oracle_sql() -> dict[str, str]:
     a = D(AS_OF)
     ratio = "(close_price - avg_buy_price) / avg_buy_price"
@@ -482,6 +496,7 @@ WHERE NOT EXISTS (SELECT 1 FROM price_history_pd c WHERE c.ticker = p.ticker AND
 UNION ALL
 SELECT * FROM price_history_pd""",
         "quality_checks": _with(PH_PD, PH_BF, POS, VALUED) + _checks(),
+        "streaming_price_history": _with(*_stream_ctes()) + "\nSELECT * FROM price_history_s1 UNION ALL SELECT * FROM price_history_s2",
         "net_position_check": _with(POS_CUT)
         + f"""
 , d AS (SELECT account, ticker, position FROM positions_cut WHERE partition_date = {D(CUT)}),

@@ -21,6 +21,8 @@ CLUSTER_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # No Python call-site capture per column function (error context only; costs driver time).
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

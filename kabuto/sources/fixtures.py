@@ -37,8 +37,19 @@ def ticker_of(e: Column) -> Column:
     )
 
 
+# Schemas of the driver's tables (only the columns read here); an explicit schema also spares
+# the footer-reading job of schema inference.
+DRIVER_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_size int",
+    "customer": "c_custkey bigint, c_name string, c_mktsegment string",
+}
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw_price_data(spark: SparkSession, sf_dir: str) -> DataFrame:

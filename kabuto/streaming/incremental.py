@@ -48,8 +48,8 @@ def price_history_batch_handler(
             return
         lo, hi = span["lo"], span["hi"]
         table = f"{root.rstrip('/')}/dwh_price_history"
-        try:
-            known = spark.read.parquet(table).agg(F.max("base_date")).first()[0]
+        try:  # latest published date after the batch (partition pruning: usually nothing to read)
+            known = spark.read.parquet(table).filter(F.col("base_date") > F.lit(hi)).agg(F.max("base_date")).first()[0]
         except Exception:  # first run: no table yet
             known = None
         as_of = max(hi, known) if known else hi

@@ -53,6 +53,28 @@ def publish(spark: SparkSession, df: DataFrame, root: str, name: str, replace_pa
     return read_table(spark, path, df.schema).select(*df.columns)
 
 
+def register_views(spark: SparkSession, raw: Mapping[str, DataFrame], root: str | None = None) -> dict[str, DataFrame]:
+    """Register the view models as Spark temp views (lazy; nothing runs until queried):
+    the four staging views, the asset master and the mirrored cash ledger, and, when ``root``
+    holds a published price history, the close-price view over it."""
+    tickers = raw["ref_ticker_info"]
+    trades = staging.stg_trade_history(raw["raw_trade_history"])
+    status = staging.stg_asset_status_history(raw["raw_asset_status_history"])
+    views = {
+        "stg_price_data": staging.stg_price_data(raw["raw_price_data"]),
+        "stg_trade_history": trades,
+        "stg_asset_status_history": status,
+        "stg_entry_point": staging.stg_entry_point(raw["raw_entry_point"]),
+        "dwh_asset_master": warehouse.asset_master(status, tickers),
+        "dwh_trade_history_with_cash": warehouse.trade_history_with_cash(trades),
+    }
+    if root is not None:
+        views["dwh_close_price_history"] = warehouse.close_price_history(read_published(spark, root, "dwh_price_history"))
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return views
+
+
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
     path = f"{root.rstrip('/')}/{name}"
     try:

@@ -79,3 +79,12 @@ def test_command_line_run_reads_feeds_and_csv_seeds(spark):
     # A later run of one mart reads the price history it does not rebuild.
     assert main(argv + ["--select", "dm_max_price_monitor"]) == 0
     assert spark.read.parquet(f"{base}/tables/dm_max_price_monitor").count() > 0
+
+
+def test_views_are_queryable_by_name(spark):
+    from kabuto.plans.daily import register_views
+
+    register_views(spark, X.load(spark, SF))
+    n = spark.sql("SELECT count(*) FROM dwh_trade_history_with_cash WHERE ticker = 'cash'").first()[0]
+    assert n == spark.sql("SELECT count(*) FROM stg_trade_history").first()[0]  # every trade has one cash row
+    assert spark.sql("SELECT count(DISTINCT ticker) = count(*) FROM dwh_asset_master").first()[0]

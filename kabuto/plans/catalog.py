@@ -1,6 +1,6 @@
 """Registered queries: every model, report and check run over the driver's test tables.
 
-Each entry takes (spark, sf_dir) and returns a DataFrame. ``oracle_sql.py`` holds the matching
+Each entry takes (spark, sf_dir) and returns a DataFrame. ``duckdb_oracle.py`` holds the matching
 DuckDB SQL for each name.
 """
 

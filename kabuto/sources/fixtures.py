@@ -2,7 +2,7 @@
 
 The driver ships TPC-H-like tables (``events``, ``lineitem``, ``orders``, ``part``, ``customer``).
 These functions map them onto the raw feeds the models read, using whole tables so the work grows
-with the scale factor. ``kabuto/oracle_sql.py`` holds the same projections in DuckDB SQL.
+with the scale factor. ``duckdb_oracle.py`` holds the same projections in DuckDB SQL.
 
 Run dates used with these inputs:
   prices     as_of 2024-01-28 (a Sunday), update_from 2024-01-26, history_from 2024-01-01

@@ -327,7 +327,10 @@ ORDER BY ticker, base_date"""
 
 def _checks() -> str:
     def row(table, kind, col, expr):
-        return f"SELECT '{table}' AS table_name, '{kind}' AS check_name, '{col}' AS column_name, 'error' AS severity, CAST({expr} AS BIGINT) AS failures"
+        return (
+            f"SELECT '{table}' AS table_name, '{kind}' AS check_name, '{col}' AS column_name, 'error' AS severity, "
+            f"'' AS tags, CAST({expr} AS BIGINT) AS failures"
+        )
 
     def nn(table, src, col):
         return row(table, "not_null", col, f"(SELECT count(*) FROM {src} WHERE {col} IS NULL)")

@@ -57,7 +57,7 @@ def is_datetime(col: str, **kw) -> Check:
 # Canonical DATETIME text: date with dashes, optional time (seconds and fraction optional).
 CANONICAL_DATETIME = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}(\.[0-9]{1,6})?)?)?$"
 
-RESULT_SCHEMA = "table_name string, check_name string, column_name string, severity string, failures long"
+RESULT_SCHEMA = "table_name string, check_name string, column_name string, severity string, tags string, failures long"
 
 
 def _row_failure(c: Check) -> Column:
@@ -75,7 +75,7 @@ def _row_failure(c: Check) -> Column:
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check], table: str) -> DataFrame:
-    """One row per check: (table_name, check_name, column_name, severity, failures).
+    """One row per check: (table_name, check_name, column_name, severity, tags, failures).
 
     Row-level checks share one aggregation over ``df``; each ``unique`` check is one grouped
     aggregation (partial, map-side) over the non-NULL values.
@@ -92,6 +92,7 @@ def run_checks(df: DataFrame, checks: Sequence[Check], table: str) -> DataFrame:
                         F.lit(c.kind).alias("check_name"),
                         F.lit(c.column).alias("column_name"),
                         F.lit(c.severity).alias("severity"),
+                        F.lit(",".join(c.tags)).alias("tags"),
                         F.col(f"_f{i}").alias("failures"),
                     )
                     for i, c in enumerate(row_checks)
@@ -114,6 +115,7 @@ def run_checks(df: DataFrame, checks: Sequence[Check], table: str) -> DataFrame:
                     F.lit(c.kind).alias("check_name"),
                     F.lit(c.column).alias("column_name"),
                     F.lit(c.severity).alias("severity"),
+                    F.lit(",".join(c.tags)).alias("tags"),
                     "failures",
                 )
             )

@@ -182,6 +182,7 @@ def daily_checks(raw: Mapping[str, DataFrame], t: Mapping[str, DataFrame], net:
                 F.lit("matches_net").alias("check_name"),
                 F.lit("position").alias("column_name"),
                 F.lit("error").alias("severity"),
+                F.lit("dwh_daily_position").alias("tags"),
                 "failures",
             )
         )

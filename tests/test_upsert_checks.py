@@ -61,11 +61,12 @@ def test_run_checks_counts(spark):
             Q.unique("ticker"),
             Q.accepted_values("asset_type", ["株", "REIT"]),
             Q.expression_is_true("v", ">= 0"),
-            Q.is_datetime("ts", severity="warn"),
+            Q.is_datetime("ts", severity="warn", tags=("raw", "time")),
         ],
         "t",
     )
     got = {r["check_name"]: r["failures"] for r in res.collect()}
+    assert {r["check_name"]: r["tags"] for r in res.collect()}["is_datetime"] == "raw,time"
     assert got == {"not_null": 1, "unique": 1, "accepted_values": 1, "expression_is_true": 1, "is_datetime": 2}
     with pytest.raises(Q.CheckFailed):
         Q.raise_on_failure(res)

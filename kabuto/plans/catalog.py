@@ -39,7 +39,7 @@ class Inputs:
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
-            self._raw[name] = X.FIXTURES[name](self.spark, self.sf_dir)
+            self._raw[name] = X.projected(self.spark, self.sf_dir, name)
         return self._raw[name]
 
     @cached_property

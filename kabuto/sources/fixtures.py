@@ -13,6 +13,7 @@ Run dates used with these inputs:
 from __future__ import annotations
 
 import datetime as dt
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -177,5 +178,18 @@ FIXTURES = {
 }
 
 
+# The driver's tables are read-only, so a session can reuse each projection's DataFrame (plan
+# analysis and the dimension's broadcast size check then happen once per session).
+_SESSION_CACHE: "weakref.WeakKeyDictionary[SparkSession, dict[tuple[str, str], DataFrame]]" = weakref.WeakKeyDictionary()
+
+
+def projected(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    per_session = _SESSION_CACHE.setdefault(spark, {})
+    key = (sf_dir.rstrip("/"), name)
+    if key not in per_session:
+        per_session[key] = FIXTURES[name](spark, sf_dir)
+    return per_session[key]
+
+
 def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {n: f(spark, sf_dir) for n, f in FIXTURES.items()}
+    return {n: projected(spark, sf_dir, n) for n in FIXTURES}

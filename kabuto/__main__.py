@@ -39,6 +39,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--select", help="comma-separated published tables to build (default: all)")
     p.add_argument("--no-checks", action="store_true", help="skip the data-quality checks")
     p.add_argument("--fail-on-check", action="store_true", help="exit non-zero when an error-severity check fails")
+    p.add_argument("--check-all-partitions", action="store_true", help="check whole tables, not only the partitions written")
     return p.parse_args(argv)
 
 
@@ -55,7 +56,9 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("kabuto-daily").getOrCreate()
     dates = dates_from(args)
     raw = raw_sources(spark, args.raw, args.seeds, args.format)
-    out = run_daily(spark, raw, dates, args.tables, run_checks=not args.no_checks, select=select)
+    out = run_daily(
+        spark, raw, dates, args.tables, run_checks=not args.no_checks, select=select, check_all_partitions=args.check_all_partitions
+    )
     if "checks" in out:
         rows = out["checks"].filter("failures > 0").collect()  # one row per check
         for r in rows:

@@ -50,7 +50,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     session without it is an error). Only a local session without the setting (tests) gets a
     fresh folder under the system temp directory.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server owns the checkpoint folder
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if not current:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (lineage cuts are written there)")
+        return current
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)

@@ -102,10 +102,15 @@ def open_lots(
     keyed = F.lit(True)
     for k in keys:
         keyed = keyed & F.col(k).isNotNull()
+    dq = F.coalesce("_dq", F.lit(0))
     days = (
-        flows.withColumn("_dq", F.coalesce("_dq", F.lit(0)))
-        .withColumn("_sold", F.when(keyed, F.coalesce(F.sum("_ds").over(per_key), F.lit(0))).otherwise(F.lit(0)))
-        .withColumn("_before", F.coalesce(F.sum("_dq").over(before), F.lit(0)))
+        flows.select(
+            *keys,
+            date_col,
+            dq.alias("_dq"),
+            F.when(keyed, F.coalesce(F.sum("_ds").over(per_key), F.lit(0))).otherwise(F.lit(0)).alias("_sold"),
+            F.coalesce(F.sum(dq).over(before), F.lit(0)).alias("_before"),
+        )
         # keep days that still hold unsold units
         .filter((F.col("_dq") > 0) & (F.col("_before") + F.col("_dq") > F.col("_sold")))
         .select(*keys, date_col, "_before", "_sold")
@@ -121,8 +126,8 @@ def open_lots(
         .orderBy(*[f"_tb{i}" for i in range(len(tie_break))])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    lots = lots.withColumn("_end", F.col("_before") + F.sum("_q").over(within))
-    lots = lots.withColumn("_open", F.least(F.col("_q"), F.col("_end") - F.col("_sold"))).filter(F.col("_open") > 0)
+    end = F.col("_before") + F.sum("_q").over(within)
+    lots = lots.select(*keys, "_px", F.least(F.col("_q"), end - F.col("_sold")).alias("_open")).filter(F.col("_open") > 0)
 
     return _summarise(lots, keys, "_open", "_px", as_of, partition_col)
 
@@ -156,8 +161,8 @@ def _open_lots_ranged(trades, as_of, keys, date_col, tie_break, qty, price, side
     k = F.struct(*[F.col(c) for c in keys]).alias("_k")
     lots = ranged.select("*", k).join(pieces.select(k, "_p", "_before", "_sold"), ["_k", "_p"], "inner")
     within = Window.partitionBy("_k", "_p").orderBy(date_col, *tb).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lots = lots.withColumn("_end", F.col("_before") + F.sum("_q").over(within))
-    lots = lots.withColumn("_open", F.least(F.col("_q"), F.col("_end") - F.col("_sold"))).filter(F.col("_open") > 0)
+    end = F.col("_before") + F.sum("_q").over(within)
+    lots = lots.select(*keys, "_px", F.least(F.col("_q"), end - F.col("_sold")).alias("_open")).filter(F.col("_open") > 0)
     return _summarise(lots, keys, "_open", "_px", as_of, partition_col)
 
 

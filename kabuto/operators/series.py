@@ -42,10 +42,8 @@ def bounded_fill(
     """Replace each of ``columns`` by its last non-NULL value within the current row and the
     ``max_rows`` rows before it (rows, not days). Columns are filled independently."""
     w = Window.partitionBy(*partition_by).orderBy(order_by).rowsBetween(-max_rows, Window.currentRow)
-    out = df
-    for c in columns:
-        out = out.withColumn(c, F.last(F.col(c), ignorenulls=True).over(w))
-    return out
+    filled = set(columns)
+    return df.select(*[F.last(F.col(c), ignorenulls=True).over(w).alias(c) if c in filled else F.col(c) for c in df.columns])
 
 
 def _on_calendar(d: Column, flag: Column) -> Column:

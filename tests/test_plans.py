@@ -32,3 +32,15 @@ def test_cross_rates_shuffle_once(spark):
     )
     out = cross_rates(filled, [("BTC-USD", "JPY=X", "BTC-JPY"), ("ETH-USD", "JPY=X", "ETH-JPY")], 14)
     assert _shuffles(out) == 1  # legs routed once by pair; alignment and window reuse it
+
+
+def test_open_lots_shuffle_count(spark):
+    from kabuto.operators.lots import open_lots
+
+    trades = spark.createDataFrame(
+        [(D("2024-01-01"), "X", "buy", "A", 3, 1.0, "m1"), (D("2024-01-02"), "X", "sell", "A", 1, 1.0, "m2")],
+        "trade_date date, ticker string, trade_type string, account string, order_count long, price double, memo string",
+    )
+    # day totals, per-key day windows, the day table and the buys by (key, day), the final
+    # per-key aggregate: five exchanges, of which only one moves the buy rows
+    assert _shuffles(open_lots(trades, D("2024-01-31"))) == 5

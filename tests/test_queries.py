@@ -6,6 +6,8 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from duckdb_oracle import oracle_sql
+from kabuto.plans.catalog import queries
 from tools.compare import digest, duck
 
 SF = "/root/testdata/sf0.001"
@@ -17,7 +19,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF)
     srows = [tuple(r) for r in sdf.collect()]
@@ -37,4 +39,6 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(queries()) == set(oracle_sql())
+    assert set(queries()) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())

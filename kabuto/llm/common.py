@@ -30,6 +30,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table made by ``written`` that nothing reads any more."""
+    spark = df.sparkSession
+    paths = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    base = ensure_checkpoint_dir(spark).rstrip("/").split(":", 1)[-1].lstrip("/")
+    for p in paths:
+        if f"{base}/tables/" not in p:
+            raise ValueError(f"{p} is not a written table")
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_enough(df: DataFrame, max_rows: int) -> bool:
     """True if ``df`` has at most ``max_rows`` rows. Counts are summed per task, so no rows move."""
     return df.count() <= max_rows

@@ -24,5 +24,31 @@ FROM said
 """
 
 
+OP3 = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(ws), 13) AS size, array_to_string(ws[k : k + least(len(ws), 13) - 1], ' ') AS phrase
+  FROM b, unnest(range(1, len(ws) - least(len(ws), 13) + 2)) AS t(k) WHERE len(ws) > 0
+), sizes AS (SELECT DISTINCT size FROM windows),
+grams AS (
+  SELECT doc_id, size, k, array_to_string(ws[k : k + size - 1], ' ') AS phrase
+  FROM w, sizes, unnest(range(1, len(ws) - size + 2)) AS t(k) WHERE len(ws) >= size
+), found AS (SELECT doc_id, item_id, k, grams.size AS size FROM grams JOIN windows USING (size, phrase)),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + size)) AS p FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id
+)
+SELECT w.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM w LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_chat_formatting": OP7}
+    return {"op3_benchmark_decontamination": OP3, "op7_chat_formatting": OP7}

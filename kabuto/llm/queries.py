@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kabuto.llm import chat_format, html_extract, sentencepiece_fst, sharding, token_counts
+from kabuto.llm import chat_format, decontaminate, html_extract, ngram_join, sentencepiece_fst, sharding, token_counts
 from kabuto.llm.common import prepare
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -56,11 +56,23 @@ def token_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document (five-word shingles, similarity 0.75)."""
+    return ngram_join.join_components(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": sentencepiece,
         "op2_html_extraction": html_extraction,
+        "op3_benchmark_decontamination": benchmark_decontamination,
         "op6_sharding": sharded,
         "op7_chat_formatting": chat_formatting,
         "op9_token_counts": token_counting,
+        "op10_ngram_jaccard_join": ngram_jaccard_join,
     }

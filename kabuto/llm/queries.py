@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kabuto.llm import chat_format, decontaminate, html_extract, ngram_join, sentencepiece_fst, sharding, token_counts
+from kabuto.llm import chat_format, decontaminate, html_extract, near_embeddings, ngram_join, secret_scan, sentencepiece_fst, sharding, token_counts, toxicity
 from kabuto.llm.common import prepare
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -61,6 +61,22 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.scan_documents(docs, secret_scan.fit(docs))
+
+
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+
+
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return near_embeddings.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of every document (five-word shingles, similarity 0.75)."""
     return ngram_join.join_components(table(spark, sf_dir, "documents"))
@@ -71,8 +87,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_sentencepiece": sentencepiece,
         "op2_html_extraction": html_extraction,
         "op3_benchmark_decontamination": benchmark_decontamination,
+        "op4_secret_scans": secret_scans,
+        "op5_toxicity": toxicity_scores,
         "op6_sharding": sharded,
         "op7_chat_formatting": chat_formatting,
+        "op8_embedding_near_dedup": embedding_near_dedup,
         "op9_token_counts": token_counting,
         "op10_ngram_jaccard_join": ngram_jaccard_join,
     }

@@ -15,6 +15,7 @@ the log odds, and a word's sum of these is kept in a bounded cache while texts a
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from dataclasses import dataclass
 from zlib import crc32
@@ -29,7 +30,7 @@ from kabuto.llm.common import prepare
 BUCKETS = 1 << 18
 DIMS = 8
 GRAMS = (3, 4, 5)
-LABELLED_ROWS = 8000  # rows the model is fitted on, at most (those of smallest hash)
+CLASS_ROWS = 4000  # rows of either class that the model is fitted on, at most (those of smallest hash)
 LABELLED_CHARS = 30_000  # of these, texts up to this length (bounds what the driver holds)
 CACHE_ENTRIES = 300_000
 SCALE = 2.0
@@ -101,14 +102,16 @@ def bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array(ends), np.concatenate(buckets) if buckets else np.zeros(0, np.int32), np.concatenate(shares) if shares else np.zeros(0, np.float32)
 
 
-def train(texts: list[str | None], labels: list[int], dims: int = DIMS, epochs: int = 12, batch: int = 200, rate: float = 0.05, decay: float = 1e-4, min_texts: int = 5, seed: int = 3) -> Model:
-    """Fit the model. N-grams in fewer than ``min_texts`` texts keep a zero vector. With no texts, or
-    one class only, the bias is the smoothed share of class 1."""
+def train(texts: list[str | None], labels: list[int], dims: int = DIMS, epochs: int = 8, batch: int = 200, rate: float = 0.05, decay: float = 1e-5, min_texts: int = 4, positive: float | None = None, seed: int = 3) -> Model:
+    """Fit the model. N-grams in fewer than ``min_texts`` texts keep a zero vector. ``positive`` is the
+    share of class 1 among all labelled rows, if that differs from the sample's; it moves the bias.
+    With few texts, or one class only, the bias alone, from the smoothed share, is the model."""
     y = np.array(labels, np.float64)
     prior = (y.sum() + 0.5) / (len(y) + 1)
+    positive = None if positive is None else min(max(positive, 1e-4), 1 - 1e-4)
     bias = float(np.log(prior / (1 - prior)))
     if len(y) < 20 or y.min() == y.max():
-        return Model(np.zeros(BUCKETS), bias)
+        return Model(np.zeros(BUCKETS), bias if positive is None else float(np.log(positive / (1 - positive))))
     ends, grams, shares = bags(texts)
     often = np.flatnonzero(np.bincount(grams, minlength=BUCKETS) >= min_texts)
     row_of = np.full(BUCKETS, -1, np.int32)
@@ -163,6 +166,60 @@ def train(texts: list[str | None], labels: list[int], dims: int = DIMS, epochs:
         loss = float(np.concatenate(losses).mean())
         if best is None or loss < best[0]:
             best = loss, table @ (soft[:, 1] - soft[:, 0]), float(offset[1] - offset[0])
+    moved = 0.0 if positive is None else float(np.log(positive / (1 - positive))) - bias
     weights = np.zeros(BUCKETS)
     weights[often] = best[1]
-    return Model(weights, best[2])
+    return Model(weights, best[2] + moved)
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", class_rows: int = CLASS_ROWS, max_chars: int = LABELLED_CHARS, **training) -> Model:
+    """Train on labelled rows of ``docs``: at most ``class_rows`` of each class, the ones whose id has
+    the smallest hash, with whole texts of up to ``max_chars`` characters.
+
+    An id labelled several times counts as class 1 if any label says so; null labels and ids, and
+    ids without a document, are left out. The driver holds the sample only."""
+    known = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg((F.max(label) > 0).cast("int").alias("_y"))
+    counts = {r["_y"]: r["count"] for r in known.groupBy("_y").count().collect()}
+    picked = None
+    for y in (0, 1):
+        some = known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(class_rows)
+        picked = some if picked is None else picked.union(some)
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.char_length("_text") <= max_chars)
+    sample = rows.join(F.broadcast(picked), "_id").orderBy("_id", F.md5(F.col("_text").cast("binary"))).limit(4 * class_rows).collect()
+    share = counts.get(1, 0) / max(1, sum(counts.values()))
+    return train([r["_text"] for r in sample], [r["_y"] for r in sample], positive=share, **training)
+
+
+def scorer(spark, model: Model):
+    """A column function: text -> the probability of class 1 (null: as the empty text)."""
+    sent = prepare(spark).sparkContext.broadcast((model.weights.astype(np.float32), model.bias))
+    key = uuid.uuid4().hex
+
+    def score(texts: pa.Array) -> pa.Array:
+        if key not in _ready:
+            _ready.clear()
+            weights, bias = sent.value
+            _ready[key] = Model(weights.astype(np.float64), bias), {}
+        fitted, cache = _ready[key]
+        return pa.array([fitted.score(t.as_py(), cache) for t in texts], pa.float64())
+
+    return F.arrow_udf(score, "double")
+
+
+_ready: dict = {}
+
+
+def held_out(id_column, folds: int = 5):
+    """Whether a row is kept from training: the CRC-32 of the id's text, modulo ``folds``, is 0."""
+    return F.crc32(id_column.cast("string").cast("binary")) % folds == 0
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", **options) -> DataFrame:
+    """One row per row of ``docs``: ``id_col``, held_out, score and predicted (1 if score >= 0.5).
+
+    The model sees the labels of rows that are not held out only, and texts only. Empty and null
+    texts, and texts without letters, get the score of the bias; a null id is held out as null."""
+    model = fit(docs, labels.where(~held_out(F.col(id_col))), label, id_col, text_col, **options)
+    score = scorer(docs.sparkSession, model)(F.col(text_col))
+    out = docs.select(F.col(id_col), held_out(F.col(id_col)).alias("held_out"), score.alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

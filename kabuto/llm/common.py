@@ -47,6 +47,25 @@ def small_enough(df: DataFrame, max_rows: int) -> bool:
     return df.count() <= max_rows
 
 
+BROADCAST_ROWS = 200_000  # row ids to leave out: up to so many are broadcast, more are shuffled
+
+
+def row_id(id_col: str = "doc_id", text_col: str = "text"):
+    """What tells the rows of a table of texts apart: the id with the text's MD5 (rows that agree in
+    both are copies of one row)."""
+    return F.struct(F.col(id_col).alias("id"), F.md5(F.col(text_col).cast("binary")).alias("md5"))
+
+
+def without_rows(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose ``row_id`` is in the one column of ``ids`` (nulls match
+    nulls). All columns stay as they are."""
+    out = ids.columns[0]
+    gone = ids.select(F.col(out)["id"].alias("__id"), F.col(out)["md5"].alias("__md5")).distinct()
+    gone = F.broadcast(gone) if small_enough(gone, BROADCAST_ROWS) else gone
+    mine = row_id(id_col, text_col)
+    return docs.join(gone, mine["id"].eqNullSafe(gone["__id"]) & mine["md5"].eqNullSafe(gone["__md5"]), "left_anti")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """Connected components of the undirected graph ``edges(a, b)``: rows (node, root), one for
     every node on an edge, root the same for all nodes of a component (its smallest node).

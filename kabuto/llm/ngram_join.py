@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kabuto.llm.common import components, discard, prepare, small_enough, written
+from kabuto.llm.common import components, discard, prepare, row_id, small_enough, without_rows, written
 
 BROADCAST_ROWS = 200_000  # documents to look up again: up to so many ids are broadcast, else shuffled
 TOKEN_BANDS = 4  # bands below this one have one segment for each shingle
@@ -358,3 +358,20 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest = rooted.where("key IS NOT NULL").groupBy("root").agg(F.min("id").alias("smallest"))
     out = rooted.join(smallest, "root", "left")
     return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("smallest", "id").alias("component_id"), F.col("key").alias("class_key"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest id (then the smallest MD5
+    of its text); of rows that agree in id and text, one. Rows with the empty set all stay, but for
+    such copies. All columns stay as they are."""
+    rows = docs.select(row_id(id_col, text_col).alias("id"), F.col(text_col).alias("text"))
+    found = written(join_components(rows, "id", "text", **options).select("id", "component_id"), "kept")
+    kept = without_rows(docs, found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select("id"), id_col, text_col)
+    copies = found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("id").count().where("count > 1").select("id")
+    if copies.isEmpty():
+        return kept
+    mine = row_id(id_col, text_col)
+    once = copies.select(F.col("id.id").alias("__id"), F.col("id.md5").alias("__md5"))
+    twice = kept.join(once, mine["id"].eqNullSafe(once["__id"]) & mine["md5"].eqNullSafe(once["__md5"]), "left_semi")
+    twice = twice.withColumn("__md5", F.md5(F.col(text_col).cast("binary"))).dropDuplicates([id_col, "__md5"]).drop("__md5")
+    return without_rows(kept, copies, id_col, text_col).unionByName(twice)

@@ -30,18 +30,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the files of a table made by ``written`` that nothing reads any more."""
-    spark = df.sparkSession
-    paths = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-    base = ensure_checkpoint_dir(spark).rstrip("/").split(":", 1)[-1].lstrip("/")
-    for p in paths:
-        if f"{base}/tables/" not in p:
-            raise ValueError(f"{p} is not a written table")
-        path = spark._jvm.org.apache.hadoop.fs.Path(p)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def small_enough(df: DataFrame, max_rows: int) -> bool:
     """True if ``df`` has at most ``max_rows`` rows. Counts are summed per task, so no rows move."""
     return df.count() <= max_rows
@@ -71,8 +59,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     every node on an edge, root the same for all nodes of a component (its smallest node).
 
     Contraction: in each round every node hooks to the smallest of itself and its neighbours
-    (a partially aggregated minimum, so a hub costs one row per task), hooks are followed three
-    times, and the edges between the hooked nodes that still differ go on. Edges shrink
+    (a partially aggregated minimum, so a hub costs one row per task), hooks are followed twice, and the edges between the hooked nodes that still differ go on. Edges shrink
     geometrically; a star ends in one round. Every round is cut by a checkpoint.
     """
     spark = edges.sparkSession
@@ -86,7 +73,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
             return labels
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hook = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).select("u", F.least("u", "m").alias("p"))
-        for _jump in range(3):
+        for _jump in range(2):
             up = hook.select(F.col("u").alias("v"), F.col("p").alias("pp"))
             hook = hook.join(up, hook["p"] == up["v"], "left").select("u", F.coalesce("pp", "p").alias("p"))
         hook = hook.checkpoint()

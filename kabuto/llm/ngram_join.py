@@ -19,6 +19,7 @@ comparisons in proportion to its size.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kabuto.llm.common import components, discard, prepare, row_id, small_enough, without_rows, written
+from kabuto.llm.common import components, prepare, row_id, small_enough, without_rows, written
 
 BROADCAST_ROWS = 200_000  # documents to look up again: up to so many ids are broadcast, else shuffled
 TOKEN_BANDS = 4  # bands below this one have one segment for each shingle
@@ -45,29 +46,43 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str | None, n: int = 5) -> np.ndarray:
-    """The sorted distinct 64-bit hashes of the text's ``n``-word shingles.
+def shingles(texts: list[str | None], n: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct 64-bit hashes of every text's ``n``-word shingles, sorted by text and hash, and
+    how many each text has.
 
     Words are runs of other characters than white space (U+0020, U+0009 to U+000D), A-Z in lower
     case. Fewer than ``n`` words make one shingle; none, or a null text, make the empty set."""
-    words = text.encode().lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    width = min(n, len(words))
+    words = [t.encode().lower().split() if t else [] for t in texts]
+    sizes = np.array([len(w) for w in words], np.int64)
+    h = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(words)), np.uint64, int(sizes.sum()))
+    text = np.repeat(np.arange(len(texts)), sizes)
+    last = np.cumsum(sizes)[text] - 1 if len(h) else text
+    left = last - np.arange(len(h)) + 1  # words from here to the text's end
+    width = np.minimum(sizes, n)[text]
+    out = width.astype(np.uint64)
     with np.errstate(over="ignore"):
-        out = np.full(len(words) - width + 1, width, np.uint64)
-        for k in range(width):
-            out = out * _K + h[k : len(h) - width + 1 + k]
-    return np.unique(mix(out))
+        for k in range(n):
+            inside = (width > k) & (left > k)
+            at = np.minimum(np.arange(len(h)) + k, max(len(h) - 1, 0))
+            out = np.where(inside, out * _K + h[at], out) if k else out * _K + h
+    whole = left >= width
+    out, text = mix(out[whole]), text[whole]
+    ends = np.searchsorted(text, np.arange(len(texts)), "right")
+    begin = 0
+    for end in ends.tolist():
+        out[begin:end].sort()
+        begin = end
+    fresh = np.ones(len(out), bool)
+    fresh[1:] = (out[1:] != out[:-1]) | (text[1:] != text[:-1])
+    return out[fresh], np.bincount(text[fresh], minlength=len(texts))
 
 
 class Rule:
     """Bands, segments and bounds for the similarity ``num / den``."""
 
     def __init__(self, num: int = 75, den: int = 100):
-        if not den <= 2 * num <= 2 * den:
-            raise ValueError("the similarity must lie between 0.5 and 1")  # so that partners are at most one band apart
+        if not 70 * den <= 100 * num <= 100 * den:  # partners at most one band apart, and segments enough to look up
+            raise ValueError("the similarity must lie between 0.7 and 1")
         self.num, self.den = num, den
 
     def differ(self, a: int, b: int) -> int:
@@ -93,45 +108,78 @@ class Rule:
         return out
 
 
-def signatures(tokens: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    """The signatures of one set, their kinds, and its plan.
+def signatures(tokens: np.ndarray, sizes: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The signatures of some sets (``tokens`` one set after the other, of ``sizes``): signature, kind
+    and set of each, and the sets' plans.
 
     Kinds: 0 a subset, 1 a neighbour (both in the set's own band, where it can be found); 2 and 3
     the same in the next band, where it only looks up. Plan: for the own band, then the next one,
     how many subsets and how many neighbourhoods there are, and the worth to look up.
     """
-    sigs, kinds, plan = [], [], [0, 0, 0, 0, 0, 0]
-    for k, (band, need) in enumerate(rule.bands(len(tokens))):
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    plan = np.zeros((len(sizes), 6), np.int64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    bands = [rule.bands(int(k)) if k else [] for k in sizes]
+    for turn in (0, 1):
+        rows = np.array([i for i, b in enumerate(bands) if len(b) > turn], np.int64)
+        if not len(rows):
+            continue
+        band = np.array([bands[i][turn][0] for i in rows])
+        need = np.array([bands[i][turn][1] for i in rows])
+        index = np.full(len(sizes), -1)
+        index[rows] = np.arange(len(rows))
+        mine = index[owner] >= 0
+        own, n = index[owner[mine]], sizes[rows]
+        segments = np.array([rule.segments(int(b)) if b >= TOKEN_BANDS else (0, 0) for b in band])
+        single = band < TOKEN_BANDS
+        m = np.where(single, n, segments[:, 0])
+        base = np.r_[0, np.cumsum(m)]
         with np.errstate(over="ignore"):
-            salt = mix(np.array([band + 1], np.uint64))[0]
-            values = mix(tokens + salt)
-            if band < TOKEN_BANDS:
-                subsets, near, able = mix(values ^ salt), values[:0], 0
-            else:
-                m, fit = rule.segments(band)
-                seg = ((values >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
-                order = np.argsort(seg, kind="stable")
-                seg, values = seg[order], mix(values[order])
-                starts = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]])
-                sums, sizes = np.add.reduceat(values, starts), np.diff(np.r_[starts, len(seg)])
-                salts = mix(seg[starts] + salt)
-                subsets = mix(sums ^ salts)
-                fitting = (seg[starts] < fit) & (sizes > 1)
-                able = int(fitting.sum())
-                if k and len(subsets) >= need:  # only looks up: what the worth takes, with some slack
-                    subsets, able = subsets[: int(need * SLACK) + 2], 0
-                mine = np.repeat(fitting, sizes) if able else np.zeros(len(seg), bool)
-                near = mix((np.repeat(sums, sizes) - values)[mine] ^ np.repeat(salts, sizes)[mine])
-        if need > len(subsets) + able:
+            salt = mix((band + 1).astype(np.uint64))
+            values = mix(tokens[mine] + salt[own])
+            seg = (((values >> np.uint64(32)) * m[own].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+            first = np.r_[0, np.cumsum(n)][:-1]
+            seg = np.where(single[own], np.arange(len(own)) - first[own], seg)  # a segment for each shingle
+            at = base[own] + seg
+            mixed = mix(values)
+            sums, counts = np.zeros(base[-1], np.uint64), np.bincount(at, minlength=base[-1])
+            np.add.at(sums, at, mixed)
+            of = np.repeat(np.arange(len(rows)), m)
+            number = np.where(single[of], 0, np.arange(base[-1]) - base[of])
+            salts = mix(number.astype(np.uint64) + salt[of])
+            fitting = (number < segments[of, 1]) & (counts > 1)
+            keep = counts > 0
+            if turn:  # only looks up: what the worth takes, with some slack
+                place = np.cumsum(keep) - 1
+                place -= np.r_[0, np.cumsum(keep)][base[:-1]][of]
+                kept = np.bincount(of[keep], minlength=len(rows))
+                fitting &= (kept < need)[of]
+                keep &= (place < (need * SLACK).astype(int)[of] + 2) | single[of] | (kept < need)[of]
+            subsets, able = mix(sums ^ salts)[keep], np.bincount(of[fitting], minlength=len(rows))
+            near = fitting[at]
+            neighbours = mix((sums[at] - mixed)[near] ^ salts[at[near]])
+        n_subsets = np.bincount(of[keep], minlength=len(rows))
+        if (need > n_subsets + able).any():
             raise ValueError("a set's shingles fall into too few segments; choose another seed")
-        sigs += [subsets, near]
-        base = 2 if k else 0
-        kinds += [np.full(len(subsets), base, np.uint64), np.full(len(near), base + 1, np.uint64)]
-        at = 3 if k else 0
-        plan[at] += len(subsets)
-        plan[at + 1] += able
-        plan[at + 2] += need
-    return np.concatenate(sigs), np.concatenate(kinds), plan
+        found.append((subsets, np.full(len(subsets), 2 * turn, np.uint64), rows[of[keep]]))
+        found.append((neighbours, np.full(len(neighbours), 2 * turn + 1, np.uint64), rows[own[near]]))
+        plan[rows, 3 * turn : 3 * turn + 3] = np.stack([n_subsets, able, need], 1)
+    if not found:
+        return tokens[:0], tokens[:0], owner[:0], plan
+    return *(np.concatenate(x) for x in zip(*found, strict=True)), plan
+
+
+def chunks(texts: pa.Array, chars: int = 400_000) -> Iterator[list[str | None]]:
+    """The texts of an Arrow array, some at a time."""
+    out, held = [], 0
+    for t in texts:
+        out.append(t.as_py())
+        held += len(out[-1] or "")
+        if held >= chars:
+            yield out
+            out, held = [], 0
+    if out:
+        yield out
 
 
 def short_key(key: bytes) -> int:
@@ -150,22 +198,28 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def keys_of(tokens: np.ndarray, sizes: np.ndarray) -> list[bytes | None]:
+    """The class key of each set; None for the empty set."""
+    ends = np.cumsum(sizes).tolist()
+    return [class_key(tokens[end - k : end]) if k else None for k, end in zip(sizes.tolist(), ends, strict=True)]
+
+
 def classes_of(docs: DataFrame, rule: Rule, n: int) -> DataFrame:
     """id, n_shingles, key (null: the empty set) and short key of every row, and its plan."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, shorts, plans = [], [], [], []
-            for t in batch.column(1):
-                tokens = shingles(t.as_py(), n)
-                sizes.append(len(tokens))
-                keys.append(class_key(tokens) if len(tokens) else None)
-                shorts.append(np.uint64(short_key(keys[-1])).view(np.int64) if len(tokens) else None)
-                plans.append(signatures(tokens, rule)[2] if len(tokens) else [0] * 6)
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(shorts, pa.int64())]
-            columns += [pa.array([p[k] for p in plans], pa.int32()) for k in range(6)]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n_shingles", "key", "short", *PLAN])
+            at = 0
+            for texts in chunks(batch.column(1)):
+                tokens, sizes = shingles(texts, n)
+                keys = keys_of(tokens, sizes)
+                shorts = [None if k is None else short_key(k) - (short_key(k) >> 63 << 64) for k in keys]
+                plan = signatures(tokens, sizes, rule)[3]
+                columns = [batch.column(0).slice(at, len(texts)), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(shorts, pa.int64())]
+                columns += [pa.array(plan[:, k].astype(np.int32)) for k in range(6)]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "n_shingles", "key", "short", *PLAN])
+                at += len(texts)
 
     return docs.select("id", "text").mapInArrow(run, f"id {kind}, n_shingles long, key binary, short long, " + ", ".join(f"{p} int" for p in PLAN))
 
@@ -176,32 +230,22 @@ def _signature_rows(docs: DataFrame, rule: Rule, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        names = ["sig", "who"]
-
-        def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([_signed(np.concatenate(sigs)), _signed(np.concatenate(whos))], names=names)
-
         for batch in batches:
-            sigs, whos, held = [], [], 0
-            for t in batch.column(0):
-                tokens = shingles(t.as_py(), n)
-                if not len(tokens):
-                    continue
-                key = class_key(tokens)
-                if key in seen:
-                    continue
+            for texts in chunks(batch.column(0)):
+                tokens, sizes = shingles(texts, n)
+                keys = keys_of(tokens, sizes)
                 if len(seen) >= 1_000_000:
                     seen.clear()
-                seen.add(key)
-                sig, kinds, _ = signatures(tokens, rule)
-                sigs.append(sig)
-                whos.append(kinds | np.uint64(short_key(key)))
-                held += len(sig)
-                if held >= 500_000:
-                    yield flush()
-                    sigs, whos, held = [], [], 0
-            if held:
-                yield flush()
+                new = np.zeros(len(keys), bool)
+                for i, key in enumerate(keys):
+                    if key is not None and key not in seen:
+                        new[i] = True
+                        seen.add(key)
+                if not new.any():
+                    continue
+                shorts = np.array([short_key(k) for k, x in zip(keys, new, strict=True) if x], np.uint64)
+                sig, kind, owner, _ = signatures(tokens[np.repeat(new, sizes)], sizes[new], rule)
+                yield pa.RecordBatch.from_arrays([_signed(sig), _signed(kind | shorts[owner])], names=["sig", "who"])
 
     return docs.select("text").mapInArrow(run, "sig long, who long")
 
@@ -250,47 +294,44 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out
 
 
-def _sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """(key, tokens) of the rows whose id is in ``ids``; these are broadcast up to a checked number."""
-    ids = F.broadcast(ids) if small_enough(ids, BROADCAST_ROWS) else ids
-    wanted = docs.join(ids, docs["id"].eqNullSafe(ids["_id"]), "left_semi").select("text")
+def _with_tokens(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """``wanted`` (_id, key, other columns) with the tokens of the row of ``docs`` that has the id and
+    the key. Up to a checked number of rows, ``wanted`` is broadcast."""
+    wanted = F.broadcast(wanted) if small_enough(wanted, BROADCAST_ROWS) else wanted
+    carried = [c for c in wanted.columns if c != "_id"]
+    rows = docs.join(wanted, docs["id"].eqNullSafe(wanted["_id"])).select("text", *carried)
+    fields = ", ".join(f"{c} {wanted.schema[c].dataType.simpleString()}" for c in carried)
+    key_at = 1 + carried.index("key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, tokens, offsets = [], [], [0]
-            for t in batch.column(0):
-                found = shingles(t.as_py(), n)
-                keys.append(class_key(found))
-                tokens.append(found)
-                offsets.append(offsets[-1] + len(found))
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), _signed(np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), lists], names=["key", "tokens"])
+            at = 0
+            for texts in chunks(batch.column(0)):
+                tokens, sizes = shingles(texts, n)
+                keys = keys_of(tokens, sizes)
+                part = batch.slice(at, len(texts))
+                at += len(texts)
+                same = np.array([a == b for a, b in zip(keys, part.column(key_at).to_pylist(), strict=True)], bool)
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), _signed(tokens))
+                picked = pa.array(same)
+                yield pa.RecordBatch.from_arrays([*(c.filter(picked) for c in part.columns[1:]), lists.filter(picked)], names=[*carried, "tokens"])
 
-    return wanted.mapInArrow(run, "key binary, tokens array<long>")
+    return rows.mapInArrow(run, f"{fields}, tokens array<long>")
 
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, rule: Rule, n: int) -> DataFrame:
-    """Of the pairs of short keys (a, b): the linked pairs of classes, as keys."""
+    """Of the pairs of short keys (a, center): the linked pairs of classes, as keys (a, b). The sets
+    of the a's are shuffled once, to their centers."""
     one = classes.select(F.col("short").alias("a"), F.col("key").alias("ka"), F.col("n_shingles").alias("na"), F.col("id").alias("ia"))
-    two = classes.select(F.col("short").alias("b"), F.col("key").alias("kb"), F.col("n_shingles").alias("nb"), F.col("id").alias("ib"))
-    near = pairs.join(one, "a").join(two, "b").where(F.least("na", "nb") * rule.den >= F.greatest("na", "nb") * rule.num)
+    two = classes.select(F.col("short").alias("center"), F.col("key").alias("kb"), F.col("n_shingles").alias("nb"), F.col("id").alias("ib"))
+    near = pairs.join(one, "a").join(two, "center").where(F.least("na", "nb") * rule.den >= F.greatest("na", "nb") * rule.num)
     near = near.select("ka", "kb", "na", "nb", "ia", "ib").checkpoint()
-    if near.isEmpty():
-        return near.select(F.col("ka").alias("a"), F.col("kb").alias("b"))
-    ids = near.select(F.col("ia").alias("_id")).union(near.select("ib")).distinct()
-    sets = written(_sets(docs, ids, n), "shingle-sets")
-    a = sets.select(F.col("key").alias("ka"), F.col("tokens").alias("ta"))
-    b = sets.select(F.col("key").alias("kb"), F.col("tokens").alias("tb"))
-    both = F.size(F.array_intersect("ta", "tb")).cast("long")
-    linked = near.select("ka", "kb", "na", "nb").join(a, "ka").join(b, "kb").where(both * rule.den >= (F.col("na") + F.col("nb") - both) * rule.num)
-    linked = linked.select(F.col("ka").alias("a"), F.col("kb").alias("b")).distinct().checkpoint()
-    discard(sets)
-    return linked
-
-
-def _labels(classes: DataFrame, links: DataFrame) -> DataFrame:
-    """(key, root) of all classes on a link."""
-    return components(links).withColumnRenamed("node", "key")
+    a = _with_tokens(docs, near.select(F.col("ia").alias("_id"), F.col("ka").alias("key"), "kb", "na", "nb"), n)
+    b = _with_tokens(docs, near.select(F.col("ib").alias("_id"), F.col("kb").alias("key")).distinct(), n)
+    b = b.select(F.col("key").alias("kb"), F.col("tokens").alias("other"))
+    both = F.size(F.array_intersect("tokens", "other")).cast("long")
+    linked = a.join(b, "kb").where(both * rule.den >= (F.col("na") + F.col("nb") - both) * rule.num)
+    return linked.select(F.col("key").alias("a"), F.col("kb").alias("b")).distinct().checkpoint()
 
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: tuple[int, int] = (75, 100)) -> DataFrame:
@@ -315,8 +356,8 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = met.withColumns({"a": F.col("who").bitwiseAND(F.lit(~3)), "kind": F.col("who").bitwiseAND(F.lit(3))})
 
     # First links: each set against the first one on some of its signatures.
-    some = met.where("sig % 4 = 0 AND a <> center").select(F.least("a", "center").alias("a"), F.greatest("a", "center").alias("b")).distinct()
-    links = _verified(docs, classes, some, rule, n)
+    some = met.where("sig % 4 = 0 AND a <> center").select("a", "center").distinct()
+    labels = components(_verified(docs, classes, some, rule, n)).select(F.col("node").alias("key"), "root")
     # Allocation: which signatures each set has to look up.
     by_set = Window.partitionBy("a", "up")
     subset = F.col("kind") % 2 == 0
@@ -335,26 +376,24 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     meeting = rows.groupBy("sig").agg(F.max("looks").alias("l"), F.min("a").alias("x"), F.max("a").alias("y")).where("l AND x < y").select("sig")
     rows = written(rows.join(meeting, "sig", "left_semi"), "lookups")
 
-    for turn in range(3):
-        labels = _labels(classes, links)
-        known = classes.select("short", "key").join(labels, "key", "left").groupBy("short").agg(F.min(F.coalesce("root", "key")).alias("root"), F.count("key").alias("keys"))
-        known = known.select(F.col("short").alias("a"), F.when(F.col("keys") == 1, F.col("root")).otherwise(F.lit(None)).alias("root"))
-        placed = rows.join(known, "a")
-        split = placed.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.max(F.col("root").isNull()).alias("odd")).where("odd OR x < y").select("sig")
-        placed = placed.join(split, "sig", "left_semi").checkpoint()
-        if placed.isEmpty():
-            break
-        if turn < 2:  # one set of each signature, another one each turn, against the others
-            first = placed.groupBy("sig").agg(F.min(F.struct(F.xxhash64("a", "sig", F.lit(turn)).alias("h"), "a", "root")).alias("f"))
-            pairs = placed.join(first, "sig").where("a <> f.a AND NOT root <=> f.root").select(F.least("a", "f.a").alias("a"), F.greatest("a", F.col("f.a")).alias("b"))
-        else:  # what is still apart: every lookup against every set it meets
-            left = placed.where("looks").select("sig", "a", "root", "kind")
-            right = placed.where("kind < 2").select("sig", F.col("a").alias("b"), F.col("root").alias("other"), F.col("kind").alias("found"))
-            pairs = left.join(right, "sig").where("a <> b AND NOT root <=> other AND (found = 0 OR kind % 2 = 0)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        links = links.union(_verified(docs, classes, pairs.distinct(), rule, n)).distinct().checkpoint()
-
-    labels = _labels(classes, links)
-    rooted = table.join(labels, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    # What is still apart: every lookup against every set it meets.
+    known = classes.select("short", "key").join(labels, "key", "left").groupBy("short").agg(F.min(F.coalesce("root", "key")).alias("root"), F.count("key").alias("keys"))
+    known = known.select(F.col("short").alias("a"), F.when(F.col("keys") == 1, F.col("root")).otherwise(F.lit(None)).alias("root"))
+    placed = rows.join(known, "a")
+    split = placed.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.max(F.col("root").isNull()).alias("odd")).where("odd OR x < y").select("sig")
+    placed = placed.join(split, "sig", "left_semi").checkpoint()
+    left = placed.where("looks").select("sig", "a", "root", "kind")
+    right = placed.where("kind < 2").select("sig", F.col("a").alias("b"), F.col("root").alias("other"), F.col("kind").alias("found"))
+    pairs = left.join(right, "sig").where("a <> b AND NOT root <=> other AND (found = 0 OR kind % 2 = 0)")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("center")).distinct()
+    more = _verified(docs, classes, pairs, rule, n)
+
+    # Components of the first links' components.
+    first = classes.select("key").join(labels, "key", "left").select("key", F.coalesce("root", "key").alias("root")).checkpoint()
+    ends = more.join(first.select(F.col("key").alias("a"), F.col("root").alias("ra")), "a").join(first.select(F.col("key").alias("b"), F.col("root").alias("rb")), "b")
+    last = components(ends, "ra", "rb").select(F.col("node").alias("root"), F.col("root").alias("top"))
+    joined = first.join(last, "root", "left").select("key", F.coalesce("top", "root").alias("root"))
+    rooted = table.join(joined, "key", "left")
     smallest = rooted.where("key IS NOT NULL").groupBy("root").agg(F.min("id").alias("smallest"))
     out = rooted.join(smallest, "root", "left")
     return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("smallest", "id").alias("component_id"), F.col("key").alias("class_key"))

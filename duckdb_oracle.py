@@ -3,7 +3,7 @@
 Written independently of the Spark code, in the literal relational form of each model (unit
 explosion for FIFO lots, one join per dated lookup, a full calendar grid for the price check),
 over the same projections of the driver's tables as ``kabuto/sources/fixtures.py``.
-Money sums are DECIMAL(38,6) cast back to DOUBLE, as on the Spark side.
+Money sums are exact: each amount is split into a DECIMAL(38,6) part and a DECIMAL(38,24) rest.
 """
 
 from __future__ import annotations
@@ -11,12 +11,12 @@ from __future__ import annotations
 import datetime as dt
 
 from kabuto.sources import fixtures as X
-from kabuto.operators.checks import CANONICAL_DATETIME
-from kabuto.sources.schemas import ASSET_TYPES, RunDates
+from kabuto.sources.schemas import RunDates
 from kabuto.plans.catalog import PRICE_DATES_PREVIOUS, REPORT_FROM, STREAM_SPLIT
-from kabuto.streaming.incremental import LOOKBACK_DAYS
 
-MONEY = "DECIMAL(38,6)"
+
+# Date with dashes, then optionally a time, with optional seconds and fraction.
+DATETIME_TEXT = r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}(\.[0-9]{1,6})?)?)?"
 
 
 def D(d: dt.date) -> str:
@@ -33,7 +33,8 @@ def PW(x: str) -> str:
 
 
 def MSUM(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS {MONEY})) AS DOUBLE)"
+    high = f"CAST({x} AS DECIMAL(38,6))"
+    return f"(CAST(SUM({high}) AS DOUBLE) + CAST(SUM(CAST({x} - CAST({high} AS DOUBLE) AS DECIMAL(38,24))) AS DOUBLE))"
 
 
 def months_back(d: dt.date, n: int) -> str:
@@ -172,13 +173,13 @@ def positions_ctes(s: str, as_of: dt.date) -> str:
     a = D(as_of)
     return f""",
 pos_units_{s} AS (
-  SELECT account, ticker, trade_type, price, trade_date, memo, order_count, unnest(generate_series(1, order_count)) AS u
+  SELECT account, ticker, trade_type, price, trade_date, event_time_jst, memo, order_count, unnest(generate_series(1, order_count)) AS u
   FROM stg_trade_history
   WHERE trade_date <= {a} AND ticker != 'cash' AND order_count >= 1 AND trade_type IN ('buy', 'sell')
 ),
 pos_idx_{s} AS (
   SELECT account, ticker, trade_type, price,
-    ROW_NUMBER() OVER (PARTITION BY account, ticker, trade_type ORDER BY trade_date, memo, price, order_count, u) AS idx
+    ROW_NUMBER() OVER (PARTITION BY account, ticker, trade_type ORDER BY trade_date, event_time_jst, memo, price, order_count, u) AS idx
   FROM pos_units_{s}
 ),
 positions_{s} AS (
@@ -325,57 +326,53 @@ SELECT * FROM ({cross[1]}) WHERE base_date BETWEEN {D(REPORT_FROM)} AND {D(AS_OF
 ORDER BY ticker, base_date"""
 
 
-def _checks() -> str:
-    def row(table, kind, col, expr):
+def _checks(sources: dict[str, str]) -> str:
+    """One row per declared check; ``sources`` maps table names to SQL."""
+    never_null = {
+        "ref_ticker_info": "ticker, asset_type, asset_name, is_active_weekend",
+        "dim_summary_ticker_list": "ticker, order_group, order_index",
+        "stg_asset_status_history": "event_time_jst, ticker, is_monitor, is_watch",
+        "stg_trade_history": "event_time_jst, trade_date, ticker, trade_type, account, order_count, price",
+        "stg_price_data": "base_date, ticker, ohlc_type, fetch_time_jst",
+        "stg_entry_point": "ticker, entry_price",
+        "dwh_trade_history_with_cash": "event_time_jst, trade_date, ticker, trade_type, account, order_count, price",
+        "dwh_asset_master": "ticker, asset_name, asset_type, is_monitor, is_watch, latest_status_chg_time_jst",
+        "dwh_price_history": "base_date, ticker, ohlc_type, price, fetch_time_jst",
+        "dwh_daily_position": "account, ticker, position, avg_buy_price, partition_date",
+        "dm_daily_aum": "account, ticker, asset_type, asset_name, position, value_price, current_value, partition_date",
+        "dm_daily_position_value": "account, ticker, asset_type, asset_name, position, avg_buy_price, close_price, "
+        "unrealized_value, unrealized_return_ratio, partition_date",
+        "dm_daily_all_term_pl": "account, ticker, asset_type, asset_name, total_buy_amount, sell_amount_already, "
+        "position_close_amount, total_sell_amount, pl_amount_all_term, partition_date",
+        "dm_daily_summary": "ticker, order_group, asset_name, is_active_weekend, base_date, recent_date, prev_date, date_7day_ago, date_28day_ago",
+        "dm_watch_entry_point": "ticker, add_date, entry_price, recent_price",
+    }
+    never_negative = {
+        "dwh_daily_position": "position",
+        "dm_daily_aum": "position, value_price, current_value",
+        "dm_daily_position_value": "position, avg_buy_price, close_price",
+        "dm_daily_all_term_pl": "total_buy_amount",
+    }
+
+    def row(table, kind, col, expr, severity="error", tags=""):
         return (
-            f"SELECT '{table}' AS table_name, '{kind}' AS check_name, '{col}' AS column_name, 'error' AS severity, "
-            f"'' AS tags, CAST({expr} AS BIGINT) AS failures"
+            f"SELECT '{table}' AS table_name, '{kind}' AS check_name, '{col}' AS column_name, '{severity}' AS severity, "
+            f"'{tags}' AS tags, CAST({expr} AS BIGINT) AS failures"
         )
 
-    def nn(table, src, col):
-        return row(table, "not_null", col, f"(SELECT count(*) FROM {src} WHERE {col} IS NULL)")
-
-    def uq(table, src, col):
-        return row(table, "unique", col, f"(SELECT count(*) FROM (SELECT {col} FROM {src} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1))")
-
-    def ge0(table, src, col):
-        return row(table, "expression_is_true", col, f"(SELECT count(*) FROM {src} WHERE NOT ({col} >= 0))")
-
-    types = ", ".join(f"'{t}'" for t in ASSET_TYPES)
-    parts = [
-        nn("ref_ticker_info", "ref_ticker_info", "ticker"),
-        uq("ref_ticker_info", "ref_ticker_info", "ticker"),
-        nn("ref_ticker_info", "ref_ticker_info", "asset_type"),
-        row("ref_ticker_info", "accepted_values", "asset_type", f"(SELECT count(DISTINCT asset_type) FROM ref_ticker_info WHERE asset_type NOT IN ({types}))"),
-        nn("ref_ticker_info", "ref_ticker_info", "asset_name"),
-        nn("ref_ticker_info", "ref_ticker_info", "is_active_weekend"),
-        nn("dim_summary_ticker_list", "dim_summary_ticker_list", "ticker"),
-        uq("dim_summary_ticker_list", "dim_summary_ticker_list", "ticker"),
-        nn("dim_summary_ticker_list", "dim_summary_ticker_list", "order_group"),
-        nn("dim_summary_ticker_list", "dim_summary_ticker_list", "order_index"),
-        nn("raw_trade_history", "raw_trade_history", "timestamp_jst"),
-        row(
-            "raw_trade_history",
-            "is_datetime",
-            "timestamp_jst",
-            "(SELECT count(*) FROM raw_trade_history WHERE timestamp_jst IS NOT NULL AND NOT (regexp_full_match(timestamp_jst, "
-            f"'{CANONICAL_DATETIME.strip('^$')}') AND TRY_CAST(timestamp_jst AS TIMESTAMP) IS NOT NULL))",
-        ),
-    ]
-    parts += [nn("raw_trade_history", "raw_trade_history", c) for c in ["ticker", "trade_type", "account", "order_count", "price"]]
-    parts += [nn("dwh_price_history", "price_history_pd", c) for c in ["base_date", "ticker", "ohlc_type", "price", "fetch_time_jst"]]
-    parts += [
-        nn("dwh_daily_position", "positions_asof", "account"),
-        nn("dwh_daily_position", "positions_asof", "ticker"),
-        nn("dwh_daily_position", "positions_asof", "position"),
-        ge0("dwh_daily_position", "positions_asof", "position"),
-        nn("dwh_daily_position", "positions_asof", "avg_buy_price"),
-        nn("dm_daily_aum", "aum", "asset_type"),
-        ge0("dm_daily_aum", "aum", "position"),
-        ge0("dm_daily_aum", "aum", "value_price"),
-        ge0("dm_daily_aum", "aum", "current_value"),
-    ]
-    return "\n" + _aum_cte() + "\n" + "\nUNION ALL\n".join(parts)
+    ctes, parts = [], []
+    for table, columns in never_null.items():
+        ctes.append(f"checked_{table} AS MATERIALIZED ({sources[table]})")
+        parts += [row(table, "not_null", c, f"(SELECT count(*) - count({c}) FROM checked_{table})") for c in columns.split(", ")]
+        low = [c for c in never_negative.get(table, "").split(", ") if c]
+        parts += [row(table, "expression_is_true", c, f"(SELECT count(*) FROM checked_{table} WHERE {c} < 0)") for c in low]
+    for table in ("ref_ticker_info", "dim_summary_ticker_list"):
+        parts.append(row(table, "unique", "ticker", f"(SELECT count(*) FROM (SELECT ticker FROM {table} WHERE ticker IS NOT NULL GROUP BY ticker HAVING count(*) > 1))"))
+    types = "'指数', '株', '為替', '金利', 'Crypto', 'コモディティ', 'REIT'"
+    parts.append(row("ref_ticker_info", "accepted_values", "asset_type", f"(SELECT count(DISTINCT asset_type) FROM ref_ticker_info WHERE asset_type NOT IN ({types}))"))
+    good = f"regexp_full_match(timestamp_jst, '{DATETIME_TEXT}') AND TRY_CAST(timestamp_jst AS TIMESTAMP) IS NOT NULL"
+    parts.append(row("raw_trade_history", "is_datetime", "timestamp_jst", f"(SELECT count(*) FROM raw_trade_history WHERE timestamp_jst IS NOT NULL AND NOT ({good}))", "warn", "raw,format"))
+    return ",\n" + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(parts)
 
 
 def _aum_cte() -> str:
@@ -431,20 +428,20 @@ FROM ew t0 LEFT JOIN (SELECT * FROM close_bf WHERE base_date BETWEEN {a} - 7 AND
 
 def _stream_ctes() -> tuple[str, str]:
     """Two incremental runs as the streaming driver performs them: each batch recomputes from
-    its earliest date to the latest date known, reading 27 days further back."""
+    its earliest date to the latest date known, reading as far back as a value can come from."""
     split = D(STREAM_SPLIT)
     lo1 = f"(SELECT min(date) FROM raw_price_data WHERE date <= {split})"
     hi1 = f"(SELECT max(date) FROM raw_price_data WHERE date <= {split})"
     lo2 = f"(SELECT min(date) FROM raw_price_data WHERE date > {split})"
     hi2 = "(SELECT max(date) FROM raw_price_data)"
-    back = LOOKBACK_DAYS
+    back = 60  # more than any fill can reach
     return price_history_ctes("s1", (f"({lo1} - {back})", lo1, hi1)), price_history_ctes("s2", (f"({lo2} - {back})", lo2, hi2))
 
 
 def oracle_sql() -> dict[str, str]:
     a = D(AS_OF)
     ratio = "(close_price - avg_buy_price) / avg_buy_price"
-    return {
+    sql = {
         "stg_prices": _with() + "\nSELECT * FROM stg_price_data",
         "stg_trades": _with() + "\nSELECT * FROM stg_trade_history",
         "stg_status": _with() + "\nSELECT * FROM stg_asset_status_history",
@@ -498,7 +495,6 @@ SELECT * FROM price_history_prev p
 WHERE NOT EXISTS (SELECT 1 FROM price_history_pd c WHERE c.ticker = p.ticker AND c.base_date = p.base_date AND c.ohlc_type = p.ohlc_type)
 UNION ALL
 SELECT * FROM price_history_pd""",
-        "quality_checks": _with(PH_PD, PH_BF, POS, VALUED) + _checks(),
         "streaming_price_history": _with(*_stream_ctes()) + "\nSELECT * FROM price_history_s1 UNION ALL SELECT * FROM price_history_s2",
         "net_position_check": _with(POS_CUT)
         + f"""
@@ -512,3 +508,19 @@ SELECT coalesce(d.account, n.account) AS account, coalesce(d.ticker, n.ticker) A
 FROM d FULL OUTER JOIN n ON d.account = n.account AND d.ticker = n.ticker
 WHERE coalesce(d.position, 0) != coalesce(n.net_position, 0)""",
     }
+    plain = {n: f"SELECT * FROM {n}" for n in ("ref_ticker_info", "dim_summary_ticker_list", "stg_asset_status_history", "stg_trade_history", "stg_price_data", "stg_entry_point")}
+    sql["quality_checks"] = _with() + _checks(
+        plain
+        | {
+            "dwh_trade_history_with_cash": "SELECT * FROM trades_with_cash",
+            "dwh_asset_master": "SELECT * FROM asset_master",
+            "dwh_price_history": sql["price_history"],
+            "dwh_daily_position": sql["open_lots"],
+            "dm_daily_aum": sql["aum"],
+            "dm_daily_position_value": sql["position_value"],
+            "dm_daily_all_term_pl": sql["all_term_pl"],
+            "dm_daily_summary": sql["daily_summary"],
+            "dm_watch_entry_point": sql["entry_watch"],
+        }
+    )
+    return sql

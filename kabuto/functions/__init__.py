@@ -3,7 +3,6 @@
 from kabuto.functions.columns import (  # noqa: F401
     add_months_back,
     is_weekend,
-    money,
     money_sum,
     parse_datetime,
     prev_weekday,

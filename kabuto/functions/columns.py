@@ -73,16 +73,31 @@ def safe_divide(a: ColumnOrName, b: ColumnOrName) -> Column:
     return F.try_divide(_c(a), _c(b))
 
 
-# Money is summed exactly as DECIMAL and only the total is turned back into DOUBLE, so sums do
-# not depend on the order in which partitions are combined (bit-identical across engines too).
-MONEY_SCALE = 6
-MONEY = T.DecimalType(38, MONEY_SCALE)
+# Money is summed as two exact DECIMAL parts, what fits six decimals and what is left of it, and
+# only the totals are turned back into DOUBLE. Sums then do not depend on the order in which
+# partitions are combined, and amounts far below 1e-6 are not lost.
+MONEY = T.DecimalType(38, 6)
+MONEY_REST = T.DecimalType(38, 24)
 
 
-def money(c: ColumnOrName) -> Column:
-    return _c(c).cast(MONEY)
+def money_parts(c: ColumnOrName) -> tuple[Column, Column]:
+    """A DOUBLE amount as (its six-decimal part, the rest), both exact DECIMALs."""
+    high = _c(c).cast(MONEY)
+    return high, (_c(c) - high.cast(T.DoubleType())).cast(MONEY_REST)
 
 
-def money_sum(c: ColumnOrName) -> Column:
-    """``SUM(x)`` of a DOUBLE amount, accumulated exactly and returned as DOUBLE (NULL if no rows)."""
-    return F.sum(money(c)).cast(T.DoubleType())
+def money_total(high: Column, rest: Column) -> Column:
+    """The DOUBLE total of the two summed parts."""
+    return high.cast(T.DoubleType()) + rest.cast(T.DoubleType())
+
+
+def money_sum(c: ColumnOrName, units: ColumnOrName | None = None) -> Column:
+    """``SUM(x)`` of a DOUBLE amount, accumulated exactly and returned as DOUBLE (NULL if no rows).
+
+    With ``units`` (whole numbers), each amount counts that many times; the products are exact, too
+    (amounts up to 1e14, units up to 1e17)."""
+    high, rest = money_parts(c)
+    if units is not None:
+        times = _c(units).cast(T.DecimalType(17, 0))
+        high, rest = high.cast(T.DecimalType(20, 6)) * times, rest.cast(T.DecimalType(20, 20)) * times
+    return money_total(F.sum(high), F.sum(rest))

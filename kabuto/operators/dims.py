@@ -2,32 +2,25 @@
 
 from __future__ import annotations
 
-import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we hint as broadcast. Seeds hold tens of rows; anything past this bound is
-# joined by shuffle (and AQE may still broadcast it if its real size turns out small).
-BROADCAST_MAX_ROWS = 1_000_000
+# Largest dimension we hint as broadcast, by the planner's size estimate of its analysed plan.
+# Seeds hold tens of rows; anything past this bound is joined as the planner sees fit (and AQE may
+# still broadcast it if its real size turns out small).
+BROADCAST_MAX_BYTES = 64 << 20
 
-_DECIDED: "weakref.WeakKeyDictionary[DataFrame, tuple[int, DataFrame]]" = weakref.WeakKeyDictionary()
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The planner's estimate of the size of ``df`` (no job runs). Unknown sizes are huge."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` only after proving ``df`` has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows (a LIMIT job). Beyond the bound the frame is
-    returned unhinted so the planner picks a shuffle join.
-    """
-    done = _DECIDED.get(df)
-    if done is not None and done[0] == max_rows:
-        return done[1]
-    n = df.limit(max_rows + 1).count()
-    out = F.broadcast(df) if n <= max_rows else df
-    _DECIDED[df] = (max_rows, out)  # decided once per DataFrame object
-    return out
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` if its estimated size is at most ``max_bytes``, else ``df`` unhinted."""
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
 
 
 def enrich(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], columns: Sequence[str], small: bool = True) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kabuto.functions.columns import MONEY, as_date, money, money_sum
+from kabuto.functions.columns import MONEY, MONEY_REST, as_date, money_parts, money_sum, money_total
 
 
 def mirror_cash(
@@ -137,7 +137,7 @@ def trade_flows(
     """Everything the daily marts need from the trade history, per (keys, day), in one scan:
 
       _buy_units / _sell_units  unit runs bought / sold (FIFO day table of ``open_lots``)
-      _buy_amount / _sell_amount  price x quantity of buys / sells (exact DECIMAL)
+      _buy_amount / _sell_amount  price x quantity of buys / sells (exact DECIMAL, in two columns)
       _net_qty                  bought minus sold quantity (any non-buy side subtracts)
       _cash_delta               effect on the mirrored cash ledger (exact DECIMAL)
 
@@ -153,15 +153,20 @@ def trade_flows(
     return t.groupBy(*keys, date_col).agg(
         F.sum(F.when(is_buy, units)).alias("_buy_units"),
         F.sum(F.when(is_sell, units)).alias("_sell_units"),
-        F.sum(money(F.when(is_buy, amt))).alias("_buy_amount"),
-        F.sum(money(F.when(is_sell, amt))).alias("_sell_amount"),
+        *_summed_parts(F.when(is_buy, amt), "_buy_amount"),
+        *_summed_parts(F.when(is_sell, amt), "_sell_amount"),
         F.sum(F.when(is_buy, F.col(qty)).otherwise(F.lit(-1) * F.col(qty))).alias("_net_qty"),
-        F.sum(money(F.when(F.col(instrument) == cash, own).when(F.col(instrument) != cash, leg))).alias("_cash_delta"),
+        *_summed_parts(F.when(F.col(instrument) == cash, own).when(F.col(instrument) != cash, leg), "_cash_delta"),
     )
 
 
+def _summed_parts(amt, name: str):
+    high, rest = money_parts(amt)
+    return F.sum(high).cast(MONEY).alias(name), F.sum(rest).cast(MONEY_REST).alias(f"{name}_rest")
+
+
 def _money_total(c: str):
-    return F.sum(F.col(c)).cast(MONEY).cast(T.DoubleType())
+    return money_total(F.sum(F.col(c)).cast(MONEY), F.sum(F.col(f"{c}_rest")).cast(MONEY_REST))
 
 
 def totals_from_flows(flows: DataFrame, keys: Sequence[str] = ("account", "ticker"), instrument: str = "ticker", cash: str = "cash") -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kabuto.functions.columns import as_date, money
+from kabuto.functions.columns import as_date, money_sum
 from kabuto.session import ensure_checkpoint_dir
 
 
@@ -170,7 +170,7 @@ def _summarise(lots: DataFrame, keys: list[str], units: str, px: str, as_of, par
     priced = F.when(F.col(px).isNotNull(), F.col(units))
     return lots.groupBy(*keys).agg(
         F.sum(units).cast(T.LongType()).alias("position"),
-        (F.sum(money(F.col(units) * F.col(px))).cast(T.DoubleType()) / F.sum(priced)).alias("avg_buy_price"),
+        (money_sum(px, units) / F.sum(priced)).alias("avg_buy_price"),
     ).withColumn(partition_col, as_date(as_of))
 
 

@@ -21,17 +21,16 @@ class DuplicateKeyError(ValueError):
     pass
 
 
-def merge_batch(old: DataFrame, new: DataFrame, keys: Sequence[str], replace_partition: bool = False) -> DataFrame:
+def merge_batch(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The merged content of the touched partitions: ``old`` minus rows keyed like ``new``, plus
     ``new``. NULL keys never match (such rows are always inserted and never replaced)."""
-    if replace_partition:
-        return new
     return old.join(new.select(*keys), list(keys), "left_anti").unionByName(new.select(*old.columns))
 
 
-def _read_target(spark: SparkSession, path: str, schema) -> DataFrame | None:
+def existing_table(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The table at ``path``, or None if there is none yet; any other failure is raised."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     except AnalysisException as e:  # no table yet
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return None
@@ -39,7 +38,7 @@ def _read_target(spark: SparkSession, path: str, schema) -> DataFrame | None:
 
 
 def table_missing(spark: SparkSession, path: str, schema) -> bool:
-    return _read_target(spark, path, schema) is None
+    return existing_table(spark, path, schema) is None
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
@@ -56,16 +55,23 @@ def upsert_partitions(
     partition_col: str,
     replace_partition: bool = False,
     check_unique: bool = True,
+    partitions: Sequence = (),
 ) -> list:
     """Upsert ``new`` into the Parquet table at ``path``; returns the partitions written.
 
     ``replace_partition=True`` rewrites touched partitions with the batch only (drops rows the
-    batch no longer produces, e.g. a position closed by a late sell).
+    batch no longer produces, e.g. a position closed by a late sell). ``partitions`` then names
+    the partitions that the batch stands for: those without a row in it are emptied, also when
+    the batch has no row at all.
+
+    A NULL partition value is a partition of its own: its stored rows are kept, as NULL keys
+    never match.
 
     The batch is checkpointed once to the session's shared checkpoint folder, so its plan runs
     a single time for the key check, the partition list and the merge. The merged partitions
     are checkpointed again before the overwrite: the write never reads the files it replaces,
-    and a lost executor recomputes from the checkpoint, not from the target.
+    and a lost executor recomputes from the checkpoint, not from the target. A batch that
+    replaces whole partitions is written from its own checkpoint.
     """
     if partition_col not in keys:
         raise ValueError("the upsert key must contain the partition column")
@@ -83,21 +89,38 @@ def upsert_partitions(
     if check_unique and any(r["_n"] > 1 for r in per_part):
         assert_unique(new, keys)
     touched = [r[partition_col] for r in per_part]
-    if not touched:
-        return []
-    old = _read_target(spark, path, new.schema)
+    order = lambda values: sorted(values, key=lambda v: (v is not None, v))
+    emptied = [p for p in partitions if p not in touched] if replace_partition else []
+    old = existing_table(spark, path, new.schema) if touched or emptied else None
     if old is None:
-        new.write.partitionBy(partition_col).parquet(path)
-        return sorted(touched)
-    old = old.filter(F.col(partition_col).isin(touched))
-    merged = merge_batch(old, new, keys, replace_partition).checkpoint(eager=True)
+        if touched:
+            new.write.partitionBy(partition_col).parquet(path)
+        return order(touched)
+    for value in emptied:
+        _drop_partition(spark, path, partition_col, value)
+    if not touched:
+        return order(emptied)
+    if replace_partition:
+        merged = new
+    else:
+        present = F.col(partition_col).isin([p for p in touched if p is not None])
+        if None in touched:
+            present = present | F.col(partition_col).isNull()
+        merged = merge_batch(old.filter(present), new, keys).checkpoint(eager=True)
     (
         merged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
         .parquet(path)
     )
-    return sorted(touched)
+    return order([*touched, *emptied])
+
+
+def _drop_partition(spark: SparkSession, path: str, partition_col: str, value) -> None:
+    """Remove the folder of one partition (nothing if it isn't there)."""
+    name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={name}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def read_table(spark: SparkSession, path: str, schema) -> DataFrame:

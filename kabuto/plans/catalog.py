@@ -19,9 +19,10 @@ from kabuto.operators.ledger import net_units
 from kabuto.operators.series import cross_rates
 from kabuto.operators.upsert import read_table, upsert_partitions
 from kabuto.plans import marts, reports, staging, warehouse
+from kabuto.plans.declared import DECLARED
 from kabuto.session import scratch_path
 from kabuto.sources import fixtures as X
-from kabuto.sources.schemas import ASSET_TYPES, CROSS_RATE_PAIRS, FILL_MAX_ROWS, RunDates
+from kabuto.sources.schemas import CROSS_RATE_PAIRS, FILL_MAX_ROWS, RunDates
 
 # Earlier run used by the upsert query (the later run is X.PRICE_DATES).
 PRICE_DATES_PREVIOUS = RunDates(dt.date(2024, 1, 27), dt.date(2024, 1, 25), dt.date(2023, 12, 31))
@@ -130,45 +131,30 @@ def streaming_price_history(i: Inputs) -> DataFrame:
 
 
 def quality_checks(i: Inputs) -> DataFrame:
-    """The declared column checks over the dimension, staging, warehouse and mart tables."""
-    nn = Q.not_null
+    """All declared column checks, over the dimensions, the staging, warehouse and mart tables."""
     pos = i.positions()
-    results = [
-        Q.run_checks(
-            i.tickers,
-            [nn("ticker"), Q.unique("ticker"), nn("asset_type"), Q.accepted_values("asset_type", ASSET_TYPES), nn("asset_name"), nn("is_active_weekend")],
-            "ref_ticker_info",
-        ),
-        Q.run_checks(
-            i.raw("dim_summary_ticker_list"),
-            [nn("ticker"), Q.unique("ticker"), nn("order_group"), nn("order_index")],
-            "dim_summary_ticker_list",
-        ),
-        Q.run_checks(
-            i.raw("raw_trade_history"),
-            [nn("timestamp_jst"), Q.is_datetime("timestamp_jst"), nn("ticker"), nn("trade_type"), nn("account"), nn("order_count"), nn("price")],
-            "raw_trade_history",
-        ),
-        Q.run_checks(
-            i.price_history(X.PRICE_DATES),
-            [nn("base_date"), nn("ticker"), nn("ohlc_type"), nn("price"), nn("fetch_time_jst")],
-            "dwh_price_history",
-        ),
-        Q.run_checks(
-            pos,
-            [nn("account"), nn("ticker"), nn("position"), Q.expression_is_true("position", ">= 0"), nn("avg_buy_price")],
-            "dwh_daily_position",
-        ),
-        Q.run_checks(
-            marts.aum(i.trades, pos, i.tickers, i.close(), X.POSITION_AS_OF),
-            [nn("asset_type"), Q.expression_is_true("position", ">= 0"), Q.expression_is_true("value_price", ">= 0"), Q.expression_is_true("current_value", ">= 0")],
-            "dm_daily_aum",
-        ),
-    ]
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
-    return out
+    close, as_of = i.close(), X.POSITION_AS_OF
+    tables = {
+        "ref_ticker_info": i.tickers,
+        "dim_summary_ticker_list": i.raw("dim_summary_ticker_list"),
+        "stg_asset_status_history": i.status,
+        "stg_trade_history": i.trades,
+        "stg_price_data": i.price_rows,
+        "stg_entry_point": i.entries,
+        "dwh_trade_history_with_cash": warehouse.trade_history_with_cash(i.trades),
+        "dwh_asset_master": warehouse.asset_master(i.status, i.tickers),
+        "dwh_price_history": i.price_history(X.PRICE_DATES),
+        "dwh_daily_position": pos,
+        "dm_daily_aum": marts.aum(i.trades, pos, i.tickers, close, as_of),
+        "dm_daily_position_value": marts.position_value(pos, i.tickers, close, as_of),
+        "dm_daily_all_term_pl": marts.all_term_pl(i.trades, pos, i.tickers, close, as_of),
+        "dm_daily_summary": marts.daily_summary(i.raw("dim_summary_ticker_list"), i.tickers, i.price_history(), as_of),
+        "dm_watch_entry_point": marts.entry_watch(i.entries, i.tickers, close, as_of),
+    }
+    raw = Q.run_checks(i.raw("raw_trade_history"), [Q.is_datetime("timestamp_jst", severity="warn", tags=("raw", "format"))], "raw_trade_history")
+    for name, df in tables.items():
+        raw = raw.unionByName(Q.run_checks(df, DECLARED[name], name))
+    return raw
 
 
 def net_position_check(i: Inputs) -> DataFrame:
@@ -201,7 +187,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "daily_summary_report": lambda i: reports.daily_summary_report(i.raw("dim_summary_ticker_list"), i.tickers, i.price_history(), X.POSITION_AS_OF),
     "period_high": lambda i: marts.period_high(i.raw("dim_max_price"), i.tickers, i.raw("long_close"), X.HIGHS_AS_OF),
     "entry_watch": lambda i: marts.entry_watch(i.entries, i.tickers, i.close(), X.POSITION_AS_OF),
-    "price_check_report": lambda i: reports.price_check_report(i.prices, REPORT_FROM, X.POSITION_AS_OF),
+    "price_check_report": lambda i: reports.price_check_report(i.price_rows, REPORT_FROM, X.POSITION_AS_OF),
     "position_value_check": lambda i: reports.position_value_check(
         i.positions(), i.price_history(), warehouse.asset_master(i.status, i.tickers), X.POSITION_AS_OF
     ),

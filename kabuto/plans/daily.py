@@ -11,19 +11,20 @@ with wide run dates.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kabuto.operators import checks as Q
-from kabuto.operators.ledger import cash_from_flows, net_from_flows, totals_from_flows, trade_flows
+from kabuto.operators.ledger import cash_from_flows, net_from_flows, net_units, totals_from_flows, trade_flows
 from kabuto.operators.lots import open_lots
-from kabuto.operators.upsert import read_table, table_missing, upsert_partitions
+from kabuto.operators.upsert import existing_table, read_table, table_missing, upsert_partitions
 from kabuto.plans import marts, staging, warehouse
+from kabuto.plans.declared import DECLARED
 from kabuto.session import ensure_checkpoint_dir
 from kabuto.sources.descriptions import describe
-from kabuto.sources.schemas import ASSET_TYPES, RunDates
+from kabuto.sources.schemas import RunDates
 
 # Published tables: upsert key and partition column.
 TABLES: dict[str, tuple[list[str], str]] = {
@@ -39,15 +40,18 @@ TABLES: dict[str, tuple[list[str], str]] = {
 # One row per entry point: a ticker may carry several (even identical) entries, so no key is
 # unique. Each run fully determines its base_date partition, which is replaced as a whole.
 REPLACED = {"dm_watch_entry_point"}
+# Marts with a row per open position: replaced along with the positions.
+FROM_POSITIONS = {"dm_daily_aum", "dm_daily_position_value", "dm_daily_all_term_pl"}
 
 
-def publish(spark: SparkSession, df: DataFrame, root: str, name: str, replace_partition: bool = False) -> DataFrame:
-    """Upsert ``df`` into table ``name`` under ``root`` and return the published table."""
+def publish(spark: SparkSession, df: DataFrame, root: str, name: str, replace_partition: bool = False, partitions: Sequence = ()) -> DataFrame:
+    """Upsert ``df`` into table ``name`` under ``root`` and return the published table. A table that
+    is replaced loses its rows in ``partitions`` even where ``df`` has none."""
     keys, part = TABLES[name]
     path = f"{root.rstrip('/')}/{name}"
     df = describe(df)
     replace = replace_partition or name in REPLACED
-    written = upsert_partitions(spark, df, path, keys, part, replace_partition=replace, check_unique=not replace)
+    written = upsert_partitions(spark, df, path, keys, part, replace_partition=replace, check_unique=name not in REPLACED, partitions=partitions if replace else ())
     if not written and table_missing(spark, path, df.schema):
         return spark.createDataFrame([], df.schema)
     return read_table(spark, path, df.schema).select(*df.columns)
@@ -76,11 +80,10 @@ def register_views(spark: SparkSession, raw: Mapping[str, DataFrame], root: str
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    path = f"{root.rstrip('/')}/{name}"
-    try:
-        return spark.read.parquet(path)
-    except Exception as e:  # not published yet
-        raise ValueError(f"table {name} is not published under {root}; select it in this run") from e
+    found = existing_table(spark, f"{root.rstrip('/')}/{name}")
+    if found is None:
+        raise ValueError(f"table {name} is not published under {root}; select it in this run")
+    return found
 
 
 def run_daily(
@@ -111,7 +114,7 @@ def run_daily(
 
     def table(name: str, build, replace: bool = False) -> DataFrame:
         if name not in out:
-            out[name] = publish(spark, build(), root, name, replace) if name in sel else read_published(spark, root, name)
+            out[name] = publish(spark, build(), root, name, replace, [as_of]) if name in sel else read_published(spark, root, name)
         return out[name]
 
     flow_cache: list[DataFrame] = []
@@ -151,7 +154,7 @@ def run_daily(
         positions()
     for name, build in marts_built.items():
         if name in sel:
-            table(name, build)
+            table(name, build, replace_positions and name in FROM_POSITIONS)
     out["dwh_asset_master"] = warehouse.asset_master(staging.stg_asset_status_history(raw["raw_asset_status_history"]), tickers)
 
     if run_checks:
@@ -159,7 +162,8 @@ def run_daily(
         written = {k: v for k, v in out.items() if k in sel}
         if not check_all_partitions:
             written = {k: _written_partitions(v, k, dates) for k, v in written.items()}
-        out["checks"] = daily_checks(raw, written, net, dates)
+        named = None if select is None else sel | {"ref_ticker_info", "dim_summary_ticker_list"}
+        out["checks"] = daily_checks(raw, written, net, dates, named)
     return out
 
 
@@ -170,23 +174,45 @@ def _written_partitions(df: DataFrame, name: str, dates: RunDates) -> DataFrame:
     return df.filter(part == F.lit(dates.as_of))
 
 
-def daily_checks(raw: Mapping[str, DataFrame], t: Mapping[str, DataFrame], net: DataFrame | None, dates: RunDates) -> DataFrame:
-    """The declared column checks of the given published tables plus, with ``net``, the
-    position reconciliation (as a check row counting mismatching keys)."""
-    nn, ge0 = Q.not_null, lambda c: Q.expression_is_true(c, ">= 0")
+def check_published(spark: SparkSession, raw: Mapping[str, DataFrame], dates: RunDates, root: str, select: Iterable[str] | None = None, all_partitions: bool = False) -> DataFrame:
+    """The declared checks as a run of their own, over tables as published (nothing is built);
+    ``select`` names tables or views, default all that are there."""
+    names = set(select) if select is not None else None
+    if names is not None and names - set(DECLARED) - set(TABLES):
+        raise ValueError(f"unknown tables: {sorted(names - set(DECLARED) - set(TABLES))}")
+    tables = {}
+    for name in TABLES:
+        if names is None or name in names:
+            found = existing_table(spark, f"{root.rstrip('/')}/{name}")
+            if found is not None:
+                tables[name] = found if all_partitions else _written_partitions(found, name, dates)
+            elif names is not None:
+                raise ValueError(f"table {name} is not published under {root}")
+    net = None
+    if "dwh_daily_position" in tables:
+        net = net_units(staging.stg_trade_history(raw["raw_trade_history"]), dates.as_of)
+    return daily_checks(raw, tables, net, dates, names)
+
+
+def daily_checks(raw: Mapping[str, DataFrame], t: Mapping[str, DataFrame], net: DataFrame | None, dates: RunDates, select: Iterable[str] | None = None) -> DataFrame:
+    """The declared column checks of the dimensions, the views and the given published tables
+    (``select``: only these names) plus, with ``net``, the position reconciliation (as a check row
+    counting mismatching keys)."""
     d = dates.as_of
-    declared = {
-        "dwh_price_history": [nn(c) for c in ["base_date", "ticker", "ohlc_type", "price", "fetch_time_jst"]],
-        "dwh_daily_position": [nn("account"), nn("ticker"), nn("position"), ge0("position"), nn("avg_buy_price")],
-        "dm_daily_aum": [nn("asset_type"), ge0("position"), ge0("value_price"), ge0("current_value")],
-        "dm_daily_position_value": [nn("close_price"), ge0("position"), ge0("avg_buy_price"), ge0("close_price")],
-        "dm_daily_all_term_pl": [nn("total_buy_amount"), ge0("total_buy_amount")],
+    trades = staging.stg_trade_history(raw["raw_trade_history"])
+    views = {
+        "ref_ticker_info": raw["ref_ticker_info"],
+        "dim_summary_ticker_list": raw["dim_summary_ticker_list"],
+        "stg_asset_status_history": staging.stg_asset_status_history(raw["raw_asset_status_history"]),
+        "stg_trade_history": trades,
+        "stg_price_data": staging.price_rows(raw["raw_price_data"]),
+        "stg_entry_point": staging.stg_entry_point(raw["raw_entry_point"]),
+        "dwh_trade_history_with_cash": warehouse.trade_history_with_cash(trades),
     }
-    parts = [
-        Q.run_checks(raw["ref_ticker_info"], [nn("ticker"), Q.unique("ticker"), Q.accepted_values("asset_type", ASSET_TYPES), nn("is_active_weekend")], "ref_ticker_info"),
-        Q.run_checks(raw["dim_summary_ticker_list"], [nn("ticker"), Q.unique("ticker")], "dim_summary_ticker_list"),
-    ]
-    parts += [Q.run_checks(t[name], checks, name) for name, checks in declared.items() if name in t]
+    views["dwh_asset_master"] = warehouse.asset_master(views["stg_asset_status_history"], raw["ref_ticker_info"])
+    known = {**views, **t}
+    wanted = [name for name in DECLARED if name in known and (select is None or name in select)]
+    parts = [Q.run_checks(known[name], DECLARED[name], name) for name in wanted]
     if net is not None and "dwh_daily_position" in t:
         mismatches = Q.net_position_mismatches(t["dwh_daily_position"], net, d)
         parts.append(
@@ -199,6 +225,8 @@ def daily_checks(raw: Mapping[str, DataFrame], t: Mapping[str, DataFrame], net:
                 "failures",
             )
         )
+    if not parts:
+        return raw["ref_ticker_info"].sparkSession.createDataFrame([], Q.RESULT_SCHEMA)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -20,7 +20,7 @@ FRIDAY = 6
 def price_check_history(stg_prices: DataFrame) -> DataFrame:
     """Full price history on a daily calendar where a weekend day without its own price takes
     the Friday before (price and fetch time each fall back separately); days with neither are
-    left out.
+    left out. Rows without a ticker or type are left out, as they match no key.
 
     Instead of densifying every key over the whole calendar, joining it twice and discarding
     empty days, each latest row emits its own day and, for a Friday, a fallback entry for the
@@ -28,7 +28,8 @@ def price_check_history(stg_prices: DataFrame) -> DataFrame:
     first. Same rows, no join.
     """
     lo, hi = CHECK_CALENDAR
-    latest = latest_prices(stg_prices).select("base_date", "ticker", "ohlc_type", "price", "fetch_time_jst")
+    keyed = stg_prices.where(F.col("ticker").isNotNull() & F.col("ohlc_type").isNotNull())
+    latest = latest_prices(keyed).select("base_date", "ticker", "ohlc_type", "price", "fetch_time_jst")
     d = F.col("base_date")
     val = F.struct(F.col("price").alias("p"), F.col("fetch_time_jst").alias("t"))
 
@@ -62,28 +63,19 @@ def price_check_report(stg_prices: DataFrame, from_date: dt.date, as_of: dt.date
     second cross rate); ``filter_all_arms=True`` applies it to the whole union instead.
     """
     daily = price_check_history(stg_prices)
-    arms = [daily]
-    for base, quote, out in CROSS_RATE_PAIRS:
-        legs = daily.filter(F.col("ticker").isin(base, quote) & (F.col("ohlc_type") == "close"))
-        arms.append(
-            legs.groupBy("base_date").agg(
-                F.lit(out).alias("ticker"),
-                F.lit("close").alias("ohlc_type"),
-                F.round(F.max(F.when(F.col("ticker") == base, F.col("price"))) * F.max(F.when(F.col("ticker") == quote, F.col("price"))), 0).alias("price"),
-                F.max("fetch_time_jst").alias("fetch_time_jst"),
-            )
-        )
+    # One pass over the legs: each close price goes to the pairs it is the base or the quote of.
+    parts = F.array(*[F.struct(F.lit(out).alias("pair"), F.lit(leg).alias("leg"), F.lit(side).alias("side")) for base, quote, out in CROSS_RATE_PAIRS for leg, side in ((base, "base"), (quote, "quote"))])
+    legs = daily.filter(F.col("ohlc_type") == "close").withColumn("p", F.explode(F.filter(parts, lambda x: x["leg"] == F.col("ticker"))))
+    price = lambda side: F.max(F.when(F.col("p.side") == side, F.col("price")))
+    rates = legs.groupBy(F.col("p.pair").alias("ticker"), "base_date").agg(
+        F.round(price("base") * price("quote"), 0).alias("price"), F.max("fetch_time_jst").alias("fetch_time_jst")
+    )
+    rates = rates.withColumn("ohlc_type", F.lit("close")).select(*daily.columns)
     window = F.col("base_date").between(as_date(from_date), as_date(as_of)) & (F.col("ohlc_type") == "close")
     if filter_all_arms:
-        out = arms[0]
-        for a in arms[1:]:
-            out = out.unionByName(a)
-        out = out.filter(window)
+        out = daily.unionByName(rates).filter(window)
     else:
-        arms[-1] = arms[-1].filter(window)
-        out = arms[0]
-        for a in arms[1:]:
-            out = out.unionByName(a)
+        out = daily.unionByName(rates.filter((F.col("ticker") != CROSS_RATE_PAIRS[-1][2]) | window))
     return out.orderBy("ticker", "base_date")
 
 

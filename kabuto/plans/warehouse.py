@@ -20,7 +20,8 @@ from kabuto.sources.schemas import CLOSE, CROSS_RATE_PAIRS, FILL_MAX_ROWS, PRICE
 STATUS_ORDER = ["event_time_jst", "is_monitor", "is_watch"]  # all descending, NULLs last
 FETCH_ORDER = ["fetch_time_jst", "price"]
 
-TRADE_TIE_BREAK = ("memo", "price", "order_count")
+# First in is first out: within a day by the time of the trade, then by what else tells lots apart.
+TRADE_TIE_BREAK = ("event_time_jst", "memo", "price", "order_count")
 
 PRICE_KEYS = ["ticker", "base_date", "ohlc_type"]
 POSITION_KEYS = ["account", "ticker", "partition_date"]

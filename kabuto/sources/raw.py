@@ -15,8 +15,8 @@ def read_raw(spark: SparkSession, base_path: str, name: str, fmt: str = "parquet
     """Scan one raw feed (``raw_trade_history`` etc.) stored at ``{base_path}/{name}`` with its fixed schema."""
     schema = RAW_TABLES[name]
     reader = spark.read.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("encoding", "UTF-8")
+    if fmt == "csv":  # a value that does not fit its type fails the read; it must not turn into NULL
+        reader = reader.option("header", True).option("encoding", "UTF-8").option("mode", "FAILFAST")
     return reader.format(fmt).load(f"{base_path.rstrip('/')}/{name}")
 
 

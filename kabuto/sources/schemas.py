@@ -60,24 +60,37 @@ SEED_TABLES = {
 
 # Column contracts of the published tables (names in emitted order).
 PRICE_HISTORY_COLUMNS = ["base_date", "ticker", "ohlc_type", "price", "fetch_time_jst"]
-DAILY_POSITION_COLUMNS = ["account", "ticker", "position", "avg_buy_price", "partition_date"]
 
 # Fixed values the models depend on.
 # Allowed asset types of the ticker dimension.
 ASSET_TYPES = ["指数", "株", "為替", "金利", "Crypto", "コモディティ", "REIT"]
 # Derived cross rates: (base leg, quote leg, published ticker), close prices only.
 CROSS_RATE_PAIRS = [("BTC-USD", "JPY=X", "BTC-JPY"), ("ETH-USD", "JPY=X", "ETH-JPY")]
-CASH_TICKER = "cash"
 CLOSE = "close"
 FILL_MAX_ROWS = 14
 
 
+def fill_reach_days(max_rows: int = FILL_MAX_ROWS) -> int:
+    """How many days back a fill over ``max_rows`` earlier rows can reach: on a weekday calendar five
+    rows take seven days, and the stretch may begin and end at a weekend."""
+    return max_rows + 2 * (max_rows // 5 + 1)
+
+
+# A cross rate fills its quote on the weekday calendar and then again over the base's rows, so a
+# value can travel two fills; this much history before the first written date makes it complete.
+RUN_IN_DAYS = 2 * fill_reach_days()
+
+
 @dataclass(frozen=True)
 class RunDates:
     """Frozen run parameters. ``as_of`` is the valuation date (the day before the run).
 
     update_from:  first date written by incremental tables (default as_of - 2)
-    history_from: first date read for look-back windows (default as_of - 27)
+    history_from: first date read for look-back windows (default as_of - 27, and as long before an
+                  update_from that is given: update_from - 25)
+
+    Dates out of order (history_from <= update_from <= as_of) are refused: rows before
+    history_from could not be written.
     """
 
     as_of: _dt.date
@@ -88,10 +101,10 @@ class RunDates:
         as_of = _to_date(self.as_of)
         object.__setattr__(self, "as_of", as_of)
         uf = _to_date(self.update_from) if self.update_from else as_of - _dt.timedelta(days=2)
-        hf = _to_date(self.history_from) if self.history_from else as_of - _dt.timedelta(days=27)
+        hf = _to_date(self.history_from) if self.history_from else uf - _dt.timedelta(days=25)
         object.__setattr__(self, "update_from", uf)
         object.__setattr__(self, "history_from", hf)
-        if not (hf <= as_of and uf <= as_of):
+        if not hf <= uf <= as_of:
             raise ValueError(f"run dates out of order: {self}")
 
     @classmethod
@@ -101,9 +114,11 @@ class RunDates:
         return cls(d - _dt.timedelta(days=1), d - _dt.timedelta(days=3), d - _dt.timedelta(days=28))
 
     @classmethod
-    def backfill(cls, start: _dt.date, end: _dt.date) -> "RunDates":
-        """Recompute and write every date in [start, end] in one run."""
-        return cls(end, start, start)
+    def backfill(cls, start: _dt.date, end: _dt.date, history_from: _dt.date | None = None) -> "RunDates":
+        """Recompute and write every date in [start, end] in one run, reading a run-in before
+        ``start`` (default: as far as a filled value can come from)."""
+        start = _to_date(start)
+        return cls(end, start, history_from or start - _dt.timedelta(days=RUN_IN_DAYS))
 
 
 def _to_date(v) -> _dt.date:

@@ -17,11 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from kabuto.operators.upsert import existing_table
 from kabuto.plans import staging, warehouse
 from kabuto.plans.daily import publish
-from kabuto.sources.schemas import FILL_MAX_ROWS, RAW_PRICE_DATA, RunDates
+from kabuto.sources.schemas import FILL_MAX_ROWS, RAW_PRICE_DATA, RUN_IN_DAYS, RunDates
 
-LOOKBACK_DAYS = 27  # the fill reaches 14 rows back; 27 days cover it on any calendar
+LOOKBACK_DAYS = RUN_IN_DAYS  # as far back as a filled cross rate can come from
+REACH_DAYS = RUN_IN_DAYS  # and as far ahead as a new value can be carried
 
 
 def raw_price_stream(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -38,8 +40,8 @@ def price_history_batch_handler(
 ) -> Callable[[DataFrame, int], None]:
     """foreachBatch handler: recompute and upsert the price history over the dates a batch touches.
 
-    Touched range: from the earliest date in the batch to the latest date known (batch or
-    table), because a new value can change the fill of up to ``FILL_MAX_ROWS`` later rows.
+    Touched range: from the earliest date in the batch to ``REACH_DAYS`` after the latest, as far
+    as a new value can be carried, but not beyond the latest date known (batch or table).
     """
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
@@ -48,11 +50,11 @@ def price_history_batch_handler(
             return
         lo, hi = span["lo"], span["hi"]
         table = f"{root.rstrip('/')}/dwh_price_history"
-        try:  # latest published date after the batch (partition pruning: usually nothing to read)
-            known = spark.read.parquet(table).filter(F.col("base_date") > F.lit(hi)).agg(F.max("base_date")).first()[0]
-        except Exception:  # first run: no table yet
-            known = None
-        as_of = max(hi, known) if known else hi
+        published = existing_table(spark, table, None)  # None on the first run; other errors are raised
+        known = None
+        if published is not None:  # the latest date after the batch (partition pruning: usually nothing to read)
+            known = published.filter(F.col("base_date") > F.lit(hi)).agg(F.max("base_date")).first()[0]
+        as_of = min(max(hi, known), hi + dt.timedelta(days=REACH_DAYS)) if known else hi
         dates = RunDates(as_of, lo, lo - dt.timedelta(days=LOOKBACK_DAYS))
         feed = spark.read.schema(RAW_PRICE_DATA).format(fmt).load(raw_path)
         rows = staging.price_rows(feed.filter(F.col("date").between(F.lit(dates.history_from), F.lit(dates.as_of))))

@@ -77,7 +77,13 @@ def test_command_line_run_reads_feeds_and_csv_seeds(spark):
     want = E.queries()["daily_summary"](spark, SF)
     assert summary.count() == want.count()
     # A later run of one mart reads the price history it does not rebuild.
-    assert main(argv + ["--select", "dm_max_price_monitor"]) == 0
+    assert main(argv + ["--select", "dm_max_price_monitor", "--no-fail-on-check"]) == 0
+    # Failed checks of severity error make the run, and the check command, exit with 1.
+    assert main(["check", *argv, "--select", "ref_ticker_info"]) == 1
+    assert main(["check", *argv, "--select", "ref_ticker_info", "--no-fail-on-check"]) == 0
+    assert main(["check", *argv, "--select", "dm_daily_summary,dim_summary_ticker_list"]) in (0, 1)
+    with pytest.raises(ValueError):
+        main(["check", *argv, "--select", "dm_daily_aum"])
     assert spark.read.parquet(f"{base}/tables/dm_max_price_monitor").count() > 0
 
 

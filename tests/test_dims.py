@@ -17,10 +17,10 @@ def test_broadcast_only_within_the_bound(spark):
     try:
         fact = spark.range(1000).selectExpr("id % 10 as k", "id as v")
         small = spark.range(10).selectExpr("id as k", "id * 2 as w")
-        assert "BroadcastHashJoin" in _plan(fact.join(bounded_broadcast(small, max_rows=10), "k"))
+        assert "BroadcastHashJoin" in _plan(fact.join(bounded_broadcast(small, max_bytes=10_000), "k"))
         big = spark.range(11).selectExpr("id as k", "id * 2 as w")
-        assert bounded_broadcast(big, max_rows=10) is big  # above the bound: no hint
-        assert "BroadcastHashJoin" not in _plan(fact.join(bounded_broadcast(big, max_rows=10), "k"))
+        assert bounded_broadcast(big, max_bytes=10) is big  # above the bound: no hint
+        assert "BroadcastHashJoin" not in _plan(fact.join(bounded_broadcast(big, max_bytes=10), "k"))
         # enrich keeps every fact row and leaves unmatched attributes NULL
         out = enrich(fact, big.filter("k < 5"), "k", ["w"]).filter("w is null").count()
         assert out == 500

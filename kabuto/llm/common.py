@@ -58,9 +58,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     """Connected components of the undirected graph ``edges(a, b)``: rows (node, root), one for
     every node on an edge, root the same for all nodes of a component (its smallest node).
 
-    Contraction: in each round every node hooks to the smallest of itself and its neighbours
-    (a partially aggregated minimum, so a hub costs one row per task), hooks are followed twice, and the edges between the hooked nodes that still differ go on. Edges shrink
-    geometrically; a star ends in one round. Every round is cut by a checkpoint.
+    Contraction: in each round every node hooks to the smallest of itself and its neighbours (a
+    partially aggregated minimum, so a hub costs one row per task), hooks are followed to their ends
+    by doubling, and the edges between ends that differ go on. At most half of the nodes are left
+    after a round; a star or a chain ends in one. Every step is cut by a checkpoint.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
@@ -72,11 +73,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         if e.isEmpty():
             return labels
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hook = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).select("u", F.least("u", "m").alias("p"))
-        for _jump in range(2):
+        hook = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).select("u", F.least("u", "m").alias("p")).checkpoint()
+        while True:  # to the root of every tree of hooks: each turn doubles how far a node sees
             up = hook.select(F.col("u").alias("v"), F.col("p").alias("pp"))
-            hook = hook.join(up, hook["p"] == up["v"], "left").select("u", F.coalesce("pp", "p").alias("p"))
-        hook = hook.checkpoint()
+            far = hook.join(up, hook["p"] == up["v"]).select("u", F.col("pp").alias("p"), (F.col("pp") != F.col("p")).alias("moved")).checkpoint()
+            hook = far.select("u", "p")
+            if far.where("moved").isEmpty():
+                break
         ha = hook.select(F.col("u").alias("a"), F.col("p").alias("pa"))
         hb = hook.select(F.col("u").alias("b"), F.col("p").alias("pb"))
         e = (

@@ -31,7 +31,9 @@ from kabuto.llm.common import components, prepare, row_id, small_enough, without
 
 BROADCAST_ROWS = 200_000  # documents to look up again: up to so many ids are broadcast, else shuffled
 TOKEN_BANDS = 4  # bands below this one have one segment for each shingle
+FINE_BANDS = 8  # bands below this one (sets of up to 255) have more segments, which tell sets apart better
 SLACK = 1.08  # segments for each unit of U + 1
+FINE_SLACK = 2.0  # the same in the finer bands
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _K = np.uint64(0xD6E8FEB86659FD93)
@@ -91,8 +93,9 @@ class Rule:
 
     def segments(self, band: int) -> tuple[int, int]:
         """The number of segments of a band, and how many of them index neighbourhoods."""
-        m = int(SLACK * (self.differ((2 << band) - 1, (2 << band) - 1) + 1)) + 1
-        return m, m if band < 8 else m // 8 if band < 10 else m // 32
+        slack = FINE_SLACK if band < FINE_BANDS else SLACK
+        m = int(slack * (self.differ((2 << band) - 1, (2 << band) - 1) + 1)) + 1
+        return m, m if band < 6 else m // 8 if band < 10 else m // 32
 
     def bands(self, size: int) -> list[tuple[int, int]]:
         """(band, worth to look up) for partners at least as large: its own band, then the next."""
@@ -252,25 +255,24 @@ def _signature_rows(docs: DataFrame, rule: Rule, n: int) -> DataFrame:
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by (sig, who): those of signatures on which a lookup can meet another set,
-    with how many rows there are (a cost) and the first of them. Runs over a million rows are
-    passed on in parts, whose cost is what has been seen so far."""
+    with how many rows there are (a cost). Runs over a million rows are passed on in parts, whose
+    cost is what has been seen so far."""
     sig0, who0 = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    part, first0 = 0, None  # rows of the open run that have been passed on; its first
+    part = 0  # rows of the open run that have been passed on
 
-    def rows(sig: np.ndarray, who: np.ndarray, done: int, first: int | None) -> pa.RecordBatch | None:
+    def rows(sig: np.ndarray, who: np.ndarray, done: int) -> pa.RecordBatch | None:
         starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
         sizes = np.diff(np.r_[starts, len(sig)])
         kind = who & 3
         count = [np.add.reduceat((kind == k).astype(np.int64), starts) for k in range(4)]
         useful = (count[0] > 0) & (sizes > 1) | (count[1] > 0) & (count[2] > 0)
         cost = sizes.copy()
-        center = who[starts] & ~3
         if done:
-            useful[0], cost[0], center[0] = True, sizes[0] + done, first
+            useful[0], cost[0] = True, sizes[0] + done
         keep = np.repeat(useful, sizes)
         if not keep.any():
             return None
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (sig[keep], who[keep], np.repeat(cost, sizes)[keep], np.repeat(center, sizes)[keep])], names=["sig", "who", "cost", "center"])
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (sig[keep], who[keep], np.repeat(cost, sizes)[keep])], names=["sig", "who", "cost"])
 
     for batch in batches:
         sig, who = (np.concatenate([a, batch.column(k).to_numpy(zero_copy_only=False)]) for k, a in enumerate((sig0, who0)))
@@ -280,17 +282,16 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sig, who = sig[fresh], who[fresh]
         cut = int(np.searchsorted(sig, sig[-1], "left"))
         if cut:
-            if (out := rows(sig[:cut], who[:cut], part, first0)) is not None:
+            if (out := rows(sig[:cut], who[:cut], part)) is not None:
                 yield out
-            part, first0 = 0, None
+            part = 0
         sig0, who0 = sig[cut:], who[cut:]
         if len(sig0) > 1_000_000:
-            first0 = int(who0[0] & ~3) if first0 is None else first0
-            if (out := rows(sig0[:-1], who0[:-1], part or 1, first0)) is not None:
+            if (out := rows(sig0[:-1], who0[:-1], part or 1)) is not None:
                 yield out
             part += len(sig0) - 1
             sig0, who0 = sig0[-1:], who0[-1:]
-    if len(sig0) and (out := rows(sig0, who0, part, first0)) is not None:
+    if len(sig0) and (out := rows(sig0, who0, part)) is not None:
         yield out
 
 
@@ -320,18 +321,48 @@ def _with_tokens(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, rule: Rule, n: int) -> DataFrame:
-    """Of the pairs of short keys (a, center): the linked pairs of classes, as keys (a, b). The sets
-    of the a's are shuffled once, to their centers."""
+    """The pairs of short keys (a, center) as pairs of classes: their keys (a, b), sizes, symmetric
+    difference, whether they link and, for pairs marked as ``main``, the tokens that one of them has
+    and the other hasn't. The sets of the a's are shuffled once, to their centers."""
     one = classes.select(F.col("short").alias("a"), F.col("key").alias("ka"), F.col("n_shingles").alias("na"), F.col("id").alias("ia"))
     two = classes.select(F.col("short").alias("center"), F.col("key").alias("kb"), F.col("n_shingles").alias("nb"), F.col("id").alias("ib"))
     near = pairs.join(one, "a").join(two, "center").where(F.least("na", "nb") * rule.den >= F.greatest("na", "nb") * rule.num)
-    near = near.select("ka", "kb", "na", "nb", "ia", "ib").checkpoint()
-    a = _with_tokens(docs, near.select(F.col("ia").alias("_id"), F.col("ka").alias("key"), "kb", "na", "nb"), n)
+    near = near.select("ka", "kb", "na", "nb", "ia", "ib", "main").checkpoint()
+    a = _with_tokens(docs, near.select(F.col("ia").alias("_id"), F.col("ka").alias("key"), "kb", "na", "nb", "main"), n)
     b = _with_tokens(docs, near.select(F.col("ib").alias("_id"), F.col("kb").alias("key")).distinct(), n)
     b = b.select(F.col("key").alias("kb"), F.col("tokens").alias("other"))
     both = F.size(F.array_intersect("tokens", "other")).cast("long")
-    linked = a.join(b, "kb").where(both * rule.den >= (F.col("na") + F.col("nb") - both) * rule.num)
-    return linked.select(F.col("key").alias("a"), F.col("kb").alias("b")).distinct().checkpoint()
+    out = a.join(b, "kb").withColumn("both", both).withColumn("links", F.col("both") * rule.den >= (F.col("na") + F.col("nb") - F.col("both")) * rule.num)
+    columns = [F.col("key").alias("a"), F.col("kb").alias("b"), (F.col("na") + F.col("nb") - 2 * F.col("both")).alias("delta"), "links"]
+    # A token's sign is in its lowest bit: had by the a only, or by the center only.
+    sided = lambda name, bit: F.transform(name, lambda x: x.bitwiseAND(F.lit(~1)).bitwiseOR(F.lit(bit)))
+    apart = F.concat(sided(F.array_except("tokens", "other"), 1), sided(F.array_except("other", "tokens"), 0))
+    return out.select(*columns, F.when(F.col("main"), apart).alias("apart")).where("links OR main")
+
+
+def _places(stars: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """What tells quickly that two sets can't link, by short key (a): size, root (of the first links),
+    star (the center that the set was compared with which meets the most others; its own key
+    without one), delta (the symmetric difference to it) and private (how many of these tokens no
+    other set of the star differs in: each of them tells the set from every other one).
+
+    Short keys that several classes share have no root and no star."""
+    apart = stars.where("apart IS NOT NULL")
+    tokens = apart.select("a", "b", F.explode("apart").alias("t")).distinct()
+    alone = tokens.groupBy("b", "t").agg(F.count("*").alias("n"), F.min("a").alias("a")).where("n = 1")
+    private = alone.groupBy("a").agg(F.count("*").alias("private"))
+    stands = apart.select(F.col("a").alias("key"), F.col("b").alias("star"), "delta").distinct().join(private.withColumnRenamed("a", "key"), "key", "left")
+    one = classes.select("short", "key", F.col("n_shingles").alias("size")).join(labels, "key", "left").join(stands, "key", "left")
+    by = one.groupBy(F.col("short").alias("a")).agg(
+        F.count("*").alias("keys"),
+        F.min(F.coalesce("root", "key")).alias("root"),
+        F.min("size").alias("size"),
+        F.min(F.coalesce("star", "key")).alias("star"),
+        F.min(F.coalesce("delta", F.lit(0))).alias("delta"),
+        F.min(F.coalesce("private", F.lit(0))).alias("private"),
+    )
+    single = lambda c: F.when(F.col("keys") == 1, F.col(c)).alias(c)
+    return by.select("a", single("root"), "size", single("star"), "delta", "private")
 
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: tuple[int, int] = (75, 100)) -> DataFrame:
@@ -352,12 +383,9 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = classes.checkpoint()
 
     dealt = _signature_rows(docs, rule, n).repartition("sig").sortWithinPartitions("sig", "who")
-    met = written(dealt.mapInArrow(_met, "sig long, who long, cost long, center long"), "met-signatures")
+    met = written(dealt.mapInArrow(_met, "sig long, who long, cost long"), "met-signatures")
     met = met.withColumns({"a": F.col("who").bitwiseAND(F.lit(~3)), "kind": F.col("who").bitwiseAND(F.lit(3))})
 
-    # First links: each set against the first one on some of its signatures.
-    some = met.where("sig % 4 = 0 AND a <> center").select("a", "center").distinct()
-    labels = components(_verified(docs, classes, some, rule, n)).select(F.col("node").alias("key"), "root")
     # Allocation: which signatures each set has to look up.
     by_set = Window.partitionBy("a", "up")
     subset = F.col("kind") % 2 == 0
@@ -366,27 +394,50 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     costs = costs.withColumns({
         "r": F.sum(subset.cast("int")).over(by_set),
         "d": F.sum((~subset).cast("int")).over(by_set),
+        "fame": F.sum("cost").over(by_set),
         "place": F.row_number().over(by_set.orderBy(F.col("kind") % 2, "cost", "sig")),
     })
     of = lambda p: F.when(F.col("up"), F.col(p + "1")).otherwise(F.col(p + "0"))
     free = of("n") - F.col("r") + F.greatest(F.lit(0), of("able") - F.col("d") - F.col("r"))
     need = of("need") - free
     looks = ((F.col("place") <= need) & subset) | (need > F.col("r"))
-    rows = costs.select("sig", "a", "kind", looks.alias("looks")).where("looks OR kind < 2")
+    rows = costs.select("sig", "a", "kind", "fame", looks.alias("looks"), free.alias("free"), (need > 0).alias("open")).where("looks OR kind < 2")
     meeting = rows.groupBy("sig").agg(F.max("looks").alias("l"), F.min("a").alias("x"), F.max("a").alias("y")).where("l AND x < y").select("sig")
     rows = written(rows.join(meeting, "sig", "left_semi"), "lookups")
 
-    # What is still apart: every lookup against every set it meets.
-    known = classes.select("short", "key").join(labels, "key", "left").groupBy("short").agg(F.min(F.coalesce("root", "key")).alias("root"), F.count("key").alias("keys"))
-    known = known.select(F.col("short").alias("a"), F.when(F.col("keys") == 1, F.col("root")).otherwise(F.lit(None)).alias("root"))
-    placed = rows.join(known, "a")
+    # First links: each set against the one that meets the most others, on each of its signatures.
+    # In a group of copies that is the text that the others were made from, or the nearest to it.
+    famous = rows.where("kind < 2").groupBy("sig").agg(F.max(F.struct("fame", "a")).alias("f")).select("sig", F.col("f.fame").alias("of"), F.col("f.a").alias("center"))
+    some = rows.select("sig", "a").join(famous, "sig").where("a <> center").groupBy("a", "center").agg(F.max("of").alias("of"))
+    star = Window.partitionBy("a").orderBy(F.desc("of"), "center")
+    some = some.withColumn("main", F.row_number().over(star) == 1).drop("of")
+    stars = written(_verified(docs, classes, some, rule, n), "stars")
+    labels = components(stars.where("links")).select(F.col("node").alias("key"), "root")
+    places = _places(stars, classes, labels)
+
+    # What is still apart: every lookup against every set it meets, but for pairs that can't link.
+    placed = rows.drop("fame").join(places, "a")
     split = placed.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.max(F.col("root").isNull()).alias("odd")).where("odd OR x < y").select("sig")
     placed = placed.join(split, "sig", "left_semi").checkpoint()
-    left = placed.where("looks").select("sig", "a", "root", "kind")
-    right = placed.where("kind < 2").select("sig", F.col("a").alias("b"), F.col("root").alias("other"), F.col("kind").alias("found"))
-    pairs = left.join(right, "sig").where("a <> b AND NOT root <=> other AND (found = 0 OR kind % 2 = 0)")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("center")).distinct()
-    more = _verified(docs, classes, pairs, rule, n)
+    left = placed.where("looks")
+    right = placed.where("kind < 2").select("sig", *[F.col(c).alias(f"_{c}") for c in placed.columns if c not in ("sig", "looks")])
+    size = F.col("size") + F.col("_size")
+    most = F.floor(size * (rule.den - rule.num) / (rule.den + rule.num))  # the symmetric difference of a linked pair
+    own = F.col("kind") < 2
+    # Sets of one band that meet nobody in more than ``most`` segments differ too much; so do two
+    # sets of one star whose private differences, and what is left of the others, add up to more.
+    rest = F.abs((F.col("delta") - F.col("private")) - (F.col("_delta") - F.col("_private")))
+    same_star = F.col("star") == F.col("_star")
+    pairs = left.join(right, "sig").where(
+        (F.col("a") != F.col("_a"))
+        & F.coalesce(F.col("root") != F.col("_root"), F.lit(True))
+        & ((F.col("_kind") == 0) | (F.col("kind") % 2 == 0))
+        & (F.least("size", "_size") * rule.den >= F.greatest("size", "_size") * rule.num)
+        & (~own | (F.col("_open") | (F.col("_size") < (1 << TOKEN_BANDS))) & (F.greatest("free", "_free") <= most))
+        & (~F.coalesce(same_star, F.lit(False)) | (F.col("private") + F.col("_private") + rest <= most))
+    )
+    pairs = pairs.select(F.least("a", "_a").alias("a"), F.greatest("a", "_a").alias("center"), F.lit(False).alias("main")).distinct()
+    more = _verified(docs, classes, pairs, rule, n).checkpoint()
 
     # Components of the first links' components.
     first = classes.select("key").join(labels, "key", "left").select("key", F.coalesce("root", "key").alias("root")).checkpoint()

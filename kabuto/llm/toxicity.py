@@ -31,7 +31,7 @@ BUCKETS = 1 << 18
 DIMS = 8
 GRAMS = (3, 4, 5)
 CLASS_ROWS = 4000  # rows of either class that the model is fitted on, at most (those of smallest hash)
-LABELLED_CHARS = 30_000  # of these, texts up to this length (bounds what the driver holds)
+LABELLED_CHARS = 20_000  # of these, texts up to this length (bounds what the driver holds)
 CACHE_ENTRIES = 300_000
 SCALE = 2.0
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -82,10 +82,10 @@ class Model:
         return 1.0 / (1.0 + float(np.exp(-z)))
 
 
-def bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The n-gram counts of all texts: (ends, buckets, shares); a text's shares sum to its strength."""
+def bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The n-gram counts of all texts: (ends, buckets, counts, totals)."""
     known: dict[str, list[int]] = {}
-    ends, buckets, shares, end = [], [], [], 0
+    ends, buckets, counts, totals, end = [], [], [], [], 0
     for text in texts:
         grams: Counter = Counter()
         for w, n in Counter(text_words(text)).items():
@@ -94,12 +94,15 @@ def bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 found = known[w] = word_grams(w)
             for g in found:
                 grams[g] += n
-        total = sum(grams.values())
+        if len(known) > CACHE_ENTRIES:
+            known.clear()
+        totals.append(sum(grams.values()))
         buckets.append(np.fromiter(grams.keys(), np.int32, len(grams)))
-        shares.append(np.fromiter(grams.values(), np.float32, len(grams)) * (strength(total) / max(total, 1)))
+        counts.append(np.fromiter(grams.values(), np.int32, len(grams)).clip(max=65_535).astype(np.uint16))
         end += len(grams)
         ends.append(end)
-    return np.array(ends), np.concatenate(buckets) if buckets else np.zeros(0, np.int32), np.concatenate(shares) if shares else np.zeros(0, np.float32)
+    empty = np.zeros(0, np.int32)
+    return np.array(ends), np.concatenate([empty, *buckets]), np.concatenate([empty.astype(np.uint16), *counts]), np.array(totals)
 
 
 def train(texts: list[str | None], labels: list[int], dims: int = DIMS, epochs: int = 8, batch: int = 200, rate: float = 0.05, decay: float = 1e-5, min_texts: int = 4, positive: float | None = None, seed: int = 3) -> Model:
@@ -112,15 +115,16 @@ def train(texts: list[str | None], labels: list[int], dims: int = DIMS, epochs:
     bias = float(np.log(prior / (1 - prior)))
     if len(y) < 20 or y.min() == y.max():
         return Model(np.zeros(BUCKETS), bias if positive is None else float(np.log(positive / (1 - positive))))
-    ends, grams, shares = bags(texts)
+    ends, grams, counts, totals = bags(texts)
     often = np.flatnonzero(np.bincount(grams, minlength=BUCKETS) >= min_texts)
     row_of = np.full(BUCKETS, -1, np.int32)
     row_of[often] = np.arange(len(often))
     grams = row_of[grams]
     kept = grams >= 0
     ends = np.r_[0, np.cumsum(kept)][ends]
-    grams, shares = grams[kept], shares[kept]
+    grams, counts = grams[kept], counts[kept]
     begins = np.r_[0, ends[:-1]]
+    factor = np.array([strength(int(t)) / max(int(t), 1) for t in totals])
     rng = np.random.default_rng(seed)
     table = rng.normal(0, 0.1, (len(often), dims))
     soft = rng.normal(0, 0.5, (dims, 2))
@@ -135,7 +139,7 @@ def train(texts: list[str | None], labels: list[int], dims: int = DIMS, epochs:
         spans = [np.arange(begins[k], ends[k]) for k in at]
         flat = np.concatenate(spans)
         own = np.repeat(np.arange(len(at)), [len(s) for s in spans])
-        share = shares[flat]
+        share = counts[flat] * factor[at][own]
         g = grams[flat]
         mean = np.stack([np.bincount(own, share * table[g, d], len(at)) for d in range(dims)], 1)
         z = mean @ soft + offset

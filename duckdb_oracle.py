@@ -69,7 +69,7 @@ raw_trade_history AS (
 raw_asset_status_history AS (
   SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_time_jst_str, {TK('user_id')} AS ticker,
     value > 100 AS is_monitor, event_type = 'purchase' AS is_watch
-  FROM events WHERE event_type IN ('purchase', 'error')
+  FROM events
 ),
 raw_entry_point AS (
   SELECT CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE DATE '2024-01-02' END AS add_date, {TK('p_partkey % 40')} AS ticker,
@@ -79,7 +79,7 @@ raw_entry_point AS (
 ref_ticker_info AS (
   SELECT {TK('c_custkey')} AS ticker, c_mktsegment AS asset_type, c_name AS asset_name,
     CASE WHEN c_custkey < 2 THEN TRUE WHEN c_custkey % 17 = 16 THEN NULL ELSE c_custkey % 3 = 0 END AS is_active_weekend
-  FROM customer WHERE c_custkey % 29 <> 28
+  FROM customer
 ),
 dim_summary_ticker_list AS (SELECT {TK('c_custkey')} AS ticker, c_custkey % 5 AS order_group, c_custkey AS order_index FROM customer),
 dim_max_price AS (SELECT {TK('c_custkey')} AS ticker, c_custkey % 4 AS order_group, c_custkey AS order_index FROM customer),

@@ -107,7 +107,7 @@ def raw_trade_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_asset_status_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _t(spark, sf_dir, "events")
-    return ev.filter(F.col("event_type").isin("purchase", "error")).select(
+    return ev.select(
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("event_time_jst_str"),
         ticker_of(F.col("user_id")).alias("ticker"),
         (F.col("value") > 100).alias("is_monitor"),
@@ -129,11 +129,10 @@ def raw_entry_point(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ref_ticker_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticker dimension: one row per customer, every 29th left out (tickers unknown to the
-    dimension); weekend flag TRUE / FALSE / NULL."""
+    """Ticker dimension: one row per customer; weekend flag TRUE / FALSE / NULL."""
     cu = _t(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    return cu.filter(k % 29 != 28).select(
+    return cu.select(
         ticker_of(k).alias("ticker"),
         F.col("c_mktsegment").alias("asset_type"),
         F.col("c_name").alias("asset_name"),

@@ -20,7 +20,8 @@ def test_gap_filled_series_shuffles_once(spark):
         [(D("2024-01-01"), "A", "close", 1.0), (D("2024-01-03"), "A", "close", 2.0), (D("2024-01-02"), "B", "open", 3.0)],
         "base_date date, ticker string, ohlc_type string, price double",
     )
-    flags = spark.createDataFrame([("A", True), ("B", False)], "ticker string, is_active_weekend boolean")
+    # A table in memory, whose size the planner knows (as it knows that of files).
+    flags = spark.sql("SELECT * FROM VALUES ('A', true), ('B', false) AS t(ticker, is_active_weekend)")
     out = gap_filled_series(vals, flags, ["ticker", "ohlc_type"], ["price"], D("2024-01-01"), D("2024-01-10"), 14)
     assert _shuffles(out) == 1  # grid, merge and fill window reuse the series partitioning
 

@@ -170,7 +170,8 @@ class Weights:
         if w is None:
             boilerplate = context.startswith("in ")
             w = self.odds("word " + context, 1, 20) if boilerplate else self.odds("word " + context, 6, 2)
-            w = self.known[context] = min(w, -0.5) if boilerplate else max(-2.0, min(w, 4.0))
+            # A form or notice inside an article must not outweigh what follows it.
+            w = self.known[context] = max(-1.0, min(w, -0.5)) if boilerplate else max(-2.0, min(w, 4.0))
         return w
 
     def tag(self, name: str) -> float:

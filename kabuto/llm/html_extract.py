@@ -178,7 +178,7 @@ class Weights:
         key = "tag " + name
         w = self.known.get(key)
         if w is None:
-            w = self.known[key] = max(-1.5, min(-0.05, self.odds(key, 1, 2)))
+            w = self.known[key] = max(-1.5, min(-0.05, self.odds(key, 2, 3)))
         return w
 
 

@@ -34,6 +34,7 @@ CLASS_ROWS = 4000  # rows of either class that the model is fitted on, at most (
 LABELLED_CHARS = 20_000  # of these, texts up to this length (bounds what the driver holds)
 CACHE_ENTRIES = 300_000
 SCALE = 2.0
+MIN_STEPS = 200  # small samples get more epochs, to make so many
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -148,7 +149,7 @@ def train(texts: list[str | None], labels: list[int], dims: int = DIMS, epochs:
         return flat, own, share, mean, p / p.sum(1, keepdims=True)
 
     best, step = None, 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, MIN_STEPS // -(-len(rows) // batch))):
         rng.shuffle(rows)
         for lo in range(0, len(rows), batch):
             at = rows[lo : lo + batch]

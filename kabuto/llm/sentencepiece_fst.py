@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from kabuto.llm import pieces as P
 from kabuto.llm.common import prepare
 
-CACHE_ENTRIES = 300_000  # segments, and pairs, kept per Python worker
+CACHE_ENTRIES = 500_000  # segments, and pairs, kept per Python worker
 CACHED_LENGTH = 48
 NEVER = 1 << 40  # a rank above all
 INFINITE = float("inf")
@@ -62,7 +62,7 @@ class Transducer:
         #: The pieces that A accepts alone, with how merging makes them.
         self.whole = {p: ([*h[0], NEVER], h[1], h[2]) for p, h in history.items() if h[3] == 1}
         self.pair_weight: dict[tuple[str, str], float] = {}
-        self.known: dict[str, bytes] = {}
+        self.known = Known(self)
 
     def weight(self, left: str, right: str) -> float:
         """The weight of A's arc from piece ``left`` to piece ``right``: 1, or infinite.
@@ -123,26 +123,10 @@ class Transducer:
             j -= len(piece)
         return out[::-1]
 
-    def segment_ids(self, segment: str) -> bytes:
-        packed = self.known.get(segment)
-        if packed is None:
-            ids, byte_ids, out = self.model.ids, self.model.byte_ids, array("i")
-            for piece in self.shortest(segment):
-                if piece in ids:
-                    out.append(ids[piece])
-                else:
-                    out.extend(byte_ids[b] for b in piece.encode())
-            packed = out.tobytes()
-            if len(segment) <= CACHED_LENGTH:
-                if len(self.known) >= CACHE_ENTRIES:
-                    self.known.clear()
-                self.known[segment] = packed
-        return packed
-
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        return b"".join(map(self.segment_ids, self.model.split(self.model.normalise(text))))
+        return b"".join(map(self.known.__getitem__, self.model.split(self.model.normalise(text))))
 
     def decode(self, ids) -> str:
         """The text of a sequence of ids: pieces and fallback bytes joined, the mark in front
@@ -153,6 +137,28 @@ class Transducer:
         return raw.decode("utf-8", "replace")
 
 
+class Known(dict):
+    """The packed ids of each segment; encoded when first asked for."""
+
+    def __init__(self, fst: Transducer):
+        super().__init__()
+        self.fst = fst
+
+    def __missing__(self, segment: str) -> bytes:
+        ids, byte_ids, out = self.fst.model.ids, self.fst.model.byte_ids, array("i")
+        for piece in self.fst.shortest(segment):
+            if piece in ids:
+                out.append(ids[piece])
+            else:
+                out.extend(byte_ids[b] for b in piece.encode())
+        packed = out.tobytes()
+        if len(segment) <= CACHED_LENGTH:
+            if len(self) >= CACHE_ENTRIES:
+                self.clear()
+            self[segment] = packed
+        return packed
+
+
 _transducers: dict[int, Transducer] = {}
 
 
@@ -170,14 +176,30 @@ def encoder(spark, model_path: str | None = None):
 
     def encode(texts: pa.Array) -> pa.Array:
         fst = transducer(model.value)
-        packed = [fst.encode(t.as_py()) for t in texts]
-        offsets = np.zeros(len(packed) + 1, np.int32)
-        np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+        return _lists([fst.encode(t.as_py()) for t in texts])
 
     return F.arrow_udf(encode, "array<int>")
 
 
+def _lists(packed: list[bytes]) -> pa.Array:
+    offsets = np.zeros(len(packed) + 1, np.int32)
+    np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+
+
+def _round_tripper(spark, model_path: str | None = None):
+    """A column function: text -> (ids, the text decoded from them), each text encoded once."""
+    model = prepare(spark).sparkContext.broadcast(P.read_model(model_path))
+
+    def run(texts: pa.Array) -> pa.Array:
+        fst = transducer(model.value)
+        packed = [fst.encode(t.as_py()) for t in texts]
+        decoded = pa.array([fst.decode(memoryview(p).cast("i").tolist()) for p in packed], pa.string())
+        return pa.StructArray.from_arrays([_lists(packed), decoded], names=["ids", "decoded"])
+
+    return F.arrow_udf(run, "ids array<int>, decoded string")
+
+
 def decoder(spark, model_path: str | None = None):
     """A column function: array<int> of piece ids -> text. A null array gives the empty text; an
     id outside the vocabulary is an error."""
@@ -203,8 +225,10 @@ def encode_documents(docs: DataFrame, model_path: str | None = None, text: str =
     the model reads as a space, comes back as a space. No shuffle.
     """
     spark = docs.sparkSession
-    out = docs.withColumn(ids, encoder(spark, model_path)(F.col(text)))
-    return out.withColumn(decoded, decoder(spark, model_path)(F.col(ids))) if decoded else out
+    if not decoded:
+        return docs.withColumn(ids, encoder(spark, model_path)(F.col(text)))
+    both = docs.withColumn("__both", _round_tripper(spark, model_path)(F.col(text)))
+    return both.withColumns({ids: F.col("__both.ids"), decoded: F.col("__both.decoded")}).drop("__both")
 
 
 def round_trip(text: Column, decoded: Column) -> Column:

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from kabuto.llm import pieces as P
 from kabuto.llm.common import prepare
 
-CACHE_ENTRIES = 500_000  # segments, and pairs, kept per Python worker
+CACHE_ENTRIES = 1_000_000  # segments kept per Python worker (about 230 bytes each)
+CACHED_PAIRS = 300_000
 CACHED_LENGTH = 48
 NEVER = 1 << 40  # a rank above all
 INFINITE = float("inf")
@@ -89,7 +90,7 @@ class Transducer:
                     a += 1
                 else:
                     b += 1
-            if len(self.pair_weight) >= CACHE_ENTRIES:
+            if len(self.pair_weight) >= CACHED_PAIRS:
                 self.pair_weight.clear()
             self.pair_weight[left, right] = w
         return w

@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -33,6 +34,8 @@ GRAMS = (3, 4, 5)
 CLASS_ROWS = 4000  # rows of either class that the model is fitted on, at most (those of smallest hash)
 LABELLED_CHARS = 20_000  # of these, texts up to this length (bounds what the driver holds)
 CACHE_ENTRIES = 300_000
+CACHED_LETTERS = 64  # longer words are not kept in the caches
+PIECE = 4096  # letters of a word whose n-grams are held at a time
 SCALE = 2.0
 MIN_STEPS = 200  # small samples get more epochs, to make so many
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -40,12 +43,22 @@ _WORDS = re.compile(r"[^\W\d_]+")
 
 def word_grams(word: str) -> list[int]:
     """The buckets of a word's n-grams, its own included."""
-    w = f"<{word[:64]}>"
+    w = f"<{word}>"
     out = [crc32(w[i : i + n].encode()) % BUCKETS for n in GRAMS for i in range(len(w) - n + 1)]
     out.append(crc32(b"=" + w.encode()) % BUCKETS)
     return out
 
 
+def gram_pieces(word: str) -> Iterator[list[int]]:
+    """``word_grams``, a stretch of the word after the other: text written without spaces is one
+    word of any length, which is read to its end."""
+    w = f"<{word}>"
+    yield [crc32(b"=" + w.encode()) % BUCKETS]
+    for lo in range(0, len(w), PIECE):
+        part = w[lo : lo + PIECE + max(GRAMS) - 1]
+        yield [crc32(part[i : i + n].encode()) % BUCKETS for n in GRAMS for i in range(min(PIECE, len(part) - n + 1))]
+
+
 def strength(n: int) -> float:
     """What the average over ``n`` n-grams is multiplied by: an average over more of them is less
     noisy, so that it counts for more."""
@@ -68,6 +81,11 @@ class Model:
         for w in words:
             got = cache.get(w)
             if got is None:
+                if len(w) > CACHED_LETTERS:
+                    for grams in gram_pieces(w):
+                        total += float(self.weights[grams].sum())
+                        n += len(grams)
+                    continue
                 grams = word_grams(w)
                 got = float(self.weights[grams].sum()), len(grams)
                 if len(cache) >= CACHE_ENTRIES:
@@ -92,7 +110,9 @@ def bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
         for w, n in Counter(text_words(text)).items():
             found = known.get(w)
             if found is None:
-                found = known[w] = word_grams(w)
+                found = word_grams(w)
+                if len(w) <= CACHED_LETTERS:
+                    known[w] = found
             for g in found:
                 grams[g] += n
         if len(known) > CACHE_ENTRIES:

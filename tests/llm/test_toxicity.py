@@ -46,6 +46,19 @@ def test_misspellings_share_grams(model):
         assert word not in BAD and model.score(f"abc def {word} gab", {}) > plain
 
 
+def test_runs_without_spaces_are_read_to_their_end(corpus, model):
+    for n in (3, 64, 65, T.PIECE - 2, T.PIECE, 2 * T.PIECE + 1):
+        w = "<" + ("abcdefghijk" * n)[:n] + ">"
+        own = [T.crc32(b"=" + w.encode()) % T.BUCKETS]
+        assert sorted(T.word_grams(w[1:-1])) == sorted(g for piece in T.gram_pieces(w[1:-1]) for g in piece) == sorted(own + [T.crc32(w[i : i + k].encode()) % T.BUCKETS for k in T.GRAMS for i in range(len(w) - k + 1)])
+    lead = "".join(t for _, t, y in corpus if not y).replace(" ", "")[: T.PIECE + 10]
+    bad = "".join(BAD) * 40
+    assert model.score(lead + bad, {}) > model.score(lead + "".join(reversed(bad)), {}) + 0.05
+    joined = T.train([t.replace(" ", "") for _, t, _ in corpus[:700]], [y for *_, y in corpus[:700]], decay=1e-3)
+    score = np.array([joined.score(t.replace(" ", ""), {}) for _, t, _ in corpus[700:]])
+    assert ((score >= 0.5) == np.array([y for *_, y in corpus[700:]])).mean() > 0.9
+
+
 def test_the_share_moves_the_bias(corpus):
     texts, labels = [t for _, t, _ in corpus[:200]], [y for *_, y in corpus[:200]]
     low, high = (T.train(texts, labels, epochs=2, positive=p) for p in (0.01, 0.9))

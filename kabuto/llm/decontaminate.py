@@ -189,7 +189,7 @@ def _matches(index: DataFrame, phrases, kind: str) -> DataFrame:
                     pa.array(block.ids, batch.column("ids").type.value_type),
                     pa.array(block.n_words.astype(np.int64)),
                     pa.array(spots, pa.list_(pa.int32())),
-                    pa.array([[str(p.items[i]) if p.items[i] is not None else "null" for i in sorted(x)] for x in items], pa.list_(pa.string())),
+                    pa.array([[str(p.items[i]) if p.items[i] is not None else None for i in sorted(x)] for x in items], pa.list_(pa.string())),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "n_words", "hits", "items"])
 
@@ -203,17 +203,22 @@ def find_phrases(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     A window is ``window`` consecutive words of an item, or all words of a shorter one. Null and
     empty texts have no words; repeated rows are each a row; a null item id reads "null", equal
     item ids are one item. Test sets of more than ``max_words`` words are taken in several passes,
-    whose hits are put together by document (which then needs distinct ids).
+    dealt by item and text (long texts in overlapping pieces), whose hits are put together by a key
+    that each row of ``docs`` is written with.
     """
     spark = prepare(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = docs.schema["id"].dataType.simpleString()
     tests = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")).where("text IS NOT NULL")
-    total = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    passes = total // (2 * max_words) + 1  # a word takes two bytes at least, with the space behind it
+    passes = _passes(tests, max_words)
+    several = passes > 1
+    if several:
+        tests = written(_pieces(tests, window, max_words).distinct(), "windows")
+        passes = _passes(tests, max_words)
+        docs = written(docs.select(F.struct(F.monotonically_increasing_id().alias("key"), "id").alias("id"), "text"), "keyed")
+    kind = docs.schema["id"].dataType.simpleString()
     found = None
     for k in range(passes):
-        part = tests.where(F.pmod(F.xxhash64("item"), F.lit(passes)) == k)
+        part = tests.where(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == k)
         items = [(r.item, words(r.text)) for r in part.toLocalIterator()]
         phrases = Phrases(items, window)
         vocabulary = spark.sparkContext.broadcast(phrases.terms)
@@ -221,9 +226,33 @@ def find_phrases(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         phrases.rank(term_counts_of(index, len(phrases.terms)))
         out = _matches(index, spark.sparkContext.broadcast(phrases), kind)
         found = out if found is None else found.union(out)
-    if passes > 1:
-        found = found.groupBy("id").agg(F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return found.withColumnRenamed("id", id_col)
+    if several:
+        united = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+        found = found.groupBy("id").agg(F.max("n_words").alias("n_words"), united("hits"), united("items")).withColumn("id", F.col("id.id"))
+    items = F.transform("items", lambda x: F.coalesce(x, F.lit("null")))
+    return found.select(F.col("id").alias(id_col), "n_words", "hits", items.alias("items"))
+
+
+def _passes(tests: DataFrame, max_words: int) -> int:
+    total = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return total // (2 * max_words) + 1  # a word takes two bytes at least, with the space behind it
+
+
+def _pieces(tests: DataFrame, window: int, max_words: int) -> DataFrame:
+    """``tests`` (item, text) with long texts cut into pieces that hold all windows between them."""
+    step = max(window, max_words // 16)  # windows of a piece
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, pieces = [], []
+            for k, t in enumerate(batch.column(1)):
+                ws = words(t.as_py())
+                for lo in range(0, max(1, len(ws) - window + 1), step):
+                    at.append(k)
+                    pieces.append(b" ".join(ws[lo : lo + step + window - 1]).decode())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int32())), pa.array(pieces, pa.string())], names=["item", "text"])
+
+    return tests.mapInArrow(run, tests.schema)
 
 
 def term_counts_of(index: DataFrame, n: int) -> np.ndarray:

@@ -51,6 +51,29 @@ def test_against_brute_force(spark, max_words):
     assert seen(D.decontaminate(d, b, max_words=max_words)) == brute(docs, items)
 
 
+def test_passes_keep_rows_and_bounds(spark, monkeypatch):
+    """Null and repeated ids in several passes; an item with all the words; a long text."""
+    phrase = " ".join(f"w{k % 7}" for k in range(20))
+    items = [(None, f"only{k} two{k} three{k}") for k in range(60)] + [(1, phrase), (2, " ".join(f"v{k}" for k in range(400)))]
+    docs = [(None, "a only3 two3 three3"), (None, "b"), (None, phrase), (None, None), (4, "x only5 two5 three5 y"), (4, phrase + " b"), (4, "z " * 9), (4, "z " * 9)]
+    docs += [(5, "q " + " ".join(f"v{k}" for k in range(3, 390)))]
+    sizes = []
+    made = D.Phrases.__init__
+
+    def counted(self, items, window):
+        sizes.append(sum(len(ws) for _, ws in items))
+        made(self, items, window)
+
+    monkeypatch.setattr(D.Phrases, "__init__", counted)
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert seen(D.decontaminate(d, b, max_words=200)) == brute(docs, items)
+    assert len(sizes) > 3 and max(sizes) <= 400
+    names = [(None, "one two"), ("null", "one two")]
+    b = spark.createDataFrame(names, "item_id string, text string")
+    for max_words in (D.MAX_WORDS, 2):
+        assert [r.n_items for r in D.decontaminate(spark.createDataFrame([(1, "one two")], "doc_id long, text string"), b, max_words=max_words).collect()] == [2]
+
+
 def test_blocks_of_the_index(spark, monkeypatch, texts):
     items = [(k, " ".join(t.split()[3:30])) for k, t in texts[:50:3]]
     docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)

@@ -1,7 +1,8 @@
 """HTML extraction (operator 2): the maximum-scoring subsequence of words and tags.
 
 A page is read into tokens: tags, and blocks of words with the context they stand in (the nearest
-enclosing boilerplate marker, such as ``nav`` or a class "sidebar", or else the block's tag). Tags
+enclosing boilerplate marker, such as ``nav`` or a class "sidebar", below the elements that hold
+the page's core, or else the block's tag). Tags
 score negative, words by the log odds of their context lying in the main content. A linear scan
 finds the contiguous stretch with the largest sum; its blocks in positive contexts are the text.
 
@@ -35,7 +36,7 @@ MARKER_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising"
 ROOTS = ("article", "main")
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
-_ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 
 
@@ -52,17 +53,66 @@ def marker(name: str, attributes: str) -> str | None:
     return None
 
 
+class Element:
+    """An open element: its marker, its parent, and the words below it (once the page is read)."""
+
+    __slots__ = ("name", "mark", "parent", "words", "context")
+
+    def __init__(self, name: str, mark: str | None, parent: Element | None):
+        self.name, self.mark, self.parent, self.words, self.context = name, mark, parent, 0, None
+
+
+def settle(elements: list[Element]) -> None:
+    """Give every element (in document order) its context: the nearest marker on it or above it.
+
+    The markers of layouts ("has-sidebar", a form around the page) don't count: those on the page's
+    core and around it, and on elements that hold more than half of the core's words. The core is
+    the longest article, or else the longest main, or else the page. An article below a marked
+    element (a comment) is not the core, unless that holds more than half of the main or page.
+    """
+    page = Element("", None, None)
+    for e in reversed(elements):
+        (e.parent or page).words += e.words
+
+    def fits(e: Element) -> bool:
+        up, marked = e.parent, None
+        while up and up.name != "main":
+            marked = marked or (up if up.mark else None)  # the nearest holds the fewest words
+            up = up.parent
+        return marked is None or 2 * marked.words > (up or page).words
+
+    articles, mains = ([e for e in elements if e.name == name] for name in ("article", "main"))
+    core = max([e for e in articles if fits(e)] or mains, key=lambda e: e.words, default=page)
+    plain, up = set(), core
+    while up:
+        plain.add(id(up))
+        up = up.parent
+    inside = {id(core)}
+    for e in elements:
+        if e.parent is None and core is page or id(e.parent) in inside:
+            inside.add(id(e))
+            if 2 * e.words > core.words:
+                plain.add(id(e))
+        e.context = None if id(e) in plain else e.mark or (e.parent.context if e.parent else None)
+
+
 class Block:
-    __slots__ = ("context", "text", "root")
+    __slots__ = ("element", "tag", "text", "root")
+
+    def __init__(self, element: Element | None, tag: str, root: bool):
+        self.element, self.tag, self.root, self.text = element, tag, root, []
 
-    def __init__(self, context: str, root: bool):
-        self.context, self.root, self.text = context, root, []
+    @property
+    def context(self) -> str:
+        mark = self.element.context if self.element else None
+        return f"in {mark}" if mark else self.tag
 
 
 def read_tokens(page: str) -> list:
     """The page's tokens in order: tag names as strings, and ``Block``s of text pieces."""
     out: list = []
-    stack: list[tuple[str, str | None]] = []  # open elements: name, marker
+    stack: list[Element] = []  # open elements
+    elements: list[Element] = []  # all so far
     opaque = roots = 0
     block: Block | None = None
     at, end = 0, len(page)
@@ -72,17 +122,18 @@ def read_tokens(page: str) -> list:
         if opaque or (block is None and not piece.strip()):
             return
         if block is None:
-            mark = next((m for _, m in reversed(stack) if m), None)
-            tag = next((n for n, _ in reversed(stack) if n in BLOCKS), "none")
-            block = Block(f"in {mark}" if mark else tag, roots > 0)
+            tag = next((e.name for e in reversed(stack) if e.name in BLOCKS), "none")
+            block = Block(stack[-1] if stack else None, tag, roots > 0)
             out.append(block)
         block.text.append(piece)
+        if stack:
+            stack[-1].words += len(piece.split())
 
     def close(k: int) -> None:
         nonlocal opaque, roots
-        for name, _ in stack[k:]:
-            opaque -= name in OPAQUE
-            roots -= name in ROOTS
+        for e in stack[k:]:
+            opaque -= e.name in OPAQUE
+            roots -= e.name in ROOTS
         del stack[k:]
 
     while at < end:
@@ -103,7 +154,7 @@ def read_tokens(page: str) -> list:
             text(" ")
         if closing:
             for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
+                if stack[k].name == name:
                     close(k)
                     break
             if not opaque:
@@ -111,26 +162,28 @@ def read_tokens(page: str) -> list:
             continue
         if name in ("p", "li", "td", "th", "tr", "dt", "dd") or name in BLOCKS:
             for k in range(len(stack) - 1, -1, -1):  # an open paragraph ends where a block begins
-                if stack[k][0] == "p" or stack[k][0] == name != "div" and name in ("li", "td", "th", "tr", "dt", "dd"):
+                if stack[k].name == "p" or stack[k].name == name != "div" and name in ("li", "td", "th", "tr", "dt", "dd"):
                     close(k)
                     break
-                if stack[k][0] in BLOCKS:
+                if stack[k].name in BLOCKS:
                     break
         if name == "body":
-            for k, (open_name, _) in enumerate(stack):
-                if open_name == "head":
+            for k, e in enumerate(stack):
+                if e.name == "head":
                     close(k)
                     break
         if not opaque:
             out.append(name)
         if name in VOID or attributes.endswith("/"):
             continue
-        stack.append((name, marker(name, attributes)))
+        stack.append(Element(name, marker(name, attributes), stack[-1] if stack else None))
+        elements.append(stack[-1])
         opaque += name in OPAQUE
         roots += name in ROOTS
         if name in RAW:
             ends = re.compile(rf"</{name}\s*>", re.I).search(page, at)
             at = ends.start() if ends else end
+    settle(elements)
     return out
 
 

@@ -26,6 +26,23 @@ def test_odd_pages(page):
     assert isinstance(H.extract(page, H.Weights({})), str)
 
 
+@pytest.mark.parametrize("layout", [
+    '<div class="page has-sidebar"><article>%s</article>%s</div>',
+    '<main class="content with-nav">%s%s</main>',
+    '<main class="with-nav"><article class="post share-enabled">%s</article>%s</main>',
+    '<div class="page has-sidebar"><article class="post share-enabled">%s</article>%s</div>',
+    '<form id="form1"><div class="wrap search-on">%s</div>%s</form>',
+    '<main><div class="share-enabled">%s</div>%s</main>',
+    '<div data-id="sidebar" data-role="nav">%s</div>%s',
+])
+def test_markers_of_the_layout(layout):
+    body = "".join(f"<p>Paragraph {k} of the article has some more words.</p>" for k in range(8))
+    rest = '<div class="comments"><article class="comment"><p>I like this a lot.</p></article></div><div class="sidebar">Other links</div>'
+    page = f"<html><body><nav>Home</nav>{layout % (body, rest)}<footer>foot</footer></body></html>"
+    expected = "\n\n".join(f"Paragraph {k} of the article has some more words." for k in range(8))
+    assert H.extract(page, H.Weights({})) == expected
+
+
 def test_best_stretch_is_the_maximum():
     weights = H.Weights({})
     tokens = [(t, H.block_text(t)) if isinstance(t, H.Block) else (t, None) for t in H.read_tokens(PAGE)]

@@ -3,7 +3,8 @@
 A page is read into tokens: tags, and blocks of words with the context they stand in (the nearest
 enclosing boilerplate marker, such as ``nav`` or a class "sidebar", below the elements that hold
 the page's core, or else the block's tag). Tags
-score negative, words by the log odds of their context lying in the main content. A linear scan
+score negative, words by the log odds of their context lying in the main content, and words in
+boilerplate as nothing. A linear scan
 finds the contiguous stretch with the largest sum; its blocks in positive contexts are the text.
 
 The weights come from labelled pages: pages that mark their main content with one ``article`` or
@@ -195,21 +196,22 @@ def block_text(block: Block) -> str:
 
 def count_labels(page: str, into: Counter) -> None:
     """Add the page's (feature, inside) counts, if it is a labelled one. Words in boilerplate
-    markers count as outside wherever they stand."""
+    markers are not counted."""
     names = re.findall(r"<(article|main)\b", page, re.I)
     if len(names) != 1:
         return
     inside = False
     for t in read_tokens(page):
         if isinstance(t, Block):
-            into["word " + t.context, t.root and not t.context.startswith("in ")] += sum(len(x.split()) for x in t.text)
+            if not t.context.startswith("in "):
+                into["word " + t.context, t.root] += sum(len(x.split()) for x in t.text)
         else:
             inside = t in ROOTS or inside and t.lstrip("/") not in ROOTS
             into["tag " + t, inside] += 1
 
 
 class Weights:
-    """Scores of tokens: smoothed log odds, words in markers and tags always negative."""
+    """Scores of tokens: smoothed log odds; words in markers count as nothing, tags are negative."""
 
     def __init__(self, counts: dict[tuple[str, bool], int]):
         self.counts = dict(counts)
@@ -221,10 +223,9 @@ class Weights:
     def word(self, context: str) -> float:
         w = self.known.get(context)
         if w is None:
-            boilerplate = context.startswith("in ")
-            w = self.odds("word " + context, 1, 20) if boilerplate else self.odds("word " + context, 6, 2)
-            # A form or notice inside an article must not outweigh what follows it.
-            w = self.known[context] = max(-1.0, min(w, -0.5)) if boilerplate else max(-2.0, min(w, 4.0))
+            # A form or notice inside an article is left out, and must not part what stands around it.
+            w = 0.0 if context.startswith("in ") else max(-2.0, min(self.odds("word " + context, 6, 2), 4.0))
+            self.known[context] = w
         return w
 
     def tag(self, name: str) -> float:

@@ -43,6 +43,19 @@ def test_markers_of_the_layout(layout):
     assert H.extract(page, H.Weights({})) == expected
 
 
+@pytest.mark.parametrize("inline", ['<div class="newsletter"><p>%s</p></div>', "<form><p>%s</p></form>", '<aside class="ad">%s</aside>'])
+def test_boilerplate_inside_the_article_does_not_part_it(inline):
+    lead, rest = "lead " * 60, "rest " * 70
+    page = f"<body><nav>Home</nav><div><p>{lead}</p>{inline % ('form ' * 100)}<p>{rest}</p></div><footer>foot</footer></body>"
+    pages = [f"<body><nav>Home</nav><article><p>{'some words ' * 20}</p>{inline % 'our letter'}</article><footer>{'foot ' * 50}</footer></body>"] * 5
+    counts = H.Counter()
+    for x in pages:
+        H.count_labels(x, counts)
+    for weights in (H.Weights({}), H.Weights(counts)):
+        for x in (page, page.replace("<div><p>", "<article><p>").replace("</div><footer>", "</article><footer>")):
+            assert H.extract(x, weights) == f"{lead.strip()}\n\n{rest.strip()}"
+
+
 def test_best_stretch_is_the_maximum():
     weights = H.Weights({})
     tokens = [(t, H.block_text(t)) if isinstance(t, H.Block) else (t, None) for t in H.read_tokens(PAGE)]

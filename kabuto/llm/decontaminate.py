@@ -4,8 +4,8 @@ The documents are indexed in blocks, each block by itself (a document-partitione
 every term that occurs in the test set, the sorted list of its positions in the block, where the
 block's documents are laid out one after another. The index is written as a table, one row per
 block. Phrases are found by intersecting the lists of their terms, each shifted by the term's
-offset, from the term that is rarest in the corpus on; proximity matches by looking for each term
-near the rarest one. No row is ever shuffled.
+offset, from the term that is rarest in the corpus on; proximity matches (``find_near``) by looking
+for each term near the rarest one. No row is shuffled, unless the test set takes several passes.
 
 The test set is taken in blocks, too, so that the vocabulary sent to the executors is bounded
 whatever its size.
@@ -165,7 +165,29 @@ class Block:
         return np.searchsorted(self.begins, positions, "right") - 1
 
 
-def _matches(index: DataFrame, phrases, kind: str) -> DataFrame:
+def exact(block: Block, phrases: Phrases, q: int) -> tuple[np.ndarray, int]:
+    """Where phrase ``q`` begins in the block, and how many words from there are hit."""
+    return intersect(block.lists, phrases.phrases[q], phrases.order[q]), len(phrases.phrases[q])
+
+
+def within(span: int):
+    """As ``exact``, for the words of a phrase in any order within ``span`` words: where the
+    rarest of them stands."""
+
+    def search(block: Block, phrases: Phrases, q: int) -> tuple[np.ndarray, int]:
+        terms = list(dict.fromkeys(phrases.phrases[q][k] for k in phrases.order[q]))
+        terms.sort(key=lambda t: len(block.lists.get(t, ())))
+        first = block.lists.get(terms[0], np.zeros(0, np.int64))
+        for t in terms[1:]:  # only where each of the others is near at all
+            at = block.lists.get(t, np.zeros(0, np.int64))
+            first = first[np.searchsorted(at, first + span) > np.searchsorted(at, first - span + 1)]
+        lists = {t: block.lists[t] for t in terms} | {terms[0]: first} if len(first) else {}
+        return near(lists, terms, span), 1
+
+    return search
+
+
+def _matches(index: DataFrame, phrases, kind: str, search) -> DataFrame:
     """Per document of the index: id, n_words, the hit positions and the items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,10 +199,9 @@ def _matches(index: DataFrame, phrases, kind: str) -> DataFrame:
                 items: list[set[int]] = [set() for _ in block.ids]
                 for term in block.lists.keys() & p.by_rarest.keys():
                     for q in p.by_rarest[term]:
-                        phrase = p.phrases[q]
-                        starts = intersect(block.lists, phrase, p.order[q])
+                        starts, size = search(block, p, q)
                         if len(starts):
-                            covered = np.arange(len(phrase))
+                            covered = np.arange(size)
                             for d, s in zip(block.document(starts).tolist(), starts.tolist(), strict=True):
                                 hits[d].append(covered + (s - block.begins[d]))
                                 items[d].update(p.holders[q])
@@ -206,6 +227,20 @@ def find_phrases(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     dealt by item and text (long texts in overlapping pieces), whose hits are put together by a key
     that each row of ``docs`` is written with.
     """
+    return _find(docs, benchmark, id_col, text_col, item_col, item_text, window, max_words, exact, window)
+
+
+def find_near(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, span: int | None = None, max_words: int = MAX_WORDS) -> DataFrame:
+    """Proximity matches, for items with words reordered or inserted. As ``find_phrases``, but a
+    window occurs where a stretch of ``span`` words (twice the window if not given) of a text holds
+    all its distinct words, in any order; ``hits`` are the positions in such stretches of the
+    window's word that is rarest in the block of documents. Every exact occurrence is one as well,
+    if ``span`` is no less than ``window``."""
+    span = span or 2 * window
+    return _find(docs, benchmark, id_col, text_col, item_col, item_text, window, max_words, within(span), max(window, span))
+
+
+def _find(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str, window: int, max_words: int, search, gap: int) -> DataFrame:
     spark = prepare(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     tests = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")).where("text IS NOT NULL")
@@ -222,9 +257,9 @@ def find_phrases(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         items = [(r.item, words(r.text)) for r in part.toLocalIterator()]
         phrases = Phrases(items, window)
         vocabulary = spark.sparkContext.broadcast(phrases.terms)
-        index = written(build_index(docs, vocabulary, window), "positions")
+        index = written(build_index(docs, vocabulary, gap), "positions")
         phrases.rank(term_counts_of(index, len(phrases.terms)))
-        out = _matches(index, spark.sparkContext.broadcast(phrases), kind)
+        out = _matches(index, spark.sparkContext.broadcast(phrases), kind, search)
         found = out if found is None else found.union(out)
     if several:
         united = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)

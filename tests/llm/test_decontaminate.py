@@ -101,6 +101,33 @@ def test_proximity():
         assert D.near(lists, terms, span).tolist() == expected
 
 
+@pytest.mark.parametrize("max_words", [D.MAX_WORDS, 30])
+def test_proximity_matches_of_documents(spark, max_words):
+    """Words reordered or inserted are found, in the whole text and in no other document's."""
+    rng = np.random.default_rng(4)
+    line = lambda n: " ".join(f"w{k}" for k in rng.integers(0, 14, n))
+    items = [(1, "alpha beta gamma delta"), (2, line(9)), (3, line(4)), (None, "one word"), (4, "beta"), (5, None), (6, "alpha zzz")]
+    docs = [(1, "x gamma y alpha beta z delta x"), (1, "x gamma y alpha beta z z z z z z delta"), (None, "alpha beta"), (None, "gamma delta"), (2, None), (3, ""), (4, "word or one")]
+    docs += [(k, line(60)) for k in range(10, 30)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), spark.createDataFrame(items, "item_id long, text string")
+    window, span = 5, 8
+    expected = []
+    for i, t in docs:
+        w, found = fold(t), set()
+        for item, x in items:
+            ws = fold(x)
+            size = min(window, len(ws))
+            for k in range(len(ws) - size + 1 if size else 0):
+                if any(set(ws[k : k + size]) <= set(w[s : s + span]) for s in range(len(w))):
+                    found.add("null" if item is None else str(item))
+        expected.append((i or 0, len(w), sorted(found)))
+    rows = D.find_near(d, b, window=window, span=span, max_words=max_words).collect()
+    assert sorted((r.doc_id or 0, r.n_words, sorted(r["items"])) for r in rows) == sorted(expected)
+    assert all(bool(r.hits) == bool(r["items"]) for r in rows) and sum(len(x[2]) for x in expected) > 8
+    phrases = D.find_phrases(d, b, window=window, max_words=max_words).collect()
+    assert [r for r in phrases if r.n_words == 8][0]["items"] == ["4"]  # by proximity item 1 too
+
+
 def test_query_matches_sql(spark):
     con = duck(SF)
     for name in ("op3_benchmark_decontamination", "op7_chat_formatting"):

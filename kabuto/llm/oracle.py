@@ -50,5 +50,55 @@ FROM w LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+OP12 = r"""
+WITH RECURSIVE docs AS (
+  SELECT *, row_number() OVER () AS rid,
+    [CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(doc_id::VARCHAR) || ':' || doc_id END,
+     CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END,
+     CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END,
+     CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END] AS v,
+    list_reduce(list_prepend(4294967295::BIGINT, [ord(c)::BIGINT FOR c IN string_split(doc_id::VARCHAR, '')]),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+        lambda c, k: xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END))) AS crc
+  FROM documents
+), leaves AS (
+  SELECT rid, doc_id, lang, sha256(v[1] || v[2] || v[3] || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || v[4]) AS leaf,
+    CASE WHEN xor(crc, 4294967295) % 7 = 0 THEN n_chars::HUGEINT + 1 ELSE n_chars END AS m,
+    sha256(v[1] || v[2] || v[3] || coalesce(strlen(m::VARCHAR) || ':' || m, '-') || v[4]) AS altered
+  FROM docs
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS spot FROM leaves
+), levels AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY spot) AS nodes FROM placed GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, [sha256(nodes[2 * k + 1] || coalesce(nodes[2 * k + 2], '')) FOR k IN range((len(nodes) + 1) // 2)] FROM levels WHERE len(nodes) > 1
+), subroots AS (
+  SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM levels WHERE len(nodes) = 1
+), top_levels AS (
+  SELECT 0 AS level, list(subroot ORDER BY place) AS nodes FROM subroots
+  UNION ALL
+  SELECT level + 1, [sha256(nodes[2 * k + 1] || coalesce(nodes[2 * k + 2], '')) FOR k IN range((len(nodes) + 1) // 2)] FROM top_levels WHERE len(nodes) > 1
+), ways AS (
+  SELECT rid, 0 AS part, level, (spot >> level) % 2 AS side, coalesce(nodes[xor(spot >> level, 1) + 1], '') AS sibling
+  FROM placed JOIN levels ON placed.lang IS NOT DISTINCT FROM levels.lang WHERE len(nodes) > 1
+  UNION ALL
+  SELECT rid, 1, level, (place >> level) % 2, coalesce(nodes[xor(place >> level, 1) + 1], '')
+  FROM placed JOIN subroots ON placed.lang IS NOT DISTINCT FROM subroots.lang, top_levels WHERE len(nodes) > 1
+), way AS (
+  SELECT rid, string_agg(sibling, '' ORDER BY part, level) AS proof, list({'side': side, 'h': sibling} ORDER BY part, level) AS steps FROM ways GROUP BY rid
+), folded AS (
+  SELECT placed.*, subroot, (SELECT nodes[1] FROM top_levels WHERE len(nodes) = 1) AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+    list_reduce(list_prepend({'side': 0::BIGINT, 'h': altered}, coalesce(steps, [])),
+      lambda a, s: {'side': s.side, 'h': sha256(CASE WHEN s.side = 0 THEN a.h || s.h ELSE s.h || a.h END)}).h AS folded_root
+  FROM placed JOIN subroots ON placed.lang IS NOT DISTINCT FROM subroots.lang LEFT JOIN way USING (rid)
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_benchmark_decontamination": OP3, "op7_chat_formatting": OP7}
+    return {
+        "op3_benchmark_decontamination": OP3,
+        "op7_chat_formatting": OP7,
+        "op12_merkle_manifest": OP12,
+    }

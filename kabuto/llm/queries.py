@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kabuto.llm import chat_format, decontaminate, html_extract, near_embeddings, ngram_join, secret_scan, sentencepiece_fst, sharding, token_counts, toxicity
+from kabuto.llm import (
+    chat_format,
+    decontaminate,
+    html_extract,
+    merkle_manifest,
+    near_embeddings,
+    ngram_join,
+    secret_scan,
+    sentencepiece_fst,
+    sharding,
+    token_counts,
+    toxicity,
+)
 from kabuto.llm.common import prepare
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -82,6 +94,11 @@ def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(table(spark, sf_dir, "documents"))
 
 
+def merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Merkle manifest of the documents, and which of the tampered ones it finds."""
+    return merkle_manifest.verify_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": sentencepiece,
@@ -94,4 +111,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embedding_near_dedup": embedding_near_dedup,
         "op9_token_counts": token_counting,
         "op10_ngram_jaccard_join": ngram_jaccard_join,
+        "op12_merkle_manifest": merkle,
     }

@@ -96,9 +96,30 @@ SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = roo
 """
 
 
+OP13 = r"""
+WITH rows AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT a.rid, a.vec_id AS anchor_id, b.rid AS other, b.vec_id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id % 50 = 0 AND len(a.q) = len(b.q)
+), positives AS (
+  SELECT rid, anchor_id, other, vec_id AS positive_id, score AS positive_score FROM scored WHERE same AND other <> rid
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id, other) <= 5
+)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.rid, p.other ORDER BY score DESC, vec_id, s.other)::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON p.rid = s.rid AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_benchmark_decontamination": OP3,
         "op7_chat_formatting": OP7,
         "op12_merkle_manifest": OP12,
+        "op13_hard_negatives": OP13,
     }

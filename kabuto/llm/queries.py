@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kabuto.llm import (
     chat_format,
     decontaminate,
+    hard_negatives,
     html_extract,
     merkle_manifest,
     near_embeddings,
@@ -99,6 +100,13 @@ def merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.verify_documents(table(spark, sf_dir, "documents"))
 
 
+def negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector; every 7th has the next label."""
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": sentencepiece,
@@ -112,4 +120,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_token_counts": token_counting,
         "op10_ngram_jaccard_join": ngram_jaccard_join,
         "op12_merkle_manifest": merkle,
+        "op13_hard_negatives": negatives,
     }

@@ -12,6 +12,7 @@ from kabuto.llm import (
     decontaminate,
     hard_negatives,
     html_extract,
+    language_id,
     merkle_manifest,
     near_embeddings,
     ngram_join,
@@ -95,6 +96,11 @@ def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(table(spark, sf_dir, "documents"))
 
 
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return language_id.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The Merkle manifest of the documents, and which of the tampered ones it finds."""
     return merkle_manifest.verify_documents(table(spark, sf_dir, "documents"))
@@ -119,6 +125,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embedding_near_dedup": embedding_near_dedup,
         "op9_token_counts": token_counting,
         "op10_ngram_jaccard_join": ngram_jaccard_join,
+        "op11_language_id": languages,
         "op12_merkle_manifest": merkle,
         "op13_hard_negatives": negatives,
     }

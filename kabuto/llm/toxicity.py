@@ -26,13 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kabuto.llm.common import prepare
+from kabuto.llm.common import prepare, written
 
 BUCKETS = 1 << 18
 DIMS = 8
 GRAMS = (3, 4, 5)
 CLASS_ROWS = 4000  # rows of either class that the model is fitted on, at most (those of smallest hash)
-LABELLED_CHARS = 20_000  # of these, texts up to this length (bounds what the driver holds)
+BAG_BYTES = 96 << 20  # of their n-gram counts, at most about (bounds what the driver holds)
 CACHE_ENTRIES = 300_000
 CACHED_LETTERS = 64  # longer words are not kept in the caches
 PIECE = 4096  # letters of a word whose n-grams are held at a time
@@ -71,10 +71,12 @@ def text_words(text: str | None) -> list[str]:
 
 @dataclass
 class Model:
-    """``weights``: each n-gram's share in the log odds, before averaging."""
+    """``weights``: each n-gram's share in the log odds, before averaging. ``trained`` keeps what these come
+    from: the embeddings of all buckets, the softmax and its offsets."""
 
     weights: np.ndarray
     bias: float
+    trained: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
     def log_odds(self, words: list[str], cache: dict) -> float:
         total, n = 0.0, 0
@@ -101,32 +103,38 @@ class Model:
         return 1.0 / (1.0 + float(np.exp(-z)))
 
 
-def bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The n-gram counts of all texts: (ends, buckets, counts, totals)."""
-    known: dict[str, list[int]] = {}
-    ends, buckets, counts, totals, end = [], [], [], [], 0
-    for text in texts:
-        grams: Counter = Counter()
-        for w, n in Counter(text_words(text)).items():
-            found = known.get(w)
-            if found is None:
-                found = word_grams(w)
-                if len(w) <= CACHED_LETTERS:
-                    known[w] = found
-            for g in found:
-                grams[g] += n
-        if len(known) > CACHE_ENTRIES:
-            known.clear()
-        totals.append(sum(grams.values()))
-        buckets.append(np.fromiter(grams.keys(), np.int32, len(grams)))
-        counts.append(np.fromiter(grams.values(), np.int32, len(grams)).clip(max=65_535).astype(np.uint16))
-        end += len(grams)
-        ends.append(end)
-    empty = np.zeros(0, np.int32)
-    return np.array(ends), np.concatenate([empty, *buckets]), np.concatenate([empty.astype(np.uint16), *counts]), np.array(totals)
-
-
-def train(texts: list[str | None], labels: list[int], dims: int = DIMS, epochs: int = 8, batch: int = 200, rate: float = 0.05, decay: float = 1e-5, min_texts: int = 4, positive: float | None = None, seed: int = 3) -> Model:
+Bag = tuple[np.ndarray, np.ndarray, int]
+
+
+def bag(text: str | None, known: dict) -> Bag:
+    """A text's n-grams: (buckets in order, counts up to 65,535, number of all)."""
+    grams: Counter = Counter()
+    for w, n in Counter(text_words(text)).items():
+        found = known.get(w)
+        if found is None:
+            if len(w) > CACHED_LETTERS:
+                for piece in gram_pieces(w):
+                    for g in piece:
+                        grams[g] += n
+                continue
+            if len(known) >= CACHE_ENTRIES:
+                known.clear()
+            found = known[w] = word_grams(w)
+        for g in found:
+            grams[g] += n
+    buckets = np.fromiter(grams.keys(), np.int32, len(grams))
+    counts = np.fromiter(grams.values(), np.int64, len(grams))
+    order = np.argsort(buckets)
+    return buckets[order], counts[order].clip(max=65_535).astype(np.uint16), int(counts.sum())
+
+
+def train(texts: list[str | None], labels: list[int], **options) -> Model:
+    """``train_bags`` of texts."""
+    known: dict = {}
+    return train_bags([bag(t, known) for t in texts], labels, **options)
+
+
+def train_bags(bags: list[Bag], labels: list[int], dims: int = DIMS, epochs: int = 8, batch: int = 200, rate: float = 0.05, decay: float = 1e-5, min_texts: int = 4, positive: float | None = None, seed: int = 3) -> Model:
     """Fit the model. N-grams in fewer than ``min_texts`` texts keep a zero vector. ``positive`` is the
     share of class 1 among all labelled rows, if that differs from the sample's; it moves the bias.
     With few texts, or one class only, the bias alone, from the smoothed share, is the model."""
@@ -136,7 +144,9 @@ def train(texts: list[str | None], labels: list[int], dims: int = DIMS, epochs:
     bias = float(np.log(prior / (1 - prior)))
     if len(y) < 20 or y.min() == y.max():
         return Model(np.zeros(BUCKETS), bias if positive is None else float(np.log(positive / (1 - positive))))
-    ends, grams, counts, totals = bags(texts)
+    ends = np.cumsum([len(b[0]) for b in bags])
+    grams, counts = (np.concatenate([b[k] for b in bags]) for k in (0, 1))
+    totals = np.array([b[2] for b in bags])
     often = np.flatnonzero(np.bincount(grams, minlength=BUCKETS) >= min_texts)
     row_of = np.full(BUCKETS, -1, np.int32)
     row_of[often] = np.arange(len(often))
@@ -190,29 +200,52 @@ def train(texts: list[str | None], labels: list[int], dims: int = DIMS, epochs:
             losses.append(-np.log(np.clip(forward(at)[-1][np.arange(len(at)), y[at].astype(int)], 1e-12, 1)))
         loss = float(np.concatenate(losses).mean())
         if best is None or loss < best[0]:
-            best = loss, table @ (soft[:, 1] - soft[:, 0]), float(offset[1] - offset[0])
+            best = loss, table.copy(), soft.copy(), offset.copy()
     moved = 0.0 if positive is None else float(np.log(positive / (1 - positive))) - bias
-    weights = np.zeros(BUCKETS)
-    weights[often] = best[1]
-    return Model(weights, best[2] + moved)
+    _, rows, soft, offset = best
+    table = np.zeros((BUCKETS, dims))
+    table[often] = rows
+    offset = offset + np.array([0.0, moved])
+    return Model(table @ (soft[:, 1] - soft[:, 0]), float(offset[1] - offset[0]), (table, soft, offset))
+
+
+def _bagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict = {}
+    for b in batches:
+        for h, y, text in zip(b.column("h"), b.column("y"), b.column("text"), strict=True):
+            buckets, counts, total = bag(text.as_py(), known)
+            row = {"h": [h.as_py()], "y": [y.as_py()], "buckets": [buckets.astype("<i4").tobytes()], "counts": [counts.astype("<u2").tobytes()], "total": [total]}
+            yield pa.RecordBatch.from_pydict(row, schema=_BAG)
+
+
+_BAG = pa.schema([("h", pa.int64()), ("y", pa.int32()), ("buckets", pa.binary()), ("counts", pa.binary()), ("total", pa.int64())])
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", class_rows: int = CLASS_ROWS, max_chars: int = LABELLED_CHARS, **training) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", class_rows: int = CLASS_ROWS, bag_bytes: int = BAG_BYTES, **training) -> Model:
     """Train on labelled rows of ``docs``: at most ``class_rows`` of each class, the ones whose id has
-    the smallest hash, with whole texts of up to ``max_chars`` characters.
+    the smallest hash, whole texts of any length.
 
     An id labelled several times counts as class 1 if any label says so; null labels and ids, and
-    ids without a document, are left out. The driver holds the sample only."""
+    ids without a document, are left out; repeated rows (id and text) count once. Texts become bags of
+    n-gram counts in the tasks; the driver gets bags only, about ``bag_bytes`` of them at most (rows
+    are left out by hash beyond that)."""
+    prepare(docs.sparkSession)
     known = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg((F.max(label) > 0).cast("int").alias("_y"))
     counts = {r["_y"]: r["count"] for r in known.groupBy("_y").count().collect()}
     picked = None
     for y in (0, 1):
         some = known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(class_rows)
         picked = some if picked is None else picked.union(some)
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.char_length("_text") <= max_chars)
-    sample = rows.join(F.broadcast(picked), "_id").orderBy("_id", F.md5(F.col("_text").cast("binary"))).limit(4 * class_rows).collect()
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "_id")
+    rows = rows.select(F.xxhash64("_id", "text").alias("h"), F.col("_y").alias("y"), "text").dropDuplicates(["h"])
+    bags = written(rows.mapInArrow(_bagged, "h long, y int, buckets binary, counts binary, total long"), "toxicity-bags")
+    weight = bags.agg(F.coalesce(F.sum(F.octet_length("buckets") + F.octet_length("counts")), F.lit(0))).first()[0]
+    if weight > bag_bytes:
+        bags = bags.where(F.pmod(F.xxhash64("h"), F.lit(1 << 30)) < int(bag_bytes / weight * (1 << 30)))
+    sample = sorted(bags.collect(), key=lambda r: r["h"])
     share = counts.get(1, 0) / max(1, sum(counts.values()))
-    return train([r["_text"] for r in sample], [r["_y"] for r in sample], positive=share, **training)
+    found = [(np.frombuffer(r["buckets"], "<i4"), np.frombuffer(r["counts"], "<u2"), r["total"]) for r in sample]
+    return train_bags(found, [r["y"] for r in sample], positive=share, **training)
 
 
 def scorer(spark, model: Model):

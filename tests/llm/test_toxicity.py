@@ -59,6 +59,36 @@ def test_runs_without_spaces_are_read_to_their_end(corpus, model):
     assert ((score >= 0.5) == np.array([y for *_, y in corpus[700:]])).mean() > 0.9
 
 
+def test_score_is_the_softmax_of_averaged_embeddings(corpus, model):
+    """Against a plain version: every n-gram of every word looked up, averaged, put through the softmax."""
+    table, soft, offset = model.trained
+    cache = {}
+    for text in [None, "", "7", *[t for _, t, _ in corpus[700:760]], "x" * 200]:
+        grams = []
+        for w in T._WORDS.findall((text or "").lower()):
+            grams += [T.crc32(f"<{w}>"[i : i + n].encode()) % T.BUCKETS for n in T.GRAMS for i in range(len(w) + 3 - n)]
+            grams.append(T.crc32(f"=<{w}>".encode()) % T.BUCKETS)
+        mean = sum((table[g] for g in grams), np.zeros(table.shape[1])) / max(1, len(grams))
+        z = T.strength(len(grams)) * mean @ soft + offset
+        assert model.score(text, cache) == pytest.approx(np.exp(z[1]) / np.exp(z).sum(), rel=1e-9)
+
+
+def test_the_driver_gets_bounded_bags(spark, corpus):
+    docs = spark.createDataFrame([(k, t) for k, t, _ in corpus] + [(0, corpus[0][1])] * 50 + [(1, "word " * 50_000 + "idiot")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, _, y in corpus], "doc_id long, toxic int")
+    seen = []
+    fit, T.train_bags = T.train_bags, lambda bags, y, **k: seen.append((bags, y)) or fit(bags, y, epochs=1, **k)
+    try:
+        T.fit(docs, labels)
+        T.fit(docs, labels, bag_bytes=60_000)
+        T.fit(docs, labels, class_rows=20)
+    finally:
+        T.train_bags = fit
+    assert [len(b) for b, _ in seen][0] == 901 and len(seen[2][0]) <= 43
+    assert max(b[2] for b in seen[0][0]) == T.bag("word " * 50_000 + "idiot", {})[2]
+    assert sum(b[0].nbytes + b[1].nbytes for b in seen[1][0]) < 120_000
+
+
 def test_the_share_moves_the_bias(corpus):
     texts, labels = [t for _, t, _ in corpus[:200]], [y for *_, y in corpus[:200]]
     low, high = (T.train(texts, labels, epochs=2, positive=p) for p in (0.01, 0.9))

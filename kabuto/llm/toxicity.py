@@ -16,8 +16,9 @@ from __future__ import annotations
 
 import re
 import uuid
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -32,7 +33,7 @@ BUCKETS = 1 << 18
 DIMS = 8
 GRAMS = (3, 4, 5)
 CLASS_ROWS = 4000  # rows of either class that the model is fitted on, at most (those of smallest hash)
-BAG_BYTES = 96 << 20  # of their n-gram counts, at most about (bounds what the driver holds)
+BAG_BYTES = 32 << 20  # of their n-gram counts, at most about (bounds what the driver holds)
 CACHE_ENTRIES = 300_000
 CACHED_LETTERS = 64  # longer words are not kept in the caches
 PIECE = 4096  # letters of a word whose n-grams are held at a time
@@ -134,7 +135,7 @@ def train(texts: list[str | None], labels: list[int], **options) -> Model:
     return train_bags([bag(t, known) for t in texts], labels, **options)
 
 
-def train_bags(bags: list[Bag], labels: list[int], dims: int = DIMS, epochs: int = 8, batch: int = 200, rate: float = 0.05, decay: float = 1e-5, min_texts: int = 4, positive: float | None = None, seed: int = 3) -> Model:
+def train_bags(bags: Iterable[Bag], labels: list[int], dims: int = DIMS, epochs: int = 8, batch: int = 200, rate: float = 0.05, decay: float = 1e-5, min_texts: int = 4, positive: float | None = None, seed: int = 3) -> Model:
     """Fit the model. N-grams in fewer than ``min_texts`` texts keep a zero vector. ``positive`` is the
     share of class 1 among all labelled rows, if that differs from the sample's; it moves the bias.
     With few texts, or one class only, the bias alone, from the smoothed share, is the model."""
@@ -144,16 +145,20 @@ def train_bags(bags: list[Bag], labels: list[int], dims: int = DIMS, epochs: int
     bias = float(np.log(prior / (1 - prior)))
     if len(y) < 20 or y.min() == y.max():
         return Model(np.zeros(BUCKETS), bias if positive is None else float(np.log(positive / (1 - positive))))
-    ends = np.cumsum([len(b[0]) for b in bags])
-    grams, counts = (np.concatenate([b[k] for b in bags]) for k in (0, 1))
-    totals = np.array([b[2] for b in bags])
-    often = np.flatnonzero(np.bincount(grams, minlength=BUCKETS) >= min_texts)
+    often = np.zeros(BUCKETS, np.int32)
+    for b in bags:
+        often[b[0]] += 1
+    often = np.flatnonzero(often >= min_texts)
     row_of = np.full(BUCKETS, -1, np.int32)
     row_of[often] = np.arange(len(often))
-    grams = row_of[grams]
-    kept = grams >= 0
-    ends = np.r_[0, np.cumsum(kept)][ends]
-    grams, counts = grams[kept], counts[kept]
+    kept, totals = [], []
+    for b in bags:
+        at = row_of[b[0]]
+        kept.append((at[at >= 0], b[1][at >= 0]))
+        totals.append(b[2])
+    grams, counts = (np.concatenate([x[k] for x in kept]) for k in (0, 1))
+    ends = np.cumsum([len(x[0]) for x in kept])
+    del kept
     begins = np.r_[0, ends[:-1]]
     factor = np.array([strength(int(t)) / max(int(t), 1) for t in totals])
     rng = np.random.default_rng(seed)
@@ -213,12 +218,22 @@ def _bagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: dict = {}
     for b in batches:
         for h, y, text in zip(b.column("h"), b.column("y"), b.column("text"), strict=True):
-            buckets, counts, total = bag(text.as_py(), known)
-            row = {"h": [h.as_py()], "y": [y.as_py()], "buckets": [buckets.astype("<i4").tobytes()], "counts": [counts.astype("<u2").tobytes()], "total": [total]}
-            yield pa.RecordBatch.from_pydict(row, schema=_BAG)
+            packed, total = pack(bag(text.as_py(), known))
+            yield pa.RecordBatch.from_pydict({"h": [h.as_py()], "y": [y.as_py()], "bag": [packed], "total": [total]}, schema=_BAG)
 
 
-_BAG = pa.schema([("h", pa.int64()), ("y", pa.int32()), ("buckets", pa.binary()), ("counts", pa.binary()), ("total", pa.int64())])
+_BAG = pa.schema([("h", pa.int64()), ("y", pa.int32()), ("bag", pa.binary()), ("total", pa.int64())])
+
+
+def pack(b: Bag) -> tuple[bytes, int]:
+    """A bag in about two bytes an n-gram: the gaps between its buckets and its counts, deflated."""
+    return zlib.compress(np.diff(b[0], prepend=0).astype("<u4").tobytes() + b[1].astype("<u2").tobytes(), 1), b[2]
+
+
+def unpack(packed: bytes, total: int) -> Bag:
+    raw = zlib.decompress(packed)
+    n = len(raw) // 6
+    return np.cumsum(np.frombuffer(raw, "<u4", n)).astype(np.int32), np.frombuffer(raw, "<u2", n, 4 * n), total
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", class_rows: int = CLASS_ROWS, bag_bytes: int = BAG_BYTES, **training) -> Model:
@@ -238,14 +253,23 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
         picked = some if picked is None else picked.union(some)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "_id")
     rows = rows.select(F.xxhash64("_id", "text").alias("h"), F.col("_y").alias("y"), "text").dropDuplicates(["h"])
-    bags = written(rows.mapInArrow(_bagged, "h long, y int, buckets binary, counts binary, total long"), "toxicity-bags")
-    weight = bags.agg(F.coalesce(F.sum(F.octet_length("buckets") + F.octet_length("counts")), F.lit(0))).first()[0]
+    bags = written(rows.mapInArrow(_bagged, "h long, y int, bag binary, total long"), "toxicity-bags")
+    weight = bags.agg(F.coalesce(F.sum(F.octet_length("bag")), F.lit(0))).first()[0]
     if weight > bag_bytes:
         bags = bags.where(F.pmod(F.xxhash64("h"), F.lit(1 << 30)) < int(bag_bytes / weight * (1 << 30)))
-    sample = sorted(bags.collect(), key=lambda r: r["h"])
     share = counts.get(1, 0) / max(1, sum(counts.values()))
-    found = [(np.frombuffer(r["buckets"], "<i4"), np.frombuffer(r["counts"], "<u2"), r["total"]) for r in sample]
-    return train_bags(found, [r["y"] for r in sample], positive=share, **training)
+    sample = sorted(((r["h"], r["y"], bytes(r["bag"]), r["total"]) for r in bags.toLocalIterator()), key=lambda r: r[0])
+    return train_bags(_Unpacked(sample), [r[1] for r in sample], positive=share, **training)
+
+
+class _Unpacked:
+    """The bags of packed rows, unpacked each time they are gone through."""
+
+    def __init__(self, rows: list[tuple]):
+        self.rows = rows
+
+    def __iter__(self) -> Iterator[Bag]:
+        return (unpack(packed, total) for _, _, packed, total in self.rows)
 
 
 def scorer(spark, model: Model):

@@ -77,7 +77,7 @@ def test_the_driver_gets_bounded_bags(spark, corpus):
     docs = spark.createDataFrame([(k, t) for k, t, _ in corpus] + [(0, corpus[0][1])] * 50 + [(1, "word " * 50_000 + "idiot")], "doc_id long, text string")
     labels = spark.createDataFrame([(k, y) for k, _, y in corpus], "doc_id long, toxic int")
     seen = []
-    fit, T.train_bags = T.train_bags, lambda bags, y, **k: seen.append((bags, y)) or fit(bags, y, epochs=1, **k)
+    fit, T.train_bags = T.train_bags, lambda bags, y, **k: seen.append((list(bags), y)) or fit(bags, y, epochs=1, **k)
     try:
         T.fit(docs, labels)
         T.fit(docs, labels, bag_bytes=60_000)
@@ -86,7 +86,10 @@ def test_the_driver_gets_bounded_bags(spark, corpus):
         T.train_bags = fit
     assert [len(b) for b, _ in seen][0] == 901 and len(seen[2][0]) <= 43
     assert max(b[2] for b in seen[0][0]) == T.bag("word " * 50_000 + "idiot", {})[2]
-    assert sum(b[0].nbytes + b[1].nbytes for b in seen[1][0]) < 120_000
+    assert 0 < sum(len(T.pack(b)[0]) for b in seen[1][0]) < 120_000
+    for b in seen[0][0][:50]:
+        again = T.unpack(*T.pack(b))
+        assert b[0].tolist() == again[0].tolist() and b[1].tolist() == again[1].tolist() and b[2] == again[2]
 
 
 def test_the_share_moves_the_bias(corpus):

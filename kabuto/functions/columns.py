@@ -91,13 +91,42 @@ def money_total(high: Column, rest: Column) -> Column:
     return high.cast(T.DoubleType()) + rest.cast(T.DoubleType())
 
 
+# An exact amount is six decimals of up to 1e14 (times units) and what is left of it.
+PRICED_REST = T.DecimalType(38, 20)
+LARGEST_EXACT = 1e14
+
+
+def priced_parts(c: ColumnOrName, units: ColumnOrName) -> tuple[Column, Column, Column, Column]:
+    """Of a DOUBLE price and a whole number of units (up to 1e17): the exact value of the units in two
+    DECIMAL parts, the value in floating point where the price has no exact one (NaN, infinite, or from
+    1e14 on: these parts are 0 then), and the units that have a price."""
+    px, n = _c(c).cast(T.DoubleType()), _c(units)
+    exact = F.abs(px) < F.lit(LARGEST_EXACT)  # NaN counts as larger than any number
+    fine = F.when(exact, px).when(px.isNotNull(), F.lit(0.0))
+    high, rest = money_parts(fine)
+    times = n.cast(T.DecimalType(17, 0))
+    high, rest = high.cast(T.DecimalType(20, 6)) * times, rest.cast(T.DecimalType(20, 20)) * times
+    return high, rest, F.when(~exact, px * n), F.when(px.isNotNull(), n)
+
+
+def priced_value(value: Column, rest: Column, wild: Column) -> Column:
+    """The DOUBLE total of summed ``priced_parts``."""
+    total = money_total(value, rest)
+    return F.when(wild.isNull(), total).otherwise(total + wild)
+
+
+def priced_total(value: str, rest: str, wild: str, priced: str) -> Column:
+    """The mean price, over columns that hold sums of ``priced_parts``."""
+    return priced_value(F.sum(value).cast(MONEY), F.sum(rest).cast(PRICED_REST), F.sum(wild)) / F.sum(priced)
+
+
 def money_sum(c: ColumnOrName, units: ColumnOrName | None = None) -> Column:
     """``SUM(x)`` of a DOUBLE amount, accumulated exactly and returned as DOUBLE (NULL if no rows).
 
-    With ``units`` (whole numbers), each amount counts that many times; the products are exact, too
-    (amounts up to 1e14, units up to 1e17)."""
-    high, rest = money_parts(c)
+    With ``units`` (whole numbers up to 1e17), each amount counts that many times; the products are exact,
+    too, for amounts below 1e14, and summed in floating point for larger ones and NaN."""
     if units is not None:
-        times = _c(units).cast(T.DecimalType(17, 0))
-        high, rest = high.cast(T.DecimalType(20, 6)) * times, rest.cast(T.DecimalType(20, 20)) * times
+        high, rest, wild, _ = priced_parts(c, units)
+        return priced_value(F.sum(high), F.sum(rest), F.sum(wild))
+    high, rest = money_parts(c)
     return money_total(F.sum(high), F.sum(rest))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kabuto.functions.columns import MONEY, MONEY_REST, as_date, money_parts, money_sum, money_total
+from kabuto.operators.lots import Splitters, lot_sums
 
 
 def mirror_cash(
@@ -133,26 +134,32 @@ def trade_flows(
     qty: str = "order_count",
     instrument: str = "ticker",
     cash: str = "cash",
+    price: str = "price",
+    splitters: Splitters | None = None,
 ) -> DataFrame:
     """Everything the daily marts need from the trade history, per (keys, day), in one scan:
 
-      _buy_units / _sell_units  unit runs bought / sold (FIFO day table of ``open_lots``)
+      _buy_units / _sell_units  unit runs bought / sold (the groups of ``open_lots``)
+      _lot_value, _lot_rest, _lot_wild, _priced_units  value of the bought units (``priced_parts``)
       _buy_amount / _sell_amount  price x quantity of buys / sells (exact DECIMAL, in two columns)
       _net_qty                  bought minus sold quantity (any non-buy side subtracts)
       _cash_delta               effect on the mirrored cash ledger (exact DECIMAL)
 
-    Rows are one per key and trading day, so the table is small next to the trades; the key
-    level results below sum it again (DECIMAL sums stay exact, so the totals are identical).
+    Rows are one per key and trading day (with ``splitters``: per piece of a day, ``_piece``), so the table
+    is small next to the trades; the key level results below sum it again (DECIMAL sums stay
+    exact, so the totals are identical).
     """
     t = trades.filter(F.col(date_col) <= as_date(as_of))
     is_buy, is_sell = F.col(side) == "buy", F.col(side) == "sell"
-    units = F.greatest(F.coalesce(F.col(qty).cast("long"), F.lit(0)), F.lit(0))
+    groups = [*keys, date_col]
+    if splitters is not None:
+        t = t.select("*", F.when(is_buy, splitters.piece()).otherwise(F.lit(0)).alias("_piece"))
+        groups.append("_piece")
     amt = amount(qty)
     own = F.when(is_buy, amt).otherwise(F.lit(-1) * amt)
     leg = F.when(is_buy, F.lit(-1) * amt).otherwise(amt)
-    return t.groupBy(*keys, date_col).agg(
-        F.sum(F.when(is_buy, units)).alias("_buy_units"),
-        F.sum(F.when(is_sell, units)).alias("_sell_units"),
+    return t.groupBy(*groups).agg(
+        *lot_sums(qty, price, is_buy, is_sell),
         *_summed_parts(F.when(is_buy, amt), "_buy_amount"),
         *_summed_parts(F.when(is_sell, amt), "_sell_amount"),
         F.sum(F.when(is_buy, F.col(qty)).otherwise(F.lit(-1) * F.col(qty))).alias("_net_qty"),

@@ -6,29 +6,67 @@ open position is the buy units numbered above the key's total sold units; its av
 the mean unit price of those units (NULL prices ignored). A key whose position is zero (or that
 is oversold) has no row.
 
-``open_lots`` computes this without expanding trades into units: a buy lot covering FIFO unit
-numbers (end - q, end] keeps ``clamp(end - sold, 0, q)`` units. ``end`` is a running sum, built
-as a two-level prefix sum so that one huge key is never held by a single task:
+Sells only ever move one boundary a key: what lies behind it in FIFO order is open as a whole, what lies
+before it is closed as a whole, and one group of lots is cut. ``open_lots`` finds it by sums:
 
-  1. per (key, day): units bought and sold that day      (partial aggregation, map-side)
-  2. per key: units bought on earlier days, units sold   (windows over the small day table)
-  3. per (key, day): running sum inside the day          (window over one key-day)
+  1. per (key, day, piece of the day): units bought and sold, and the exact value of the bought
+     units (partial aggregation, map-side; no trade row is shuffled)
+  2. per key: a running sum over these groups finds the one group that the boundary cuts; the groups
+     behind it are open and already summed
+  3. only the lots of the cut groups are read again, one group a key, and numbered
 
-Days whose buys are already fully sold are discarded at step 2, before the trades are joined.
-``open_lots_units`` is the literal unit-expansion form, kept to cross-check the fast one.
+A day is split where it is large: ``fifo_splitters`` takes a bounded sample of the lots in FIFO
+order and keeps the quantiles that fall inside one day as literals, so the piece of a lot is a plain
+expression of its columns, the same wherever it is computed. A (key, day) with a third of all rows falls
+into a third of all pieces; equal lots are one row before anything is numbered. The cut groups also filter the
+lots below their shuffle, by a broadcast table of bounded size (the span of the cut days for each hash
+bucket of keys). ``open_lots_units`` is the literal unit-expansion form, kept to cross-check.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kabuto.functions.columns import as_date, money_sum
-from kabuto.session import ensure_checkpoint_dir
+from kabuto.functions.columns import MONEY, PRICED_REST, as_date, money_sum, priced_parts, priced_total
+
+PIECES = 64  # of the FIFO order of all lots
+SAMPLE = 16  # sampled lots a piece
+CUT_BUCKETS = 1 << 16  # rows of the broadcast filter, at most
+
+
+@dataclass(frozen=True)
+class Splitters:
+    """Boundaries inside days: rows of literals (as text, with their types; the day first) in FIFO order."""
+
+    order: tuple[str, ...]
+    types: tuple[str, ...] = ()
+    rows: tuple[tuple[str | None, ...], ...] = ()
+
+    def piece(self) -> Column:
+        """The piece of its day that a row falls into: how many boundaries of the day lie at or before it
+        (NULLs first). A tree of comparisons for a split day, 0 for all others."""
+        day, rest = self.order[0], self.order[1:]
+        here = F.struct(*[F.col(c).alias(c) for c in rest])
+
+        def literal(row: tuple[str | None, ...]) -> Column:
+            return F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(row[1:], self.types[1:], rest)])
+
+        def among(rows, first: int) -> Column:
+            if not rows:
+                return F.lit(first)
+            mid = len(rows) // 2
+            return F.when(here >= literal(rows[mid]), among(rows[mid + 1 :], first + mid + 1)).otherwise(among(rows[:mid], first))
+
+        out = F.lit(0)
+        for d in {r[0]: None for r in self.rows}:
+            out = F.when(F.col(day).eqNullSafe(F.lit(d).cast(self.types[0])), among([r for r in self.rows if r[0] == d], 0)).otherwise(out)
+        return out
 
 
 def _units(qty: str) -> Column:
@@ -43,6 +81,32 @@ def _eligible(trades: DataFrame, as_of, date_col: str, instrument: str, exclude:
     return trades.filter(cond)
 
 
+def fifo_splitters(
+    trades: DataFrame,
+    as_of: dt.date,
+    date_col: str = "trade_date",
+    tie_break: Sequence[str] = ("memo", "price", "order_count"),
+    side: str = "trade_type",
+    buy: str = "buy",
+    instrument: str = "ticker",
+    exclude: Sequence[str] = ("cash",),
+    pieces: int = PIECES,
+) -> Splitters:
+    """Quantiles of the FIFO order (``date_col``, then ``tie_break``) of all buys, from a bounded sample
+    (``SAMPLE`` rows a piece, those of smallest hash): those that follow another one on the same day, so that
+    only days with more than one piece's share of the lots are split. One pass over these
+    columns; any splitters give the same positions."""
+    order = [date_col, *tie_break]
+    buys = _eligible(trades, as_of, date_col, instrument, exclude).filter(F.col(side) == buy).select(*order)
+    if pieces < 2:
+        return Splitters(tuple(order))
+    some = buys.withColumn("_h", F.xxhash64(*order, F.monotonically_increasing_id())).orderBy("_h").limit(pieces * SAMPLE)
+    rows = some.orderBy(*order).select(*[F.col(c).cast("string") for c in order]).collect()
+    quantiles = [tuple(rows[len(rows) * k // pieces]) for k in range(pieces)] if rows else []
+    inside = [b for a, b in zip(quantiles, quantiles[1:]) if a[0] == b[0] and a != b]
+    return Splitters(tuple(order), tuple(buys.schema[c].dataType.simpleString() for c in order), tuple(inside))
+
+
 def open_lots(
     trades: DataFrame,
     as_of: dt.date,
@@ -60,110 +124,108 @@ def open_lots(
     split: str = "day",
     range_partitions: int | None = None,
     flows: DataFrame | None = None,
+    splitters: Splitters | None = None,
 ) -> DataFrame:
     """Open long position per key at ``as_of``: (keys..., position, avg_buy_price, partition_date).
 
     FIFO order within a key is ``date_col`` then ``tie_break`` (give a total order).
 
-    ``split="day"`` (default) spreads a key over its trading days: one shuffle of the buys, and
-    the largest unit of work is one (key, day). ``split="range"`` range-partitions the buys on
-    the FIFO order instead, so even a single (key, day) holding a third of all trades is cut
-    into equal pieces (a sampling pass, one more shuffle, and an eager checkpoint of the buys
-    that pins the range assignment).
+    The lots are split into ``PIECES`` pieces of the FIFO order (``split="range"``: into
+    ``range_partitions``, by default as many as shuffle partitions); the largest unit of work is
+    one key's distinct lots in one piece of one day. ``splitters`` may be given (``fifo_splitters``), else they
+    are taken from a sampling pass.
 
-    ``flows`` may pass a precomputed ``ledger.trade_flows`` table for the same ``as_of``; its
-    unit columns then serve as the day table and the trades are scanned once more for the lots.
+    ``flows`` may pass a precomputed ``ledger.trade_flows`` table for the same ``as_of`` (with the same
+    ``splitters``, or with none); the trades are then only read for the lots of the cut groups.
     """
-    if split == "range":
-        return _open_lots_ranged(trades, as_of, list(keys), date_col, list(tie_break), qty, price, side, buy, sell, instrument, exclude, partition_col, range_partitions)
-    keys = list(keys)
+    keys, tb = list(keys), [f"_tb{i}" for i in range(len(tie_break))]
+    if splitters is None:
+        pieces = PIECES if split == "day" else range_partitions or int(trades.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        if flows is not None:
+            pieces = 1  # the flows are by day
+        splitters = fifo_splitters(trades, as_of, date_col, tie_break, side, buy, instrument, exclude, pieces)
     t = _eligible(trades, as_of, date_col, instrument, exclude)
-    buys = (
-        t.filter(F.col(side) == buy)
-        .select(*keys, date_col, *[F.col(c).alias(f"_tb{i}") for i, c in enumerate(tie_break)], F.col(price).alias("_px"), _units(qty).alias("_q"))
-        .filter(F.col("_q") > 0)
-    )
-
-    # Steps 1-2 from one scan: units bought and sold per key-day, then per key the units bought
-    # on earlier days and all units sold. Sells never match a NULL key (its buys stay open),
-    # as in an equality join of unit numbers.
     if flows is None:
-        flows = t.groupBy(*keys, date_col).agg(
-            F.sum(F.when(F.col(side) == buy, _units(qty))).alias("_dq"),
-            F.sum(F.when(F.col(side) == sell, _units(qty))).alias("_ds"),
-        )
+        flows = lot_flows(t, keys, date_col, qty, price, side, buy, sell, splitters)
     else:
         kept = F.lit(True)
         for x in exclude:
             kept = kept & (F.col(instrument) != F.lit(x))
-        flows = flows.filter(kept).select(*keys, date_col, F.col("_buy_units").alias("_dq"), F.col("_sell_units").alias("_ds"))
-    per_key = Window.partitionBy(*keys)
-    before = per_key.orderBy(date_col).rowsBetween(Window.unboundedPreceding, -1)
+        flows = flows.filter(kept)
+        flows = flows if "_piece" in flows.columns else flows.withColumn("_piece", F.lit(0))
+
+    # Sells never match a NULL key (its buys stay open), as in an equality join of unit numbers.
     keyed = F.lit(True)
     for k in keys:
         keyed = keyed & F.col(k).isNotNull()
-    dq = F.coalesce("_dq", F.lit(0))
-    days = (
-        flows.select(
-            *keys,
-            date_col,
-            dq.alias("_dq"),
-            F.when(keyed, F.coalesce(F.sum("_ds").over(per_key), F.lit(0))).otherwise(F.lit(0)).alias("_sold"),
-            F.coalesce(F.sum(dq).over(before), F.lit(0)).alias("_before"),
-        )
-        # keep days that still hold unsold units
-        .filter((F.col("_dq") > 0) & (F.col("_before") + F.col("_dq") > F.col("_sold")))
-        .select(*keys, date_col, "_before", "_sold")
-    )
-
-    # Step 3: running sum inside each surviving key-day. The key columns travel as one struct
-    # (struct equality matches NULL fields), so the join and the window hash on the same
-    # columns and the buys are shuffled once.
-    k = F.struct(*[F.col(c) for c in keys]).alias("_k")
-    lots = buys.select("*", k).join(days.select(k, date_col, "_before", "_sold"), ["_k", date_col], "inner")
-    within = (
-        Window.partitionBy("_k", date_col)
-        .orderBy(*[f"_tb{i}" for i in range(len(tie_break))])
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    end = F.col("_before") + F.sum("_q").over(within)
-    lots = lots.select(*keys, "_px", F.least(F.col("_q"), end - F.col("_sold")).alias("_open")).filter(F.col("_open") > 0)
-
-    return _summarise(lots, keys, "_open", "_px", as_of, partition_col)
-
-
-def _open_lots_ranged(trades, as_of, keys, date_col, tie_break, qty, price, side, buy, sell, instrument, exclude, partition_col, parts):
-    """Three-level prefix sum over range partitions of the FIFO order (see ``open_lots``)."""
-    t = _eligible(trades, as_of, date_col, instrument, exclude)
-    tb = [f"_tb{i}" for i in range(len(tie_break))]
-    buys = (
-        t.filter(F.col(side) == buy)
-        .select(*keys, date_col, *[F.col(c).alias(n) for c, n in zip(tie_break, tb)], F.col(price).alias("_px"), _units(qty).alias("_q"))
-        .filter(F.col("_q") > 0)
-    )
-    spark = trades.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ensure_checkpoint_dir(spark)
-    # Contiguous, balanced ranges of the global FIFO order; a key may span many partitions.
-    # The range id is pinned by a reliable checkpoint: the piece totals and the lots below must
-    # see the same assignment, and a recomputed range shuffle may sample other boundaries.
-    ranged = buys.repartitionByRange(parts, *keys, date_col, *tb).withColumn("_p", F.spark_partition_id()).checkpoint(eager=True)
-    sold = t.filter(F.col(side) == sell).groupBy(*keys).agg(F.sum(_units(qty)).alias("_sold"))
-    # Per (range partition, key): units in the piece and units in earlier pieces of the key.
-    pieces = ranged.groupBy("_p", *keys).agg(F.sum("_q").alias("_pq"))
-    prior = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = (
-        pieces.withColumn("_before", F.coalesce(F.sum("_pq").over(prior), F.lit(0)))
-        .join(sold, keys, "left")  # NULL keys never match: their buys stay open
-        .withColumn("_sold", F.coalesce("_sold", F.lit(0)))
-        .filter(F.col("_before") + F.col("_pq") > F.col("_sold"))
-    )
-    k = F.struct(*[F.col(c) for c in keys]).alias("_k")
-    lots = ranged.select("*", k).join(pieces.select(k, "_p", "_before", "_sold"), ["_k", "_p"], "inner")
-    within = Window.partitionBy("_k", "_p").orderBy(date_col, *tb).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    end = F.col("_before") + F.sum("_q").over(within)
-    lots = lots.select(*keys, "_px", F.least(F.col("_q"), end - F.col("_sold")).alias("_open")).filter(F.col("_open") > 0)
-    return _summarise(lots, keys, "_open", "_px", as_of, partition_col)
+    per_key = Window.partitionBy(*keys)
+    before = per_key.orderBy(date_col, "_piece").rowsBetween(Window.unboundedPreceding, -1)
+    value = ["_lot_value", "_lot_rest", "_lot_wild", "_priced_units"]
+    flows = _whole_rows(flows, ["_buy_units", "_sell_units", *value], [*keys, date_col, "_piece"])
+    dq = F.coalesce("_buy_units", F.lit(0))
+    groups = flows.select(
+        F.struct(*[F.col(c) for c in keys]).alias("_k"),
+        F.col(date_col).alias("_d"),
+        "_piece",
+        dq.alias("_dq"),
+        F.when(keyed, F.coalesce(F.sum("_sell_units").over(per_key), F.lit(0))).otherwise(F.lit(0)).alias("_sold"),
+        F.coalesce(F.sum(dq).over(before), F.lit(0)).alias("_before"),
+        *value,
+    ).filter((F.col("_dq") > 0) & (F.col("_before") + F.col("_dq") > F.col("_sold")))
+    whole = groups.filter(F.col("_before") >= F.col("_sold")).select("_k", F.col("_dq").alias("_open"), *value)
+    cut = groups.filter(F.col("_before") < F.col("_sold")).select("_k", "_d", "_piece", (F.col("_sold") - F.col("_before")).alias("_gone"))
+
+    # The lots of the cut groups. The key columns travel as one struct (struct equality matches NULL
+    # fields). Equal lots are one row with their units.
+    buys = t.filter(F.col(side) == buy).select("*", splitters.piece().alias("_piece"))
+    buys = buys.select(F.struct(*[F.col(c) for c in keys]).alias("_k"), F.col(date_col).alias("_d"), "_piece", *[F.col(c).alias(n) for c, n in zip(tie_break, tb)], F.col(price).alias("_px"), _units(qty).alias("_q"))
+    lots = _near_cut(buys.filter(F.col("_q") > 0), cut).groupBy("_k", "_d", "_piece", *tb, "_px").agg(F.sum("_q").alias("_q"))
+    lots = lots.join(cut, ["_k", "_d", "_piece"])
+    within = Window.partitionBy("_k", "_d", "_piece").orderBy(*tb, "_px").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    left = F.least(F.col("_q"), F.sum("_q").over(within) - F.col("_gone"))
+    lots = lots.select("_k", "_px", left.alias("_open")).filter(F.col("_open") > 0)
+    lots = lots.select("_k", "_open", *[c.alias(n) for c, n in zip(priced_parts("_px", "_open"), value)])
+
+    out = whole.unionByName(lots).groupBy("_k").agg(F.sum("_open").cast(T.LongType()).alias("position"), priced_total(*value).alias("avg_buy_price"))
+    return out.select(*[F.col(f"_k.{c}").alias(c) for c in keys], "position", "avg_buy_price").withColumn(partition_col, as_date(as_of))
+
+
+def lot_flows(t: DataFrame, keys: Sequence[str], date_col: str, qty: str, price: str, side: str, buy: str, sell: str, splitters: Splitters) -> DataFrame:
+    """Per (keys, day, piece): units bought and sold, and the exact value of the bought units."""
+    is_buy = F.col(side) == buy
+    rows = t.select("*", F.when(is_buy, splitters.piece()).otherwise(F.lit(0)).alias("_piece"))
+    return rows.groupBy(*keys, date_col, "_piece").agg(*lot_sums(qty, price, is_buy, F.col(side) == sell))
+
+
+def _whole_rows(df: DataFrame, columns: list[str], groups: list[str]) -> DataFrame:
+    """``df``, with ``columns`` carried in one. The cut groups need some of the sums, the open ones all: with
+    one column for them both read the same rows, so that Spark computes the aggregate once (its exchange
+    is reused) where column pruning would make two different ones of it."""
+    packed = df.select(*groups, F.array(*[F.col(c).cast("string") for c in columns]).alias("_s"))
+    types = [df.schema[c].dataType for c in columns]
+    return packed.select(*groups, *[F.element_at("_s", i + 1).cast(t).alias(c) for i, (c, t) in enumerate(zip(columns, types))])
+
+
+def lot_sums(qty: str, price: str, is_buy: Column, is_sell: Column) -> list[Column]:
+    units = _units(qty)
+    high, rest, wild, priced = priced_parts(price, units)
+    return [
+        F.sum(F.when(is_buy, units)).alias("_buy_units"),
+        F.sum(F.when(is_sell, units)).alias("_sell_units"),
+        F.sum(F.when(is_buy, high)).cast(MONEY).alias("_lot_value"),
+        F.sum(F.when(is_buy, rest)).cast(PRICED_REST).alias("_lot_rest"),
+        F.sum(F.when(is_buy, wild)).alias("_lot_wild"),
+        F.sum(F.when(is_buy, priced)).alias("_priced_units"),
+    ]
+
+
+def _near_cut(buys: DataFrame, cut: DataFrame) -> DataFrame:
+    """The lots that can lie in a cut group, found before they are shuffled: those on the days that the
+    boundaries of the keys in their hash bucket span. The filter has ``CUT_BUCKETS`` rows at most."""
+    bucket = F.pmod(F.xxhash64("_k"), F.lit(CUT_BUCKETS))
+    days = cut.groupBy(bucket.alias("_b")).agg(F.min("_d").alias("_from"), F.max("_d").alias("_to"))
+    near = buys.join(F.broadcast(days), (bucket == F.col("_b")) & F.col("_d").between(F.col("_from"), F.col("_to")))
+    return near.select(*buys.columns)
 
 
 def _summarise(lots: DataFrame, keys: list[str], units: str, px: str, as_of, partition_col: str) -> DataFrame:

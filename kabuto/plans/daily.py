@@ -2,8 +2,8 @@
 
 Order follows the model dependencies: staging views -> price history (published) -> positions
 (published) -> marts (published, reading the published warehouse tables) -> checks. The trade
-history, the largest input, is read twice per run (per-day flows shared by every aggregate,
-and the open lots). Each
+history, the largest input, is read three times per run: the FIFO columns of the buys for a bounded
+sample, per-day flows shared by every aggregate, and the lots of the one group a key that its sells cut. Each
 published table is a date-partitioned Parquet table under ``root`` updated with the keyed
 partition upsert, so a re-run of the same dates is idempotent and a backfill is the same call
 with wide run dates.
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from kabuto.operators import checks as Q
 from kabuto.operators.ledger import cash_from_flows, net_from_flows, net_units, totals_from_flows, trade_flows
-from kabuto.operators.lots import open_lots
+from kabuto.operators.lots import fifo_splitters, open_lots
 from kabuto.operators.upsert import existing_table, read_table, table_missing, upsert_partitions
 from kabuto.plans import marts, staging, warehouse
 from kabuto.plans.declared import DECLARED
@@ -118,13 +118,14 @@ def run_daily(
         return out[name]
 
     flow_cache: list[DataFrame] = []
+    lot_splitters = fifo_splitters(trades, as_of, tie_break=warehouse.TRADE_TIE_BREAK) if "dwh_daily_position" in sel else None
 
     def flows() -> DataFrame:
-        # The trade history is scanned twice per run: once into per-(account, ticker, day) flows
-        # shared by every aggregate consumer (checkpointed, so computed once), once for the lots.
+        # One scan of the trade history into per-(account, ticker, day) flows, shared by every
+        # aggregate consumer (checkpointed, so computed once).
         if not flow_cache:
             ensure_checkpoint_dir(spark)
-            flow_cache.append(trade_flows(trades, as_of).checkpoint(eager=True))
+            flow_cache.append(trade_flows(trades, as_of, splitters=lot_splitters).checkpoint(eager=True))
         return flow_cache[0]
 
     def prices() -> DataFrame:
@@ -136,7 +137,7 @@ def run_daily(
     def positions() -> DataFrame:
         return table(
             "dwh_daily_position",
-            lambda: open_lots(trades, as_of, tie_break=warehouse.TRADE_TIE_BREAK, flows=flows()),
+            lambda: open_lots(trades, as_of, tie_break=warehouse.TRADE_TIE_BREAK, flows=flows(), splitters=lot_splitters),
             replace_positions,
         )
 

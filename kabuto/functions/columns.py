@@ -99,14 +99,14 @@ LARGEST_EXACT = 1e14
 def priced_parts(c: ColumnOrName, units: ColumnOrName) -> tuple[Column, Column, Column, Column]:
     """Of a DOUBLE price and a whole number of units (up to 1e17): the exact value of the units in two
     DECIMAL parts, the value in floating point where the price has no exact one (NaN, infinite, or from
-    1e14 on: these parts are 0 then), and the units that have a price."""
+    1e14 on: these parts are 0 then), and the units that have a price (NULL for none)."""
     px, n = _c(c).cast(T.DoubleType()), _c(units)
     exact = F.abs(px) < F.lit(LARGEST_EXACT)  # NaN counts as larger than any number
     fine = F.when(exact, px).when(px.isNotNull(), F.lit(0.0))
     high, rest = money_parts(fine)
     times = n.cast(T.DecimalType(17, 0))
     high, rest = high.cast(T.DecimalType(20, 6)) * times, rest.cast(T.DecimalType(20, 20)) * times
-    return high, rest, F.when(~exact, px * n), F.when(px.isNotNull(), n)
+    return high, rest, F.when(~exact, px * n), F.when(px.isNotNull() & (n > 0), n)
 
 
 def priced_value(value: Column, rest: Column, wild: Column) -> Column:

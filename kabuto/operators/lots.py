@@ -138,7 +138,7 @@ def open_lots(
     ``flows`` may pass a precomputed ``ledger.trade_flows`` table for the same ``as_of`` (with the same
     ``splitters``, or with none); the trades are then only read for the lots of the cut groups.
     """
-    keys, tb = list(keys), [f"_tb{i}" for i in range(len(tie_break))]
+    keys = list(keys)
     if splitters is None:
         pieces = PIECES if split == "day" else range_partitions or int(trades.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         if flows is not None:
@@ -158,35 +158,59 @@ def open_lots(
     keyed = F.lit(True)
     for k in keys:
         keyed = keyed & F.col(k).isNotNull()
-    per_key = Window.partitionBy(*keys)
-    before = per_key.orderBy(date_col, "_piece").rowsBetween(Window.unboundedPreceding, -1)
-    value = ["_lot_value", "_lot_rest", "_lot_wild", "_priced_units"]
-    flows = _whole_rows(flows, ["_buy_units", "_sell_units", *value], [*keys, date_col, "_piece"])
-    dq = F.coalesce("_buy_units", F.lit(0))
-    groups = flows.select(
+    flows = _whole_rows(flows, ["_buy_units", "_sell_units", *LOT_VALUE], [*keys, date_col, "_piece"])
+    per_key = Window.partitionBy("_k")
+    groups = flows.select(F.struct(*[F.col(c) for c in keys]).alias("_k"), keyed.alias("_keyed"), F.col(date_col).alias("_d"), "_piece", F.coalesce("_buy_units", F.lit(0)).alias("_dq"), "_sell_units", *LOT_VALUE)
+    sold = F.when(F.col("_keyed"), F.coalesce(F.sum("_sell_units").over(per_key), F.lit(0))).otherwise(F.lit(0))
+    whole, cut = boundary(groups.withColumn("_gone", sold), ["_d", "_piece"])
+    buys = buy_lots(t, keys, date_col, tie_break, qty, price, side, buy, splitters)
+    return summed_lots(whole.unionByName(cut_lots(buys, cut, len(tie_break))), keys, as_of, partition_col)
+
+
+LOT_VALUE = ["_lot_value", "_lot_rest", "_lot_wild", "_priced_units"]
+
+
+def boundary(groups: DataFrame, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Where ``_gone`` sold units end among groups of lots (``_k``, ``order``, ``_dq`` units bought, value
+    columns): the groups behind the boundary as (_k, _open, value), and the one group a key that it cuts
+    as (_k, order, _gone: units of it that are gone)."""
+    before = Window.partitionBy("_k").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.withColumn("_before", F.coalesce(F.sum("_dq").over(before), F.lit(0)))
+    groups = groups.filter((F.col("_dq") > 0) & (F.col("_before") + F.col("_dq") > F.col("_gone")))
+    whole = groups.filter(F.col("_before") >= F.col("_gone")).select("_k", F.col("_dq").alias("_open"), *LOT_VALUE)
+    return whole, groups.filter(F.col("_before") < F.col("_gone")).select("_k", *order, (F.col("_gone") - F.col("_before")).alias("_gone"))
+
+
+def buy_lots(t: DataFrame, keys: Sequence[str], date_col: str, tie_break: Sequence[str], qty: str, price: str, side: str, buy: str, splitters: Splitters) -> DataFrame:
+    """The buys of ``t`` as (_k, _d, _piece, _tb0.., _px, _q). The key columns travel as one struct (struct
+    equality matches NULL fields)."""
+    buys = t.filter(F.col(side) == buy).select("*", splitters.piece().alias("_piece"))
+    buys = buys.select(
         F.struct(*[F.col(c) for c in keys]).alias("_k"),
         F.col(date_col).alias("_d"),
         "_piece",
-        dq.alias("_dq"),
-        F.when(keyed, F.coalesce(F.sum("_sell_units").over(per_key), F.lit(0))).otherwise(F.lit(0)).alias("_sold"),
-        F.coalesce(F.sum(dq).over(before), F.lit(0)).alias("_before"),
-        *value,
-    ).filter((F.col("_dq") > 0) & (F.col("_before") + F.col("_dq") > F.col("_sold")))
-    whole = groups.filter(F.col("_before") >= F.col("_sold")).select("_k", F.col("_dq").alias("_open"), *value)
-    cut = groups.filter(F.col("_before") < F.col("_sold")).select("_k", "_d", "_piece", (F.col("_sold") - F.col("_before")).alias("_gone"))
-
-    # The lots of the cut groups. The key columns travel as one struct (struct equality matches NULL
-    # fields). Equal lots are one row with their units.
-    buys = t.filter(F.col(side) == buy).select("*", splitters.piece().alias("_piece"))
-    buys = buys.select(F.struct(*[F.col(c) for c in keys]).alias("_k"), F.col(date_col).alias("_d"), "_piece", *[F.col(c).alias(n) for c, n in zip(tie_break, tb)], F.col(price).alias("_px"), _units(qty).alias("_q"))
-    lots = _near_cut(buys.filter(F.col("_q") > 0), cut).groupBy("_k", "_d", "_piece", *tb, "_px").agg(F.sum("_q").alias("_q"))
+        *[F.col(c).alias(f"_tb{i}") for i, c in enumerate(tie_break)],
+        F.col(price).alias("_px"),
+        _units(qty).alias("_q"),
+    )
+    return buys.filter(F.col("_q") > 0)
+
+
+def cut_lots(buys: DataFrame, cut: DataFrame, ties: int) -> DataFrame:
+    """The open units of the lots in the ``cut`` groups (_k, _d, _piece, _gone), as (_k, _open, value). Equal
+    lots are one row with their units before they are numbered."""
+    tb = [f"_tb{i}" for i in range(ties)]
+    lots = near_cut(buys, cut).groupBy("_k", "_d", "_piece", *tb, "_px").agg(F.sum("_q").alias("_q"))
     lots = lots.join(cut, ["_k", "_d", "_piece"])
     within = Window.partitionBy("_k", "_d", "_piece").orderBy(*tb, "_px").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     left = F.least(F.col("_q"), F.sum("_q").over(within) - F.col("_gone"))
     lots = lots.select("_k", "_px", left.alias("_open")).filter(F.col("_open") > 0)
-    lots = lots.select("_k", "_open", *[c.alias(n) for c, n in zip(priced_parts("_px", "_open"), value)])
+    return lots.select("_k", "_open", *[c.alias(n) for c, n in zip(priced_parts("_px", "_open"), LOT_VALUE)])
+
 
-    out = whole.unionByName(lots).groupBy("_k").agg(F.sum("_open").cast(T.LongType()).alias("position"), priced_total(*value).alias("avg_buy_price"))
+def summed_lots(lots: DataFrame, keys: Sequence[str], as_of: dt.date, partition_col: str) -> DataFrame:
+    """Position and mean price per key from (_k, _open, value) rows."""
+    out = lots.groupBy("_k").agg(F.sum("_open").cast(T.LongType()).alias("position"), priced_total(*LOT_VALUE).alias("avg_buy_price"))
     return out.select(*[F.col(f"_k.{c}").alias(c) for c in keys], "position", "avg_buy_price").withColumn(partition_col, as_date(as_of))
 
 
@@ -219,12 +243,13 @@ def lot_sums(qty: str, price: str, is_buy: Column, is_sell: Column) -> list[Colu
     ]
 
 
-def _near_cut(buys: DataFrame, cut: DataFrame) -> DataFrame:
+def near_cut(buys: DataFrame, cut: DataFrame) -> DataFrame:
     """The lots that can lie in a cut group, found before they are shuffled: those on the days that the
     boundaries of the keys in their hash bucket span. The filter has ``CUT_BUCKETS`` rows at most."""
     bucket = F.pmod(F.xxhash64("_k"), F.lit(CUT_BUCKETS))
     days = cut.groupBy(bucket.alias("_b")).agg(F.min("_d").alias("_from"), F.max("_d").alias("_to"))
-    near = buys.join(F.broadcast(days), (bucket == F.col("_b")) & F.col("_d").between(F.col("_from"), F.col("_to")))
+    # Null-safe, so that no filter is inferred for the other side and the aggregate below stays the shared one.
+    near = buys.join(F.broadcast(days), bucket.eqNullSafe(F.col("_b")) & F.col("_d").between(F.col("_from"), F.col("_to")))
     return near.select(*buys.columns)
 
 

@@ -163,6 +163,11 @@ def test_prices_without_an_exact_value(spark):
     assert got["T5"] == (3 * 99_999_999_999_999.0 + 1) / 4
 
 
+def test_priced_lots_without_units_do_not_count(spark):
+    data = [(D("2024-01-01"), "X", "buy", "A", 5, None, "1"), (D("2024-01-01"), "X", "buy", "A", 0, 1.0, "2")]
+    assert rows(open_lots(_trades(spark, data), AS_OF, tie_break=TIE_BREAK)) == [("A", "X", 5, None, AS_OF)]
+
+
 def test_plan_filters_lots_below_their_shuffle(spark):
     """The cut groups are a broadcast filter right above the scan of the lots, below any exchange of
     them; the sums behind both uses are computed once; nothing is checkpointed."""
@@ -178,7 +183,7 @@ def test_plan_filters_lots_below_their_shuffle(spark):
         df.explain()
     final = buf.getvalue().split("== Initial Plan ==")[0].splitlines()
     depth = lambda line: re.match("[ :+-]*", line).end()
-    at = next(k for k, line in enumerate(final) if "BroadcastHashJoin [pmod(xxhash64(_k" in line)
+    at = next(k for k, line in enumerate(final) if "BroadcastHashJoin" in line and "pmod(xxhash64(_k" in line)
     left = next(k for k in range(at + 1, len(final)) if "BroadcastQueryStage" in final[k] and depth(final[k]) == depth(final[at + 1]))
     below = final[at + 1 : left]  # the side of the lots
     assert any("FileScan" in line for line in below) and not any("Exchange" in line for line in below)

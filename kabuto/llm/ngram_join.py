@@ -11,9 +11,10 @@ meet in at least one signature.
 Which segments a set looks up is allocated by cost: those that meet nobody cost nothing and are
 taken first, then the ones met by the fewest. A set whose free segments are worth U + 1 has no
 partner at all, which settles most sets without a single comparison. What is left is verified on
-the whole sets. Sets that are equal are one class from the start; classes already known to be
-connected are not compared again, so that a group of thousands of near copies costs a number of
-comparisons in proportion to its size.
+the whole sets. Sets that are equal are one class from the start. The others are first compared with
+one set each, their star: of those they meet, the one that meets the most. Parts that stars connect are then
+compared by one set each. What is still apart inside a star is compared in blocks (products of 0-1 matrices
+in a task, no pairs are emitted), and only what meets across stars becomes rows of pairs.
 """
 
 from __future__ import annotations
@@ -296,13 +297,11 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_tokens(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """``wanted`` (_id, key, other columns) with the tokens of the row of ``docs`` that has the id and
-    the key. Up to a checked number of rows, ``wanted`` is broadcast."""
+    """The tokens of classes: ``wanted`` (id, key; a row a class) as (key, tokens), from the row of ``docs`` that
+    has the id and the key. Up to a checked number of rows, ``wanted`` is broadcast."""
+    wanted = wanted.select(F.col("id").alias("_id"), "key").distinct()
     wanted = F.broadcast(wanted) if small_enough(wanted, BROADCAST_ROWS) else wanted
-    carried = [c for c in wanted.columns if c != "_id"]
-    rows = docs.join(wanted, docs["id"].eqNullSafe(wanted["_id"])).select("text", *carried)
-    fields = ", ".join(f"{c} {wanted.schema[c].dataType.simpleString()}" for c in carried)
-    key_at = 1 + carried.index("key")
+    rows = docs.join(wanted, docs["id"].eqNullSafe(wanted["_id"])).select("text", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -310,59 +309,117 @@ def _with_tokens(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
             for texts in chunks(batch.column(0)):
                 tokens, sizes = shingles(texts, n)
                 keys = keys_of(tokens, sizes)
-                part = batch.slice(at, len(texts))
+                part = batch.column(1).slice(at, len(texts))
                 at += len(texts)
-                same = np.array([a == b for a, b in zip(keys, part.column(key_at).to_pylist(), strict=True)], bool)
+                same = pa.array(np.array([a == b for a, b in zip(keys, part.to_pylist(), strict=True)], bool))
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), _signed(tokens))
-                picked = pa.array(same)
-                yield pa.RecordBatch.from_arrays([*(c.filter(picked) for c in part.columns[1:]), lists.filter(picked)], names=[*carried, "tokens"])
+                yield pa.RecordBatch.from_arrays([part.filter(same), lists.filter(same)], names=["key", "tokens"])
 
-    return rows.mapInArrow(run, f"{fields}, tokens array<long>")
+    # Rows that repeat an id and a text give a class more than once.
+    return rows.mapInArrow(run, "key binary, tokens array<long>").dropDuplicates(["key"])
 
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, rule: Rule, n: int) -> DataFrame:
-    """The pairs of short keys (a, center) as pairs of classes: their keys (a, b), sizes, symmetric
-    difference, whether they link and, for pairs marked as ``main``, the tokens that one of them has
-    and the other hasn't. The sets of the a's are shuffled once, to their centers."""
+    """Of the pairs of short keys (a, center): those that link, as pairs of class keys (a, b)."""
     one = classes.select(F.col("short").alias("a"), F.col("key").alias("ka"), F.col("n_shingles").alias("na"), F.col("id").alias("ia"))
     two = classes.select(F.col("short").alias("center"), F.col("key").alias("kb"), F.col("n_shingles").alias("nb"), F.col("id").alias("ib"))
     near = pairs.join(one, "a").join(two, "center").where(F.least("na", "nb") * rule.den >= F.greatest("na", "nb") * rule.num)
-    near = near.select("ka", "kb", "na", "nb", "ia", "ib", "main").checkpoint()
-    a = _with_tokens(docs, near.select(F.col("ia").alias("_id"), F.col("ka").alias("key"), "kb", "na", "nb", "main"), n)
-    b = _with_tokens(docs, near.select(F.col("ib").alias("_id"), F.col("kb").alias("key")).distinct(), n)
-    b = b.select(F.col("key").alias("kb"), F.col("tokens").alias("other"))
+    near = written(near.select("ka", "kb", "na", "nb", "ia", "ib"), "near-pairs")
+    ends = near.select(F.col("ia").alias("id"), F.col("ka").alias("key")).union(near.select(F.col("ib").alias("id"), F.col("kb").alias("key")))
+    tokens = written(_with_tokens(docs, ends, n), "pair-tokens")
+    out = near.join(tokens.select(F.col("key").alias("ka"), "tokens"), "ka").join(tokens.select(F.col("key").alias("kb"), F.col("tokens").alias("other")), "kb")
     both = F.size(F.array_intersect("tokens", "other")).cast("long")
-    out = a.join(b, "kb").withColumn("both", both).withColumn("links", F.col("both") * rule.den >= (F.col("na") + F.col("nb") - F.col("both")) * rule.num)
-    columns = [F.col("key").alias("a"), F.col("kb").alias("b"), (F.col("na") + F.col("nb") - 2 * F.col("both")).alias("delta"), "links"]
-    # A token's sign is in its lowest bit: had by the a only, or by the center only.
-    sided = lambda name, bit: F.transform(name, lambda x: x.bitwiseAND(F.lit(~1)).bitwiseOR(F.lit(bit)))
-    apart = F.concat(sided(F.array_except("tokens", "other"), 1), sided(F.array_except("other", "tokens"), 0))
-    return out.select(*columns, F.when(F.col("main"), apart).alias("apart")).where("links OR main")
-
-
-def _places(stars: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """What tells quickly that two sets can't link, by short key (a): size, root (of the first links),
-    star (the center that the set was compared with which meets the most others; its own key
-    without one), delta (the symmetric difference to it) and private (how many of these tokens no
-    other set of the star differs in: each of them tells the set from every other one).
-
-    Short keys that several classes share have no root and no star."""
-    apart = stars.where("apart IS NOT NULL")
-    tokens = apart.select("a", "b", F.explode("apart").alias("t")).distinct()
-    alone = tokens.groupBy("b", "t").agg(F.count("*").alias("n"), F.min("a").alias("a")).where("n = 1")
-    private = alone.groupBy("a").agg(F.count("*").alias("private"))
-    stands = apart.select(F.col("a").alias("key"), F.col("b").alias("star"), "delta").distinct().join(private.withColumnRenamed("a", "key"), "key", "left")
-    one = classes.select("short", "key", F.col("n_shingles").alias("size")).join(labels, "key", "left").join(stands, "key", "left")
+    out = out.select("ka", "kb", "na", "nb", both.alias("both")).where(F.col("both") * rule.den >= (F.col("na") + F.col("nb") - F.col("both")) * rule.num)
+    return out.select(F.col("ka").alias("a"), F.col("kb").alias("b"))
+
+
+CHUNK = 512  # sets of a star that are compared with one another in a task
+TOKENS = 4096  # columns of a matrix of sets by tokens
+
+
+def _linked(sets: list[np.ndarray], first: int, rule: Rule) -> list[tuple[int, int]]:
+    """Links among ``sets`` that connect all that is linked: between the first ``first`` and the others, or, if
+    there are no others, among all. Common tokens are counted by products of 0-1 matrices."""
+    n = len(sets)
+    sizes = np.array([len(x) for x in sets], np.int64)
+    owner, flat = np.repeat(np.arange(n), sizes), np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    number = np.cumsum(np.r_[0, flat[1:] != flat[:-1]])
+    shared = np.bincount(number)[number] > 1  # a token of one set is common to no two
+    owner, number = owner[shared], number[shared]
+    number = np.cumsum(np.r_[0, number[1:] != number[:-1]]) if len(number) else number
+    both = np.zeros((n, n), np.float32)
+    ends = np.searchsorted(number, np.arange(0, (number[-1] if len(number) else -1) + 1 + TOKENS, TOKENS))
+    for lo, hi in zip(ends[:-1], ends[1:], strict=True):
+        if hi > lo:
+            matrix = np.zeros((n, TOKENS), np.float32)
+            matrix[owner[lo:hi], number[lo:hi] % TOKENS] = 1
+            both += matrix @ matrix.T
+    both = both.astype(np.int64)
+    linked = both * rule.den >= (sizes[:, None] + sizes[None, :] - both) * rule.num
+    linked = np.triu(linked, 1)
+    if first < n:
+        linked[:first, :first] = False
+        linked[first:, first:] = False
+    parent = list(range(n))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(linked)), strict=True):
+        if (a := find(i)) != (b := find(j)):
+            parent[b] = a
+            out.append((i, j))
+    return out
+
+
+def _in_stars(members: DataFrame, rule: Rule) -> DataFrame:
+    """Links among the sets of a star, as pairs of class keys (a, b), in blocks: ``members`` (star, key,
+    tokens) are dealt into chunks of about ``CHUNK``, every two chunks of a star are a block, and a task
+    compares all of a block's sets. What comes out connects what is linked, a tree a block at most."""
+    dealt = members.groupBy("star").agg(F.count("*").alias("n")).select("star", F.ceil(F.col("n") / F.lit(CHUNK)).cast("int").alias("chunks"))
+    mine = F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int")
+    each = members.join(dealt, "star").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    blocks = each.select("star", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "key", "tokens")
+    blocks = blocks.repartition("star", "x", "y").sortWithinPartitions("star", "x", "y", "mine")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[bytes, np.ndarray, bool]] = []
+        at = None
+
+        def links() -> pa.RecordBatch:
+            found = _linked([t for _, t, _ in held], sum(f for *_, f in held), rule) if len(held) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([held[k[e]][0] for k in found], pa.binary()) for e in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            star, x, y, own, key = (batch.column(c).to_pylist() for c in ("star", "x", "y", "mine", "key"))
+            lists = batch.column("tokens")
+            for k in range(batch.num_rows):
+                if (star[k], x[k], y[k]) != at:
+                    if held:
+                        yield links()
+                    held, at = [], (star[k], x[k], y[k])
+                held.append((key[k], np.asarray(lists[k].values).view(np.uint64), own[k] == x[k]))
+        if held:
+            yield links()
+
+    return blocks.mapInArrow(run, "a binary, b binary")
+
+
+def _places(classes: DataFrame, labels: DataFrame, stars: DataFrame) -> DataFrame:
+    """Size, root (of the links so far) and star of every short key (a). Short keys that several classes
+    share have no root and no star."""
+    one = classes.select("short", "key", F.col("n_shingles").alias("size")).join(labels, "key", "left").join(stars, "key", "left")
     by = one.groupBy(F.col("short").alias("a")).agg(
-        F.count("*").alias("keys"),
-        F.min(F.coalesce("root", "key")).alias("root"),
-        F.min("size").alias("size"),
-        F.min(F.coalesce("star", "key")).alias("star"),
-        F.min(F.coalesce("delta", F.lit(0))).alias("delta"),
-        F.min(F.coalesce("private", F.lit(0))).alias("private"),
+        F.count("*").alias("keys"), F.min(F.coalesce("root", "key")).alias("root"), F.min("size").alias("size"), F.min(F.coalesce("star", "key")).alias("star")
     )
     single = lambda c: F.when(F.col("keys") == 1, F.col(c)).alias(c)
-    return by.select("a", single("root"), "size", single("star"), "delta", "private")
+    return by.select("a", single("root"), "size", single("star"))
 
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: tuple[int, int] = (75, 100)) -> DataFrame:
@@ -405,39 +462,55 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     meeting = rows.groupBy("sig").agg(F.max("looks").alias("l"), F.min("a").alias("x"), F.max("a").alias("y")).where("l AND x < y").select("sig")
     rows = written(rows.join(meeting, "sig", "left_semi"), "lookups")
 
-    # First links: each set against the one that meets the most others, on each of its signatures.
-    # In a group of copies that is the text that the others were made from, or the nearest to it.
+    # Stars: each set against the one, of all it meets, that meets the most others. In a group of copies
+    # that is the text that the others were made from, or the nearest to it.
     famous = rows.where("kind < 2").groupBy("sig").agg(F.max(F.struct("fame", "a")).alias("f")).select("sig", F.col("f.fame").alias("of"), F.col("f.a").alias("center"))
-    some = rows.select("sig", "a").join(famous, "sig").where("a <> center").groupBy("a", "center").agg(F.max("of").alias("of"))
+    meets = written(rows.select("sig", "a").join(famous, "sig").where("a <> center").groupBy("a", "center").agg(F.max("of").alias("of"), F.count("*").alias("times")), "meets")
     star = Window.partitionBy("a").orderBy(F.desc("of"), "center")
-    some = some.withColumn("main", F.row_number().over(star) == 1).drop("of")
-    stars = written(_verified(docs, classes, some, rule, n), "stars")
-    labels = components(stars.where("links")).select(F.col("node").alias("key"), "root")
-    places = _places(stars, classes, labels)
-
-    # What is still apart: every lookup against every set it meets, but for pairs that can't link.
+    main = written(meets.withColumn("place", F.row_number().over(star)).where("place = 1").select("a", "center"), "stars")
+    links = written(_verified(docs, classes, main, rule, n), "star-links")
+    short = classes.select(F.col("short").alias("center"), F.col("key").alias("star"))
+    own = classes.select(F.col("short").alias("a"), "key").join(main, "a").join(short, "center").groupBy("key").agg(F.min("star").alias("star"))
+    own = written(own, "own-stars")
+    labels = components(links).select(F.col("node").alias("key"), "root")
+
+    # Stars that meet: of each connected part one set, the one that meets the other star's center most.
+    places = written(_places(classes, labels, own), "places")
+    apart = meets.join(places.select("a", "root"), "a").join(places.select(F.col("a").alias("center"), F.col("root").alias("to")), "center").where("root <> to")
+    apart = apart.groupBy("root", "center").agg(F.max(F.struct("times", "a")).alias("best")).select(F.col("best.a").alias("a"), "center")
+    links = written(links.union(_verified(docs, classes, apart.join(main, ["a", "center"], "left_anti"), rule, n)), "part-links")
+    labels = components(links).select(F.col("node").alias("key"), "root")
+
+    # All sets of a star that isn't one part yet, in blocks.
+    rooted = classes.select("key", "id").join(labels, "key", "left").select("key", "id", F.coalesce("root", "key").alias("root"))
+    members = own.union(own.select(F.col("star").alias("key"), "star")).distinct().join(rooted, "key")
+    open_ = members.groupBy("star").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("star")
+    members = written(members.join(open_, "star", "left_semi").select("star", "key", "id"), "open-stars")
+    tokens = written(members.select("star", "key").join(_with_tokens(docs, members.select("id", "key"), n), "key"), "star-tokens")
+    links = written(links.union(_in_stars(tokens, rule)), "all-links")
+    labels = components(links).select(F.col("node").alias("key"), "root")
+
+    # What is still apart, between stars: every lookup against every set it meets, but for pairs that can't link.
+    places = _places(classes, labels, own)
     placed = rows.drop("fame").join(places, "a")
     split = placed.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.max(F.col("root").isNull()).alias("odd")).where("odd OR x < y").select("sig")
-    placed = placed.join(split, "sig", "left_semi").checkpoint()
+    placed = written(placed.join(split, "sig", "left_semi"), "placed")
     left = placed.where("looks")
     right = placed.where("kind < 2").select("sig", *[F.col(c).alias(f"_{c}") for c in placed.columns if c not in ("sig", "looks")])
     size = F.col("size") + F.col("_size")
     most = F.floor(size * (rule.den - rule.num) / (rule.den + rule.num))  # the symmetric difference of a linked pair
-    own = F.col("kind") < 2
-    # Sets of one band that meet nobody in more than ``most`` segments differ too much; so do two
-    # sets of one star whose private differences, and what is left of the others, add up to more.
-    rest = F.abs((F.col("delta") - F.col("private")) - (F.col("_delta") - F.col("_private")))
-    same_star = F.col("star") == F.col("_star")
+    own_band = F.col("kind") < 2
+    # Sets of one band that meet nobody in more than ``most`` segments differ too much.
     pairs = left.join(right, "sig").where(
         (F.col("a") != F.col("_a"))
         & F.coalesce(F.col("root") != F.col("_root"), F.lit(True))
+        & F.coalesce(F.col("star") != F.col("_star"), F.lit(True))
         & ((F.col("_kind") == 0) | (F.col("kind") % 2 == 0))
         & (F.least("size", "_size") * rule.den >= F.greatest("size", "_size") * rule.num)
-        & (~own | (F.col("_open") | (F.col("_size") < (1 << TOKEN_BANDS))) & (F.greatest("free", "_free") <= most))
-        & (~F.coalesce(same_star, F.lit(False)) | (F.col("private") + F.col("_private") + rest <= most))
+        & (~own_band | (F.col("_open") | (F.col("_size") < (1 << TOKEN_BANDS))) & (F.greatest("free", "_free") <= most))
     )
-    pairs = pairs.select(F.least("a", "_a").alias("a"), F.greatest("a", "_a").alias("center"), F.lit(False).alias("main")).distinct()
-    more = _verified(docs, classes, pairs, rule, n).checkpoint()
+    pairs = pairs.select(F.least("a", "_a").alias("a"), F.greatest("a", "_a").alias("center")).distinct()
+    more = written(_verified(docs, classes, pairs, rule, n), "more-links")
 
     # Components of the first links' components.
     first = classes.select("key").join(labels, "key", "left").select("key", F.coalesce("root", "key").alias("root")).checkpoint()

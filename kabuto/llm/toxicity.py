@@ -35,6 +35,7 @@ GRAMS = (3, 4, 5)
 CLASS_ROWS = 4000  # rows of either class that the model is fitted on, at most (those of smallest hash)
 BAG_BYTES = 32 << 20  # of their n-gram counts, at most about (bounds what the driver holds)
 CACHE_ENTRIES = 300_000
+BAG_CACHE = 20_000  # words whose n-grams are kept while bags are made
 CACHED_LETTERS = 64  # longer words are not kept in the caches
 PIECE = 4096  # letters of a word whose n-grams are held at a time
 SCALE = 2.0
@@ -118,7 +119,7 @@ def bag(text: str | None, known: dict) -> Bag:
                     for g in piece:
                         grams[g] += n
                 continue
-            if len(known) >= CACHE_ENTRIES:
+            if len(known) >= BAG_CACHE:
                 known.clear()
             found = known[w] = word_grams(w)
         for g in found:

@@ -138,3 +138,41 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in parent}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_linked_against_all_pairs(monkeypatch):
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(N, "TOKENS", 16)
+    rule = N.Rule()
+    for turn in range(40):
+        base = rng.permutation(200).astype(np.uint64)
+        sets = [np.sort(np.unique(np.r_[base[: rng.integers(1, 60)], rng.integers(200, 230, rng.integers(0, 8)).astype(np.uint64)])) for _ in range(rng.integers(2, 30))]
+        first = len(sets) if turn % 2 else len(sets) // 2
+        parent = list(range(len(sets)))
+        find = lambda x: x if parent[x] == x else find(parent[x])
+        for i in range(len(sets)):
+            for j in range(i):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both) and (first == len(sets) or (j < first <= i)):
+                    parent[find(i)] = find(j)
+        found = N._linked(sets, first, rule)
+        assert len(found) == len(sets) - len({find(i) for i in range(len(sets))})
+        assert all(find(i) == find(j) for i, j in found)
+
+
+def test_stars_in_several_blocks(spark, monkeypatch):
+    """A large group whose members are edited so far that many link with few others or none; chunks
+    much smaller than the group."""
+    monkeypatch.setattr(N, "CHUNK", 16)
+    rng = random.Random(12)
+    base = [f"b{k}" for k in range(150)]
+    rows = [(0, " ".join(base))]
+    for k in range(1, 260):
+        w = list(base)
+        for _ in range(rng.randrange(1, 9)):
+            w[rng.randrange(len(w))] = f"e{rng.randrange(40)}"
+        rows.append((k, " ".join(w)))
+    rows += [(900 + k, rows[k][1]) for k in range(30)]
+    expected = brute(rows)
+    assert 3 < len({c for *_, c in expected}) < 200
+    assert seen(N.join_components(spark.createDataFrame(rows, "doc_id long, text string"))) == expected

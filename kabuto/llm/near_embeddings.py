@@ -2,18 +2,24 @@
 
 Each tree splits the vectors by random directions: a node compares the projections with a
 threshold near the median, chosen in the sparsest place, and vectors within the spill margin of it
-go to both sides. All vectors that share a leaf in some tree are compared exactly, in double
-precision. Every link is counted in one place only, the first tree in which its two vectors
-share a leaf, so that no pairs have to be gathered; a leaf hands on a spanning forest of its links.
-
-The trees are fitted on a bounded sample (``sample``), but every vector is indexed. Equal vectors are
-one class from the start. A leaf of more vectors than a block goes to several tasks, one for
-each pair of its blocks, so that no task holds more than two blocks however dense a region is.
+go to both sides. The margin is a share (``SPILL``) of how far two vectors at the wanted cosine lie apart along a
+random direction, which is sqrt(2 - 2 cosine) / sqrt(dims): it means the same in any dimension. All vectors
+that share a leaf in some tree are compared exactly, in double precision. Every link is counted in
+one place only, the first tree in which its two vectors share a leaf, so that no pairs have to be
+gathered; a leaf hands on a spanning forest of its links.
+
+Trees are fitted on bounded samples, but every vector is indexed: the top of a tree on a sample of all
+(``sample``), and below it every leaf that holds many more vectors than wanted on a sample of its own, in a
+task, round after round, so that leaves are of one size however many vectors there are (but for regions so
+dense that spill keeps them together). Equal vectors are one class from the start. A leaf of more vectors
+than a block goes to several tasks, one for each pair of its blocks, so that no task holds more
+than two blocks however dense a region is.
 """
 
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,8 +33,13 @@ from kabuto.llm.common import components, prepare, written
 
 TREES = 6
 LEAF = 400  # vectors wanted in a leaf
-SPILL = 0.035  # on either side of a threshold, for vectors of length 1
-SAMPLE = 20_000  # vectors the trees are fitted on
+SPILL = 0.25  # on either side of a threshold, of the distance along a direction of two vectors that just link
+SAMPLE = 20_000  # vectors the tops of the trees are fitted on
+SAMPLE_BYTES = 64 << 20  # of them, at most
+LEAF_SAMPLE = 2000  # vectors of a large leaf that its own tree is fitted on, about
+FEWEST = 25  # vectors of a sample that a leaf is fitted on, at least
+ROUNDS = 12  # of splitting
+LARGE = 4  # leaves with so many times the wanted vectors are split again
 BLOCK = 3000  # vectors of a leaf compared at once
 MAX_DEPTH = 40
 
@@ -68,7 +79,7 @@ def fit_tree(x: np.ndarray, leaf: float, spill: float, rng: np.random.Generator)
     def grow(rows: np.ndarray, depth: int) -> int:
         nonlocal n_leaves
         best = None
-        if len(rows) > max(leaf, 2) and depth < MAX_DEPTH:
+        if len(rows) > max(leaf, FEWEST) and depth < MAX_DEPTH:
             for _ in range(8):
                 d = rng.standard_normal(x.shape[1])
                 d /= np.linalg.norm(d)
@@ -111,7 +122,6 @@ def unit_rows(lists: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
 
 def _classes(vectors: DataFrame) -> DataFrame:
     """(id, key, unit): key is a digest of the scaled vector, null for vectors that can't link."""
-    kind = vectors.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,38 +131,83 @@ def _classes(vectors: DataFrame) -> DataFrame:
             keys = [None if u is None else hashlib.md5((u + 0.0).tobytes(), usedforsecurity=False).digest() for u in kept]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array([None if u is None else u.tobytes() for u in kept], pa.binary())], names=["id", "key", "unit"])
 
-    return vectors.mapInArrow(run, f"id {kind}, key binary, unit binary")
+    return vectors.mapInArrow(run, "id long, key binary, unit binary")
+
+
+def _node(smallest, key):
+    """A class by bytes that sort as its smallest id (a null one last), then its key."""
+    sortable = F.lpad(F.hex(smallest.bitwiseXOR(F.lit(-(2**63)))), 16, "0")
+    return F.concat(F.unhex(F.when(smallest.isNull(), F.lit("01" + "0" * 16)).otherwise(F.concat(F.lit("00"), sortable))), key)
+
+
+def _smallest(node):
+    """The smallest id that a node was made of."""
+    high = F.conv(F.hex(F.substring(node, 2, 8)), 16, 10).cast("decimal(20,0)") - F.lit(str(2**63)).cast("decimal(20,0)")
+    return F.when(F.hex(F.substring(node, 1, 1)) == "00", high.cast("long"))
+
+
+PLACED = "leaf long, key binary, copies long, unit binary"
+
+
+def _routed(rows: pa.RecordBatch, x: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """``rows`` with the leaves of ``found`` (row, leaf code), a bounded number at a time."""
+    row, code = (np.concatenate(v) for v in zip(*found, strict=True))
+    for part in np.array_split(np.arange(len(row)), max(1, len(row) // 20_000)):
+        pick = pa.array(row[part])
+        yield pa.RecordBatch.from_arrays([pa.array(code[part].astype(np.int64)), *(rows.column(c).take(pick) for c in ("key", "copies", "unit"))], names=["leaf", "key", "copies", "unit"])
 
 
 def _placed(classes: DataFrame, forest, spill: float, dims: int) -> DataFrame:
-    """(tree, leaf, key, copies, unit, leaves): one row for each leaf that a class falls into;
-    ``leaves`` are all its leaves, as sorted numbers tree * 2^32 + leaf."""
+    """(leaf, key, copies, unit): one row for each leaf that a class falls into; the tree is in the
+    lowest bits of the leaf's code."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees: list[Tree] = forest.value
         for batch in batches:
-            x = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.float64).reshape(-1, dims)
-            if not len(x):
-                continue
-            rows, codes = [], []
-            for t, tree in enumerate(trees):
-                r, leaf = tree.leaves(x, spill)
-                rows.append(r)
-                codes.append(leaf.astype(np.int64) + (t << 32))
-            row, code = np.concatenate(rows), np.concatenate(codes)
-            order = np.lexsort((code, row))
-            row, code = row[order], code[order]
-            ends = np.searchsorted(row, np.arange(len(x)), "right")
-            starts = np.r_[0, ends[:-1]]
-            for part in np.array_split(np.arange(len(row)), max(1, len(row) // 20_000)):
-                own = row[part]
-                sizes = (ends - starts)[own]
-                flat = np.concatenate([code[starts[k] : ends[k]] for k in own]) if len(own) else code[:0]
-                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(flat))
-                pick = pa.array(own)
-                yield pa.RecordBatch.from_arrays([pa.array(code[part]), batch.column(0).take(pick), batch.column(1).take(pick), batch.column(2).take(pick), lists], names=["leaf", "key", "copies", "unit", "leaves"])
-
-    return classes.select("key", "copies", "unit").mapInArrow(run, "leaf long, key binary, copies long, unit binary, leaves array<long>")
+            x = np.frombuffer(b"".join(batch.column("unit").to_pylist()), np.float64).reshape(-1, dims)
+            if len(x):
+                found = [(rows, (leaf << TREE_BITS) | t) for t, tree in enumerate(forest.value) for rows, leaf in [tree.leaves(x, spill)]]
+                yield from _routed(batch, x, found)
+
+    return classes.select("key", "copies", "unit").mapInArrow(run, PLACED)
+
+
+TREE_BITS = 6  # of a leaf's code
+
+
+def _split(placed: DataFrame, large: DataFrame, spill: float, dims: int, leaf: int, seed: int) -> DataFrame:
+    """``placed`` with its ``large`` leaves (leaf, n) split by trees of their own, each fitted in a task on about
+    ``LEAF_SAMPLE`` of the leaf's vectors, chosen by hash. Leaves that spill keeps together stay."""
+    some = F.pmod(F.xxhash64("key", "leaf"), F.lit(1 << 30)) * F.col("n") < F.lit(LEAF_SAMPLE << 30)
+    sample = placed.join(large, "leaf").where(some)
+
+    def fit(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        x = np.frombuffer(b"".join(part.sort_values("key")["unit"]), np.float64).reshape(-1, dims)
+        tree = fit_tree(x, leaf * len(x) / int(part["n"].iloc[0]), spill, np.random.default_rng([seed, int(key[0]) & 0xFFFFFFFF]))
+        return pd.DataFrame({"leaf": [key[0]], "tree": [pickle.dumps(tree)]})
+
+    trees = written(sample.groupBy("leaf").applyInPandas(fit, "leaf long, tree binary"), "leaf-trees")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, Tree] = {}
+        for batch in batches:
+            codes = np.asarray(batch.column("leaf"))
+            for code in np.unique(codes):
+                at = np.flatnonzero(codes == code)
+                rows = batch.take(pa.array(at))
+                if code not in known:
+                    if len(known) > 64:
+                        known.clear()
+                    known[code] = pickle.loads(rows.column("tree")[0].as_py())
+                x = np.frombuffer(b"".join(rows.column("unit").to_pylist()), np.float64).reshape(-1, dims)
+                own, leaves = known[code].leaves(x, spill)
+                if known[code].n_leaves == 1:
+                    yield from _routed(rows, x, [(own, np.full(len(own), code))])
+                    continue
+                # The new code: a digest of the old one and the leaf in it, and the tree again.
+                names = np.array([int.from_bytes(hashlib.md5(f"{code}/{k}".encode(), usedforsecurity=False).digest()[:8], "little") >> TREE_BITS + 1 for k in range(known[code].n_leaves)])
+                yield from _routed(rows, x, [(own, (names[leaves] << TREE_BITS) | (code & ((1 << TREE_BITS) - 1)))])
+
+    return placed.join(trees, "leaf").mapInArrow(run, PLACED).unionByName(placed.join(trees, "leaf", "left_anti"))
 
 
 class _Side:
@@ -214,31 +269,61 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     component_id (the smallest id reachable over links, its own included) and kept.
 
     Two rows link when their cosine, in double precision, is at least ``cosine`` and they share a
-    leaf. Null and zero vectors, and vectors with null or non-finite components, link with nothing;
-    equal vectors always do. Repeated rows are each a row. A null id counts as larger than any other.
-    All vectors that can link must have one length. The sample for the trees is the ``sample``
-    classes of smallest key (a digest).
+    leaf. Null, empty and zero vectors, and vectors with null or non-finite components, link with nothing;
+    equal vectors always do; vectors of different lengths don't. Repeated rows are each a row. Ids are
+    integers; a null id counts as larger than any other. Extra columns are ignored.
     """
-    spark = prepare(vectors.sparkSession)
-    table = written(_classes(vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"))), "unit-vectors")
-    can = table.where("key IS NOT NULL")
-    sizes = [r[0] for r in can.select(F.octet_length("unit").alias("n")).distinct().limit(2).collect()]
-    if len(sizes) > 1:
-        raise ValueError("vectors of several lengths can't be compared")
-    if not sizes:
-        return table.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    dims = sizes[0] // 8
-    classes = written(can.groupBy("key").agg(F.count("*").alias("copies"), F.min("unit").alias("unit")), "vector-classes")
-    n = classes.count()
-    fit = classes.orderBy("key").limit(sample).select("unit").collect()
-    x = np.frombuffer(b"".join(bytes(r.unit) for r in fit), np.float64).reshape(-1, dims)
-    rng = np.random.default_rng(seed)
-    forest = [fit_tree(x, leaf * len(x) / n, spill, rng) for _ in range(trees)]
-    placed = written(_placed(classes, spark.sparkContext.broadcast(forest), spill, dims), "leaves")
+    prepare(vectors.sparkSession)
+    table = written(_classes(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))), "unit-vectors")
+    classes = table.where("key IS NOT NULL").groupBy("key").agg(F.count("*").alias("copies"), F.min("id").alias("first"), F.min("unit").alias("unit"))
+    classes = classes.select(F.col("key").alias("class"), "copies", _node(F.col("first"), F.col("key")).alias("key"), "unit", (F.octet_length("unit") / 8).cast("int").alias("dims"))
+    classes = written(classes, "vector-classes")
+    found = None
+    for r in classes.groupBy("dims").count().where("count > 1").orderBy("dims").collect():  # a row a length
+        same = classes.where(F.col("dims") == r["dims"])
+        links = _links(same, r["count"], r["dims"], cosine, trees, leaf, spill, sample, block, seed)
+        found = links if found is None else found.unionByName(links)
+    if found is None:
+        found = classes.limit(0).select("key", F.lit(0).cast("long").alias("n"), F.col("key").alias("root"))
+    found = written(found, "vector-links")
+    # Of a component's nodes the smallest is its root, and holds its smallest id.
+    n_links = found.groupBy("key").agg(F.sum("n").alias("n"))
+    labels = components(found.select(F.col("key").alias("a"), F.col("root").alias("b"))).select(F.col("node").alias("key"), "root")
+    per_class = classes.select("class", "key", "copies").join(n_links, "key", "left").join(labels, "key", "left")
+    per_class = per_class.select("class", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), _smallest(F.coalesce("root", "key")).alias("smallest"), F.lit(True).alias("found"))
+    out = table.select("id", F.col("key").alias("class")).join(per_class, "class", "left")
+    component = F.when(F.col("found"), F.col("smallest")).otherwise(F.col("id"))
+    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+
 
-    # Blocks of a leaf, by key; every pair of blocks is one task's group.
-    counts = placed.groupBy("leaf").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).where("n > 1")
-    dealt = placed.join(counts.select("leaf", "blocks"), "leaf").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+def _links(classes: DataFrame, n: int, dims: int, cosine: float, trees: int, leaf: int, spill: float, sample: int, block: int, seed: int) -> DataFrame:
+    """Links among ``n`` classes of one length: (key, n: rows of other classes it links with, root: the smallest
+    class that it is connected with in the block)."""
+    if not 1 <= trees <= 1 << TREE_BITS:
+        raise ValueError(f"between 1 and {1 << TREE_BITS} trees")
+    spark = classes.sparkSession
+    margin = spill * np.sqrt(max(0.0, 2 - 2 * cosine) / dims)
+    wanted = max(2, min(sample, SAMPLE_BYTES // (8 * dims)))
+    some = classes if n <= wanted else classes.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(wanted / n * (1 << 30)))
+    fit = sorted(bytes(r.unit) for r in some.select("unit").collect())
+    x = np.frombuffer(b"".join(fit), np.float64).reshape(-1, dims)
+    rng = np.random.default_rng(seed)
+    forest = [fit_tree(x, leaf * len(x) / n, margin, rng) for _ in range(trees)]
+    placed = written(_placed(classes, spark.sparkContext.broadcast(forest), margin, dims), "leaves")
+    counts = written(placed.groupBy("leaf").agg(F.count("*").alias("n")), "leaf-counts")
+    tried = counts.limit(0).select("leaf")
+    for _ in range(ROUNDS if n > wanted else 0):
+        large = counts.where(F.col("n") > LARGE * leaf).join(tried, "leaf", "left_anti")
+        if large.isEmpty():
+            break
+        tried = written(tried.union(large.select("leaf")), "tried-leaves")  # those that spill keeps together keep their code
+        placed = written(_split(placed, large, margin, dims, leaf, seed), "leaves")
+        counts = written(placed.groupBy("leaf").agg(F.count("*").alias("n")), "leaf-counts")
+
+    # Blocks of a leaf, by key; every pair of blocks is one task's group. All leaves of a class go along.
+    leaves = placed.groupBy("key").agg(F.sort_array(F.collect_list("leaf")).alias("leaves"))
+    counts = counts.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).where("n > 1")
+    dealt = placed.join(leaves, "key").join(counts.select("leaf", "blocks"), "leaf").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = dealt.withColumn("other", other)
     dealt = dealt.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
@@ -256,16 +341,7 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
                 _compare(_Side(part[inside], dims), _Side(part[~inside], dims), False, leaf_no, cosine, links, edges)
         return pd.DataFrame({"key": list(links), "n": list(links.values()), "root": [_root(edges, k) for k in links]}, columns=["key", "n", "root"])
 
-    found = dealt.groupBy("leaf", "lo", "hi").applyInPandas(compare, "key binary, n long, root binary")
-    found = written(found, "vector-links")
-    n_links = found.groupBy("key").agg(F.sum("n").alias("n"))
-    labels = components(found.select(F.col("key").alias("a"), F.col("root").alias("b"))).select(F.col("node").alias("key"), "root")
-    rooted = table.select("id", "key").join(labels, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    smallest = rooted.where("key IS NOT NULL").groupBy("root").agg(F.min("id").alias("smallest"))
-    per_class = classes.select("key", "copies").join(n_links, "key", "left").select("key", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = rooted.join(per_class, "key", "left").join(smallest, "root", "left")
-    component = F.coalesce("smallest", "id")
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    return written(dealt.groupBy("leaf", "lo", "hi").applyInPandas(compare, "key binary, n long, root binary"), f"links-{dims}")
 
 
 def _root(edges: dict, k):

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from kabuto.llm import near_embeddings as N
 from kabuto.llm.queries import queries
@@ -64,8 +65,54 @@ def test_odd_rows(spark):
     assert seen(N.link_vectors(df)) == brute(rows)
     assert N.link_vectors(df.limit(0)).count() == 0
     assert seen(N.link_vectors(df.where("vec_id = 3"))) == [((False, 3), 0, (False, 3))]
-    with pytest.raises(ValueError):
-        N.link_vectors(spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], "vec_id long, embedding array<float>"))
+
+
+def test_lengths_do_not_meet(spark):
+    """Each length is compared by itself, whichever is the most frequent; very long ones too."""
+    rng = np.random.default_rng(1)
+    rows = [(1, [1.0]), (2, [3.0]), (3, [-1.0]), (4, [1.0, 0.0]), (5, [1.0, 0.1]), (6, [1.0, 0.0, 0.0]), (7, [0.0] * 4000), (2**62, [1.0] * 5000), (-(2**62), [2.0] * 4999 + [2.1]), (8, rng.normal(size=3000).tolist())]
+    got = seen(N.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")))
+    whole = []
+    for n in {len(v) for _, v in rows}:
+        whole += brute([r for r in rows if len(r[1]) == n])
+    assert got == sorted(whole)
+
+
+@pytest.mark.parametrize("dims", [16, 64, 768])
+def test_recall_by_dimension(spark, dims):
+    """Pairs that just link, among random vectors: the margin keeps its meaning, leaves stay small."""
+    rng = np.random.default_rng(dims)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    base = unit(rng.normal(size=(2500, dims)))
+    side = rng.normal(size=(300, dims))
+    side = unit(side - (side * base[:300]).sum(1, keepdims=True) * base[:300])
+    whole = np.concatenate([base, 0.905 * base[:300] + np.sqrt(1 - 0.905**2) * side])
+    margin = N.SPILL * np.sqrt(0.2 / dims)
+    tree = N.fit_tree(whole, 100, margin, np.random.default_rng(0))
+    rows, leaves = tree.leaves(whole, margin)
+    assert np.bincount(leaves).max() < 400 and len(rows) < 4 * len(whole)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(whole)], "vec_id long, embedding array<double>")
+    found = N.link_vectors(df, leaf=100).where("n_links > 0").count()
+    assert found >= 0.97 * 600
+
+
+def test_leaves_are_split_again(spark, monkeypatch):
+    """The tops of the trees are fitted on a sample far too small for leaves of the wanted size; a dense
+    group (a third of all) stays in one leaf, in blocks."""
+    monkeypatch.setattr(N, "LEAF_SAMPLE", 200)
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(2000, 24))
+    group = base[0] / np.linalg.norm(base[0]) + rng.normal(size=(1000, 24)) * 0.02
+    whole = np.concatenate([base, group, base[:50] + rng.normal(size=(50, 24)) * 0.05])
+    rows = [(k, v.tolist()) for k, v in enumerate(whole)]
+    sizes = []
+    split = N._split
+    monkeypatch.setattr(N, "_split", lambda placed, *a: sizes.append(placed.groupBy("leaf").count().agg(F.min("count"), F.max("count")).first()) or split(placed, *a))
+    got = seen(N.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), leaf=40, block=300, sample=120))
+    expected = brute(rows)
+    assert len(sizes) >= 1 and sizes[0][1] > 300
+    assert sum(n for _, n, _ in got) >= 0.99 * sum(n for _, n, _ in expected)
+    assert all(g[1] <= e[1] for g, e in zip(got, expected, strict=True))
 
 
 def test_query(spark):

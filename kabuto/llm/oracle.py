@@ -50,6 +50,41 @@ FROM w LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+OP8 = r"""
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS rid, vec_id, embedding::DOUBLE[] AS e FROM embeddings
+), good AS (
+  SELECT * FROM v WHERE e IS NOT NULL AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN e IF x <> 0]) > 0
+), links AS (
+  SELECT a.rid AS a, b.rid AS b FROM good a JOIN good b ON a.rid <> b.rid AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9
+), reach AS (
+  SELECT rid AS a, rid AS b FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), tops AS (SELECT reach.a AS rid, min(vec_id) AS component_id FROM reach JOIN v ON v.rid = reach.b GROUP BY reach.a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = v.rid) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN tops USING (rid)
+"""
+
+
+OP10 = r"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT rid, hash(array_to_string(w[k : k + 4], ' ')) AS s
+  FROM words, unnest(range(1, greatest(len(w) - 3, least(len(w), 1) + 1))) AS t(k)
+), sizes AS (SELECT rid, count(*) AS n FROM shingles GROUP BY rid),
+links AS (
+  SELECT a.rid AS a, b.rid AS b FROM shingles a JOIN shingles b ON a.s = b.s AND a.rid <> b.rid JOIN sizes x ON x.rid = a.rid JOIN sizes y ON y.rid = b.rid
+  GROUP BY a.rid, b.rid, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+), reach AS (
+  SELECT rid AS a, rid AS b FROM words UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT any_value(x.doc_id) AS doc_id, any_value(coalesce(n, 0)) AS n_shingles, min(y.doc_id) AS component_id
+FROM reach JOIN words x ON x.rid = reach.a JOIN words y ON y.rid = reach.b LEFT JOIN sizes ON sizes.rid = x.rid
+GROUP BY reach.a
+"""
+
+
 OP12 = r"""
 WITH RECURSIVE docs AS (
   SELECT *, row_number() OVER () AS rid,
@@ -120,6 +155,8 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_benchmark_decontamination": OP3,
         "op7_chat_formatting": OP7,
+        "op8_embedding_near_dedup": OP8,
+        "op10_ngram_jaccard_join": OP10,
         "op12_merkle_manifest": OP12,
         "op13_hard_negatives": OP13,
     }

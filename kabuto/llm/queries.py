@@ -93,7 +93,7 @@ def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of every document (five-word shingles, similarity 0.75)."""
-    return ngram_join.join_components(table(spark, sf_dir, "documents"))
+    return ngram_join.join_components(table(spark, sf_dir, "documents")).drop("class_key")
 
 
 def languages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -468,6 +468,14 @@ FROM (
   FROM stg_trade_history WHERE trade_date <= {D(CUT)} AND ticker != 'cash'
 ) GROUP BY account, ticker HAVING coalesce(sum(position), 0) <> coalesce(sum(moved), 0)""",
     }
+    sql["period_high_blocks"] = sql["period_high"]
+    sql["trailing_highs"] = _with() + """
+SELECT x.ticker, x.base_date, max(y.price) AS max_price, min(y.base_date) FILTER (y.price IS NOT DISTINCT FROM top) AS max_price_date
+FROM (
+  SELECT ticker, base_date, max(price) OVER (PARTITION BY ticker ORDER BY base_date RANGE BETWEEN INTERVAL 99 DAY PRECEDING AND CURRENT ROW) AS top
+  FROM long_close
+) x JOIN long_close y ON x.ticker = y.ticker AND y.base_date BETWEEN x.base_date - 99 AND x.base_date
+GROUP BY x.ticker, x.base_date"""
     for name in ("open_lots", "aum", "all_term_pl"):  # the same results, from the ledger tables
         sql[f"{name}_incremental"] = sql[name]
     plain = {n: f"SELECT * FROM {n}" for n in ("ref_ticker_info", "dim_summary_ticker_list", "stg_asset_status_history", "stg_trade_history", "stg_price_data", "stg_entry_point")}

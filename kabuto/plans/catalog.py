@@ -17,6 +17,7 @@ from kabuto.functions.columns import add_months_back, prev_weekday
 from kabuto.operators import checks as Q
 from kabuto.operators.ledger import cash_from_flows, net_units, totals_from_flows
 from kabuto.operators.ledger_state import flows_at, open_lots_at, update_ledger
+from kabuto.operators.range_max import block_maxima
 from kabuto.operators.series import cross_rates
 from kabuto.operators.upsert import read_table, upsert_partitions
 from kabuto.plans import marts, reports, staging, warehouse
@@ -231,6 +232,10 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "daily_summary": lambda i: marts.daily_summary(i.raw("dim_summary_ticker_list"), i.tickers, i.price_history(), X.POSITION_AS_OF),
     "daily_summary_report": lambda i: reports.daily_summary_report(i.raw("dim_summary_ticker_list"), i.tickers, i.price_history(), X.POSITION_AS_OF),
     "period_high": lambda i: marts.period_high(i.raw("dim_max_price"), i.tickers, i.raw("long_close"), X.HIGHS_AS_OF),
+    "period_high_blocks": lambda i: marts.period_high_from_blocks(
+        i.raw("dim_max_price"), i.tickers, i.raw("long_close"), block_maxima(i.raw("long_close")), X.HIGHS_AS_OF
+    ),
+    "trailing_highs": lambda i: marts.trailing_highs(i.raw("long_close"), block_maxima(i.raw("long_close")), 100),
     "entry_watch": lambda i: marts.entry_watch(i.entries, i.tickers, i.close(), X.POSITION_AS_OF),
     "price_check_report": lambda i: reports.price_check_report(i.price_rows, REPORT_FROM, X.POSITION_AS_OF),
     "position_value_check": lambda i: reports.position_value_check(

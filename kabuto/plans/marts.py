@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kabuto.functions.columns import as_date, is_weekend, prev_weekday, safe_divide, valuation_date
+from kabuto.functions.columns import add_months_back, as_date, is_weekend, prev_weekday, safe_divide, valuation_date
 from kabuto.operators.dims import bounded_broadcast, enrich
 from kabuto.operators.ledger import cash_balance, trade_totals
 from kabuto.operators.period import period_highs
+from kabuto.operators.range_max import range_highs
 from kabuto.operators.series import close_on_valuation_date
 
 # Look-back of the close prices each mart reads (days before as-of).
@@ -208,6 +209,30 @@ def period_high(price_list: DataFrame, ticker_info: DataFrame, close: DataFrame,
     return j.select("order_group", "order_index", "ticker", "asset_name", "recent_price_date", "recent_price", *cols, d.alias("base_date"))
 
 
+def period_high_from_blocks(price_list: DataFrame, ticker_info: DataFrame, close: DataFrame, blocks: DataFrame, as_of: dt.date) -> DataFrame:
+    """``period_high`` from ``range_max.block_maxima`` of all closes: the closes themselves are read in the
+    months that the periods cut, and on the recent dates."""
+    d = as_date(as_of)
+    listed = enrich(price_list, ticker_info, "ticker", ["asset_name", "is_active_weekend"]).withColumn("recent_price_date", valuation_date(d, "is_active_weekend"))
+    label = F.explode(F.array(*[F.struct(F.lit(n).alias("label"), add_months_back(d, m).alias("start")) for n, m in HIGH_PERIODS.items()]))
+    asked = listed.select("ticker").distinct().select("ticker", label.alias("p")).select("ticker", "p.*", d.alias("end"))
+    highs = range_highs(asked, close, blocks)
+    picked = highs.groupBy("ticker").agg(
+        *[F.max(F.when(F.col("label") == n, F.col(c))).alias(f"{c}_{n}") for n in HIGH_PERIODS for c in ("max_price", "max_price_date")]
+    )
+    week = close.filter(F.col("base_date").between(F.date_sub(d, VALUATION_LOOKBACK), d))
+    recent = week.groupBy("ticker", "base_date").agg(F.max("price").alias("recent_price")).withColumnRenamed("base_date", "recent_price_date")
+    j = listed.join(picked, "ticker", "left").join(recent, ["ticker", "recent_price_date"], "left")
+    cols = [c for n in HIGH_PERIODS for c in (f"max_price_{n}", f"max_price_date_{n}")]
+    return j.select("order_group", "order_index", "ticker", "asset_name", "recent_price_date", "recent_price", *cols, d.alias("base_date"))
+
+
+def trailing_highs(close: DataFrame, blocks: DataFrame, days: int) -> DataFrame:
+    """For every close: the highest one of its ticker in the ``days`` days up to it, and its earliest date."""
+    asked = close.select("ticker", "base_date", F.date_sub("base_date", days - 1).alias("start"), F.col("base_date").alias("end"))
+    return range_highs(asked, close, blocks).select("ticker", "base_date", "max_price", "max_price_date")
+
+
 def entry_watch(entries: DataFrame, ticker_info: DataFrame, close: DataFrame, as_of: dt.date) -> DataFrame:
     """Per entry point: the recent close and whether it is at or below the entry level."""
     d = as_date(as_of)

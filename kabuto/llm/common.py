@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made and nothing reads any more, and let go of the shuffle files of
+    finished steps (Spark deletes these when the driver's JVM has collected what refers to them)."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    tables[0].sparkSession._jvm.System.gc()
 
 
 def small_enough(df: DataFrame, max_rows: int) -> bool:

@@ -12,9 +12,9 @@ Which segments a set looks up is allocated by cost: those that meet nobody cost
 taken first, then the ones met by the fewest. A set whose free segments are worth U + 1 has no
 partner at all, which settles most sets without a single comparison. What is left is verified on
 the whole sets. Sets that are equal are one class from the start. The others are first compared with
-one set each, their star: of those they meet, the one that meets the most. Parts that stars connect are then
-compared by one set each. What is still apart inside a star is compared in blocks (products of 0-1 matrices
-in a task, no pairs are emitted), and only what meets across stars becomes rows of pairs.
+one set each, their star: of those they meet, the one that meets the most. Sets that are near their stars
+form groups; what is still apart inside a group is compared in blocks (products of 0-1 matrices in a
+task, no pairs are emitted), and only what meets across groups becomes rows of pairs.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kabuto.llm.common import components, prepare, row_id, small_enough, without_rows, written
+from kabuto.llm.common import components, discard, prepare, row_id, small_enough, without_rows, written
 
 BROADCAST_ROWS = 200_000  # documents to look up again: up to so many ids are broadcast, else shuffled
 TOKEN_BANDS = 4  # bands below this one have one segment for each shingle
@@ -319,20 +319,23 @@ def _with_tokens(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return rows.mapInArrow(run, "key binary, tokens array<long>").dropDuplicates(["key"])
 
 
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, rule: Rule, n: int) -> DataFrame:
-    """Of the pairs of short keys (a, center): those that link, as pairs of class keys (a, b)."""
-    one = classes.select(F.col("short").alias("a"), F.col("key").alias("ka"), F.col("n_shingles").alias("na"), F.col("id").alias("ia"))
-    two = classes.select(F.col("short").alias("center"), F.col("key").alias("kb"), F.col("n_shingles").alias("nb"), F.col("id").alias("ib"))
-    near = pairs.join(one, "a").join(two, "center").where(F.least("na", "nb") * rule.den >= F.greatest("na", "nb") * rule.num)
-    near = written(near.select("ka", "kb", "na", "nb", "ia", "ib"), "near-pairs")
-    ends = near.select(F.col("ia").alias("id"), F.col("ka").alias("key")).union(near.select(F.col("ib").alias("id"), F.col("kb").alias("key")))
-    tokens = written(_with_tokens(docs, ends, n), "pair-tokens")
+def _compared(tokens: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs of short keys (a, center) as pairs of class keys (a, b) with their sizes (na, nb) and the
+    number of shingles that they have in common (both)."""
+    one = classes.select(F.col("short").alias("a"), F.col("key").alias("ka"), F.col("n_shingles").alias("na"))
+    two = classes.select(F.col("short").alias("center"), F.col("key").alias("kb"), F.col("n_shingles").alias("nb"))
+    near = pairs.join(one, "a").join(two, "center").select("ka", "kb", "na", "nb")
     out = near.join(tokens.select(F.col("key").alias("ka"), "tokens"), "ka").join(tokens.select(F.col("key").alias("kb"), F.col("tokens").alias("other")), "kb")
     both = F.size(F.array_intersect("tokens", "other")).cast("long")
-    out = out.select("ka", "kb", "na", "nb", both.alias("both")).where(F.col("both") * rule.den >= (F.col("na") + F.col("nb") - F.col("both")) * rule.num)
-    return out.select(F.col("ka").alias("a"), F.col("kb").alias("b"))
+    return out.select(F.col("ka").alias("a"), F.col("kb").alias("b"), "na", "nb", both.alias("both"))
 
 
+def _alike(num: int, den: int):
+    """Whether compared pairs have a similarity of at least num / den."""
+    return F.col("both") * den >= (F.col("na") + F.col("nb") - F.col("both")) * num
+
+
+NEAR = (40, 100)  # similarity to a star from which on a set is compared with all that is near it, in blocks
 CHUNK = 512  # sets of a star that are compared with one another in a task
 TOKENS = 4096  # columns of a matrix of sets by tokens
 
@@ -378,13 +381,16 @@ def _linked(sets: list[np.ndarray], first: int, rule: Rule) -> list[tuple[int, i
     return out
 
 
-def _in_stars(members: DataFrame, rule: Rule) -> DataFrame:
-    """Links among the sets of a star, as pairs of class keys (a, b), in blocks: ``members`` (star, key,
-    tokens) are dealt into chunks of about ``CHUNK``, every two chunks of a star are a block, and a task
-    compares all of a block's sets. What comes out connects what is linked, a tree a block at most."""
-    dealt = members.groupBy("star").agg(F.count("*").alias("n")).select("star", F.ceil(F.col("n") / F.lit(CHUNK)).cast("int").alias("chunks"))
-    mine = F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int")
-    each = members.join(dealt, "star").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+def _in_groups(members: DataFrame, rule: Rule) -> DataFrame:
+    """Links among the sets of a group, as pairs of class keys (a, b), in blocks: ``members`` (star: the
+    group, key, odd, tokens) are dealt into chunks of about ``CHUNK``, and a task compares the sets of two
+    chunks. Sets that aren't ``odd`` are connected with one another already, so only the odd ones are compared
+    with all. What comes out connects what is linked, a tree a block at most."""
+    n = lambda odd: F.ceil(F.count_if(F.col("odd") == odd) / F.lit(CHUNK)).cast("int")
+    dealt = members.groupBy("star").agg(n(True).alias("odds"), n(False).alias("others"))
+    mine = F.when(F.col("odd"), F.pmod(F.xxhash64("key"), F.col("odds"))).otherwise(F.col("odds") + F.pmod(F.xxhash64("key"), F.greatest("others", F.lit(1)))).cast("int")
+    last = F.when(F.col("odd"), F.col("odds") + F.col("others")).otherwise(F.col("odds")) - 1
+    each = members.join(dealt, "star").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     blocks = each.select("star", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "key", "tokens")
     blocks = blocks.repartition("star", "x", "y").sortWithinPartitions("star", "x", "y", "mine")
 
@@ -439,8 +445,9 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = table.where("key IS NOT NULL").groupBy("key", "short").agg(F.min("id").alias("id"), F.min("n_shingles").alias("n_shingles"), *plan)
     classes = classes.checkpoint()
 
-    dealt = _signature_rows(docs, rule, n).repartition("sig").sortWithinPartitions("sig", "who")
-    met = written(dealt.mapInArrow(_met, "sig long, who long, cost long"), "met-signatures")
+    dealt = _signature_rows(docs, rule, n).repartition("sig").sortWithinPartitions("sig", "who").mapInArrow(_met, "sig long, who long, cost long")
+    signatures_met = met = written(dealt, "met-signatures")
+    del dealt
     met = met.withColumns({"a": F.col("who").bitwiseAND(F.lit(~3)), "kind": F.col("who").bitwiseAND(F.lit(3))})
 
     # Allocation: which signatures each set has to look up.
@@ -461,37 +468,29 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = costs.select("sig", "a", "kind", "fame", looks.alias("looks"), free.alias("free"), (need > 0).alias("open")).where("looks OR kind < 2")
     meeting = rows.groupBy("sig").agg(F.max("looks").alias("l"), F.min("a").alias("x"), F.max("a").alias("y")).where("l AND x < y").select("sig")
     rows = written(rows.join(meeting, "sig", "left_semi"), "lookups")
+    del met, costs, meeting
+    discard(signatures_met)
+    open_ = classes.join(rows.select(F.col("a").alias("short")).distinct(), "short", "left_semi")
+    tokens = written(_with_tokens(docs, open_, n), "tokens")
 
     # Stars: each set against the one, of all it meets, that meets the most others. In a group of copies
     # that is the text that the others were made from, or the nearest to it.
     famous = rows.where("kind < 2").groupBy("sig").agg(F.max(F.struct("fame", "a")).alias("f")).select("sig", F.col("f.fame").alias("of"), F.col("f.a").alias("center"))
-    meets = written(rows.select("sig", "a").join(famous, "sig").where("a <> center").groupBy("a", "center").agg(F.max("of").alias("of"), F.count("*").alias("times")), "meets")
-    star = Window.partitionBy("a").orderBy(F.desc("of"), "center")
-    main = written(meets.withColumn("place", F.row_number().over(star)).where("place = 1").select("a", "center"), "stars")
-    links = written(_verified(docs, classes, main, rule, n), "star-links")
-    short = classes.select(F.col("short").alias("center"), F.col("key").alias("star"))
-    own = classes.select(F.col("short").alias("a"), "key").join(main, "a").join(short, "center").groupBy("key").agg(F.min("star").alias("star"))
-    own = written(own, "own-stars")
-    labels = components(links).select(F.col("node").alias("key"), "root")
-
-    # Stars that meet: of each connected part one set, the one that meets the other star's center most.
-    places = written(_places(classes, labels, own), "places")
-    apart = meets.join(places.select("a", "root"), "a").join(places.select(F.col("a").alias("center"), F.col("root").alias("to")), "center").where("root <> to")
-    apart = apart.groupBy("root", "center").agg(F.max(F.struct("times", "a")).alias("best")).select(F.col("best.a").alias("a"), "center")
-    links = written(links.union(_verified(docs, classes, apart.join(main, ["a", "center"], "left_anti"), rule, n)), "part-links")
+    meets = rows.select("sig", "a").join(famous, "sig").where("a <> center").groupBy("a").agg(F.max(F.struct("of", "center")).alias("star"))
+    stars = written(_compared(tokens, classes, meets.select("a", "star.center")), "stars")
+    links = stars.where(_alike(rule.num, rule.den)).select("a", "b")
     labels = components(links).select(F.col("node").alias("key"), "root")
+    groups = written(components(stars.where(_alike(*NEAR))).select(F.col("node").alias("key"), F.col("root").alias("star")), "groups")
 
-    # All sets of a star that isn't one part yet, in blocks.
-    rooted = classes.select("key", "id").join(labels, "key", "left").select("key", "id", F.coalesce("root", "key").alias("root"))
-    members = own.union(own.select(F.col("star").alias("key"), "star")).distinct().join(rooted, "key")
-    open_ = members.groupBy("star").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("star")
-    members = written(members.join(open_, "star", "left_semi").select("star", "key", "id"), "open-stars")
-    tokens = written(members.select("star", "key").join(_with_tokens(docs, members.select("id", "key"), n), "key"), "star-tokens")
-    links = written(links.union(_in_stars(tokens, rule)), "all-links")
+    # All sets of a group that isn't one part yet, in blocks: those outside of its largest part against all.
+    members = groups.join(labels, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    parts = members.groupBy("star", "root").count().groupBy("star").agg(F.max(F.struct("count", "root")).alias("p"), F.count("*").alias("n")).where("n > 1")
+    members = members.join(parts.select("star", F.col("p.root").alias("largest")), "star").select("star", "key", (F.col("root") != F.col("largest")).alias("odd"))
+    links = written(links.union(_in_groups(members.join(tokens, "key"), rule)), "group-links")
     labels = components(links).select(F.col("node").alias("key"), "root")
 
-    # What is still apart, between stars: every lookup against every set it meets, but for pairs that can't link.
-    places = _places(classes, labels, own)
+    # What is still apart, between groups: every lookup against every set it meets, but for pairs that can't link.
+    places = _places(classes, labels, groups)
     placed = rows.drop("fame").join(places, "a")
     split = placed.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.max(F.col("root").isNull()).alias("odd")).where("odd OR x < y").select("sig")
     placed = written(placed.join(split, "sig", "left_semi"), "placed")
@@ -510,7 +509,9 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         & (~own_band | (F.col("_open") | (F.col("_size") < (1 << TOKEN_BANDS))) & (F.greatest("free", "_free") <= most))
     )
     pairs = pairs.select(F.least("a", "_a").alias("a"), F.greatest("a", "_a").alias("center")).distinct()
-    more = written(_verified(docs, classes, pairs, rule, n), "more-links")
+    more = written(_compared(tokens, classes, pairs).where(_alike(rule.num, rule.den)).select("a", "b"), "more-links")
+    del left, right, pairs
+    discard(rows, placed, tokens, stars)
 
     # Components of the first links' components.
     first = classes.select("key").join(labels, "key", "left").select("key", F.coalesce("root", "key").alias("root")).checkpoint()

@@ -14,7 +14,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -127,6 +127,35 @@ def run_checks(df: DataFrame, checks: Sequence[Check], table: str) -> DataFrame:
     return out
 
 
+class ObservedChecks:
+    """Row checks counted while a frame is written (``DataFrame.observe``): no scan of their own.
+
+    ``observe(df)`` gives the frame to write; after the write, ``results`` has the rows of ``run_checks``.
+    Counts of distinct values can't be observed; ``rest`` are the checks left to ``run_checks``. Where the frame
+    is shuffled after it is observed, a task that runs again counts its rows again: a count can
+    then be too high, but none is where no row fails.
+    """
+
+    KINDS = ("not_null", "expression_is_true", "is_datetime")
+
+    def __init__(self, checks: Sequence[Check], table: str, failures: dict[Check, Column] | None = None):
+        self.table = table
+        self.checks = [c for c in checks if c.kind in self.KINDS]
+        self.rest = [c for c in checks if c.kind not in self.KINDS]
+        self.failures = failures or {}
+        self.observation = Observation()
+
+    def observe(self, df: DataFrame) -> DataFrame:
+        if not self.checks:
+            return df
+        return df.observe(self.observation, *[self.failures.get(c, _row_failure(c)).cast(T.LongType()).alias(f"_f{i}") for i, c in enumerate(self.checks)])
+
+    def results(self, spark: SparkSession) -> DataFrame:
+        seen = self.observation.get if self.checks else {}
+        rows = [(self.table, c.kind, c.column, c.severity, ",".join(c.tags), seen.get(f"_f{i}") or 0) for i, c in enumerate(self.checks)]
+        return spark.createDataFrame(rows, RESULT_SCHEMA)
+
+
 class CheckFailed(AssertionError):
     pass
 

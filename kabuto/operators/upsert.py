@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kabuto.session import ensure_checkpoint_dir
+from kabuto.session import Scratch, delete_path
 
 
 class DuplicateKeyError(ValueError):
@@ -67,16 +67,21 @@ def upsert_partitions(
     A NULL partition value is a partition of its own: its stored rows are kept, as NULL keys
     never match.
 
-    The batch is checkpointed once to the session's shared checkpoint folder, so its plan runs
-    a single time for the key check, the partition list and the merge. The merged partitions
-    are checkpointed again before the overwrite: the write never reads the files it replaces,
-    and a lost executor recomputes from the checkpoint, not from the target. A batch that
-    replaces whole partitions is written from its own checkpoint.
+    The batch is written once to a scratch table in the session's shared checkpoint folder, so its plan
+    runs a single time for the key check, the partition list and the merge. The merged partitions are
+    written there again before the overwrite: it never reads the files it replaces, and a lost
+    executor recomputes from the scratch table, not from the target. A batch that replaces whole
+    partitions is written from its own scratch table. The one step that changes the table is the overwrite;
+    emptied partitions are removed after it, and a run that fails before that only has to be run
+    again. Scratch tables are deleted at the end.
     """
     if partition_col not in keys:
         raise ValueError("the upsert key must contain the partition column")
-    ensure_checkpoint_dir(spark)
-    new = new.checkpoint(eager=True)
+    with Scratch(spark) as scratch:
+        return _upsert(spark, scratch, scratch.write(new, "batch"), path, keys, partition_col, replace_partition, check_unique, partitions)
+
+
+def _upsert(spark: SparkSession, scratch: Scratch, new: DataFrame, path: str, keys: Sequence[str], partition_col: str, replace_partition: bool, check_unique: bool, partitions: Sequence) -> list:
     # One job: rows per key, then per touched partition the largest count (bounded by the
     # number of partitions in the batch, i.e. by its date range).
     per_part = (
@@ -96,32 +101,19 @@ def upsert_partitions(
         if touched:
             new.write.partitionBy(partition_col).parquet(path)
         return order(touched)
-    for value in emptied:
-        _drop_partition(spark, path, partition_col, value)
-    if not touched:
-        return order(emptied)
-    if replace_partition:
+    if touched:
         merged = new
-    else:
-        present = F.col(partition_col).isin([p for p in touched if p is not None])
-        if None in touched:
-            present = present | F.col(partition_col).isNull()
-        merged = merge_batch(old.filter(present), new, keys).checkpoint(eager=True)
-    (
-        merged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .parquet(path)
-    )
+        if not replace_partition:
+            present = F.col(partition_col).isin([p for p in touched if p is not None])
+            if None in touched:
+                present = present | F.col(partition_col).isNull()
+            merged = scratch.write(merge_batch(old.filter(present), new, keys), "merged")
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
+    for value in emptied:
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        delete_path(spark, f"{path.rstrip('/')}/{partition_col}={name}")
     return order([*touched, *emptied])
 
 
-def _drop_partition(spark: SparkSession, path: str, partition_col: str, value) -> None:
-    """Remove the folder of one partition (nothing if it isn't there)."""
-    name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={name}")
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path)

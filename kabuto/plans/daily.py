@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kabuto.operators import checks as Q
@@ -22,7 +22,7 @@ from kabuto.operators.lots import fifo_splitters, open_lots
 from kabuto.operators.upsert import existing_table, read_table, table_missing, upsert_partitions
 from kabuto.plans import marts, staging, warehouse
 from kabuto.plans.declared import DECLARED
-from kabuto.session import ensure_checkpoint_dir
+from kabuto.session import Scratch
 from kabuto.sources.descriptions import describe
 from kabuto.sources.schemas import RunDates
 
@@ -44,12 +44,14 @@ REPLACED = {"dm_watch_entry_point"}
 FROM_POSITIONS = {"dm_daily_aum", "dm_daily_position_value", "dm_daily_all_term_pl"}
 
 
-def publish(spark: SparkSession, df: DataFrame, root: str, name: str, replace_partition: bool = False, partitions: Sequence = ()) -> DataFrame:
+def publish(spark: SparkSession, df: DataFrame, root: str, name: str, replace_partition: bool = False, partitions: Sequence = (), observed: Q.ObservedChecks | None = None) -> DataFrame:
     """Upsert ``df`` into table ``name`` under ``root`` and return the published table. A table that
-    is replaced loses its rows in ``partitions`` even where ``df`` has none."""
+    is replaced loses its rows in ``partitions`` even where ``df`` has none. ``observed`` counts its checks
+    in what is written."""
     keys, part = TABLES[name]
     path = f"{root.rstrip('/')}/{name}"
     df = describe(df)
+    df = df if observed is None else observed.observe(df)
     replace = replace_partition or name in REPLACED
     written = upsert_partitions(spark, df, path, keys, part, replace_partition=replace, check_unique=name not in REPLACED, partitions=partitions if replace else ())
     if not written and table_missing(spark, path, df.schema):
@@ -107,14 +109,26 @@ def run_daily(
     sel = set(select) if select is not None else set(TABLES)
     if sel - set(TABLES):
         raise ValueError(f"unknown tables: {sorted(sel - set(TABLES))}")
+    with Scratch(spark) as scratch:
+        return _run(spark, scratch, raw, dates, root, run_checks, replace_positions, sel, select is not None, check_all_partitions)
+
+
+def _run(spark: SparkSession, scratch: Scratch, raw: Mapping[str, DataFrame], dates: RunDates, root: str, run_checks: bool, replace_positions: bool, sel: set[str], only: bool, check_all_partitions: bool) -> dict[str, DataFrame]:
     as_of = dates.as_of
     tickers = raw["ref_ticker_info"]
     trades = staging.stg_trade_history(raw["raw_trade_history"])
     out: dict[str, DataFrame] = {}
+    observed: dict[str, Q.ObservedChecks] = {}
+
+    def watch(name: str, failures=None) -> Q.ObservedChecks | None:
+        if not run_checks or check_all_partitions or name not in DECLARED:
+            return None
+        observed[name] = Q.ObservedChecks(DECLARED[name], name, failures)
+        return observed[name]
 
     def table(name: str, build, replace: bool = False) -> DataFrame:
         if name not in out:
-            out[name] = publish(spark, build(), root, name, replace, [as_of]) if name in sel else read_published(spark, root, name)
+            out[name] = publish(spark, build(), root, name, replace, [as_of], watch(name)) if name in sel else read_published(spark, root, name)
         return out[name]
 
     flow_cache: list[DataFrame] = []
@@ -122,10 +136,13 @@ def run_daily(
 
     def flows() -> DataFrame:
         # One scan of the trade history into per-(account, ticker, day) flows, shared by every
-        # aggregate consumer (checkpointed, so computed once).
+        # aggregate consumer (written, so computed once); its checks are counted on the way.
         if not flow_cache:
-            ensure_checkpoint_dir(spark)
-            flow_cache.append(trade_flows(trades, as_of, splitters=lot_splitters).checkpoint(eager=True))
+            seen = trades
+            for name, failures in (("stg_trade_history", None), ("dwh_trade_history_with_cash", _mirrored_failures())):
+                if not only and (checks := watch(name, failures)) is not None:
+                    seen = checks.observe(seen)
+            flow_cache.append(scratch.write(trade_flows(seen, as_of, splitters=lot_splitters), "flows"))
         return flow_cache[0]
 
     def prices() -> DataFrame:
@@ -163,11 +180,25 @@ def run_daily(
         written = {k: v for k, v in out.items() if k in sel}
         if not check_all_partitions:
             written = {k: _written_partitions(v, k, dates) for k, v in written.items()}
-        named = None if select is None else sel | {"ref_ticker_info", "dim_summary_ticker_list"}
-        out["checks"] = daily_checks(raw, written, net, dates, named)
+        named = sel | {"ref_ticker_info", "dim_summary_ticker_list"} if only else None
+        out["checks"] = scratch_free(spark, daily_checks(raw, written, net, dates, named, observed))
     return out
 
 
+def scratch_free(spark: SparkSession, results: DataFrame) -> DataFrame:
+    """The check results (a row a check) as a table of their own, which needs nothing that was read."""
+    return spark.createDataFrame(results.collect(), results.schema)
+
+
+def _mirrored_failures() -> dict[Q.Check, Column]:
+    """The checks of the mirrored cash ledger, counted on the trades: of each trade itself, and of the cash leg
+    that a trade of another ticker gets (whose ticker, side and price are never NULL)."""
+    own = {c.column: F.col(c.column).isNull() for c in DECLARED["dwh_trade_history_with_cash"]}
+    leg = own | {c: F.lit(False) for c in ("ticker", "trade_type", "price")} | {"order_count": F.col("price").isNull() | F.col("order_count").isNull()}
+    mirrored = F.col("ticker") != "cash"
+    return {c: F.count(F.when(own[c.column], 1)) + F.count(F.when(mirrored & leg[c.column], 1)) for c in DECLARED["dwh_trade_history_with_cash"] if c.kind == "not_null"}
+
+
 def _written_partitions(df: DataFrame, name: str, dates: RunDates) -> DataFrame:
     part = F.col(TABLES[name][1])
     if name == "dwh_price_history":
@@ -195,10 +226,12 @@ def check_published(spark: SparkSession, raw: Mapping[str, DataFrame], dates: Ru
     return daily_checks(raw, tables, net, dates, names)
 
 
-def daily_checks(raw: Mapping[str, DataFrame], t: Mapping[str, DataFrame], net: DataFrame | None, dates: RunDates, select: Iterable[str] | None = None) -> DataFrame:
+def daily_checks(raw: Mapping[str, DataFrame], t: Mapping[str, DataFrame], net: DataFrame | None, dates: RunDates, select: Iterable[str] | None = None, observed: Mapping[str, Q.ObservedChecks] | None = None) -> DataFrame:
     """The declared column checks of the dimensions, the views and the given published tables
     (``select``: only these names) plus, with ``net``, the position reconciliation (as a check row
-    counting mismatching keys)."""
+    counting mismatching keys). Checks that were ``observed`` while a table was written are taken from
+    there; of the price feed, then, the days that the run read are checked, not all that ever came."""
+    observed = observed or {}
     d = dates.as_of
     trades = staging.stg_trade_history(raw["raw_trade_history"])
     views = {
@@ -213,7 +246,10 @@ def daily_checks(raw: Mapping[str, DataFrame], t: Mapping[str, DataFrame], net:
     views["dwh_asset_master"] = warehouse.asset_master(views["stg_asset_status_history"], raw["ref_ticker_info"])
     known = {**views, **t}
     wanted = [name for name in DECLARED if name in known and (select is None or name in select)]
-    parts = [Q.run_checks(known[name], DECLARED[name], name) for name in wanted]
+    if observed:
+        known["stg_price_data"] = known["stg_price_data"].filter(F.col("base_date").between(F.lit(dates.history_from), F.lit(d)))
+    parts = [observed[name].results(trades.sparkSession) for name in wanted if name in observed]
+    parts += [Q.run_checks(known[name], left, name) for name in wanted if (left := observed[name].rest if name in observed else DECLARED[name])]
     if net is not None and "dwh_daily_position" in t:
         mismatches = Q.net_position_mismatches(t["dwh_daily_position"], net, d)
         parts.append(

@@ -9,7 +9,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Configuration a cluster job is expected to carry as well: AQE for runtime re-planning
 # (partition coalescing, skew-join splitting, broadcast conversion from real sizes) and
@@ -74,3 +74,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder for tables a job writes and reads back."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+class Scratch:
+    """Tables that a job writes to the shared checkpoint folder and reads back (a lineage cut that
+    survives lost executors), deleted when the ``with`` block ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            delete_path(self.spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder (nothing if it isn't there) through Hadoop's file systems. A remote
+    (Connect) session can't; there the folder's owner has to."""
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except Exception:
+        return
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(conf).delete(target, True)

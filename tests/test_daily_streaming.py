@@ -94,3 +94,67 @@ def test_views_are_queryable_by_name(spark):
     n = spark.sql("SELECT count(*) FROM dwh_trade_history_with_cash WHERE ticker = 'cash'").first()[0]
     assert n == spark.sql("SELECT count(*) FROM stg_trade_history").first()[0]  # every trade has one cash row
     assert spark.sql("SELECT count(DISTINCT ticker) = count(*) FROM dwh_asset_master").first()[0]
+
+
+def test_a_run_reads_the_trades_three_times_and_leaves_no_scratch(spark):
+    """Sample, sums and the lots that are cut; the checks are counted while tables are written."""
+    root = scratch_path(spark, "daily")
+    raw = dict(X.load(spark, SF))
+    n = raw["raw_trade_history"].count()
+    read = spark.sparkContext.accumulator(0)
+    schema = raw["raw_trade_history"].schema
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    raw["raw_trade_history"] = raw["raw_trade_history"].mapInArrow(counted, schema)
+    base = os.path.dirname(root).removeprefix("file:")
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    out = run_daily(spark, raw, RunDates.for_run_day(D("2024-01-29")), root)
+    assert read.value <= 3 * n
+    got = {(r.table_name, r.check_name, r.column_name): r.failures for r in out["checks"].collect()}
+    assert read.value <= 3 * n  # nor by looking at the checks
+    assert set(os.listdir(base)) - before == {os.path.basename(root)}
+    full = run_daily(spark, X.load(spark, SF), RunDates.for_run_day(D("2024-01-29")), scratch_path(spark, "daily"), check_all_partitions=True)
+    want = {(r.table_name, r.check_name, r.column_name): r.failures for r in full["checks"].collect()}
+    assert got.keys() == want.keys()
+    assert {k: v for k, v in got.items() if k[0] != "stg_price_data"} == {k: v for k, v in want.items() if k[0] != "stg_price_data"}
+
+
+def test_observed_checks_count_failing_rows(spark):
+    trades = spark.createDataFrame(
+        [(None, "X", None, 1, 2.0), ("a", "cash", "buy", None, 1.0), ("a", None, "buy", None, None), ("b", "Y", "sell", 3, None)],
+        "account string, ticker string, trade_type string, order_count long, price double",
+    ).withColumns({"event_time_jst": F.lit(None).cast("timestamp_ntz"), "trade_date": F.lit(D("2024-01-01")), "memo": F.lit("m")})
+    from kabuto.operators import checks as Q
+    from kabuto.plans import daily, warehouse
+    from kabuto.plans.declared import DECLARED
+
+    name = "dwh_trade_history_with_cash"
+    seen = Q.ObservedChecks(DECLARED[name], name, daily._mirrored_failures())
+    seen.observe(trades).write.format("noop").mode("overwrite").save()
+    want = Q.run_checks(warehouse.trade_history_with_cash(trades), DECLARED[name], name)
+    assert rows(seen.results(spark)) == rows(want)
+    assert sum(r.failures for r in want.collect()) > 10
+
+
+def test_a_failed_overwrite_keeps_the_table(spark, monkeypatch):
+    """Partitions that a run empties are removed after the overwrite; if this fails, all is as it was."""
+    from kabuto.operators import upsert as U
+
+    schema = "account string, ticker string, position long, partition_date date"
+    keys = ["account", "ticker", "partition_date"]
+    path = scratch_path(spark, "upsert")
+    old = spark.createDataFrame([("A", "X", 1, D("2024-01-01")), ("A", "X", 2, D("2024-01-02"))], schema)
+    U.upsert_partitions(spark, old, path, keys, "partition_date")
+    new = spark.createDataFrame([("A", "X", 3, D("2024-01-02"))], schema)
+    days = [D("2024-01-01"), D("2024-01-02")]
+    monkeypatch.setattr(U, "delete_path", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        U.upsert_partitions(spark, new, path, keys, "partition_date", replace_partition=True, partitions=days)
+    assert rows(U.read_table(spark, path, old.schema), "position") == [(1,), (3,)]  # the overwrite is done, nothing is lost
+    monkeypatch.undo()
+    U.upsert_partitions(spark, new, path, keys, "partition_date", replace_partition=True, partitions=days)
+    assert rows(U.read_table(spark, path, old.schema), "position") == [(3,)]

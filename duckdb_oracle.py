@@ -468,6 +468,21 @@ FROM (
   FROM stg_trade_history WHERE trade_date <= {D(CUT)} AND ticker != 'cash'
 ) GROUP BY account, ticker HAVING coalesce(sum(position), 0) <> coalesce(sum(moved), 0)""",
     }
+    for name, report, order in (
+        ("daily_summary_ranked", "daily_summary_report", "order_group, order_index, ticker"),
+        ("price_check_ranked", "price_check_report", "ticker, base_date, ohlc_type"),
+        ("weekday_price_ranked", "weekday_price_report", "ticker, base_date DESC"),
+    ):
+        sql[name] = f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({sql[report]})"
+    sql["quarantine"] = f"""
+WITH landed AS (
+  SELECT p_partkey % 13 = 0 AS no_price, p_partkey % 17 = 0 AS more, {TK('p_partkey % 40')} AS ticker, CAST(p_size AS DOUBLE) * 8 AS entry_price, 'part ' || p_partkey AS memo FROM part
+)
+SELECT DATE '2024-01-02' AS add_date, ticker, entry_price, memo, NULL AS record, NULL AS reason FROM landed WHERE NOT no_price AND NOT more
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, '2024-01-02,' || ticker || ',' || CASE WHEN no_price THEN 'n/a' ELSE entry_price::VARCHAR END || ',' || memo || CASE WHEN more THEN ',more' ELSE '' END,
+  CASE WHEN no_price THEN 'entry_price: n/a' ELSE 'number of fields' END
+FROM landed WHERE no_price OR more"""
     sql["period_high_blocks"] = sql["period_high"]
     sql["trailing_highs"] = _with() + """
 SELECT x.ticker, x.base_date, max(y.price) AS max_price, min(y.base_date) FILTER (y.price IS NOT DISTINCT FROM top) AS max_price_date

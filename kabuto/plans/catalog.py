@@ -21,9 +21,12 @@ from kabuto.operators.range_max import block_maxima
 from kabuto.operators.series import cross_rates
 from kabuto.operators.upsert import read_table, upsert_partitions
 from kabuto.plans import marts, reports, staging, warehouse
+from kabuto.plans.daily import TABLES, run_daily
 from kabuto.plans.declared import DECLARED
 from kabuto.session import scratch_path
 from kabuto.sources import fixtures as X
+from kabuto.sources.descriptions import described, register_tables
+from kabuto.sources.raw import read_quarantined
 from kabuto.sources.schemas import CROSS_RATE_PAIRS, FILL_MAX_ROWS, RunDates
 
 # Earlier run used by the upsert query (the later run is X.PRICE_DATES).
@@ -173,6 +176,30 @@ def all_term_pl_incremental(i: Inputs) -> DataFrame:
     return marts.all_term_pl(i.trades, _positions_from(i, root), i.tickers, i.close(), X.POSITION_AS_OF, totals=totals)
 
 
+def quarantine(i: Inputs) -> DataFrame:
+    """The entry points landed as CSV, one record in thirteen with a price that is no number and one in
+    seventeen with a field too many: what is read, and what is set aside and why."""
+    base = scratch_path(i.spark, "landed")
+    key = F.col("p_partkey")
+    price = F.when(key % 13 == 0, F.lit("n/a")).otherwise((F.col("p_size") * F.lit(8.0)).cast("string"))
+    memo = F.concat(F.lit("part "), key.cast("string"), F.when(key % 17 == 0, F.lit(",more")).otherwise(F.lit("")))
+    lines = X._t(i.spark, i.sf_dir, "part").select(F.concat_ws(",", F.lit("2024-01-02"), X.ticker_of(key % 40), price, memo).alias("value"))
+    lines.write.option("lineSep", "\n").text(f"{base}/raw_entry_point")
+    read = read_quarantined(i.spark, base, "raw_entry_point", header=False)
+    none = F.lit(None).cast("string")
+    good = read.good.select("add_date", "ticker", "entry_price", "memo", none.alias("record"), none.alias("reason"))
+    bad = read.bad.select(F.lit(None).cast("date").alias("add_date"), none.alias("ticker"), F.lit(None).cast("double").alias("entry_price"), none.alias("memo"), "record", "reason")
+    return good.unionByName(bad)
+
+
+def catalog_descriptions(i: Inputs) -> DataFrame:
+    """The published tables of a daily run in the session catalog: every table and column with its comment."""
+    root = scratch_path(i.spark, "catalog")
+    run_daily(i.spark, X.load(i.spark, i.sf_dir), X.PRICE_DATES, root, run_checks=False)
+    register_tables(i.spark, {name: f"{root}/{name}" for name in TABLES})
+    return described(i.spark, TABLES)
+
+
 def quality_checks(i: Inputs) -> DataFrame:
     """All declared column checks, over the dimensions, the staging, warehouse and mart tables."""
     pos = i.positions()
@@ -242,6 +269,11 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         i.positions(), i.price_history(), warehouse.asset_master(i.status, i.tickers), X.POSITION_AS_OF
     ),
     "weekday_price_report": lambda i: reports.weekday_price_report(i.price_history(), REPORT_FROM, X.POSITION_AS_OF),
+    "daily_summary_ranked": lambda i: reports.ranked(QUERIES["daily_summary_report"](i), "daily_summary"),
+    "price_check_ranked": lambda i: reports.ranked(QUERIES["price_check_report"](i), "price_check"),
+    "weekday_price_ranked": lambda i: reports.ranked(QUERIES["weekday_price_report"](i), "weekday_price"),
+    "quarantine": quarantine,
+    "catalog_descriptions": catalog_descriptions,
     "price_upsert": price_upsert,
     "streaming_price_history": streaming_price_history,
     "quality_checks": quality_checks,

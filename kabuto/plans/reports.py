@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kabuto.functions.columns import as_date, prev_weekday
+from kabuto.operators.ranks import with_position
 from kabuto.plans.marts import daily_summary
 from kabuto.plans.warehouse import latest_prices
 from kabuto.sources.schemas import CROSS_RATE_PAIRS
@@ -111,3 +112,17 @@ def weekday_price_report(prices: DataFrame, from_date: dt.date, as_of: dt.date)
     return rows.select(
         "ticker", "base_date", prev_weekday("base_date").alias("adjusted_date"), "ohlc_type", "price"
     ).orderBy(F.col("ticker"), F.col("base_date").desc())
+
+
+# The order that each report is shown in, made total.
+REPORT_ORDER = {
+    "daily_summary": ["order_group", "order_index", "ticker"],
+    "price_check": ["ticker", "base_date", "ohlc_type"],
+    "weekday_price": ["ticker", "-base_date"],
+}
+
+
+def ranked(report: DataFrame, name: str) -> DataFrame:
+    """A report with every row's position in its order."""
+    order = [F.col(c[1:]).desc() if c.startswith("-") else F.col(c) for c in REPORT_ORDER[name]]
+    return with_position(report, order)

@@ -6,7 +6,9 @@ data, so readers of a published table see what each column means.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 
 TABLE_DESCRIPTIONS = {
     "dwh_price_history": "Daily prices per ticker and price type on the ticker's calendar, gaps filled from the last 14 rows, plus derived cross rates.",
@@ -19,6 +21,9 @@ TABLE_DESCRIPTIONS = {
     "dm_watch_entry_point": "Entry levels and whether the recent close has reached them.",
 }
 
+_AGO = {"prev": "a trading day before", "7day": "seven days before", "28day": "28 days before"}
+_SPANS = {"3month": "three months", "6month": "six months", "1year": "year"}
+
 COLUMN_DESCRIPTIONS = {
     "account": "Account name",
     "ticker": "Instrument ticker",
@@ -48,6 +53,21 @@ COLUMN_DESCRIPTIONS = {
     "entry_price": "Entry level",
     "add_date": "Date the entry level was added",
     "memo": "Free text",
+    "order_group": "Group of the row in reports",
+    "order_index": "Place of the row in its group",
+    "is_active_weekend": "Whether the ticker trades on weekends",
+    "recent_date": "Date of the recent close: the as-of date, or the weekday before a weekend",
+    "prev_date": "The trading day before the recent one",
+    "date_7day_ago": "Seven days before, on the ticker's calendar",
+    "date_28day_ago": "28 days before, on the ticker's calendar",
+    "price_recent_date": "Close on the recent date",
+    "price_prev_date": "Close on the trading day before",
+    "price_7day_ago": "Close seven days before",
+    "price_28day_ago": "Close 28 days before",
+    **{f"diff_recent_{x}": f"Recent close minus the one {text}" for x, text in _AGO.items()},
+    **{f"rate_recent_{x}": f"Change of the recent close against the one {text}" for x, text in _AGO.items()},
+    **{f"max_price_{x}": f"Highest close in the last {text}" for x, text in _SPANS.items()},
+    **{f"max_price_date_{x}": f"Earliest date of the highest close in the last {text}" for x, text in _SPANS.items()},
 }
 
 
@@ -59,3 +79,28 @@ def describe(df: DataFrame) -> DataFrame:
         if text:
             out = out.withMetadata(c, {**df.schema[c].metadata, "comment": text})
     return out
+
+
+def register_tables(spark: SparkSession, paths: dict[str, str], database: str = "default") -> None:
+    """Create (or replace) a table in the session catalog for each published table (name: path), with the
+    descriptions of the table and its columns as comments, read back by DESCRIBE."""
+    for name, path in paths.items():
+        schema = spark.read.parquet(path).schema
+        quote = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()} COMMENT {quote(COLUMN_DESCRIPTIONS.get(f.name, ''))}" for f in schema.fields)
+        part = [c for c in ("base_date", "partition_date") if c in schema.names][:1]
+        spark.sql(f"DROP TABLE IF EXISTS {database}.`{name}`")
+        spark.sql(
+            f"CREATE TABLE {database}.`{name}` ({columns}) USING parquet PARTITIONED BY ({', '.join(part)}) "
+            f"LOCATION {quote(path)} COMMENT {quote(TABLE_DESCRIPTIONS.get(name, ''))}"
+        )
+        spark.catalog.recoverPartitions(f"{database}.{name}")
+
+
+def described(spark: SparkSession, names: Iterable[str], database: str = "default") -> DataFrame:
+    """What the catalog says: (table_name, table_comment, column_name, column_type, column_comment)."""
+    rows = []
+    for name in names:
+        table = spark.catalog.getTable(f"{database}.{name}")
+        rows += [(name, table.description, c.name, c.dataType, c.description) for c in spark.catalog.listColumns(f"{database}.{name}")]
+    return spark.createDataFrame(rows, "table_name string, table_comment string, column_name string, column_type string, column_comment string")

@@ -417,15 +417,11 @@ def _in_groups(members: DataFrame, rule: Rule) -> DataFrame:
     return blocks.mapInArrow(run, "a binary, b binary")
 
 
-def _places(classes: DataFrame, labels: DataFrame, stars: DataFrame) -> DataFrame:
-    """Size, root (of the links so far) and star of every short key (a). Short keys that several classes
-    share have no root and no star."""
-    one = classes.select("short", "key", F.col("n_shingles").alias("size")).join(labels, "key", "left").join(stars, "key", "left")
-    by = one.groupBy(F.col("short").alias("a")).agg(
-        F.count("*").alias("keys"), F.min(F.coalesce("root", "key")).alias("root"), F.min("size").alias("size"), F.min(F.coalesce("star", "key")).alias("star")
-    )
-    single = lambda c: F.when(F.col("keys") == 1, F.col(c)).alias(c)
-    return by.select("a", single("root"), "size", single("star"))
+def _places(classes: DataFrame, groups: DataFrame) -> DataFrame:
+    """Size and group (star) of every short key (a). Short keys that several classes share have no group."""
+    one = classes.select("short", "key", F.col("n_shingles").alias("size")).join(groups, "key", "left")
+    by = one.groupBy(F.col("short").alias("a")).agg(F.count("*").alias("keys"), F.min("size").alias("size"), F.min(F.coalesce("star", "key")).alias("star"))
+    return by.select("a", "size", F.when(F.col("keys") == 1, F.col("star")).alias("star"))
 
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: tuple[int, int] = (75, 100)) -> DataFrame:
@@ -478,21 +474,25 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     famous = rows.where("kind < 2").groupBy("sig").agg(F.max(F.struct("fame", "a")).alias("f")).select("sig", F.col("f.fame").alias("of"), F.col("f.a").alias("center"))
     meets = rows.select("sig", "a").join(famous, "sig").where("a <> center").groupBy("a").agg(F.max(F.struct("of", "center")).alias("star"))
     stars = written(_compared(tokens, classes, meets.select("a", "star.center")), "stars")
-    links = stars.where(_alike(rule.num, rule.den)).select("a", "b")
-    labels = components(links).select(F.col("node").alias("key"), "root")
-    groups = written(components(stars.where(_alike(*NEAR))).select(F.col("node").alias("key"), F.col("root").alias("star")), "groups")
-
-    # All sets of a group that isn't one part yet, in blocks: those outside of its largest part against all.
-    members = groups.join(labels, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    parts = members.groupBy("star", "root").count().groupBy("star").agg(F.max(F.struct("count", "root")).alias("p"), F.count("*").alias("n")).where("n > 1")
-    members = members.join(parts.select("star", F.col("p.root").alias("largest")), "star").select("star", "key", (F.col("root") != F.col("largest")).alias("odd"))
-    links = written(links.union(_in_groups(members.join(tokens, "key"), rule)), "group-links")
-    labels = components(links).select(F.col("node").alias("key"), "root")
-
-    # What is still apart, between groups: every lookup against every set it meets, but for pairs that can't link.
-    places = _places(classes, labels, groups)
+    linked = _alike(rule.num, rule.den)
+    near = stars.where(_alike(*NEAR))
+    groups = written(components(near).select(F.col("node").alias("key"), F.col("root").alias("star")), "groups")
+
+    # All sets of a group in blocks: those that don't link with its hub (the star that the most sets link with, or
+    # else one of them) against all.
+    of_group = near.select("a", "b", linked.alias("linked")).join(groups.withColumnRenamed("key", "a"), "a")
+    hubs = of_group.groupBy("star", "b").agg(F.count_if("linked").alias("n")).groupBy("star").agg(F.max(F.struct("n", "b"))["b"].alias("hub"))
+    with_hub = of_group.where("linked").join(hubs, "star").where("b = hub").select(F.col("a").alias("key")).union(hubs.select("hub"))
+    members = groups.join(with_hub.distinct().withColumn("odd", F.lit(False)), "key", "left").withColumn("odd", F.coalesce("odd", F.lit(True)))
+    some = members.where("odd").select("star").distinct()
+    blocks = members.join(some, "star", "left_semi").join(tokens, "key")
+    links = written(stars.where(linked).select("a", "b").union(_in_groups(blocks, rule)), "group-links")
+
+    # Between groups (no link so far leads from one to another): every lookup against every set it meets, but for
+    # pairs that can't link.
+    places = _places(classes, groups)
     placed = rows.drop("fame").join(places, "a")
-    split = placed.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.max(F.col("root").isNull()).alias("odd")).where("odd OR x < y").select("sig")
+    split = placed.groupBy("sig").agg(F.min("star").alias("x"), F.max("star").alias("y"), F.max(F.col("star").isNull()).alias("odd")).where("odd OR x < y").select("sig")
     placed = written(placed.join(split, "sig", "left_semi"), "placed")
     left = placed.where("looks")
     right = placed.where("kind < 2").select("sig", *[F.col(c).alias(f"_{c}") for c in placed.columns if c not in ("sig", "looks")])
@@ -502,7 +502,6 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Sets of one band that meet nobody in more than ``most`` segments differ too much.
     pairs = left.join(right, "sig").where(
         (F.col("a") != F.col("_a"))
-        & F.coalesce(F.col("root") != F.col("_root"), F.lit(True))
         & F.coalesce(F.col("star") != F.col("_star"), F.lit(True))
         & ((F.col("_kind") == 0) | (F.col("kind") % 2 == 0))
         & (F.least("size", "_size") * rule.den >= F.greatest("size", "_size") * rule.num)
@@ -513,11 +512,8 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     del left, right, pairs
     discard(rows, placed, tokens, stars)
 
-    # Components of the first links' components.
-    first = classes.select("key").join(labels, "key", "left").select("key", F.coalesce("root", "key").alias("root")).checkpoint()
-    ends = more.join(first.select(F.col("key").alias("a"), F.col("root").alias("ra")), "a").join(first.select(F.col("key").alias("b"), F.col("root").alias("rb")), "b")
-    last = components(ends, "ra", "rb").select(F.col("node").alias("root"), F.col("root").alias("top"))
-    joined = first.join(last, "root", "left").select("key", F.coalesce("top", "root").alias("root"))
+    labels = components(links.union(more)).select(F.col("node").alias("key"), "root")
+    joined = classes.select("key").join(labels, "key", "left").select("key", F.coalesce("root", "key").alias("root"))
     rooted = table.join(joined, "key", "left")
     smallest = rooted.where("key IS NOT NULL").groupBy("root").agg(F.min("id").alias("smallest"))
     out = rooted.join(smallest, "root", "left")

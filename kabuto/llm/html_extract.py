@@ -27,7 +27,7 @@ from kabuto.llm.common import prepare
 
 LABELLED_PAGES = 4000  # pages the weights are fitted on, at most (those of smallest hash)
 #: Elements whose content is never text.
-OPAQUE = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "audio", "video", "select", "textarea", "button", "head", "title"}
+OPAQUE = {"script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "audio", "video", "select", "textarea", "button", "head", "title"}
 RAW = ("script", "style", "textarea", "title")  # their content holds no tags
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "caption", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
@@ -35,22 +35,36 @@ BLOCKS = {"address", "article", "aside", "blockquote", "body", "caption", "dd",
 MARKER_TAGS = {"nav", "header", "footer", "aside", "form", "menu", "dialog"}
 MARKER_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "alert", "banner", "breadcrumb", "breadcrumbs", "byline", "comment", "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "copyright", "disqus", "footer", "form", "gdpr", "header", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "notification", "pagination", "popup", "promo", "promoted", "promotion", "related", "replies", "reply", "respond", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
 ROOTS = ("article", "main")
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Elements that carry an article's own text: a class or id of theirs marks them only if it says nothing else.
+TEXTS = HEADINGS | {"p", "li", "dd", "dt", "section", "blockquote", "figcaption", "pre", "td", "th"}
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
-_ATTRIBUTE = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 
 
-def marker(name: str, attributes: str) -> str | None:
-    """The boilerplate marker that an element carries, if any."""
+def marker(name: str, attributes: str, article: bool = False) -> str | None:
+    """The boilerplate marker that an element carries, if any.
+
+    In an ``article``, elements of its own text (``TEXTS``) are marked by a class or id of marker words alone
+    ("notice", "ad-banner", not "social-history" or "related-work"), and headings not by an id, which is
+    made of what they say."""
     if name in MARKER_TAGS:
         return name
     if attributes and "=" in attributes and name not in ("body", "html"):
+        strict = article and name in TEXTS
         for m in _ATTRIBUTE.finditer(attributes):
-            value = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", next(x for x in m.groups() if x is not None) if any(m.groups()) else "")
-            for w in _WORDS.findall(value.lower()):
-                if w in MARKER_WORDS:
-                    return w
+            if strict and name in HEADINGS and m[1].lower() == "id":
+                continue
+            value = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", m[2] or m[3] or m[4] or "")
+            for part in value.lower().split():
+                words = _WORDS.findall(part)
+                if strict and not all(w in MARKER_WORDS for w in words):
+                    continue
+                for w in words:
+                    if w in MARKER_WORDS:
+                        return w
     return None
 
 
@@ -114,7 +128,7 @@ def read_tokens(page: str) -> list:
     out: list = []
     stack: list[Element] = []  # open elements
     elements: list[Element] = []  # all so far
-    opaque = roots = 0
+    opaque = roots = articles = 0
     block: Block | None = None
     at, end = 0, len(page)
 
@@ -131,10 +145,11 @@ def read_tokens(page: str) -> list:
             stack[-1].words += len(piece.split())
 
     def close(k: int) -> None:
-        nonlocal opaque, roots
+        nonlocal opaque, roots, articles
         for e in stack[k:]:
             opaque -= e.name in OPAQUE
             roots -= e.name in ROOTS
+            articles -= e.name == "article"
         del stack[k:]
 
     while at < end:
@@ -177,10 +192,11 @@ def read_tokens(page: str) -> list:
             out.append(name)
         if name in VOID or attributes.endswith("/"):
             continue
-        stack.append(Element(name, marker(name, attributes), stack[-1] if stack else None))
+        stack.append(Element(name, marker(name, attributes, articles > 0), stack[-1] if stack else None))
         elements.append(stack[-1])
         opaque += name in OPAQUE
         roots += name in ROOTS
+        articles += name == "article"
         if name in RAW:
             ends = re.compile(rf"</{name}\s*>", re.I).search(page, at)
             at = ends.start() if ends else end

@@ -83,3 +83,20 @@ def test_null_rows_and_empty_table(spark):
     assert sorted(len(r.text) > 0 for r in out) == [False, False, True, True]
     none = pages.limit(0)
     assert H.extract_text(none, H.fit_weights(none)).count() == 0
+
+
+def test_an_articles_own_text_is_not_taken_for_a_marker():
+    """Ids of headings, and compound names on paragraphs and sections, inside an article; formulas."""
+    own = '<h1 id="notice">Notice to readers</h1><h2 id="search">How search works</h2><p class="social-history">A social history.</p><section id="related-work"><p>Work of others.</p></section><p>It holds where <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p>'
+    ads = '<p class="ad">Buy now</p><section class="related">More of this</section><p class="cookie-notice">We use cookies</p><ul class="share-buttons"><li>Mail</li></ul>'
+    body = "".join(f"<p>Paragraph {k} has some more words of the article.</p>" for k in range(6))
+    page = f"<html><body><nav>Home</nav><article>{own}{ads}{body}</article><footer>foot</footer></body></html>"
+    expected = ["Notice to readers", "How search works", "A social history.", "Work of others.", "It holds where x=1 holds."]
+    expected += [f"Paragraph {k} has some more words of the article." for k in range(6)]
+    assert H.extract(page, H.Weights({})) == "\n\n".join(expected)
+
+
+def test_a_very_long_page():
+    page = "<article>" + "".join(f"<p>Paragraph {k} of a long article.</p>" for k in range(60_000)) + "</article><footer>foot</footer>"
+    got = H.extract(page, H.Weights({}))
+    assert got.count("\n\n") == 59_999 and got.endswith("Paragraph 59999 of a long article.")

@@ -72,3 +72,36 @@ def test_ids(stages):
 def test_run_gives_the_last_stage(spark, stages):
     got = sorted((r.doc_id, r.n_tokens) for r in P.run(spark, SF).collect())
     assert got == sorted((r.doc_id, r.n_tokens) for r in stages[5].collect())
+
+
+CLASHING = "doc_id long, text string, lang string, source string, n_chars long, masked string, `__text` string, key string"
+
+
+def test_odd_rows_through_every_stage(spark):
+    """Null and empty texts and ids, repeated rows and ids, a long text, clashing columns."""
+    from .conftest import ODD
+
+    rows = [(i, t, None, "s", len(t) if t else None, "m", "t", "k") for i, t in ODD]
+    rows += [(20 + k, f"some plain words of text number {k} and more", "en", "s", 1, None, None, None) for k in range(30)]
+    rows += [(70, None, None, None, None, None, None, None), (71, "12 34", None, None, None, None, None, None), (72, "password=hunter2222 is here", "en", "s", 26, "m", "t", "k")]
+    docs = spark.createDataFrame(rows, CLASHING)
+    kept = [docs]
+    for name, stage in P.STAGES[:-1]:
+        kept.append(written(stage(spark, kept[-1], SF), name))
+        assert kept[-1].columns == docs.columns
+    assert {r[:1] + r[5:] for r in map(tuple, kept[-1].collect())} <= {(r[0], *r[5:]) for r in rows}
+    first = sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in kept[1].collect())
+    for odd in [(False, 1, ""), (False, 2, ""), (False, 3, "   \n\t "), (False, 70, ""), (False, 71, "12 34")]:
+        assert odd in first  # nothing said, nothing toxic
+    assert sum(r.doc_id == 4 for r in kept[2].collect()) == 1  # "one two" twice and once in capitals
+    last = {r.doc_id: r for r in kept[-1].collect()}
+    assert "hunter2222" not in last[72].text and last[72].n_chars == len(last[72].text) and last[72].masked == "m"
+    out = P.STAGES[-1][1](spark, kept[-1], SF).collect()
+    assert len(out) == kept[-1].count() and all(r.same for r in out)
+
+
+def test_empty_table_through_every_stage(spark):
+    docs = spark.createDataFrame([], CLASHING)
+    for _, stage in P.STAGES:
+        docs = written(stage(spark, docs, SF), "empty")
+        assert docs.count() == 0

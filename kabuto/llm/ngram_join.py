@@ -14,7 +14,8 @@ partner at all, which settles most sets without a single comparison. What is lef
 the whole sets. Sets that are equal are one class from the start. The others are first compared with
 one set each, their star: of those they meet, the one that meets the most. Sets that are near their stars
 form groups; what is still apart inside a group is compared in blocks (products of 0-1 matrices in a
-task, no pairs are emitted), and only what meets across groups becomes rows of pairs.
+task, no pairs are emitted), and only what meets across groups, and may link by its sketches, becomes rows
+of pairs.
 """
 
 from __future__ import annotations
@@ -195,6 +196,20 @@ def class_key(tokens: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(tokens.tobytes())
 
 
+WORDS = 8  # of 64 bits in a sketch
+SKETCH = [f"s{k}" for k in range(WORDS)]
+
+
+def sketches(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """One row of 64-bit words a set: a bit for each of 512 buckets of tokens, set if it holds an odd number
+    of the set's. Two sets differ in at least as many tokens as their sketches in bits."""
+    out = np.zeros((len(sizes), WORDS), np.uint64)
+    bucket = mix(tokens) >> np.uint64(64 - 9)
+    at = np.repeat(np.arange(len(sizes)), sizes) * WORDS + (bucket >> np.uint64(6)).astype(np.int64)
+    np.bitwise_xor.at(out.reshape(-1), at, np.uint64(1) << (bucket & np.uint64(63)))
+    return out
+
+
 PLAN = ["n0", "able0", "need0", "n1", "able1", "need1"]
 
 
@@ -209,7 +224,7 @@ def keys_of(tokens: np.ndarray, sizes: np.ndarray) -> list[bytes | None]:
 
 
 def classes_of(docs: DataFrame, rule: Rule, n: int) -> DataFrame:
-    """id, n_shingles, key (null: the empty set) and short key of every row, and its plan."""
+    """id, n_shingles, key (null: the empty set) and short key of every row, its plan and its sketch."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,10 +237,12 @@ def classes_of(docs: DataFrame, rule: Rule, n: int) -> DataFrame:
                 plan = signatures(tokens, sizes, rule)[3]
                 columns = [batch.column(0).slice(at, len(texts)), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(shorts, pa.int64())]
                 columns += [pa.array(plan[:, k].astype(np.int32)) for k in range(6)]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "n_shingles", "key", "short", *PLAN])
+                bits = sketches(tokens, sizes)
+                columns += [_signed(np.ascontiguousarray(bits[:, k])) for k in range(WORDS)]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "n_shingles", "key", "short", *PLAN, *SKETCH])
                 at += len(texts)
 
-    return docs.select("id", "text").mapInArrow(run, f"id {kind}, n_shingles long, key binary, short long, " + ", ".join(f"{p} int" for p in PLAN))
+    return docs.select("id", "text").mapInArrow(run, f"id {kind}, n_shingles long, key binary, short long, " + ", ".join([*(f"{p} int" for p in PLAN), *(f"{p} long" for p in SKETCH)]))
 
 
 def _signature_rows(docs: DataFrame, rule: Rule, n: int) -> DataFrame:
@@ -418,10 +435,11 @@ def _in_groups(members: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _places(classes: DataFrame, groups: DataFrame) -> DataFrame:
-    """Size and group (star) of every short key (a). Short keys that several classes share have no group."""
-    one = classes.select("short", "key", F.col("n_shingles").alias("size")).join(groups, "key", "left")
-    by = one.groupBy(F.col("short").alias("a")).agg(F.count("*").alias("keys"), F.min("size").alias("size"), F.min(F.coalesce("star", "key")).alias("star"))
-    return by.select("a", "size", F.when(F.col("keys") == 1, F.col("star")).alias("star"))
+    """Size, group (star) and sketch of every short key (a). Short keys that several classes share have
+    neither group nor sketch."""
+    one = classes.select("short", "key", F.col("n_shingles").alias("size"), *SKETCH).join(groups, "key", "left")
+    by = one.groupBy(F.col("short").alias("a")).agg(F.count("*").alias("keys"), F.min("size").alias("size"), F.min(F.coalesce("star", "key")).alias("star"), *[F.min(p).alias(p) for p in SKETCH])
+    return by.select("a", "size", *[F.when(F.col("keys") == 1, F.col(c)).alias(c) for c in ("star", *SKETCH)])
 
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: tuple[int, int] = (75, 100)) -> DataFrame:
@@ -438,7 +456,7 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     table = written(classes_of(docs, rule, n), "shingle-classes")
     plan = [F.min(p).alias(p) if p[0] != "p" else F.max(p) for p in ("n0", "able0", "n1", "able1")] + [F.max(p).alias(p) for p in ("need0", "need1")]
-    classes = table.where("key IS NOT NULL").groupBy("key", "short").agg(F.min("id").alias("id"), F.min("n_shingles").alias("n_shingles"), *plan)
+    classes = table.where("key IS NOT NULL").groupBy("key", "short").agg(F.min("id").alias("id"), F.min("n_shingles").alias("n_shingles"), *plan, *[F.min(p).alias(p) for p in SKETCH])
     classes = classes.checkpoint()
 
     dealt = _signature_rows(docs, rule, n).repartition("sig").sortWithinPartitions("sig", "who").mapInArrow(_met, "sig long, who long, cost long")
@@ -499,10 +517,13 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     size = F.col("size") + F.col("_size")
     most = F.floor(size * (rule.den - rule.num) / (rule.den + rule.num))  # the symmetric difference of a linked pair
     own_band = F.col("kind") < 2
-    # Sets of one band that meet nobody in more than ``most`` segments differ too much.
+    # Sets whose sketches differ in more than ``most`` bits differ too much; so do sets of one band that meet
+    # nobody in more than ``most`` segments.
+    bits = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"_{p}"))) for p in SKETCH), F.lit(0))
     pairs = left.join(right, "sig").where(
         (F.col("a") != F.col("_a"))
         & F.coalesce(F.col("star") != F.col("_star"), F.lit(True))
+        & F.coalesce(bits <= most, F.lit(True))
         & ((F.col("_kind") == 0) | (F.col("kind") % 2 == 0))
         & (F.least("size", "_size") * rule.den >= F.greatest("size", "_size") * rule.num)
         & (~own_band | (F.col("_open") | (F.col("_size") < (1 << TOKEN_BANDS))) & (F.greatest("free", "_free") <= most))

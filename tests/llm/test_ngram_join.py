@@ -176,3 +176,14 @@ def test_stars_in_several_blocks(spark, monkeypatch):
     expected = brute(rows)
     assert 3 < len({c for *_, c in expected}) < 200
     assert seen(N.join_components(spark.createDataFrame(rows, "doc_id long, text string"))) == expected
+
+
+def test_sketches_bound_the_difference_from_below():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        base = rng.integers(0, 2**63, rng.integers(1, 400)).astype(np.uint64)
+        a, b = (np.unique(np.r_[base[: rng.integers(0, len(base) + 1)], rng.integers(0, 2**63, rng.integers(0, 200)).astype(np.uint64)]) for _ in range(2))
+        x, y, z = N.sketches(np.r_[a, b, a], np.array([len(a), len(b), len(a)]))
+        bits = sum(int(v).bit_count() for v in x ^ y)
+        assert bits <= len(np.setxor1d(a, b)) and (x == z).all()
+        assert bits >= 0.3 * min(len(np.setxor1d(a, b)), 512)

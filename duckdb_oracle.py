@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 
 from kabuto.sources import fixtures as X
+from kabuto.sources.descriptions import COLUMN_DESCRIPTIONS, TABLE_DESCRIPTIONS
 from kabuto.sources.schemas import RunDates
 from kabuto.plans.catalog import PRICE_DATES_PREVIOUS, REPORT_FROM, STREAM_SPLIT
 
@@ -404,6 +405,32 @@ def _stream_ctes() -> tuple[str, str]:
     return price_history_ctes("s1", (f"({lo1} - {back})", lo1, hi1)), price_history_ctes("s2", (f"({lo2} - {back})", lo2, hi2))
 
 
+#: Columns of the published tables, as the catalog has to list them; what they mean is declared once.
+CATALOG = {
+    "dwh_price_history": "ticker:string ohlc_type:string price:double fetch_time_jst:timestamp_ntz base_date:date",
+    "dwh_daily_position": "account:string ticker:string position:bigint avg_buy_price:double partition_date:date",
+    "dm_daily_aum": "account:string ticker:string asset_type:string asset_name:string position:double value_price:double current_value:double partition_date:date",
+    "dm_daily_position_value": "account:string ticker:string asset_type:string asset_name:string position:bigint avg_buy_price:double close_price:double "
+    "unrealized_value:double unrealized_return_ratio:double partition_date:date",
+    "dm_daily_all_term_pl": "account:string ticker:string asset_type:string asset_name:string total_buy_amount:double sell_amount_already:double "
+    "position_close_amount:double total_sell_amount:double pl_amount_all_term:double pl_ratio_all_term:double partition_date:date",
+    "dm_daily_summary": "ticker:string order_group:bigint order_index:bigint asset_name:string is_active_weekend:boolean recent_date:date prev_date:date "
+    "date_7day_ago:date date_28day_ago:date price_recent_date:double price_prev_date:double price_7day_ago:double price_28day_ago:double diff_recent_prev:double "
+    "diff_recent_7day:double diff_recent_28day:double rate_recent_prev:double rate_recent_7day:double rate_recent_28day:double base_date:date",
+    "dm_max_price_monitor": "order_group:bigint order_index:bigint ticker:string asset_name:string recent_price_date:date recent_price:double "
+    "max_price_3month:double max_price_date_3month:date max_price_6month:double max_price_date_6month:date max_price_1year:double max_price_date_1year:date base_date:date",
+    "dm_watch_entry_point": "is_reached_entry_price:boolean ticker:string asset_name:string add_date:date entry_price:double memo:string recent_price_date:date "
+    "recent_price:double base_date:date",
+}
+
+
+def _catalog() -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    rows = [(t, TABLE_DESCRIPTIONS[t], *c.split(":"), COLUMN_DESCRIPTIONS[c.split(":")[0]]) for t, columns in CATALOG.items() for c in columns.split()]
+    values = ", ".join("(" + ", ".join(map(quoted, r)) + ")" for r in rows)
+    return f"SELECT * FROM (VALUES {values}) AS t(table_name, table_comment, column_name, column_type, column_comment)"
+
+
 def oracle_sql() -> dict[str, str]:
     a = D(AS_OF)
     ratio = "(close_price - avg_buy_price) / avg_buy_price"
@@ -474,6 +501,7 @@ FROM (
         ("weekday_price_ranked", "weekday_price_report", "ticker, base_date DESC"),
     ):
         sql[name] = f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({sql[report]})"
+    sql["catalog_descriptions"] = _catalog()
     sql["quarantine"] = f"""
 WITH landed AS (
   SELECT p_partkey % 13 = 0 AS no_price, p_partkey % 17 = 0 AS more, {TK('p_partkey % 40')} AS ticker, CAST(p_size AS DOUBLE) * 8 AS entry_price, 'part ' || p_partkey AS memo FROM part

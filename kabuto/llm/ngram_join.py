@@ -353,7 +353,8 @@ def _alike(num: int, den: int):
 
 
 NEAR = (40, 100)  # similarity to a star from which on a set is compared with all that is near it, in blocks
-CHUNK = 512  # sets of a star that are compared with one another in a task
+CHUNK = 512  # sets of a group that are compared with those of another chunk in a task, about
+CHUNK_TOKENS = 400_000  # of these sets together, about (a set may have more): bounds what a task holds
 TOKENS = 4096  # columns of a matrix of sets by tokens
 
 
@@ -390,7 +391,7 @@ def _linked(sets: list[np.ndarray], first: int, rule: Rule) -> list[tuple[int, i
             x = parent[x]
         return x
 
-    out = []
+    out: list[tuple[int, int]] = []
     for i, j in zip(*(x.tolist() for x in np.nonzero(linked)), strict=True):
         if (a := find(i)) != (b := find(j)):
             parent[b] = a
@@ -403,7 +404,10 @@ def _in_groups(members: DataFrame, rule: Rule) -> DataFrame:
     group, key, odd, tokens) are dealt into chunks of about ``CHUNK``, and a task compares the sets of two
     chunks. Sets that aren't ``odd`` are connected with one another already, so only the odd ones are compared
     with all. What comes out connects what is linked, a tree a block at most."""
-    n = lambda odd: F.ceil(F.count_if(F.col("odd") == odd) / F.lit(CHUNK)).cast("int")
+    def n(odd: bool):
+        mine = F.when(F.col("odd") == odd, F.size("tokens"))
+        return F.greatest(F.ceil(F.count(mine) / F.lit(CHUNK)), F.ceil(F.coalesce(F.sum(mine), F.lit(0)) / F.lit(CHUNK_TOKENS))).cast("int")
+
     dealt = members.groupBy("star").agg(n(True).alias("odds"), n(False).alias("others"))
     mine = F.when(F.col("odd"), F.pmod(F.xxhash64("key"), F.col("odds"))).otherwise(F.col("odds") + F.pmod(F.xxhash64("key"), F.greatest("others", F.lit(1)))).cast("int")
     last = F.when(F.col("odd"), F.col("odds") + F.col("others")).otherwise(F.col("odds")) - 1
@@ -419,7 +423,7 @@ def _in_groups(members: DataFrame, rule: Rule) -> DataFrame:
             found = _linked([t for _, t, _ in held], sum(f for *_, f in held), rule) if len(held) > 1 else []
             return pa.RecordBatch.from_arrays([pa.array([held[k[e]][0] for k in found], pa.binary()) for e in (0, 1)], names=["a", "b"])
 
-        for batch in batches:
+        for batch in (part for b in batches for part in (b.slice(k, 256) for k in range(0, b.num_rows, 256))):
             star, x, y, own, key = (batch.column(c).to_pylist() for c in ("star", "x", "y", "mine", "key"))
             lists = batch.column("tokens")
             for k in range(batch.num_rows):
@@ -427,7 +431,7 @@ def _in_groups(members: DataFrame, rule: Rule) -> DataFrame:
                     if held:
                         yield links()
                     held, at = [], (star[k], x[k], y[k])
-                held.append((key[k], np.asarray(lists[k].values).view(np.uint64), own[k] == x[k]))
+                held.append((key[k], np.array(lists[k].values).view(np.uint64), own[k] == x[k]))
         if held:
             yield links()
 

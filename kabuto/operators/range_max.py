@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MONTH = "_m"
+LEVELS_A_STEP = 4  # of block maxima
 
 
 def _month_number(d) -> Column:
@@ -33,13 +34,19 @@ def _best(value: str, date: str) -> Column:
 
 def block_maxima(values: DataFrame, key: str = "ticker", date: str = "base_date", value: str = "price", months: int = 480) -> DataFrame:
     """(key, _level, _m, _best): the best row of the 2**_level months from month number _m, for blocks
-    of up to ``months`` months. Rows without a date are in no period."""
+    of up to ``months`` months. Rows without a date are in no period.
+
+    ``LEVELS_A_STEP`` levels are made at a time from the highest one before them (a block of 2**k months is
+    the best of the blocks of that level in it), so that the plan holds few aggregates, whatever ``months``."""
     level = values.filter(F.col(date).isNotNull()).groupBy(key, _month_number(date).alias(MONTH)).agg(F.max(_best(value, date)).alias("_best"))
     out = level.withColumn("_level", F.lit(0))
-    for k in range(1, max(1, math.floor(math.log2(max(1, months)))) + 1):
-        starts = F.array(F.col(MONTH), F.col(MONTH) - (1 << k - 1))
-        level = level.select(key, F.explode(starts).alias(MONTH), "_best").groupBy(key, MONTH).agg(F.max("_best").alias("_best"))
-        out = out.unionByName(level.withColumn("_level", F.lit(k)))
+    top = max(1, math.floor(math.log2(max(1, months))))
+    for low in range(0, top, LEVELS_A_STEP):
+        high = min(top, low + LEVELS_A_STEP)
+        held_by = [F.struct(F.lit(k).alias("_level"), (F.col(MONTH) - (n << low)).alias(MONTH)) for k in range(low + 1, high + 1) for n in range(1 << k - low)]
+        step = level.select(key, F.explode(F.array(*held_by)).alias("_block"), "_best").select(key, "_block.*", "_best").groupBy(key, "_level", MONTH).agg(F.max("_best").alias("_best"))
+        out = out.unionByName(step)
+        level = step.filter(F.col("_level") == high).drop("_level")
     return out.select(key, "_level", MONTH, "_best")
 
 

@@ -27,3 +27,8 @@ def test_broadcast_only_within_the_bound(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_a_dimension_of_many_megabytes_is_not_broadcast_by_hint(spark):
+    big = spark.range(2_000_000)  # 16 MB, which used to be hinted
+    assert bounded_broadcast(big) is big

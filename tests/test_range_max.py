@@ -40,3 +40,14 @@ def test_a_long_period_reads_two_blocks_and_two_months(spark):
     assert len(inside) > 1500
     empty = v.limit(0)
     assert rows(range_highs(p, empty, block_maxima(empty))) == [("A", D("2010-03-15"), D("2023-02-11"), None, None)]
+
+
+def test_few_aggregates_for_all_levels(spark):
+    plan = block_maxima(spark.createDataFrame([(D("2020-01-01"), "A", 1.0)], VALUES))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") <= 8  # each level used to hold the plans of all below it again: 45
+    v = spark.createDataFrame([(D("2020-01-01"), "A", 1.0), (D("2020-04-01"), "A", 7.0)], VALUES)
+    start, level = 2020 * 12, {}
+    for r in block_maxima(v, months=70).collect():
+        level.setdefault(r["_level"], {})[r["_m"] - start] = r["_best"]["v"]
+    for k in range(7):
+        assert level[k] == {m: 7.0 if m + (1 << k) > 3 else 1.0 for m in range(-70, 4) if m <= 0 < m + (1 << k) or m <= 3 < m + (1 << k)}

@@ -188,3 +188,17 @@ def test_plan_filters_lots_below_their_shuffle(spark):
     below = final[at + 1 : left]  # the side of the lots
     assert any("FileScan" in line for line in below) and not any("Exchange" in line for line in below)
     assert sum("FileScan" in line for line in final) == 2  # the sums once, the lots once
+
+
+def test_units_in_runs_over_many_blocks(spark, monkeypatch):
+    """Runs of hundreds of millions of units: a row a unit could not be held."""
+    many = 300_000_000
+    data = [(D("2024-01-01"), "X", "buy", "A", many, 2.0, "1"), (D("2024-01-02"), "X", "buy", "A", 5, 4.0, "2"), (D("2024-01-03"), "X", "sell", "A", many - 3, 1.0, "3")]
+    assert rows(open_lots_units(_trades(spark, data), AS_OF, tie_break=TIE_BREAK)) == [("A", "X", 8, 26.0 / 8, AS_OF)]
+    monkeypatch.setattr(lots, "UNIT_BLOCK", 4)
+    data = [(D("2024-01-01"), "X", "buy", None, 9, 5.0, "4"), (D("2024-01-02"), "X", "sell", None, 6, 5.0, "5")]
+    for sold in (0, 1, 3, 4, 5, 8, 11, 12, 13, 40):  # the last sell before, at and behind the ends of blocks
+        a = f"A{sold}"
+        data += [(D("2024-01-01"), "X", "buy", a, 3, 2.0, "1"), (D("2024-01-02"), "X", "buy", a, 10, None if sold == 4 else 4.0, "2"), (D("2024-01-03"), "X", "sell", a, sold, 1.0, "3")]
+    fast, slow = _both(spark, data)
+    assert fast == slow and len(slow) == 9

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,21 @@ def discard(*tables: DataFrame) -> None:
     tables[0].sparkSession._jvm.System.gc()
 
 
+IDLE_SECONDS = 10
+_kept: dict[str, list] = {}
+
+
+def kept(operator: str) -> dict:
+    """What ``operator`` keeps in a Python worker from batch to batch. Workers go on to the steps that follow, so
+    what other operators have not asked for in the last ``IDLE_SECONDS`` is let go of."""
+    now = time.monotonic()
+    for other in [k for k, (used, _) in _kept.items() if k != operator and now - used > IDLE_SECONDS]:
+        del _kept[other]
+    mine = _kept.setdefault(operator, [now, {}])
+    mine[0] = now
+    return mine[1]
+
+
 def small_enough(df: DataFrame, max_rows: int) -> bool:
     """True if ``df`` has at most ``max_rows`` rows. Counts are summed per task, so no rows move."""
     return df.count() <= max_rows

@@ -6,6 +6,8 @@ import re
 import string
 from dataclasses import dataclass, field
 
+from kabuto.llm.common import kept
+
 SPACE = "▁"  # how the models write a space
 MAX_MODEL_BYTES = 64 << 20
 
@@ -106,14 +108,12 @@ def parse_model(data: bytes) -> Model:
     )
 
 
-_parsed: dict[bytes, Model] = {}
-
-
 def model_of(data: bytes) -> Model:
     """The parsed model, once per Python worker."""
     import hashlib
 
     key = hashlib.sha256(data).digest()
-    if key not in _parsed:
-        _parsed[key] = parse_model(data)
-    return _parsed[key]
+    mine = kept("pieces")
+    if key not in mine:
+        mine[key] = parse_model(data)
+    return mine[key]

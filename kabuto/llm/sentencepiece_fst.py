@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kabuto.llm import pieces as P
-from kabuto.llm.common import prepare
+from kabuto.llm.common import kept, prepare
 
 CACHE_ENTRIES = 1_000_000  # segments kept per Python worker (about 230 bytes each)
 CACHED_PAIRS = 300_000
@@ -160,15 +160,13 @@ class Known(dict):
         return packed
 
 
-_transducers: dict[int, Transducer] = {}
-
-
 def transducer(data: bytes) -> Transducer:
     """The compiled transducer, once per Python worker."""
     model = P.model_of(data)
-    if id(model) not in _transducers:
-        _transducers[id(model)] = Transducer(model)
-    return _transducers[id(model)]
+    mine = kept("pieces")
+    if ("transducer", id(model)) not in mine:
+        mine["transducer", id(model)] = Transducer(model)
+    return mine["transducer", id(model)]
 
 
 def encoder(spark, model_path: str | None = None):

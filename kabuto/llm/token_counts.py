@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kabuto.llm import pieces as P
-from kabuto.llm.common import prepare
+from kabuto.llm.common import kept, prepare
 
 CACHE_ENTRIES = 400_000  # segments kept per Python worker
 CACHED_LENGTH = 48  # longer segments are counted anew each time
@@ -71,9 +71,6 @@ class Counts(dict):
         return n
 
 
-_counts: dict[int, Counts] = {}
-
-
 def count_text(text: str | None, counts: Counts) -> int:
     if not text:
         return 0
@@ -93,7 +90,8 @@ def token_counts(docs: DataFrame, model_path: str | None = None, limit: int = 40
 
     def count(texts: pa.Array) -> pa.Array:
         parsed = P.model_of(model.value)
-        counts = _counts.get(id(parsed)) or _counts.setdefault(id(parsed), Counts(parsed))
+        mine = kept("pieces")
+        counts = mine.get(("counts", id(parsed))) or mine.setdefault(("counts", id(parsed)), Counts(parsed))
         return pa.array([count_text(t.as_py(), counts) for t in texts], pa.int64())
 
     counted = F.arrow_udf(count, "long")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kabuto.llm.common import prepare, written
+from kabuto.llm.common import kept, prepare, written
 
 BUCKETS = 1 << 18
 DIMS = 8
@@ -279,19 +279,17 @@ def scorer(spark, model: Model):
     key = uuid.uuid4().hex
 
     def score(texts: pa.Array) -> pa.Array:
-        if key not in _ready:
-            _ready.clear()
+        ready = kept("toxicity")
+        if key not in ready:
+            ready.clear()
             weights, bias = sent.value
-            _ready[key] = Model(weights.astype(np.float64), bias), {}
-        fitted, cache = _ready[key]
+            ready[key] = Model(weights.astype(np.float64), bias), {}
+        fitted, cache = ready[key]
         return pa.array([fitted.score(t.as_py(), cache) for t in texts], pa.float64())
 
     return F.arrow_udf(score, "double")
 
 
-_ready: dict = {}
-
-
 def held_out(id_column, folds: int = 5):
     """Whether a row is kept from training: the CRC-32 of the id's text, modulo ``folds``, is 0."""
     return F.crc32(id_column.cast("string").cast("binary")) % folds == 0

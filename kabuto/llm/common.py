@@ -6,6 +6,7 @@ import gc
 import os
 import time
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,10 +51,14 @@ _kept: dict[str, list] = {}
 
 def kept(operator: str) -> dict:
     """What ``operator`` keeps in a Python worker from batch to batch. Workers go on to the steps that follow, so
-    what other operators have not asked for in the last ``IDLE_SECONDS`` is let go of."""
+    what other operators have not asked for in the last ``IDLE_SECONDS`` is let go of. An operator that keeps
+    nothing itself calls it too, when a task begins: else it runs beside what those before it kept."""
     now = time.monotonic()
-    for other in [k for k, (used, _) in _kept.items() if k != operator and now - used > IDLE_SECONDS]:
+    idle = [k for k, (used, _) in _kept.items() if k != operator and now - used > IDLE_SECONDS]
+    for other in idle:
         del _kept[other]
+    if idle:
+        pa.default_memory_pool().release_unused()
     mine = _kept.setdefault(operator, [now, {}])
     mine[0] = now
     return mine[1]

@@ -29,8 +29,9 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kabuto.llm.common import components, discard, prepare, row_id, small_enough, without_rows, written
+from kabuto.llm.common import components, discard, kept, prepare, row_id, small_enough, without_rows, written
 
+OPERATOR = "ngram_join"  # it keeps nothing in Python workers; its tasks let go of what others keep there
 BROADCAST_ROWS = 200_000  # documents to look up again: up to so many ids are broadcast, else shuffled
 TOKEN_BANDS = 4  # bands below this one have one segment for each shingle
 FINE_BANDS = 8  # bands below this one (sets of up to 255) have more segments, which tell sets apart better
@@ -228,6 +229,7 @@ def classes_of(docs: DataFrame, rule: Rule, n: int) -> DataFrame:
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept(OPERATOR)
         for batch in batches:
             at = 0
             for texts in chunks(batch.column(1)):
@@ -250,6 +252,7 @@ def _signature_rows(docs: DataFrame, rule: Rule, n: int) -> DataFrame:
     set once, as long as it remembers the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept(OPERATOR)
         seen: set[bytes] = set()
         for batch in batches:
             for texts in chunks(batch.column(0)):
@@ -275,6 +278,7 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by (sig, who): those of signatures on which a lookup can meet another set,
     with how many rows there are (a cost). Runs over a million rows are passed on in parts, whose
     cost is what has been seen so far."""
+    kept(OPERATOR)
     sig0, who0 = np.zeros(0, np.int64), np.zeros(0, np.int64)
     part = 0  # rows of the open run that have been passed on
 
@@ -321,6 +325,7 @@ def _with_tokens(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     rows = docs.join(wanted, docs["id"].eqNullSafe(wanted["_id"])).select("text", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept(OPERATOR)
         for batch in batches:
             at = 0
             for texts in chunks(batch.column(0)):
@@ -416,6 +421,7 @@ def _in_groups(members: DataFrame, rule: Rule) -> DataFrame:
     blocks = blocks.repartition("star", "x", "y").sortWithinPartitions("star", "x", "y", "mine")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept(OPERATOR)
         held: list[tuple[bytes, np.ndarray, bool]] = []
         at = None
 

@@ -1,4 +1,4 @@
-from kabuto.llm import common
+from kabuto.llm import common, ngram_join
 
 
 def test_a_worker_lets_go_of_what_an_earlier_step_kept(monkeypatch):
@@ -12,3 +12,9 @@ def test_a_worker_lets_go_of_what_an_earlier_step_kept(monkeypatch):
     now[0] += 2 * common.IDLE_SECONDS
     assert common.kept("toxicity") == {"model": 2} and list(common._kept) == ["toxicity"]
     assert common.kept("pieces") == {}
+
+
+def test_the_join_lets_go_of_what_earlier_steps_kept(monkeypatch):
+    monkeypatch.setattr(common, "_kept", {"toxicity": [common.time.monotonic() - 2 * common.IDLE_SECONDS, {"model": 1}]})
+    assert list(ngram_join._met(iter([]))) == []
+    assert "toxicity" not in common._kept

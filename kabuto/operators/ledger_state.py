@@ -27,7 +27,7 @@ from kabuto.functions.columns import as_date
 from kabuto.operators.ledger import trade_flows
 from kabuto.operators.lots import LOT_VALUE, PIECES, boundary, buy_lots, cut_lots, fifo_splitters, lot_flows, near_cut, summed_lots
 from kabuto.operators.upsert import existing_table, upsert_partitions
-from kabuto.session import ensure_checkpoint_dir
+from kabuto.session import Scratch, ensure_checkpoint_dir
 
 KEYS = ("account", "ticker")
 DAYS, MONTHS = "ledger_days", "ledger_months"
@@ -50,7 +50,12 @@ def update_ledger(spark: SparkSession, trades: DataFrame, arrived: DataFrame, ro
     are left out. Returns the months that were rewritten.
 
     The list of months comes to the driver (as many as months have new trades); dates stay a table."""
-    dates = arrived.select(F.col(date_col).alias("trade_date")).filter("trade_date IS NOT NULL").distinct()
+    with Scratch(spark) as scratch:  # written, so that what has arrived is read once
+        dates = arrived.select(F.col(date_col).alias("trade_date")).filter("trade_date IS NOT NULL").distinct()
+        return _update(spark, trades, scratch.write(dates, "dates"), root, keys, date_col)
+
+
+def _update(spark: SparkSession, trades: DataFrame, dates: DataFrame, root: str, keys: Sequence[str], date_col: str) -> list[dt.date]:
     months = sorted(r[0] for r in dates.select(_month("trade_date")).distinct().collect())
     if not months:
         return []

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from kabuto.operators import ledger_state as S
 from kabuto.operators.ledger import cash_balance, cash_from_flows, net_from_flows, net_units, totals_from_flows, trade_totals
 from kabuto.operators.lots import open_lots
+from kabuto.plans import catalog
 from kabuto.session import scratch_path
 from tests.conftest import D, rows
 from tests.test_lots import SCHEMA, TIE_BREAK
@@ -95,3 +96,30 @@ def test_the_log_is_read_on_the_days_of_the_heads_only(spark):
 def test_without_tables(spark):
     with pytest.raises(ValueError):
         S.flows_at(spark, scratch_path(spark, "none"), D("2024-01-01"))
+
+
+def test_what_has_arrived_is_read_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    t = spark.createDataFrame(_log(60, 5), SCHEMA)
+    root = scratch_path(spark, "ledger")
+    for n in (1, 2):
+        assert S.update_ledger(spark, t, t.mapInArrow(counted, t.schema), root)
+        assert read.value == n * 60
+    _same(spark, _log(60, 5), root, D("2024-03-01"))
+
+
+def test_the_ledger_queries_read_the_test_tables_once(spark, monkeypatch):
+    seen = []
+    update = catalog.update_ledger
+    monkeypatch.setattr(catalog, "update_ledger", lambda s, trades, arrived, root: seen.extend([trades, arrived]) or update(s, trades, arrived, root))
+    i = catalog.Inputs(spark, "/root/testdata/sf0.001")
+    catalog._ledger(i)
+    assert len(seen) == 4
+    for df in (*seen, i.trades):
+        assert df.inputFiles() and not any("/lineitem.parquet" in f or "/orders.parquet" in f for f in df.inputFiles())

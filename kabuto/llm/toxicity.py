@@ -18,7 +18,7 @@ import re
 import uuid
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -136,79 +136,88 @@ def train(texts: list[str | None], labels: list[int], **options) -> Model:
     return train_bags([bag(t, known) for t in texts], labels, **options)
 
 
-def train_bags(bags: Iterable[Bag], labels: list[int], dims: int = DIMS, epochs: int = 8, batch: int = 200, rate: float = 0.05, decay: float = 1e-5, min_texts: int = 4, positive: float | None = None, seed: int = 3) -> Model:
+def train_bags(bags: Sequence[Bag], labels: list[int], dims: int = DIMS, epochs: int = 8, batch: int = 200, rate: float = 0.05, decay: float = 1e-5, min_texts: int = 4, positive: float | None = None, seed: int = 3) -> Model:
     """Fit the model. N-grams in fewer than ``min_texts`` texts keep a zero vector. ``positive`` is the
     share of class 1 among all labelled rows, if that differs from the sample's; it moves the bias.
-    With few texts, or one class only, the bias alone, from the smoothed share, is the model."""
+    With few texts, or one class only, the bias alone, from the smoothed share, is the model.
+
+    Bags are asked for again in every batch, so that no more than a batch of them need be held unpacked, and
+    the table's steps are made in place: the driver trains beside Spark's JVM."""
     y = np.array(labels, np.float64)
     prior = (y.sum() + 0.5) / (len(y) + 1)
     positive = None if positive is None else min(max(positive, 1e-4), 1 - 1e-4)
     bias = float(np.log(prior / (1 - prior)))
     if len(y) < 20 or y.min() == y.max():
         return Model(np.zeros(BUCKETS), bias if positive is None else float(np.log(positive / (1 - positive))))
-    often = np.zeros(BUCKETS, np.int32)
+    often, totals = np.zeros(BUCKETS, np.int32), []
     for b in bags:
         often[b[0]] += 1
+        totals.append(b[2])
     often = np.flatnonzero(often >= min_texts)
     row_of = np.full(BUCKETS, -1, np.int32)
     row_of[often] = np.arange(len(often))
-    kept, totals = [], []
-    for b in bags:
-        at = row_of[b[0]]
-        kept.append((at[at >= 0], b[1][at >= 0]))
-        totals.append(b[2])
-    grams, counts = (np.concatenate([x[k] for x in kept]) for k in (0, 1))
-    ends = np.cumsum([len(x[0]) for x in kept])
-    del kept
-    begins = np.r_[0, ends[:-1]]
-    factor = np.array([strength(int(t)) / max(int(t), 1) for t in totals])
+    factor = np.array([strength(t) / max(t, 1) for t in totals])
     rng = np.random.default_rng(seed)
     table = rng.normal(0, 0.1, (len(often), dims))
     soft = rng.normal(0, 0.5, (dims, 2))
     offset = np.array([-bias / 2, bias / 2])
     params = [table, soft, offset]
-    first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
+    first, second, grads, spare, kept = ([np.zeros_like(p) for p in params] for _ in range(5))
     order = rng.permutation(len(y))
     fold, rows = order[: len(y) // 8], order[len(y) // 8 :]
     target = np.eye(2)[y.astype(int)]
 
     def forward(at: np.ndarray):
-        spans = [np.arange(begins[k], ends[k]) for k in at]
-        flat = np.concatenate(spans)
-        own = np.repeat(np.arange(len(at)), [len(s) for s in spans])
-        share = counts[flat] * factor[at][own]
-        g = grams[flat]
+        found = []
+        for k in at:
+            buckets, counts, _ = bags[k]
+            g = row_of[buckets]
+            found.append((g[g >= 0], counts[g >= 0]))
+        g, counts = (np.concatenate([x[k] for x in found]) for k in (0, 1))
+        own = np.repeat(np.arange(len(at)), [len(x[0]) for x in found])
+        del found
+        share = counts * factor[at][own]
         mean = np.stack([np.bincount(own, share * table[g, d], len(at)) for d in range(dims)], 1)
         z = mean @ soft + offset
         z -= z.max(1, keepdims=True)
         p = np.exp(z)
-        return flat, own, share, mean, p / p.sum(1, keepdims=True)
+        return g, own, share, mean, p / p.sum(1, keepdims=True)
 
     best, step = None, 0
     for _ in range(max(epochs, MIN_STEPS // -(-len(rows) // batch))):
         rng.shuffle(rows)
         for lo in range(0, len(rows), batch):
             at = rows[lo : lo + batch]
-            flat, own, share, mean, p = forward(at)
+            g, own, share, mean, p = forward(at)
             error = (p - target[at]) / len(at)
             back = error @ soft.T
-            g = grams[flat]
-            grad = np.stack([np.bincount(g, share * back[own, d], len(often)) for d in range(dims)], 1)
-            grads = [grad + decay * table, mean.T @ error, error.sum(0)]
+            for d in range(dims):
+                grads[0][:, d] = np.bincount(g, share * back[own, d], len(often))
+            grads[0] += np.multiply(table, decay, out=spare[0])
+            grads[1][:], grads[2][:] = mean.T @ error, error.sum(0)
             step += 1
-            for p_, m, v, d_ in zip(params, first, second, grads, strict=True):
-                m += 0.1 * (d_ - m)
-                v += 0.001 * (d_ * d_ - v)
-                p_ -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+            for p_, m, v, d_, s in zip(params, first, second, grads, spare, strict=True):
+                np.subtract(d_, m, out=s)
+                m += np.multiply(s, 0.1, out=s)
+                d_ *= d_
+                d_ -= v
+                v += np.multiply(d_, 0.001, out=d_)
+                np.divide(m, 1 - 0.9**step, out=d_)
+                d_ *= rate
+                np.sqrt(np.divide(v, 1 - 0.999**step, out=s), out=s)
+                s += 1e-8
+                p_ -= np.divide(d_, s, out=d_)
         losses = []
         for lo in range(0, len(fold), batch):
             at = fold[lo : lo + batch]
             losses.append(-np.log(np.clip(forward(at)[-1][np.arange(len(at)), y[at].astype(int)], 1e-12, 1)))
         loss = float(np.concatenate(losses).mean())
-        if best is None or loss < best[0]:
-            best = loss, table.copy(), soft.copy(), offset.copy()
+        if best is None or loss < best:
+            best = loss
+            for k_, p_ in zip(kept, params, strict=True):
+                k_[:] = p_
     moved = 0.0 if positive is None else float(np.log(positive / (1 - positive))) - bias
-    _, rows, soft, offset = best
+    rows, soft, offset = kept
     table = np.zeros((BUCKETS, dims))
     table[often] = rows
     offset = offset + np.array([0.0, moved])
@@ -231,7 +240,7 @@ def pack(b: Bag) -> tuple[bytes, int]:
     return zlib.compress(np.diff(b[0], prepend=0).astype("<u4").tobytes() + b[1].astype("<u2").tobytes(), 1), b[2]
 
 
-def unpack(packed: bytes, total: int) -> Bag:
+def unpack(packed: bytes | memoryview, total: int) -> Bag:
     raw = zlib.decompress(packed)
     n = len(raw) // 6
     return np.cumsum(np.frombuffer(raw, "<u4", n)).astype(np.int32), np.frombuffer(raw, "<u2", n, 4 * n), total
@@ -259,18 +268,29 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     if weight > bag_bytes:
         bags = bags.where(F.pmod(F.xxhash64("h"), F.lit(1 << 30)) < int(bag_bytes / weight * (1 << 30)))
     share = counts.get(1, 0) / max(1, sum(counts.values()))
-    sample = sorted(((r["h"], r["y"], bytes(r["bag"]), r["total"]) for r in bags.toLocalIterator()), key=lambda r: r[0])
-    return train_bags(_Unpacked(sample), [r[1] for r in sample], positive=share, **training)
+    sample = PackedBags((r["h"], r["y"], r["bag"], r["total"]) for r in bags.toLocalIterator())
+    return train_bags(sample, sample.labels, positive=share, **training)
+
 
+class PackedBags(Sequence):
+    """Bags in the order of their hashes, from rows (hash, label, packed bag, total). They are kept packed, in
+    one buffer, and unpacked each time they are asked for."""
 
-class _Unpacked:
-    """The bags of packed rows, unpacked each time they are gone through."""
+    def __init__(self, rows: Iterator[tuple[int, int, bytes, int]]):
+        self.buffer, at = bytearray(), []
+        for h, y, packed, total in rows:
+            at.append((h, y, len(self.buffer), len(packed), total))
+            self.buffer += packed
+        at.sort()
+        self.labels = [y for _, y, *_ in at]
+        self.at = [(begin, begin + n, total) for *_, begin, n, total in at]
 
-    def __init__(self, rows: list[tuple]):
-        self.rows = rows
+    def __len__(self) -> int:
+        return len(self.at)
 
-    def __iter__(self) -> Iterator[Bag]:
-        return (unpack(packed, total) for _, _, packed, total in self.rows)
+    def __getitem__(self, k: int) -> Bag:
+        begin, end, total = self.at[k]
+        return unpack(memoryview(self.buffer)[begin:end], total)
 
 
 def scorer(spark, model: Model):
